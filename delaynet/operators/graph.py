@@ -1,14 +1,22 @@
 """Propagation network: vertices, edges, rank and components as DataFrame rounds.
 
-Edges are materialized once per job and every round is one join plus one
-grouped aggregate. A vertex with very many out-edges would put all of them in
-one join task, so its edges are spread over several salts and the few rows
-describing the vertex are repeated for each; messages to a vertex with very
-many in-edges are summed inside the sending tasks first.
+`_links` prepares and writes the edges once; every round is then one join and
+one grouped aggregate over them. Each vertex also gets a link to itself that
+carries nothing, so a round keeps vertices nobody sends to.
+
+A vertex with very many out-edges would put all of them in one join task. Its
+edges are spread over several salts and the one row of the vertex is repeated
+for each. Messages to a vertex with very many in-edges are reduced inside the
+sending tasks.
+
+Edges go in as (origin, destination, weight). They are read several times, so
+pass a written table when they are costly to compute.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,60 +39,83 @@ def graph_stats(edges: DataFrame) -> DataFrame:
     )
 
 
-def _salted(edges: DataFrame, weight: Column | None, per_salt: int) -> tuple[DataFrame, DataFrame]:
-    """(src, salt, dst, share) edges and (id, fanout, sends) vertices, both written once."""
-    plain = edges.select(F.col("origin").alias("src"), F.col("destination").alias("dst"), F.col("weight"))
+@dataclass
+class _Links:
+    vertices: DataFrame  # (id, fanout)
+    rows: DataFrame  # (src, salt, dst, share, fanout), fanout being that of dst
+    salted: bool
+
+    def with_source(self, state: DataFrame) -> DataFrame:
+        """Links together with the state (id, fanout, ...) of their source."""
+        state = state.withColumnRenamed("id", "src")
+        if not self.salted:
+            return self.rows.join(state.drop("fanout"), "src")
+        copies = state.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("fanout") - 1)))
+        return self.rows.join(copies.drop("fanout"), ["src", "salt"])
+
+
+def _links(edges: DataFrame, weight: Column | None, per_salt: int) -> _Links:
     amount = F.lit(1.0) if weight is None else weight.cast("double")
-    plain = materialize(plain.withColumn("amount", amount), "edges")
+    plain = edges.select(F.col("origin").alias("src"), F.col("destination").alias("dst"), amount.alias("amount"))
     out = plain.groupBy("src").agg(F.count(F.lit(1)).alias("degree"), F.sum("amount").alias("total"))
-    out = out.withColumn("fanout", F.ceil(F.col("degree") / per_salt).cast("int"))
-    salted = plain.join(out, "src").select(
-        "src",
-        F.pmod(F.xxhash64("dst"), F.col("fanout")).cast("int").alias("salt"),
-        "dst",
-        # a vertex whose edges all weigh nothing passes nothing on
-        F.coalesce(F.try_divide("amount", "total"), F.lit(0.0)).alias("share"),
-    )
     ids = plain.select(F.col("src").alias("id")).union(plain.select("dst")).distinct()
-    vertices = ids.join(out.select(F.col("src").alias("id"), "fanout"), "id", "left").select(
-        "id", F.coalesce("fanout", F.lit(0)).alias("fanout")
+    vertices = materialize(
+        ids.join(out, ids["id"] == out["src"], "left").select(
+            "id", F.coalesce(F.ceil(F.col("degree") / per_salt), F.lit(1)).cast("int").alias("fanout"), "total"
+        ),
+        "vertices",
     )
-    return materialize(salted, "salted-edges"), materialize(vertices, "vertices")
-
-
-def _at_sources(state: DataFrame, edges: DataFrame) -> DataFrame:
-    """Edges with the state of their source vertex."""
-    copies = state.filter("fanout > 0").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("fanout") - 1)))
-    return edges.join(copies.withColumnRenamed("id", "src"), ["src", "salt"])
+    salted = not vertices.filter("fanout > 1").isEmpty()
+    source = vertices.select(F.col("id").alias("src"), F.col("fanout").alias("spread"), "total")
+    target = vertices.select(F.col("id").alias("dst"), "fanout")
+    sending = (
+        plain.join(source, "src")
+        .join(target, "dst")
+        .select(
+            "src",
+            F.pmod(F.xxhash64("dst"), F.col("spread")).cast("int").alias("salt"),
+            "dst",
+            # a vertex whose edges all weigh nothing passes nothing on
+            F.coalesce(F.try_divide("amount", "total"), F.lit(0.0)).alias("share"),
+            "fanout",
+        )
+    )
+    itself = vertices.select(
+        F.col("id").alias("src"), F.lit(0).alias("salt"), F.col("id").alias("dst"), F.lit(0.0).alias("share"), "fanout"
+    )
+    return _Links(vertices.drop("total"), materialize(sending.unionByName(itself), "links"), salted)
 
 
 def pagerank(
-    edges: DataFrame, iterations: int = 10, reset: float = 0.15, weight: Column | None = None,
-    checkpoint_every: int = 10, per_salt: int = EDGES_PER_SALT,
+    edges: DataFrame,
+    iterations: int = 10,
+    reset: float = 0.15,
+    weight: Column | None = None,
+    write_every: int = 5,
+    per_salt: int = EDGES_PER_SALT,
 ) -> DataFrame:
     """Ranks after a fixed number of rounds, scaled to sum to the vertex count.
 
     Every vertex starts at 1 and passes its rank on in equal parts, or in
-    proportion to `weight`.
+    proportion to `weight`. Ranks are written every few rounds, which keeps
+    plans short and limits what a lost executor makes Spark repeat.
     """
-    links, vertices = _salted(edges, weight, per_salt)
-    state = vertices.withColumn("rank", F.lit(1.0))
-    silent = vertices.select("id", F.lit(0.0).alias("message"), "fanout")
+    links = _links(edges, weight, per_salt)
+    state = links.vertices.withColumn("rank", F.lit(1.0))
     for step in range(1, iterations + 1):
-        sent = _at_sources(state, links).select(
-            F.col("dst").alias("id"), (F.col("rank") * F.col("share")).alias("message"), F.lit(0).alias("fanout")
-        )
+        received = F.sum(F.col("rank") * F.col("share"))
         state = (
-            sent.unionByName(silent)
-            .groupBy("id")
-            .agg(F.sum("message").alias("received"), F.max("fanout").alias("fanout"))
-            .select("id", "fanout", (F.lit(reset) + F.lit(1.0 - reset) * F.col("received")).alias("rank"))
+            links.with_source(state)
+            .groupBy(F.col("dst").alias("id"))
+            .agg(
+                F.max("fanout").alias("fanout"),
+                (F.lit(reset) + F.lit(1.0 - reset) * received).alias("rank"),
+            )
         )
-        if step % checkpoint_every == 0 or step == iterations:
+        if step % write_every == 0 or step == iterations:
             state = materialize(state, "ranks")
-    totals = state.agg(F.count(F.lit(1)).alias("n"), F.sum("rank").alias("total")).first()
-    scale = totals["n"] / totals["total"] if totals["total"] else 1.0
-    return state.select(F.col("id").alias("airport"), (F.col("rank") * F.lit(scale)).alias("pagerank"))
+    scale = state.agg(F.count(F.lit(1)) / F.sum("rank")).scalar()
+    return state.select(F.col("id").alias("airport"), (F.col("rank") * scale).alias("pagerank"))
 
 
 def connected_components(edges: DataFrame, per_salt: int = EDGES_PER_SALT, max_rounds: int = 100) -> DataFrame:
@@ -94,31 +125,27 @@ def connected_components(edges: DataFrame, per_salt: int = EDGES_PER_SALT, max_r
     replaces each label by that label's own label. The second step halves the
     remaining distance, so long chains need few rounds as well.
     """
-    both = edges.select("origin", "destination").union(
-        edges.select(F.col("destination").alias("origin"), F.col("origin").alias("destination"))
-    )
-    links, vertices = _salted(both.distinct().withColumn("weight", F.lit(1)), None, per_salt)
-    state = vertices.withColumn("label", F.col("id"))
+    forward = edges.select("origin", "destination")
+    both = forward.union(edges.select("destination", "origin")).distinct()
+    links = _links(materialize(both, "ways"), None, per_salt)
+    state = links.vertices.withColumn("label", F.col("id"))
     for _ in range(max_rounds):
-        heard = _at_sources(state, links).groupBy(F.col("dst").alias("id")).agg(F.min("label").alias("heard"))
-        lowest = state.join(heard, "id", "left").select(
-            "id", "fanout", F.col("label").alias("before"), F.least("label", "heard").alias("label")
-        )
-        lowest = materialize(lowest, "labels")
-        # only labels that are themselves relabelled need the second step
-        moved = lowest.filter("id != label").select(F.col("id").alias("label"), F.col("label").alias("root"))
-        state = materialize(
-            lowest.join(moved, "label", "left").select(
-                "id", "fanout", "before", F.coalesce("root", "label").alias("label")
+        lowest = materialize(
+            links.with_source(state)
+            .groupBy(F.col("dst").alias("id"))
+            .agg(
+                F.max("fanout").alias("fanout"),
+                F.max(F.when(F.col("src") == F.col("dst"), F.col("label"))).alias("before"),
+                F.min("label").alias("label"),
             ),
             "labels",
         )
-        if state.filter("label != before").isEmpty():
-            break
-        state = state.drop("before")
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return state.select(F.col("id").alias("airport"), F.col("label").alias("component_id"))
+        if lowest.filter("label < before").isEmpty():
+            return lowest.select(F.col("id").alias("airport"), F.col("label").alias("component_id"))
+        # only labels that are themselves relabelled need the second step
+        moved = lowest.filter("id != label").select(F.col("id").alias("label"), F.col("label").alias("root"))
+        state = lowest.join(moved, "label", "left").select("id", "fanout", F.coalesce("root", "label").alias("label"))
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def component_sizes(components: DataFrame) -> DataFrame:

@@ -591,7 +591,7 @@ def _intra_region(spark, sf, edges):
     return joined.filter("origin_region = destination_region").select("origin", "destination", "weight")
 
 
-def _trade_graph(spark, sf):
+def _trade_edges(spark, sf):
     """Customers to suppliers by quantity; returned lines point back."""
     orders = table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("C"), c("o_custkey").cast("string")).alias("customer"))
     lines = table(spark, sf, "lineitem").select(
@@ -605,6 +605,10 @@ def _trade_graph(spark, sf):
     ).agg(F.sum(c("l_quantity").cast("long")).alias("weight"))
 
 
+def _trade_graph(spark, sf):
+    return materialize(_trade_edges(spark, sf), "trade")
+
+
 @query
 def graph_vertices(spark, sf):
     return graph.graph_vertices(_edges(spark, sf))

@@ -44,33 +44,28 @@ def _from_line(name: str) -> Column:
 def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Flight rows with the asked columns (all by default)."""
     columns = columns or tuple(FLIGHT_COLUMNS)
-    needs = set(columns)
-    whole_id = "flight_id" in needs
+    whole_id = "flight_id" in columns
     rows = table(spark, sf_dir, "lineitem")
-    nation = table(spark, sf_dir, "nation")
-
-    if whole_id or "origin" in needs:
-        origin = (
-            table(spark, sf_dir, "supplier")
-            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-            .select("s_suppkey", F.col("n_name").alias("origin"))
-        )
-        rows = rows.join(origin, F.col("l_suppkey") == F.col("s_suppkey"))
-    if whole_id or "destination" in needs:
-        customer = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        destination = (
-            table(spark, sf_dir, "orders")
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-            .select("o_orderkey", F.col("n_name").alias("destination"))
-        )
-        rows = rows.join(destination, F.col("l_orderkey") == F.col("o_orderkey"))
+
+    # Dimension keys first, names last: order and customer meet before the far
+    # larger lineitem joins them, and the 25 nation names are looked up at the end.
+    if whole_id or "origin" in columns:
+        supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+        rows = rows.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    if whole_id or "destination" in columns:
+        customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+        orders = table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        rows = rows.join(orders.select("o_orderkey", "c_nationkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     if whole_id:
         part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-        rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey")).withColumn(
-            "flight_id",
-            F.concat_ws("|", "origin", "destination", "p_brand", F.col("l_linenumber").cast("string"), _ship_day(),
-                        F.col("l_orderkey").cast("string")),
-        )
+        rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    for name, key in (("origin", "s_nationkey"), ("destination", "c_nationkey")):
+        if key in rows.columns:
+            nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias(key), F.col("n_name").alias(name))
+            rows = rows.join(nation, key)
+    if whole_id:
+        parts = ("origin", "destination", "p_brand", F.col("l_linenumber").cast("string"), _ship_day())
+        rows = rows.withColumn("flight_id", F.concat_ws("|", *parts, F.col("l_orderkey").cast("string")))
     return rows.select(*[_from_line(name).alias(name) for name in columns])
 
 
