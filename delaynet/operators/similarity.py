@@ -22,8 +22,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaynet.functions.hashing import hash_int
+from delaynet.session import materialize
 
 MAX_BUCKET = 1_000
+BLOCK = 250
+TASKS_PER_PARTITION = 4
 # guards `ceil` against 0.7 * 10 = 7.000000000000001 and the like
 _EPSILON = 1e-9
 
@@ -51,40 +54,55 @@ def with_fingerprint(bags: DataFrame) -> DataFrame:
 
 
 def profiles(bags: DataFrame) -> DataFrame:
-    """One row per distinct token set: its smallest group, how many groups, the set."""
-    return (
+    """One row per distinct token set: its smallest group, how many groups, the
+    set, and `codes`, the set as numbers that ascend from rare to frequent tokens.
+    """
+    folded = (
         with_fingerprint(bags)
         .groupBy("fingerprint")
         .agg(F.min("group_id").alias("profile"), F.count(F.lit(1)).alias("members"), F.any_value("tokens").alias("tokens"))
         .withColumn("size", F.size("tokens"))
     )
+    folded = materialize(folded, "profiles")
+    long = folded.select("profile", F.explode("tokens").alias("token"))
+    by_rarity = long.groupBy("token").agg(F.count(F.lit(1)).alias("df")).orderBy("df", "token")
+    # written, as the numbers must be the same wherever they are used
+    vocabulary = materialize(by_rarity.select("token", F.monotonically_increasing_id().alias("code")), "vocabulary")
+    codes = long.join(vocabulary, "token").groupBy("profile").agg(F.sort_array(F.collect_list("code")).alias("codes"))
+    return folded.join(codes, "profile")
 
 
-def jaccard_distance(left: Column, right: Column) -> Column:
-    shared = F.size(F.array_intersect(left, right))
-    return F.lit(1.0) - shared / (F.size(left) + F.size(right) - shared)
+def _prefix_length(threshold: float) -> Column:
+    """How many of its rarest tokens a set must show, so that no two sets closer
+    than the threshold can show disjoint ones."""
+    length = F.col("size") - F.ceil(F.col("size") * (1.0 - threshold) - _EPSILON) + 1
+    return F.least(length, F.col("size")).cast("int")
 
 
-def _with_prefix(profile_rows: DataFrame, threshold: float) -> DataFrame:
-    """Adds `prefix`: the rarest tokens, as many as needed so that no pair below
-    the threshold can have disjoint prefixes."""
-    similarity = 1.0 - threshold
-    long = profile_rows.select("profile", F.explode("tokens").alias("token"))
-    frequency = long.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    ranked = (
-        long.join(frequency, "token")
-        .groupBy("profile")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"))
-    )
-    length = F.col("size") - F.ceil(F.col("size") * similarity - _EPSILON) + 1
-    length = F.least(length, F.col("size")).cast("int")
-    return profile_rows.join(ranked, "profile").withColumn("prefix", F.slice("ranked", 1, length)).drop("ranked")
+def _prefix(threshold: float) -> Column:
+    return F.slice("codes", F.lit(1), _prefix_length(threshold))
 
 
-def _sides(rows: DataFrame, keys: list[str], carried: list[str]) -> tuple[DataFrame, DataFrame]:
-    return tuple(
-        rows.select(*keys, *[F.col(name).alias(f"{name}_{side}") for name in carried]) for side in ("a", "b")
-    )
+def _paired(rows: DataFrame, keys: list[str], carried: list[str], block: int = BLOCK) -> DataFrame:
+    """Rows of equal keys side by side, `carried` columns suffixed _a and _b.
+
+    A key held by more than `block` rows is split: each row stands on the left
+    in one block, and on the right in all of them, so no task gets a whole
+    crowded key. Partitions are set by hand because their cost lies in the pairs
+    made, which the size of the input says nothing about.
+    """
+    sizes = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    rows = rows.join(sizes, keys)
+    left = rows.withColumn("block", F.pmod(F.xxhash64("profile"), "blocks").cast("int"))
+    right = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keys = [*keys, "block"]
+    partitions = TASKS_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def side(name: str, frame: DataFrame) -> DataFrame:
+        picked = frame.select(*keys, *[F.col(column).alias(f"{column}_{name}") for column in carried])
+        return picked.repartition(partitions, *keys)
+
+    return side("a", left).join(side("b", right), keys).filter(F.col("profile_a") < F.col("profile_b"))
 
 
 def _sizes_fit(threshold: float) -> Column:
@@ -93,8 +111,16 @@ def _sizes_fit(threshold: float) -> Column:
     return (F.col("size_a") >= F.col("size_b") * bound) & (F.col("size_b") >= F.col("size_a") * bound)
 
 
-def _first_shared(name: str) -> Column:
-    return F.get(F.array_intersect(f"{name}_a", f"{name}_b"), F.lit(0))
+def _overlap_needed(threshold: float) -> Column:
+    similarity = 1.0 - threshold
+    return (F.col("size_a") + F.col("size_b")) * (similarity / (1.0 + similarity)) - _EPSILON
+
+
+def _enough_left(threshold: float) -> Column:
+    """If the sets share nothing before positions place_a and place_b, what is
+    left from there on must still hold the overlap that the threshold asks for."""
+    left = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    return left >= _overlap_needed(threshold)
 
 
 def _self_pairs(profile_rows: DataFrame) -> DataFrame:
@@ -112,8 +138,18 @@ _PAIR_COLUMNS = ["profile_a", "profile_b", "members_a", "members_b", "jaccard_di
 
 
 def _measured(pairs: DataFrame, threshold: float) -> DataFrame:
-    return pairs.withColumn("jaccard_distance", jaccard_distance(F.col("tokens_a"), F.col("tokens_b"))).filter(
-        F.col("jaccard_distance") < threshold
+    """Pairs closer than `threshold`, with the distance and the rarest shared token.
+
+    Generating `shared` as a row makes Spark intersect the sets once per pair
+    instead of once per use of the result.
+    """
+    pairs = pairs.withColumn("shared", F.explode(F.array(F.array_intersect("codes_a", "codes_b"))))
+    overlap = F.size("shared")
+    distance = F.lit(1.0) - overlap / (F.col("size_a") + F.col("size_b") - overlap)
+    return (
+        pairs.withColumns({"jaccard_distance": distance, "rarest": F.get("shared", F.lit(0))})
+        .filter(F.col("jaccard_distance") < threshold)
+        .drop("shared")
     )
 
 
@@ -123,15 +159,11 @@ def exact_pairs(profile_rows: DataFrame, threshold: float, *extra: str) -> DataF
     A profile paired with itself stands for the pairs among its own groups.
     `extra` columns of the profiles come along with suffixes _a and _b.
     """
-    rows = _with_prefix(profile_rows, threshold)
-    keyed = rows.withColumn("key", F.explode("prefix"))
-    carried = ["profile", "members", "size", "tokens", "prefix", *extra]
-    left, right = _sides(keyed, ["key"], carried)
-    # a pair sharing several prefix tokens is kept at the first one only
-    found = left.join(right, "key").filter(
-        (F.col("profile_a") < F.col("profile_b")) & _sizes_fit(threshold) & (F.col("key") == _first_shared("prefix"))
-    )
-    pairs = _measured(found, threshold)
+    keyed = profile_rows.select("*", F.posexplode(_prefix(threshold)).alias("place", "key"))
+    candidates = _paired(keyed, ["key"], ["profile", "members", "size", "codes", "place", *extra])
+    candidates = candidates.filter(_sizes_fit(threshold) & _enough_left(threshold))
+    # a pair sharing several rare tokens is kept at the rarest only
+    pairs = _measured(candidates, threshold).filter(F.col("key") == F.col("rarest"))
     copies = _self_pairs(profile_rows)
     if extra:
         attached = profile_rows.select(
@@ -171,32 +203,24 @@ def bucket_occupancy(signatures: DataFrame, tables: int = 3) -> DataFrame:
 def lsh_pairs(signatures: DataFrame, threshold: float, tables: int = 3, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """Profile pairs sharing a MinHash value and closer than `threshold`."""
     hashes = [f"h{i}" for i in range(tables)]
-    rows = _with_prefix(signatures, threshold)
-    bucketed = rows.select(
-        "profile", "members", "size", "tokens", "prefix", *hashes,
-        F.posexplode(F.array(*hashes)).alias("table", "minhash"),
-    )
+    carried = ["profile", "members", "size", "codes", *hashes]
+    bucketed = signatures.select(*carried, F.posexplode(F.array(*hashes)).alias("table", "minhash"))
     crowded = (
         bucketed.groupBy("table", "minhash")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > max_bucket)
         .select("table", "minhash", F.lit(True).alias("crowded"))
     )
-    nothing = F.lit(None).cast(rows.schema["prefix"].dataType)
-    keyed = (
-        bucketed.join(crowded, ["table", "minhash"], "left")
-        .withColumn("key", F.explode_outer(F.when(F.col("crowded"), F.col("prefix")).otherwise(nothing)))
-        .withColumn("key", F.coalesce("key", F.struct(F.lit(0).cast("long").alias("df"), F.lit("").alias("token"))))
+    whole_bucket = F.array(F.lit(-1).cast("long"))
+    keyed = bucketed.join(crowded, ["table", "minhash"], "left").withColumn(
+        "key", F.explode(F.when(F.col("crowded"), _prefix(threshold)).otherwise(whole_bucket))
     )
-    left, right = _sides(keyed, ["table", "minhash", "key"], ["profile", "members", "size", "tokens", "prefix", *hashes])
+    # a pair meeting in several tables, or at several rare tokens, is kept at the first
     first_table = F.coalesce(*[F.when(F.col(f"{h}_a") == F.col(f"{h}_b"), F.lit(i)) for i, h in enumerate(hashes)])
-    found = left.join(right, ["table", "minhash", "key"]).filter(
-        (F.col("profile_a") < F.col("profile_b"))
-        & _sizes_fit(threshold)
-        & (F.col("table") == first_table)
-        & ((F.col("key.df") == 0) | (F.col("key") == _first_shared("prefix")))
-    )
-    return _measured(found, threshold).select(_PAIR_COLUMNS).unionByName(_self_pairs(signatures))
+    candidates = _paired(keyed, ["table", "minhash", "key"], carried)
+    candidates = candidates.filter(_sizes_fit(threshold) & (F.col("table") == first_table))
+    pairs = _measured(candidates, threshold).filter((F.col("key") < 0) | (F.col("key") == F.col("rarest")))
+    return pairs.select(_PAIR_COLUMNS).unionByName(_self_pairs(signatures))
 
 
 def top_pairs(pairs: DataFrame, bags: DataFrame, k: int, digits: int | None = None, directed: bool = False) -> DataFrame:
