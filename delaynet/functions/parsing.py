@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 from delaynet.schema import CAUSE_LABELS, NO_CAUSE
 
 _WHITESPACE = " \t\r\n"
-# Decimal numbers with optional exponent. The cast alone would also take
-# Java's "1d" and "1f".
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def stripped(text: Column) -> Column:
@@ -27,74 +24,79 @@ def is_blank(text: Column) -> Column:
     return F.lower(stripped(text)).isin("", "nan")
 
 
+def parse_float(text: Column) -> Column:
+    """Decimal number; null for blanks, `nan` and anything else.
+
+    The cast alone would also take `1d`, `Infinity` and hexadecimal numbers.
+    """
+    text = stripped(text)
+    decimal = F.right(text, F.lit(1)).rlike("[0-9.]") & ~F.lower(text).contains("x")
+    return F.when(decimal, text.try_cast("double"))
+
+
 def is_number(text: Column) -> Column:
-    return stripped(text).rlike(_NUMBER)
+    return parse_float(text).isNotNull()
 
 
-def parse_float(text: Column) -> Column:
-    return F.when(is_number(text), stripped(text).try_cast("double"))
+def truncated(number: Column) -> Column:
+    """Integer part, toward zero; null when it does not fit."""
+    return number.try_cast("int")
 
 
 def parse_int(text: Column) -> Column:
-    """Integer part, truncated toward zero."""
-    return parse_float(text).try_cast("int")
+    return truncated(parse_float(text))
 
 
-def parse_date(year: Column, month: Column, day: Column) -> Column:
-    y, m, d = (parse_int(part).cast("string") for part in (year, month, day))
+def date_of(year: Column, month: Column, day: Column) -> Column:
+    """Date from whole numbers, null when there is no such day."""
+    y, m, d = (part.cast("string") for part in (year, month, day))
     return F.concat(F.lpad(y, 4, "0"), F.lit("-"), m, F.lit("-"), d).try_cast("date")
 
 
-def departure_iso(year: Column, month: Column, day: Column, hhmm: Column) -> Column:
-    """ISO local time from date parts and an HHMM number.
+def iso_departure(date: Column, hhmm: Column, blank: Column) -> Column:
+    """ISO local time from a date and an HHMM number.
 
-    Blank means midnight. Hours of 24 and more move to the next day and keep
-    only the minutes, where minutes past 59 count as 0. Other unreadable times
-    give null.
+    A `blank` time means midnight. Hours of 24 and more move to the next day and
+    keep only the minutes, where minutes past 59 count as 0. Other impossible
+    times give null.
     """
-    date = parse_date(year, month, day)
-    number = parse_int(hhmm)
-    hour = F.floor(number / 100).cast("int")
-    minute = number % 100
+    hour, minute = F.floor(hhmm / 100).cast("int"), hhmm % 100
     overflow = hour >= 24
-    shown_date = F.when(overflow, F.date_add(date, 1)).otherwise(date)
+    day = F.when(~blank & overflow, F.date_add(date, 1)).otherwise(date).cast("string")
     shown_hour = F.when(overflow, F.lit(0)).otherwise(hour)
     shown_minute = F.when(minute < 60, minute).when(overflow, F.lit(0))
-    clock = F.when(stripped(hhmm) == "", F.lit("00:00")).when(
-        number >= 0,
+    clock = F.when(blank, F.lit("00:00")).when(
+        hhmm >= 0,
         F.concat(
-            F.lpad(shown_hour.cast("string"), 2, "0"),
-            F.lit(":"),
-            F.lpad(shown_minute.cast("string"), 2, "0"),
+            F.lpad(shown_hour.cast("string"), 2, "0"), F.lit(":"), F.lpad(shown_minute.cast("string"), 2, "0")
         ),
     )
-    day_text = F.when(stripped(hhmm) == "", date).otherwise(shown_date).cast("string")
-    return F.concat(day_text, F.lit("T"), clock, F.lit(":00"))
+    return F.concat(day, F.lit("T"), clock, F.lit(":00"))
+
+
+def departure_iso(year: Column, month: Column, day: Column, hhmm: Column) -> Column:
+    date = date_of(parse_int(year), parse_int(month), parse_int(day))
+    return iso_departure(date, parse_int(hhmm), stripped(hhmm) == "")
+
+
+def clamped(minutes: Column) -> Column:
+    """Half-even rounded minutes, missing and early departures as 0."""
+    return F.greatest(F.lit(0), F.coalesce(truncated(F.bround(minutes, 0)), F.lit(0)))
 
 
 def delay_minutes(delay: Column) -> Column:
-    """Half-even rounded delay, missing and early departures as 0."""
-    rounded = F.bround(parse_float(delay), 0).try_cast("int")
-    return F.greatest(F.lit(0), F.coalesce(rounded, F.lit(0)))
+    return clamped(parse_float(delay))
 
 
-def dominant_cause(causes: dict[str, Column] | None = None) -> Column:
-    """Label of the first column holding the largest positive number."""
-    causes = causes or {label: F.col(name) for name, label in CAUSE_LABELS.items()}
-    values = {label: parse_float(column) for label, column in causes.items()}
+def largest_cause(values: dict[str, Column]) -> Column:
+    """Label of the first value that is the largest, if that is positive."""
     top = F.greatest(*values.values())
     labels = [F.when((value == top) & (top > 0), F.lit(label)) for label, value in values.items()]
     return F.coalesce(*labels, F.lit(NO_CAUSE))
 
 
-def composite_id(
-    origin: Column, dest: Column, carrier: Column, number: Column, year: Column, month: Column, day: Column, hhmm: Column
-) -> Column:
-    """`origin|dest|carrier|number|Y-M-D|HHMM`, date parts as written in the file."""
-    clock = F.when(stripped(hhmm) == "", F.lit("")).otherwise(parse_int(hhmm).cast("string"))
-    date = F.concat(stripped(year), F.lit("-"), stripped(month), F.lit("-"), stripped(day))
-    fields = [stripped(origin), stripped(dest), stripped(carrier), flight_number(number).cast("string"), date, clock]
-    return reduce(lambda left, right: F.concat(left, F.lit("|"), right), fields)
+def dominant_cause() -> Column:
+    return largest_cause({label: parse_float(F.col(name)) for name, label in CAUSE_LABELS.items()})
 
 
 def flight_number(text: Column) -> Column:
@@ -104,24 +106,44 @@ def flight_number(text: Column) -> Column:
 def normalize(raw: DataFrame) -> DataFrame:
     """Flight rows from raw string rows, plus `carrier` and a `rejected` mark.
 
-    Rejected rows had a number, date or time that could not be read.
+    Rejected rows had a number, date or time that could not be read. The id is
+    `origin|dest|carrier|number|Y-M-D|HHMM`, its date parts as written in the
+    file. Every field is read once, in a projection of its own.
     """
-    c = F.col
-    date_parts = (c("YEAR"), c("MONTH"), c("DAY_OF_MONTH"))
-    departure = departure_iso(*date_parts, c("CRS_DEP_TIME"))
-    optional_numbers = [c("OP_CARRIER_FL_NUM"), c("DEP_DELAY"), *(c(name) for name in CAUSE_LABELS)]
-    unreadable = [~(is_blank(text) | is_number(text)) for text in optional_numbers]
-    return raw.select(
-        composite_id(
-            c("ORIGIN"), c("DEST"), c("OP_UNIQUE_CARRIER"), c("OP_CARRIER_FL_NUM"), *date_parts, c("CRS_DEP_TIME")
+    texts = ("YEAR", "MONTH", "DAY_OF_MONTH", "CRS_DEP_TIME")
+    whole = [*texts, "OP_CARRIER_FL_NUM"]
+    decimals = ["DEP_DELAY", *CAUSE_LABELS]
+    optional = ["OP_CARRIER_FL_NUM", *decimals]
+    junk = [~is_blank(F.col(name)) & parse_float(F.col(name)).isNull() for name in optional]
+    fields = raw.select(
+        stripped(F.col("ORIGIN")).alias("origin"),
+        stripped(F.col("DEST")).alias("destination"),
+        stripped(F.col("OP_UNIQUE_CARRIER")).alias("carrier"),
+        *[stripped(F.col(name)).alias(f"{name}_text") for name in texts],
+        *[parse_int(F.col(name)).alias(name) for name in whole],
+        *[parse_float(F.col(name)).alias(name) for name in decimals],
+        reduce(lambda a, b: a | b, junk).alias("junk"),
+    )
+    blank_time = F.col("CRS_DEP_TIME_text") == ""
+    date = date_of(F.col("YEAR"), F.col("MONTH"), F.col("DAY_OF_MONTH"))
+    number = F.coalesce("OP_CARRIER_FL_NUM", F.lit(0))
+    written_date = F.concat(
+        "YEAR_text", F.lit("-"), "MONTH_text", F.lit("-"), "DAY_OF_MONTH_text"
+    )
+    written_time = F.when(blank_time, F.lit("")).otherwise(F.col("CRS_DEP_TIME").cast("string"))
+    bar = F.lit("|")
+    rows = fields.select(
+        F.concat(
+            "origin", bar, "destination", bar, "carrier", bar, number.cast("string"), bar, written_date, bar, written_time
         ).alias("flight_id"),
         F.lit("").alias("tail_number"),
-        flight_number(c("OP_CARRIER_FL_NUM")).alias("flight_number"),
-        stripped(c("ORIGIN")).alias("origin"),
-        stripped(c("DEST")).alias("destination"),
-        departure.alias("scheduled_departure"),
-        delay_minutes(c("DEP_DELAY")).alias("delay_minutes"),
-        dominant_cause().alias("delay_cause"),
-        stripped(c("OP_UNIQUE_CARRIER")).alias("carrier"),
-        reduce(lambda a, b: a | b, unreadable, departure.isNull()).alias("rejected"),
+        number.alias("flight_number"),
+        "origin",
+        "destination",
+        iso_departure(date, F.col("CRS_DEP_TIME"), blank_time).alias("scheduled_departure"),
+        clamped(F.col("DEP_DELAY")).alias("delay_minutes"),
+        largest_cause({label: F.col(name) for name, label in CAUSE_LABELS.items()}).alias("delay_cause"),
+        "carrier",
+        "junk",
     )
+    return rows.withColumn("rejected", F.col("junk") | F.col("scheduled_departure").isNull()).drop("junk")

@@ -24,15 +24,29 @@ def _cells(rows: DataFrame, key: Column, depth: int, widths: list[int], method:
 
 
 def build(
-    rows: DataFrame, key: str, weight: str | None = None, depth: int = 5, widths: int | list[int] = 2048, method: str = "md5"
+    rows: DataFrame,
+    key: str,
+    weight: str | None = None,
+    depth: int = 5,
+    widths: int | list[int] = 2048,
+    method: str = "md5",
+    precount: bool = True,
 ) -> DataFrame:
+    """Sketch of `key`, each row counting 1 or `weight`.
+
+    With `precount` rows are counted per key first, so every key is hashed once
+    instead of every row. Turn it off for nearly unique keys, where counting
+    would shuffle about as many rows as go in.
+    """
     widths = [widths] if isinstance(widths, int) else list(widths)
     amount = F.lit(1) if weight is None else F.col(weight)
     items = rows.select(F.col(key).alias("key"), amount.cast("long").alias("n")).filter(F.col("key").isNotNull())
     if weight is not None:
         # negative counts would break the "never below the true count" guarantee
-        items = items.withColumn("n", F.when(F.col("n") >= 0, F.col("n")).otherwise(
-            F.raise_error(F.lit("count must be non-negative")).cast("long")))
+        negative = F.raise_error(F.lit("count must be non-negative")).cast("long")
+        items = items.withColumn("n", F.when(F.col("n") >= 0, F.col("n")).otherwise(negative))
+    elif precount:
+        items = items.groupBy("key").agg(F.sum("n").alias("n"))
     return (
         _cells(items, F.col("key"), depth, widths, method)
         .groupBy("width", "depth_row", "bucket")

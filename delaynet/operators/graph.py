@@ -1,7 +1,7 @@
 """Propagation network: vertices, edges, rank and components as DataFrame rounds.
 
-`_links` prepares and writes the edges once; every round is then one join and
-one grouped aggregate over them. Each vertex also gets a link to itself that
+`_links` numbers the vertices in name order and writes the edges once; every
+round is then one join and one grouped aggregate over numbers. Each vertex also gets a link to itself that
 carries nothing, so a round keeps vertices nobody sends to.
 
 A vertex with very many out-edges would put all of them in one join task. Its
@@ -41,7 +41,7 @@ def graph_stats(edges: DataFrame) -> DataFrame:
 
 @dataclass
 class _Links:
-    vertices: DataFrame  # (id, fanout)
+    vertices: DataFrame  # (airport, id, fanout)
     rows: DataFrame  # (src, salt, dst, share, fanout), fanout being that of dst
     salted: bool
 
@@ -56,21 +56,27 @@ class _Links:
 
 def _links(edges: DataFrame, weight: Column | None, per_salt: int) -> _Links:
     amount = F.lit(1.0) if weight is None else weight.cast("double")
-    plain = edges.select(F.col("origin").alias("src"), F.col("destination").alias("dst"), amount.alias("amount"))
-    out = plain.groupBy("src").agg(F.count(F.lit(1)).alias("degree"), F.sum("amount").alias("total"))
-    ids = plain.select(F.col("src").alias("id")).union(plain.select("dst")).distinct()
+    plain = edges.select("origin", "destination", amount.alias("amount"))
+    out = plain.groupBy(F.col("origin").alias("airport")).agg(
+        F.count(F.lit(1)).alias("degree"), F.sum("amount").alias("total")
+    )
+    named = graph_vertices(plain).join(out, "airport", "left").orderBy("airport")
+    # written, as the numbers must be the same wherever they are used
     vertices = materialize(
-        ids.join(out, ids["id"] == out["src"], "left").select(
-            "id", F.coalesce(F.ceil(F.col("degree") / per_salt), F.lit(1)).cast("int").alias("fanout"), "total"
+        named.select(
+            "airport",
+            F.monotonically_increasing_id().alias("id"),
+            F.coalesce(F.ceil(F.col("degree") / per_salt), F.lit(1)).cast("int").alias("fanout"),
+            "total",
         ),
         "vertices",
     )
     salted = not vertices.filter("fanout > 1").isEmpty()
-    source = vertices.select(F.col("id").alias("src"), F.col("fanout").alias("spread"), "total")
-    target = vertices.select(F.col("id").alias("dst"), "fanout")
+    source = vertices.select(F.col("airport").alias("origin"), F.col("id").alias("src"), F.col("fanout").alias("spread"), "total")
+    target = vertices.select(F.col("airport").alias("destination"), F.col("id").alias("dst"), "fanout")
     sending = (
-        plain.join(source, "src")
-        .join(target, "dst")
+        plain.join(source, "origin")
+        .join(target, "destination")
         .select(
             "src",
             F.pmod(F.xxhash64("dst"), F.col("spread")).cast("int").alias("salt"),
@@ -101,7 +107,7 @@ def pagerank(
     plans short and limits what a lost executor makes Spark repeat.
     """
     links = _links(edges, weight, per_salt)
-    state = links.vertices.withColumn("rank", F.lit(1.0))
+    state = links.vertices.select("id", "fanout", F.lit(1.0).alias("rank"))
     for step in range(1, iterations + 1):
         received = F.sum(F.col("rank") * F.col("share"))
         state = (
@@ -115,7 +121,8 @@ def pagerank(
         if step % write_every == 0 or step == iterations:
             state = materialize(state, "ranks")
     scale = state.agg(F.count(F.lit(1)) / F.sum("rank")).scalar()
-    return state.select(F.col("id").alias("airport"), (F.col("rank") * scale).alias("pagerank"))
+    ranked = state.join(links.vertices.select("id", "airport"), "id")
+    return ranked.select("airport", (F.col("rank") * scale).alias("pagerank"))
 
 
 def connected_components(edges: DataFrame, per_salt: int = EDGES_PER_SALT, max_rounds: int = 100) -> DataFrame:
@@ -125,10 +132,9 @@ def connected_components(edges: DataFrame, per_salt: int = EDGES_PER_SALT, max_r
     replaces each label by that label's own label. The second step halves the
     remaining distance, so long chains need few rounds as well.
     """
-    forward = edges.select("origin", "destination")
-    both = forward.union(edges.select("destination", "origin")).distinct()
-    links = _links(materialize(both, "ways"), None, per_salt)
-    state = links.vertices.withColumn("label", F.col("id"))
+    both = edges.select("origin", "destination").union(edges.select("destination", "origin"))
+    links = _links(both, None, per_salt)
+    state = links.vertices.select("id", "fanout", F.col("id").alias("label"))
     for _ in range(max_rounds):
         lowest = materialize(
             links.with_source(state)
@@ -141,7 +147,9 @@ def connected_components(edges: DataFrame, per_salt: int = EDGES_PER_SALT, max_r
             "labels",
         )
         if lowest.filter("label < before").isEmpty():
-            return lowest.select(F.col("id").alias("airport"), F.col("label").alias("component_id"))
+            names = links.vertices.select("id", "airport")
+            roots = links.vertices.select(F.col("id").alias("label"), F.col("airport").alias("component_id"))
+            return lowest.join(names, "id").join(roots, "label").select("airport", "component_id")
         # only labels that are themselves relabelled need the second step
         moved = lowest.filter("id != label").select(F.col("id").alias("label"), F.col("label").alias("root"))
         state = lowest.join(moved, "label", "left").select("id", "fanout", F.coalesce("root", "label").alias("label"))
