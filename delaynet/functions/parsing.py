@@ -110,19 +110,30 @@ def normalize(raw: DataFrame) -> DataFrame:
     `origin|dest|carrier|number|Y-M-D|HHMM`, its date parts as written in the
     file. Every field is read once, in a projection of its own.
     """
-    texts = ("YEAR", "MONTH", "DAY_OF_MONTH", "CRS_DEP_TIME")
-    whole = [*texts, "OP_CARRIER_FL_NUM"]
-    decimals = ["DEP_DELAY", *CAUSE_LABELS]
-    optional = ["OP_CARRIER_FL_NUM", *decimals]
-    junk = [~is_blank(F.col(name)) & parse_float(F.col(name)).isNull() for name in optional]
-    fields = raw.select(
+    texts = ["YEAR", "MONTH", "DAY_OF_MONTH", "CRS_DEP_TIME"]
+    optional = ["OP_CARRIER_FL_NUM", "DEP_DELAY", *CAUSE_LABELS]
+    # One expression reads all numbers. Written out per column, the generated
+    # method would outgrow what the JVM is willing to compile.
+    numbers = F.transform(F.array(*texts, *optional), parse_float)
+    blanks = F.transform(F.array(*optional), is_blank)
+    read = raw.select(
         stripped(F.col("ORIGIN")).alias("origin"),
         stripped(F.col("DEST")).alias("destination"),
         stripped(F.col("OP_UNIQUE_CARRIER")).alias("carrier"),
         *[stripped(F.col(name)).alias(f"{name}_text") for name in texts],
-        *[parse_int(F.col(name)).alias(name) for name in whole],
-        *[parse_float(F.col(name)).alias(name) for name in decimals],
-        reduce(lambda a, b: a | b, junk).alias("junk"),
+        numbers.alias("numbers"),
+        blanks.alias("blanks"),
+    )
+    value = {name: F.col("numbers")[i] for i, name in enumerate([*texts, *optional])}
+    unread = F.slice("numbers", len(texts) + 1, len(optional))
+    fields = read.select(
+        "origin",
+        "destination",
+        "carrier",
+        *[f"{name}_text" for name in texts],
+        *[truncated(value[name]).alias(name) for name in (*texts, "OP_CARRIER_FL_NUM")],
+        *[value[name].alias(name) for name in ("DEP_DELAY", *CAUSE_LABELS)],
+        F.exists(F.zip_with(unread, "blanks", lambda number, blank: number.isNull() & ~blank), lambda bad: bad).alias("junk"),
     )
     blank_time = F.col("CRS_DEP_TIME_text") == ""
     date = date_of(F.col("YEAR"), F.col("MONTH"), F.col("DAY_OF_MONTH"))

@@ -31,7 +31,7 @@ from delaynet.operators import (
 from delaynet.plans import streams
 from delaynet.session import materialize, scratch_path
 from delaynet.sources import files, logs, messages
-from delaynet.sources.tables import flights, raw_records, region_of_nation, table
+from delaynet.sources.tables import flights, raw_records, region_of_nation, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -555,7 +555,7 @@ def bloom_probe(spark, sf):
 @query
 def bloom_dedup(spark, sf):
     """Second delivery tested against the filter of the first."""
-    lines = table(spark, sf, "lineitem").select(line_id().alias("record_id"), "l_returnflag")
+    lines = spread(table(spark, sf, "lineitem"), "l_orderkey").select(line_id().alias("record_id"), "l_returnflag")
     bits = 1 << 18
     first = materialize(bloom.build(lines.filter("l_returnflag <> 'R'"), c("record_id"), bits, 4), "filter")
     second = lines.filter("l_returnflag = 'R'").select("record_id").distinct()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from delaynet.schema import FLIGHT_COLUMNS
 from delaynet.session import scratch_path
 from delaynet.sources.messages import decode_json, file_stream
-from delaynet.sources.tables import table
+from delaynet.sources.tables import spread, table
 from delaynet.streaming import bloom_ingest as bloom_stream
 from delaynet.streaming import ingest as ingest_stream
 
@@ -30,7 +30,7 @@ def _sent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Rows without a discount are cut off on the way; low-priority seventh lines
     have no origin.
     """
-    line, order = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    line, order = spread(table(spark, sf_dir, "lineitem"), "l_orderkey"), table(spark, sf_dir, "orders")
     no_origin = (F.col("o_orderpriority") == "5-LOW") & (F.col("l_linenumber") == 7)
     rows = line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat_ws("|", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("flight_id"),

@@ -18,6 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Tables read by fewer tasks than this hold a couple of gigabytes at most.
+FEW_TASKS = 16
+
+
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a small table handed to all cores.
+
+    A file of one row group is scanned by a single task, which then does all the
+    work up to the next shuffle. Larger tables come with enough tasks of their
+    own and are returned as they are, without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= min(cores, FEW_TASKS):
+        return rows
+    return rows.repartition(cores, *keys)
+
+
 def _ship_day() -> Column:
     return F.date_format("l_shipdate", "yyyy-MM-dd")
 
@@ -45,7 +62,7 @@ def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Flight rows with the asked columns (all by default)."""
     columns = columns or tuple(FLIGHT_COLUMNS)
     whole_id = "flight_id" in columns
-    rows = table(spark, sf_dir, "lineitem")
+    rows = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
 
     # Dimension keys first, names last: order and customer meet before the far
     # larger lineitem joins them, and the 25 nation names are looked up at the end.
@@ -106,5 +123,5 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "SECURITY_DELAY": F.lit(""),
         "LATE_AIRCRAFT_DELAY": F.when(c("l_returnflag") == "R", F.lit("nan")).otherwise(F.lit("5")),
     }
-    rows = table(spark, sf_dir, "lineitem")
+    rows = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
     return rows.select(*[values[name].alias(name) for name in RAW_COLUMNS])
