@@ -47,7 +47,7 @@ def data_quality(rows: DataFrame, key: str, timestamp: str, text_columns: list[s
     )
 
 
-def windowed_percentiles(rows: DataFrame, group: str, value: str, percents: list[int], bin_width: float = 1.0) -> DataFrame:
+def windowed_percentiles(rows: DataFrame, group: str, value: str, percents: list[int] | tuple[int, ...], bin_width: float = 1.0) -> DataFrame:
     """Exact discrete percentiles per group as columns p<percent>.
 
     Counts per (group, bin) locate the bin that holds each wanted position;
@@ -88,7 +88,7 @@ def windowed_percentiles(rows: DataFrame, group: str, value: str, percents: list
     )
 
 
-def throughput_windows(rows: DataFrame, timestamp: str, value: str, width: str = "1 day", percents: list[int] = [50, 99]) -> DataFrame:
+def throughput_windows(rows: DataFrame, timestamp: str, value: str, width: str = "1 day", percents: tuple[int, ...] = (50, 99)) -> DataFrame:
     """Per time window: rows, rows per second, and percentiles of `value`."""
     placed = rows.select(F.window(timestamp, width).alias("w"), F.col(value).alias("value")).select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "value"

@@ -25,19 +25,21 @@ def _alpha(m: int) -> float:
     return SMALL_ALPHA.get(m, 0.7213 / (1 + 1.079 / m))
 
 
-def registers(rows: DataFrame, item: Column, p: int = 10, method: str = "md5") -> DataFrame:
+def registers(rows: DataFrame, item: Column, p: int = 10, method: str = "md5", by: tuple[str, ...] = ()) -> DataFrame:
+    """Sketch of `item`, or one sketch per value of the `by` columns."""
     m = _register_count(p)
     remaining_bits = HASH_BITS[method] - p
-    hashed = rows.select(hash_int(item, method=method).alias("h")).filter(F.col("h").isNotNull())
+    hashed = rows.select(*by, hash_int(item, method=method).alias("h")).filter(F.col("h").isNotNull())
     rest = F.shiftright("h", p)
     rho = F.when(rest == 0, F.lit(remaining_bits + 1)).otherwise(remaining_bits + 1 - F.length(F.bin(rest)))
-    return hashed.groupBy(F.col("h").bitwiseAND(m - 1).alias("register")).agg(F.max(rho).alias("rho"))
+    return hashed.groupBy(*by, F.col("h").bitwiseAND(m - 1).alias("register")).agg(F.max(rho).alias("rho"))
 
 
 def merge(*sketches: DataFrame) -> DataFrame:
-    merged = sketches[0]
+    """One sketch of everything, from several sketches or from one kept `by` value."""
+    merged = sketches[0].select("register", "rho")
     for sketch in sketches[1:]:
-        merged = merged.unionByName(sketch)
+        merged = merged.unionByName(sketch.select("register", "rho"))
     return merged.groupBy("register").agg(F.max("rho").alias("rho"))
 
 

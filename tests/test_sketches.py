@@ -27,6 +27,12 @@ def test_hll_merge_equals_whole(spark):
     assert sorted(whole.collect()) == sorted(parts.collect())
 
 
+def test_hll_per_group_merges_to_whole(spark):
+    rows = keys(spark, 0, 3000).withColumn("part", F.length("k"))
+    grouped = hll.registers(rows, F.col("k"), by=("part",))
+    assert sorted(hll.merge(grouped).collect()) == sorted(hll.registers(rows, F.col("k")).collect())
+
+
 def test_hll_ignores_nulls_and_copies(spark):
     rows = keys(spark, 0, 100).union(keys(spark, 0, 100)).union(spark.sql("select cast(null as string)"))
     assert value(hll.estimate(hll.registers(rows, F.col("k")))) == value(hll.estimate(hll.registers(keys(spark, 0, 100), F.col("k"))))

@@ -83,3 +83,10 @@ def test_stream_session_has_its_own_settings(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     assert ingest.stream_session(spark, 3).conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_curated_table_grows_by_appending(spark, tmp_path):
+    rows = spark.createDataFrame([FLIGHT, (*FLIGHT[:3], None, *FLIGHT[4:]), (*FLIGHT[:3], "", *FLIGHT[4:])], FLIGHT_SCHEMA)
+    for _ in range(2):
+        files.append_curated(rows, str(tmp_path / "c"))
+    assert sorted(r.origin for r in files.read_curated(spark, str(tmp_path / "c")).collect()) == ["", "", "A", "A"]
