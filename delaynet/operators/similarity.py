@@ -26,7 +26,7 @@ from delaynet.session import materialize
 
 MAX_BUCKET = 1_000
 BLOCK = 250
-TASKS_PER_PARTITION = 4
+TASKS_PER_CORE = 4
 # guards `ceil` against 0.7 * 10 = 7.000000000000001 and the like
 _EPSILON = 1e-9
 
@@ -96,7 +96,9 @@ def _paired(rows: DataFrame, keys: list[str], carried: list[str], block: int = B
     left = rows.withColumn("block", F.pmod(F.xxhash64("profile"), "blocks").cast("int"))
     right = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keys = [*keys, "block"]
-    partitions = TASKS_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    partitions = max(TASKS_PER_CORE * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def side(name: str, frame: DataFrame) -> DataFrame:
         picked = frame.select(*keys, *[F.col(column).alias(f"{column}_{name}") for column in carried])
