@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaynet.llm import packing
+from delaynet.llm import language, packing, token_counts, toxicity
 from delaynet.sources.tables import table
 
 
@@ -24,11 +24,28 @@ def packed(docs: DataFrame) -> DataFrame:
     return packing.pack(cut, carry={"ids_crc32": F.crc32("ids")}).withColumn("piece", F.col("piece").cast("int"))
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs))
+
+
+def toxicity_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.grade_texts(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def counted_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_language_id": language_id,
+    "op2_toxicity": toxicity_grades,
+    "op4_token_counts": counted_tokens,
     "op10_best_fit_packing": best_fit_packing,
 }
 ORACLES: dict[str, str] = {}
