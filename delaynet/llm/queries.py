@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaynet.llm import language, packing, token_counts, toxicity
+from delaynet.llm import language, packing, simhash, token_counts, toxicity
 from delaynet.sources.tables import table
 
 
@@ -38,6 +38,11 @@ def counted_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ QUERIES = {
     "op1_language_id": language_id,
     "op2_toxicity": toxicity_grades,
     "op4_token_counts": counted_tokens,
+    "op7_simhash_groups": simhash_groups,
     "op10_best_fit_packing": best_fit_packing,
 }
 ORACLES: dict[str, str] = {}
