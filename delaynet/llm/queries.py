@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaynet.llm import language, packing, simhash, token_counts, toxicity
+from delaynet.llm import language, packing, simhash, token_counts, toxicity, warc
+from delaynet.session import scratch_path
 from delaynet.sources.tables import table
 
 
@@ -43,6 +44,14 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archive(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return found.select(
+        warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
@@ -52,6 +61,7 @@ QUERIES = {
     "op2_toxicity": toxicity_grades,
     "op4_token_counts": counted_tokens,
     "op7_simhash_groups": simhash_groups,
+    "op8_warc_revisits": warc_revisits,
     "op10_best_fit_packing": best_fit_packing,
 }
 ORACLES: dict[str, str] = {}
