@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaynet.llm import language, packing, simhash, token_counts, toxicity, warc
+from delaynet.llm import language, packing, simhash, syncmers, token_counts, toxicity, warc
 from delaynet.session import scratch_path
 from delaynet.sources.tables import table
 
@@ -39,6 +39,10 @@ def counted_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -60,6 +64,7 @@ QUERIES = {
     "op1_language_id": language_id,
     "op2_toxicity": toxicity_grades,
     "op4_token_counts": counted_tokens,
+    "op6_closed_syncmers": closed_syncmers,
     "op7_simhash_groups": simhash_groups,
     "op8_warc_revisits": warc_revisits,
     "op10_best_fit_packing": best_fit_packing,
