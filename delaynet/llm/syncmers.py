@@ -92,12 +92,11 @@ def sketch(hashes: np.ndarray, places: np.ndarray, slots: int = SLOTS) -> Sketch
 
 
 def likeness(one: Sketch, other: Sketch) -> float:
-    """Occurrences that agree, in the same order in both texts, among all that either holds.
+    """Occurrences that agree, in the same order in both texts, among those of the fuller side of each class.
 
     Two empty fingerprints are alike (1), an empty one is unlike any other (0).
     """
-    either = np.maximum(one[2], other[2]).sum(where=one[0] == other[0])
-    either += (one[2] + other[2]).sum(where=one[0] != other[0])
+    either = int(np.maximum(one[2], other[2]).sum())
     if not either:
         return 1.0
     same = (one[0] == other[0]) & (one[2] > 0)
