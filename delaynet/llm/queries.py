@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaynet.llm import language, packing, simhash, syncmers, token_counts, toxicity, warc
+from delaynet.llm import chat, language, packing, simhash, syncmers, token_counts, toxicity, warc
 from delaynet.session import scratch_path
 from delaynet.sources.tables import table
 
@@ -56,6 +56,10 @@ def warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair_roles(table(spark, sf_dir, "conversations"))
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op6_closed_syncmers": closed_syncmers,
     "op7_simhash_groups": simhash_groups,
     "op8_warc_revisits": warc_revisits,
+    "op9_chat_repair": chat_repair,
     "op10_best_fit_packing": best_fit_packing,
 }
 ORACLES: dict[str, str] = {}
