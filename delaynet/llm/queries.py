@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaynet.llm import chat, language, packing, simhash, syncmers, token_counts, toxicity, warc
+from delaynet.llm import chat, language, packing, simhash, syncmers, token_counts, toxicity, vantage, warc
 from delaynet.session import scratch_path
 from delaynet.sources.tables import table
 
@@ -35,6 +35,10 @@ def toxicity_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.grade_texts(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def counted_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -67,6 +71,7 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": language_id,
     "op2_toxicity": toxicity_grades,
+    "op3_vantage_point_search": vantage_point_search,
     "op4_token_counts": counted_tokens,
     "op6_closed_syncmers": closed_syncmers,
     "op7_simhash_groups": simhash_groups,
