@@ -208,13 +208,13 @@ def nearest(
     placed = rows.join(F.broadcast(per_size), "size")
     place = hash_order("vec_id")
 
-    def planted(key, table: pa.Table) -> pa.Table:
+    def planted(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         size, shard = key[0].as_py(), key[1].as_py()
         ids, vectors = _matrix(table, size)
         tree = build(ids, vectors, table.column("top")[0].as_py())
         return pa.table({"size": pa.array([size], pa.int32()), "shard": pa.array([shard], pa.int32()), "tree": pa.array([_packed(**vars(tree))], pa.binary())})
 
-    def gathered(key, table: pa.Table) -> pa.Table:
+    def gathered(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         size, block = key[0].as_py(), key[1].as_py()
         ids, vectors = _matrix(table, size)
         top = table.column("top")[0].as_py()
