@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaynet.llm import chat, language, packing, simhash, syncmers, token_counts, toxicity, vantage, warc
+from delaynet.llm import chat, language, packing, segmentations, simhash, syncmers, token_counts, toxicity, vantage, warc
 from delaynet.session import scratch_path
 from delaynet.sources.tables import table
 
@@ -43,6 +43,17 @@ def counted_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two samples of every text, with the checksum of their ids and whether they decode to the text."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents")
+    rows = segmentations.decoded(segmentations.sampled(docs, model), model)
+    return rows.select(
+        "doc_id", "sample", "n_tokens", "log_prob", "perturbed", "inclusion",
+        F.crc32("ids").alias("ids_crc32"), F.crc32(F.encode("decoded", "UTF-8")).alias("text_crc32"),
+    )
+
+
 def closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compare_neighbours(table(spark, sf_dir, "documents"))
 
@@ -73,6 +84,7 @@ QUERIES = {
     "op2_toxicity": toxicity_grades,
     "op3_vantage_point_search": vantage_point_search,
     "op4_token_counts": counted_tokens,
+    "op5_sampled_segmentations": sampled_segmentations,
     "op6_closed_syncmers": closed_syncmers,
     "op7_simhash_groups": simhash_groups,
     "op8_warc_revisits": warc_revisits,
