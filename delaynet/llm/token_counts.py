@@ -38,9 +38,15 @@ def frequent_table(
     docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text",
     sample_rows: int = SAMPLE_ROWS, units: int = TABLE_UNITS,
 ) -> Frequent:
-    """The most frequent units of a sample of at most `sample_rows` rows, with their token counts."""
-    start = F.substring(F.col(text), 1, SAMPLE_CHARS).alias("start")
-    sample = docs.select(hash_order(doc_id).alias("at"), start).orderBy("at", "start").limit(sample_rows)
+    """The most frequent units of a sample of about `sample_rows` rows, with their token counts.
+
+    Rows are drawn by a fixed hash of the id, at the rate that gives the wanted
+    number; rows without an id are not drawn.
+    """
+    rows = max(1, docs.count())
+    drawn = F.pmod(hash_order(doc_id), F.lit(10**9)) < min(10**9, -(-(10**9) * sample_rows // rows))
+    sample = docs.filter(F.col(doc_id).isNotNull() & drawn).select(F.substring(F.col(text), 1, SAMPLE_CHARS).alias("start"))
+    sample = sample.limit(4 * sample_rows)  # should ids repeat
     counted = Counter()
     for row in sample.collect():
         counted.update(unit for unit in marked_words(row.start or "") if len(unit) <= CACHE_CHARS and _SEPARATOR not in unit)
