@@ -18,6 +18,13 @@ def hash_order(column: str) -> Column:
     return F.xxhash64(F.col(column).cast("string"), F.lit("order"))
 
 
+def unused(rows: DataFrame, name: str) -> str:
+    """A column name that `rows` does not have."""
+    while name in rows.columns:
+        name += "_"
+    return name
+
+
 def slices(lengths: list[int], budget: int = STEP_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive rows with at most `budget` characters, one row at least."""
     start = total = 0
@@ -43,8 +50,3 @@ def map_rows(rows: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatc
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str | None]:
     return batch.column(column).to_pylist()
-
-
-def record(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    arrays = [pa.array(values, type=field.type) for values, field in zip(columns, schema)]
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)

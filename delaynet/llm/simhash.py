@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaynet.llm.common import slices, texts_of
+from delaynet.llm.common import slices, texts_of, unused
 from delaynet.session import materialize
 
 SHINGLE = 3
@@ -385,9 +385,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     """
     found = near_duplicates(docs, doc_id, text, shingle, distance)
     nameless = F.lit(-(2**63)).cast("bigint")
+    keys = [unused(docs, "kept_id"), unused(docs, "kept_signature")]
     winners = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
-        F.coalesce(F.min("doc_id"), nameless).alias("__id"), F.min("signature").alias("__signature")
+        F.coalesce(F.min("doc_id"), nameless).alias(keys[0]), F.min("signature").alias(keys[1])
     )
-    keys = ["__id", "__signature"]
-    tagged = docs.withColumns({"__id": F.coalesce(F.col(doc_id).cast("bigint"), nameless), "__signature": F.xxhash64(text)})
+    tagged = docs.withColumns({keys[0]: F.coalesce(F.col(doc_id).cast("bigint"), nameless), keys[1]: F.xxhash64(text)})
     return tagged.join(winners.select(*keys), keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
