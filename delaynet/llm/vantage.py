@@ -29,7 +29,7 @@ from delaynet.llm.common import hash_order
 from delaynet.session import materialize
 
 K = 20
-FACTOR = 6.0
+FACTOR = 1.25
 SHARD_ROWS = 8192  # vectors of a shard, about
 BLOCK_ROWS = 2048  # queries of a block, about
 LEAF = 256
@@ -93,6 +93,7 @@ class Search:
         self.base = (vectors * vectors).sum(axis=1) + top * top
         self.scores = np.full((len(ids), k), -np.inf)
         self.found = np.full((len(ids), k), np.iinfo(np.int64).max)
+        self.blur = 1e-7 * top  # distances come from differences of squares, which cancel
         self.least = first.copy()  # a vector below this score is not among the k nearest
         self.visited = 0
 
@@ -130,7 +131,7 @@ class Search:
         while stack:
             node, rows, below = stack.pop()
             if below is not None:  # the bound may have come closer since
-                rows = rows[self.factor * below <= self.radius(rows)]
+                rows = rows[self.factor * (below - self.blur) <= self.radius(rows) + self.blur]
             if not len(rows):
                 continue
             begin, end = int(tree.begin[node]), int(tree.end[node])
