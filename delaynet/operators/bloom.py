@@ -1,8 +1,10 @@
-"""Bloom filter packed into bitmaps of 32 768 bits.
+"""Bloom filter as 64-bit words.
 
-A filter of m bits is at most m / 32 768 rows of 4 KB, whatever was added to
-it. Its size is therefore known before it is built, which is what allows
-broadcasting it when it is small enough.
+A filter is a relation of its words that are not empty: (word, bits). Tasks set
+bits in a hash aggregate before the shuffle, so a filter of m bits leaves each
+task with at most m / 64 rows, whatever was added to it. Its size is known before
+it is built; `sized` takes it from the number of items and the wanted share of
+false positives, and `check_load` refuses a filter that holds too much for it.
 """
 
 from __future__ import annotations
@@ -15,44 +17,62 @@ from pyspark.sql import functions as F
 from delaynet.functions.hashing import hash_bucket
 
 BROADCAST_LIMIT_BYTES = 64 << 20
-BITS_PER_BITMAP = 32_768
+WORD_BITS = 64
+WORD_BYTES = 32  # of one word in a broadcast relation, about
+FILTER_DDL = "word BIGINT, bits BIGINT"
+
+
+def sized(items: int, fp_rate: float = 0.01) -> tuple[int, int]:
+    """Bits and hash functions for so many items at the wanted rate of false positives."""
+    if not 0 < fp_rate < 1:
+        raise ValueError("a rate of false positives lies between 0 and 1")
+    per_item = math.ceil(-math.log(fp_rate) / math.log(2) ** 2)
+    bits = -(-max(1, items) * per_item // WORD_BITS) * WORD_BITS
+    return bits, max(1, round(per_item * math.log(2)))
+
+
+def expected_fp_rate(items: int, m_bits: int, k_hashes: int) -> float:
+    return (1.0 - math.exp(-k_hashes * items / m_bits)) ** k_hashes
+
+
+def check_load(items: int, m_bits: int, k_hashes: int, fp_rate: float) -> None:
+    """Raise if so many items give clearly more false positives than wanted."""
+    expected = expected_fp_rate(items, m_bits, k_hashes)
+    if expected > 1.5 * fp_rate:
+        raise ValueError(f"{items} items in {m_bits} bits: {expected:.3f} false positives expected, {fp_rate} wanted")
 
 
 def positions(item: Column, m_bits: int, k_hashes: int, method: str = "md5") -> list[Column]:
     if m_bits <= 0 or k_hashes <= 0:
-        raise ValueError("m_bits and k_hashes must be > 0")
+        raise ValueError("filters need at least one bit and one hash function")
     return [hash_bucket(item, i, m_bits, method) for i in range(k_hashes)]
 
 
+def _word(position: Column) -> Column:
+    return F.shiftright(position, 6)
+
+
+def _mask(position: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(position, F.lit(WORD_BITS)).cast("int"))
+
+
 def build(rows: DataFrame, item: Column, m_bits: int, k_hashes: int, method: str = "md5") -> DataFrame:
-    """(bucket, bitmap) rows. Tasks set bits locally before the shuffle."""
+    """The words of a filter of all items; null items add nothing."""
     bits = rows.select(F.explode(F.array(*positions(item, m_bits, k_hashes, method))).alias("bit")).filter("bit is not null")
-    # the bitmap functions number bits from 1
-    number = F.col("bit") + 1
-    return bits.groupBy(F.bitmap_bucket_number(number).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bitmap")
-    )
+    return bits.groupBy(_word(F.col("bit")).alias("word")).agg(F.bit_or(_mask(F.col("bit"))).alias("bits"))
 
 
 def merge(*filters: DataFrame) -> DataFrame:
     merged = filters[0]
     for other in filters[1:]:
         merged = merged.unionByName(other)
-    return merged.groupBy("bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
-
-
-def _bit_is_set(bitmap: Column, offset: Column) -> Column:
-    byte = F.conv(F.hex(F.substr(bitmap, F.shiftright(offset, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    power = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (offset % 8).cast("int") + 1)
-    return byte.bitwiseAND(power) != 0
+    return merged.groupBy("word").agg(F.bit_or("bits").alias("bits"))
 
 
 def set_bits(filter_rows: DataFrame) -> DataFrame:
     """The filter as a relation of the numbers of its set bits."""
-    offsets = filter_rows.withColumn("offset", F.explode(F.sequence(F.lit(0), F.lit(BITS_PER_BITMAP - 1))))
-    return offsets.filter(_bit_is_set(F.col("bitmap"), F.col("offset"))).select(
-        ((F.col("bucket") - 1) * BITS_PER_BITMAP + F.col("offset")).alias("bit")
-    )
+    offsets = filter_rows.withColumn("offset", F.explode(F.sequence(F.lit(0), F.lit(WORD_BITS - 1))))
+    return offsets.filter(F.getbit("bits", "offset") == 1).select((F.col("word") * WORD_BITS + F.col("offset")).alias("bit"))
 
 
 def might_contain(
@@ -62,24 +82,17 @@ def might_contain(
 
     One lookup join per hash function, so rows are neither repeated nor
     regrouped. Small filters are broadcast and the rows then stay in place;
-    larger ones are joined by bucket in a shuffle.
+    larger ones are joined by word in a shuffle.
     """
-    small = m_bits // 8 <= BROADCAST_LIMIT_BYTES
+    small = m_bits // WORD_BITS * WORD_BYTES <= BROADCAST_LIMIT_BYTES
     result = rows
     for i, position in enumerate(positions(item, m_bits, k_hashes, method)):
-        number = f"_number{i}"
-        lookup = filter_rows.select(F.col("bucket").alias(f"_bucket{i}"), F.col("bitmap").alias(f"_bitmap{i}"))
-        result = result.withColumn(number, position + 1).join(
-            F.broadcast(lookup) if small else lookup,
-            F.bitmap_bucket_number(number) == F.col(f"_bucket{i}"),
-            "left",
+        at = f"_at{i}"
+        lookup = filter_rows.select(F.col("word").alias(f"_word{i}"), F.col("bits").alias(f"_bits{i}"))
+        result = result.withColumn(at, position).join(
+            F.broadcast(lookup) if small else lookup, _word(F.col(at)) == F.col(f"_word{i}"), "left"
         )
-        hit = _bit_is_set(F.col(f"_bitmap{i}"), F.bitmap_bit_position(number))
-        # keep a flag only, not the 4 KB bitmap, for the next join
-        result = result.withColumn(f"_hit{i}", F.coalesce(hit, F.lit(False))).drop(number, f"_bucket{i}", f"_bitmap{i}")
+        hit = F.getbit(F.col(f"_bits{i}"), F.pmod(F.col(at), F.lit(WORD_BITS)).cast("int")) == 1
+        result = result.withColumn(f"_hit{i}", F.coalesce(hit, F.lit(False))).drop(at, f"_word{i}", f"_bits{i}")
     hits = [f"_hit{i}" for i in range(k_hashes)]
     return result.withColumn(name, F.expr(" and ".join(hits))).drop(*hits)
-
-
-def expected_fp_rate(items: int, m_bits: int, k_hashes: int) -> float:
-    return (1.0 - math.exp(-k_hashes * items / m_bits)) ** k_hashes

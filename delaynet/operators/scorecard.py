@@ -31,12 +31,13 @@ def cms_vs_exact(counts: DataFrame, key: str, width: int = 1000, depth: int = 5,
 
 def sketch_scorecard(
     counts: DataFrame, outsiders: DataFrame, key: str, p: int = 12, width: int = 1000, depth: int = 5,
-    m_bits: int = 1 << 16, k_hashes: int = 4, method: str = "md5",
+    fp_rate: float = 0.01, method: str = "md5",
 ) -> DataFrame:
     """Bytes and accuracy (percent) of the three sketches of one key column.
 
     `counts` is the exact (key, n) relation, `outsiders` keys that are not in
-    it, on which the Bloom filter should answer no.
+    it, on which the Bloom filter should answer no. The filter is sized by the
+    number of keys.
     """
     distinct = hll_vs_exact(counts, F.col(key), p, method).select(
         F.lit("hyperloglog").alias("sketch"),
@@ -50,6 +51,7 @@ def sketch_scorecard(
     frequency = frequency.select(
         F.lit("count_min").alias("sketch"), F.lit(width * depth * cms.COUNTER_BYTES).cast("long").alias("bytes"), "accuracy_pct"
     )
+    m_bits, k_hashes = bloom.sized(counts.count(), fp_rate)
     bits = bloom.build(counts, F.col(key), m_bits, k_hashes, method)
     judged = bloom.might_contain(outsiders, F.col(key), bits, m_bits, k_hashes, method)
     membership = judged.agg((F.avg((~F.col("maybe_seen")).cast("int")) * 100).alias("accuracy_pct")).select(

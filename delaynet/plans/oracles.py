@@ -230,12 +230,17 @@ def cms(counts: str, key: str, widths: list[int], depth: int = 5) -> str:
     estimates as materialized (select p.key, width, min(c.n) as estimate from placed p join cells c using (width, depth_row, bucket) group by all)"""
 
 
-def bloom_bits(item: str, source: str, m: int, k: int, name: str = "bits") -> str:
+def bloom_size(source: str) -> str:
+    """Bits of a filter for all rows of a source: ten per row, in whole words."""
+    return f"((((select count(*) from {source}) * 10 + 63) // 64) * 64)"
+
+
+def bloom_bits(item: str, source: str, m: int | str, k: int, name: str = "bits") -> str:
     return f"""{name} as materialized (select distinct {md5_int(f"i::VARCHAR || '|' || {item}")} % {m} as bit
       from (select {item} from {source}) s(item), range(0, {k}) r(i))""".replace(f"'|' || {item}", "'|' || item")
 
 
-def bloom_hits(item: str, source: str, m: int, k: int, bits: str = "bits") -> str:
+def bloom_hits(item: str, source: str, m: int | str, k: int, bits: str = "bits") -> str:
     return f"""select item, count(bit) = {k} as maybe_seen from (
       select distinct item, i, {md5_int("i::VARCHAR || '|' || item")} % {m} as asked
       from (select distinct {item} from {source}) s(item), range(0, {k}) r(i)) left join {bits} on bit = asked group by item"""
@@ -257,11 +262,13 @@ GENERALIZED = flights() + f""", general as materialized (select flight_id, origi
   {BIN} as delay_bin, delay_cause from (select *, {HOUR} as hour from flights))"""
 
 SENT = """sent as materialized (select l_orderkey::VARCHAR || '|' || l_linenumber::VARCHAR as flight_id, l_linenumber as flight_number,
-  case when o_orderpriority = '5-LOW' and l_linenumber = 7 then null else o_orderpriority end as origin,
-  o_orderstatus as destination, (floor(o_totalprice)::BIGINT % 300)::INT as delay_minutes, l_discount = 0 as cut
+  case when o_orderpriority = '5-LOW' and year(l_shipdate) % 2 = 0 then null else o_orderpriority end as origin,
+  o_orderstatus as destination, (floor(o_totalprice)::BIGINT % 300)::INT as delay_minutes, l_discount = 0 as cut, strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00' as departure
   from lineitem join orders on l_orderkey = o_orderkey)"""
 
 LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag"
+BUYERS = "events where event_type = 'purchase'"
+KEPT_LINES = "lineitem where l_returnflag <> 'R'"
 LINE_ID = "l_orderkey::VARCHAR || '|' || l_linenumber::VARCHAR"
 K = "json_extract_string(props, '$.k')::INT"
 
@@ -367,19 +374,20 @@ ORACLES: dict[str, str] = {
       select width, (width * 20)::INT as bytes, round(avg(abs(estimate - n)), 6) as mae, round(width * 20 / 1024.0::DOUBLE, 6) as kilobytes
       from (select * from counts order by n desc, tail_number limit 100) join estimates on key = tail_number group by width""",
     "bloom_bits": f"with {bloom_bits('user_id::VARCHAR', 'events', 1024, 4)} select bit from bits",
-    "bloom_probe": f"""with {bloom_bits('user_id::VARCHAR', "events where event_type = 'purchase'", 1024, 4)},
-      hits as ({bloom_hits('user_id::VARCHAR', 'events', 1024, 4)})
-      select user_id, bool_or(event_type = 'purchase') as added, any_value(maybe_seen) as maybe_seen
-      from events join hits on item = user_id::VARCHAR group by user_id""",
-    "bloom_dedup": f"""with {bloom_bits(LINE_ID, "lineitem where l_returnflag <> 'R'", 1 << 18, 4)}
-      select item as record_id, not maybe_seen as accepted from ({bloom_hits(LINE_ID, "lineitem where l_returnflag = 'R'", 1 << 18, 4)})""",
+    "bloom_probe": f"""with asked as (select distinct user_id from events union all select distinct user_id + 1000000000 from events),
+      {bloom_bits('user_id::VARCHAR', BUYERS, bloom_size(BUYERS), 7)},
+      hits as ({bloom_hits('user_id::VARCHAR', 'asked', bloom_size(BUYERS), 7)})
+      select asked.user_id, coalesce(added, false) as added, maybe_seen from asked join hits on item = asked.user_id::VARCHAR
+      left join (select user_id, bool_or(event_type = 'purchase') as added from events group by user_id) e on e.user_id = asked.user_id""",
+    "bloom_dedup": f"""with {bloom_bits(LINE_ID, KEPT_LINES, bloom_size(KEPT_LINES), 7)}
+      select item as record_id, not maybe_seen as accepted from ({bloom_hits(LINE_ID, "lineitem where l_returnflag = 'R'", bloom_size(KEPT_LINES), 7)})""",
     "sketch_scorecard": f"""with counts as materialized (select l_partkey::VARCHAR as k, count(*) as n from lineitem group by 1),
-      {hll_registers("k", "counts", 12)}, {hll_estimate(12)}, {cms("counts", "k", [1000])}, {bloom_bits("k", "counts", 1 << 16, 4)},
-      hits as ({bloom_hits("'X' || p_partkey::VARCHAR", "part", 1 << 16, 4)})
+      {hll_registers("k", "counts", 12)}, {hll_estimate(12)}, {cms("counts", "k", [1000])}, {bloom_bits("k", "counts", bloom_size("counts"), 7)},
+      hits as ({bloom_hits("'X' || p_partkey::VARCHAR", "part", bloom_size("counts"), 7)})
       select 'hyperloglog' as sketch, 4096::BIGINT as bytes,
         round(100.0 - abs((select count(*) from counts) - estimate) * 100.0 / (select count(*) from counts), 6) as accuracy_pct from estimated
       union all select 'count_min', 20000, round(100.0 - avg(abs(estimate - n) / n::DOUBLE) * 100, 6) from counts join estimates on key = k
-      union all select 'bloom', 8192, round(avg((not maybe_seen)::INT) * 100, 6) from hits""",
+      union all select 'bloom', {bloom_size('counts')} // 8, round(avg((not maybe_seen)::INT) * 100, 6) from hits""",
     # graph
     "graph_vertices": f"with {EDGES} select origin as airport from edges union select destination from edges",
     "graph_stats": f"""with {EDGES}, {HUB_LINKS} select
@@ -485,7 +493,15 @@ ORACLES: dict[str, str] = {
     # streams
     "stream_ingest": f"""with {SENT} select distinct flight_id, flight_number, origin, destination, delay_minutes from sent
       where not cut and origin is not null""",
-    "stream_dedup": f"""with {SENT} select count(*) as messages, count(distinct flight_id) filter (not cut) as accepted,
-      count(*) filter (not cut) - count(distinct flight_id) filter (not cut) as dupes, count(*) filter (cut) as quarantined from sent""",
-    "stream_quarantine": f"""with {SENT} select '{{"flight_id":"' || flight_id as raw, count(*) as n from sent where cut group by flight_id""",
+    "stream_dedup": f"""with {SENT} select count(*) as messages, count(distinct flight_id) filter (not cut and origin is not null) as accepted,
+      count(*) filter (not cut and origin is not null) - count(distinct flight_id) filter (not cut and origin is not null) as dupes,
+      count(*) filter (cut) as quarantined, count(*) filter (not cut and origin is null) as unrouted from sent""",
+    "stream_quarantine": f"""with {SENT} select raw, reason, count(*) as n from (
+      select case when cut then '{{"flight_id":"' || flight_id else '{{"flight_id":"' || flight_id || '","tail_number":"","flight_number":' ||
+        flight_number || ',"destination":"' || destination || '","scheduled_departure":"' || departure || '","delay_minutes":' ||
+        delay_minutes || ',"delay_cause":"nas"}}' end as raw,
+        case when cut then 'unreadable' else 'unrouted' end as reason from sent where cut or origin is null) group by all""",
+    "bloom_stream": f"""with {SENT} select count(*) as messages, count(*) filter (cut) as quarantined,
+      count(*) filter (not cut and origin is null) as unrouted, true as adds_up, true as all_written, true as each_id_once,
+      true as within_rate, true as no_more_than_new from sent""",
 }

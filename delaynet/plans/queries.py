@@ -541,23 +541,30 @@ def bloom_bits(spark, sf):
     return bloom.set_bits(bloom.build(events, _user(), 1024, 4))
 
 
+FP_RATE = 0.01
+
+
 @query
 def bloom_probe(spark, sf):
-    """Which users the filter of buyers claims to hold, against who bought."""
+    """Which users the filter of buyers claims to hold, against who bought; as many strangers are asked about."""
     events = table(spark, sf, "events")
-    buyers = materialize(bloom.build(events.filter("event_type = 'purchase'"), _user(), 1024, 4), "filter")
+    buyers = events.filter("event_type = 'purchase'")
+    m_bits, k_hashes = bloom.sized(buyers.count(), FP_RATE)
+    built = materialize(bloom.build(buyers, _user(), m_bits, k_hashes), "filter")
     users = events.groupBy("user_id").agg(F.max(c("event_type") == "purchase").alias("added"))
-    return bloom.might_contain(users, _user(), buyers, 1024, 4)
+    strangers = users.select((c("user_id") + 1_000_000_000).alias("user_id"), F.lit(False).alias("added"))
+    return bloom.might_contain(users.unionByName(strangers), _user(), built, m_bits, k_hashes)
 
 
 @query
 def bloom_dedup(spark, sf):
-    """Second delivery tested against the filter of the first."""
+    """Second delivery tested against the filter of the first, sized by the rows of the first."""
     lines = spread(table(spark, sf, "lineitem"), "l_orderkey").select(line_id().alias("record_id"), "l_returnflag")
-    bits = 1 << 18
-    first = materialize(bloom.build(lines.filter("l_returnflag <> 'R'"), c("record_id"), bits, 4), "filter")
+    earlier = lines.filter("l_returnflag <> 'R'")
+    m_bits, k_hashes = bloom.sized(table(spark, sf, "lineitem").filter("l_returnflag <> 'R'").count(), FP_RATE)
+    first = materialize(bloom.build(earlier, c("record_id"), m_bits, k_hashes), "filter")
     second = lines.filter("l_returnflag = 'R'").select("record_id").distinct()
-    judged = bloom.might_contain(second, c("record_id"), first, bits, 4)
+    judged = bloom.might_contain(second, c("record_id"), first, m_bits, k_hashes)
     return judged.select("record_id", (~c("maybe_seen")).alias("accepted"))
 
 
@@ -565,7 +572,7 @@ def bloom_dedup(spark, sf):
 def sketch_scorecard(spark, sf):
     counts = aggregates.counts_by(table(spark, sf, "lineitem").select(c("l_partkey").cast("string").alias("key")), "key")
     outsiders = table(spark, sf, "part").select(F.concat(F.lit("X"), c("p_partkey").cast("string")).alias("key"))
-    result = scorecard.sketch_scorecard(materialize(counts, "parts"), outsiders, "key")
+    result = scorecard.sketch_scorecard(materialize(counts, "parts"), outsiders, "key", fp_rate=FP_RATE)
     return result.withColumn("accuracy_pct", r6("accuracy_pct"))
 
 
@@ -865,15 +872,30 @@ def stream_ingest(spark, sf):
 
 @query
 def stream_dedup(spark, sf):
+    """The written audit of all batches; its parts add up to the messages."""
     run = streams.ingest(spark, sf)
-    return run.audit.agg(*[F.sum(name).alias(name) for name in ("messages", "accepted", "dupes", "quarantined")])
+    names = ("messages", "accepted", "dupes", "quarantined", "unrouted")
+    return run.audit.agg(*[F.sum(name).alias(name) for name in names])
 
 
 @query
 def stream_quarantine(spark, sf):
-    return streams.ingest(spark, sf).rejected.groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
+    return streams.ingest(spark, sf).rejected.groupBy("raw", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def bloom_stream(spark, sf):
-    return streams.bloom_ingest(spark, sf)
+    """What approximate deduplication keeps to: no id twice, at most a small share of ids lost, every message accounted for."""
+    run = streams.bloom_ingest(spark, sf)
+    per_id = run.curated.groupBy("flight_id").agg(F.count(F.lit(1)).alias("n"))
+    kept = per_id.agg(F.count(F.lit(1)).alias("ids"), F.max("n").alias("most"))
+    booked = run.audit.agg(*[F.sum(name).alias(name) for name in ("messages", "accepted", "dupes", "quarantined", "unrouted")])
+    wanted = streams.whole_ids(spark, sf)
+    whole = c("messages") == c("accepted") + c("dupes") + c("quarantined") + c("unrouted")
+    return booked.select(
+        "messages", "quarantined", "unrouted", whole.alias("adds_up"),
+        (c("accepted") == kept.select("ids").scalar()).alias("all_written"),
+        (kept.select("most").scalar() == 1).alias("each_id_once"),
+        (c("accepted") >= wanted.agg(F.count(F.lit(1))).scalar() * F.lit(0.99)).alias("within_rate"),
+        (c("accepted") <= wanted.agg(F.count(F.lit(1))).scalar()).alias("no_more_than_new"),
+    )

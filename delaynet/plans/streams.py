@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from delaynet.schema import FLIGHT_COLUMNS
 from delaynet.session import scratch_path
-from delaynet.sources.messages import decode_json, file_stream
+from delaynet.sources.messages import file_stream
 from delaynet.sources.tables import spread, table
 from delaynet.streaming import bloom_ingest as bloom_stream
 from delaynet.streaming import ingest as ingest_stream
 
-BATCHES = 4
+FILES_PER_BATCH = 4
+# Deliveries up to this year are there when the stream first starts; the others
+# come while it is stopped, and are taken in by a second run.
+FIRST_RUN_UNTIL = 1995
 
 
 @dataclass
@@ -27,11 +33,12 @@ class IngestRun:
 def _sent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message per lineitem row, so repeated (order, line) keys arrive again.
 
-    Rows without a discount are cut off on the way; low-priority seventh lines
-    have no origin.
+    Rows without a discount are cut off on the way; low-priority lines shipped
+    in an even year have no origin, so an id may come unrouted first and whole
+    later, or the other way round.
     """
     line, order = spread(table(spark, sf_dir, "lineitem"), "l_orderkey"), table(spark, sf_dir, "orders")
-    no_origin = (F.col("o_orderpriority") == "5-LOW") & (F.col("l_linenumber") == 7)
+    no_origin = (F.col("o_orderpriority") == "5-LOW") & (F.year("l_shipdate") % 2 == 0)
     rows = line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat_ws("|", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("flight_id"),
         F.lit("").alias("tail_number"),
@@ -52,44 +59,55 @@ def _sent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_deliveries(spark: SparkSession, sf_dir: str) -> str:
+def _backdate(spark: SparkSession, path: str) -> None:
+    """Give the last delivery's files time stamps that are a month old."""
+    system = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = sorted(str(f.getPath()) for f in system.listStatus(spark._jvm.org.apache.hadoop.fs.Path(path)) if f.isDirectory())
+    old = int(time.time() * 1000) - 30 * 24 * 3600 * 1000
+    for file in system.listStatus(spark._jvm.org.apache.hadoop.fs.Path(folders[-1])) if folders else []:
+        system.setTimes(file.getPath(), old, -1)
+
+
+def deliver(spark: SparkSession, sf_dir: str, path: str, rows: Column) -> None:
     """Messages as files, one folder per delivery year. Rebalancing splits a year
     that holds most rows into several files of even size."""
-    path = scratch_path(spark, "messages")
-    _sent_lines(spark, sf_dir).hint("rebalance", "delivery").write.partitionBy("delivery").parquet(path)
-    return path
+    sent = _sent_lines(spark, sf_dir).filter(rows).hint("rebalance", "delivery")
+    sent.write.mode("append").partitionBy("delivery").parquet(path)
 
 
-def _stream(spark: SparkSession, path: str) -> DataFrame:
-    """The backlog as a stream that takes a fixed number of batches at any size."""
-    found = len(spark.read.parquet(path).inputFiles())
-    return file_stream(ingest_stream.stream_session(spark), path, max(1, -(-found // BATCHES)))
+def _in_two_runs(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Run a stream to the end of what is there, deliver the rest, and run it again."""
+    path = scratch_path(spark, "messages")
+    for rows in (F.col("delivery") <= FIRST_RUN_UNTIL, F.col("delivery") > FIRST_RUN_UNTIL):
+        deliver(spark, sf_dir, path, rows)
+        _backdate(spark, path)
+        start(file_stream(ingest_stream.stream_session(spark), path, FILES_PER_BATCH)).awaitTermination()
 
 
-def ingest(spark: SparkSession, sf_dir: str) -> IngestRun:
-    stream = _stream(spark, write_deliveries(spark, sf_dir))
-    output = scratch_path(spark, "ingested")
-    running = ingest_stream.start_ingest(stream, f"{output}/curated", f"{output}/rejected", f"{output}/checkpoint")
-    running.awaitTermination()
+def _result(spark: SparkSession, output: str) -> IngestRun:
     return IngestRun(
         curated=ingest_stream.read_ingested(spark, f"{output}/curated"),
         rejected=ingest_stream.read_ingested(spark, f"{output}/rejected"),
-        audit=ingest_stream.audit_rows(spark, running),
+        audit=ingest_stream.read_audit(spark, f"{output}/audit"),
     )
 
 
-def bloom_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accepted rows and ids after approximate deduplication of the same messages."""
-    stream = decode_json(_stream(spark, write_deliveries(spark, sf_dir))).select(*FLIGHT_COLUMNS)
+def ingest(spark: SparkSession, sf_dir: str) -> IngestRun:
+    output = scratch_path(spark, "ingested")
+    places = [f"{output}/{name}" for name in ("curated", "rejected", "audit", "checkpoint")]
+    _in_two_runs(spark, sf_dir, lambda messages: ingest_stream.start_ingest(messages, *places))
+    return _result(spark, output)
+
+
+def bloom_ingest(spark: SparkSession, sf_dir: str, growth: bloom_stream.Growth = bloom_stream.Growth()) -> IngestRun:
+    """The same messages with approximate deduplication."""
     output = scratch_path(spark, "bloom")
-    write = bloom_stream.bloom_writer(f"{output}/curated", f"{output}/filters", "flight_id", 1 << 24, 7)
-    running = (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", f"{output}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    running.awaitTermination()
-    accepted = spark.read.parquet(f"{output}/curated")
-    per_id = accepted.groupBy("flight_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_id.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("ids"))
+    places = [f"{output}/{name}" for name in ("curated", "rejected", "audit", "filters", "checkpoint")]
+    _in_two_runs(spark, sf_dir, lambda messages: bloom_stream.start_bloom_ingest(messages, *places, growth))
+    return _result(spark, output)
+
+
+def whole_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that come whole and routed at least once."""
+    rows = ingest_stream.classified(_sent_lines(spark, sf_dir).withColumn("position", F.lit("")))
+    return rows.filter("reason is null").select("flight_id").distinct()

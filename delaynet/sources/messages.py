@@ -38,36 +38,37 @@ def is_quarantined(id_column: str = "flight_id") -> Column:
     return F.col(CORRUPT).isNotNull() | F.col(id_column).isNull()
 
 
+def kafka_options(servers: str, topic: str, max_offsets: int = 50_000, timeout_ms: int = 300_000) -> dict[str, str]:
+    """Options of the Kafka source: from the earliest offset, at most `max_offsets` messages a batch."""
+    return {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": str(max_offsets),
+        "failOnDataLoss": "false",
+        "kafka.request.timeout.ms": str(timeout_ms),
+        "kafka.session.timeout.ms": str(timeout_ms),
+    }
+
+
 def kafka_stream(spark: SparkSession, servers: str, topic: str, max_offsets: int = 50_000) -> DataFrame:
     """Message stream from Kafka; needs the connector package on the class path."""
-    return (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", "earliest")
-        .option("maxOffsetsPerTrigger", max_offsets)
-        .option("failOnDataLoss", "false")
-        .option("kafka.request.timeout.ms", "300000")
-        .option("kafka.session.timeout.ms", "300000")
-        .load()
-        .select(
-            "value",
-            F.col("timestamp").alias("arrival"),
-            F.concat_ws(":", "topic", F.col("partition").cast("string"), F.col("offset").cast("string")).alias("position"),
-        )
-    )
+    source = spark.readStream.format("kafka").options(**kafka_options(servers, topic, max_offsets)).load()
+    position = F.concat_ws(":", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    return source.select("value", position.alias("position"))
+
 
+def file_stream(spark: SparkSession, path: str, max_files: int = 100, max_age: str = "36500d") -> DataFrame:
+    """The same message layout from Parquet files of keys and values.
 
-def file_stream(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
-    """The same message layout from Parquet files of keys and values."""
+    Files count as new by their path alone: `max_age`, by which Spark would
+    otherwise pass over files a week older than the newest, is set far out.
+    """
     return (
         spark.readStream.schema(MESSAGE_DDL)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", max_age)
         .parquet(path)
-        .select(
-            "value",
-            F.col("_metadata.file_modification_time").alias("arrival"),
-            F.concat_ws(":", "_metadata.file_path", F.col("_metadata.row_index").cast("string")).alias("position"),
-        )
+        .select("value", F.concat_ws(":", "_metadata.file_path", F.col("_metadata.row_index").cast("string")).alias("position"))
     )

@@ -1,50 +1,122 @@
 """Approximate cross-batch deduplication with a persisted Bloom filter.
 
-The opt-in alternative to exact state: memory stays at m bits, at the price of
-dropping a small, known share of new rows (`bloom.expected_fp_rate`). Every
-batch is tested against the filter as of the batch's start, and the merged
-filter is written as that batch's snapshot, so a repeated batch gives the same
-result and a restart continues where it stopped.
+The opt-in alternative to exact state: memory follows the filter's bits, at the
+price of dropping a small, known share of new rows. The filter grows by
+generations: each holds twice the items of the one before it at half its rate of
+false positives, so the shares of all generations add up to less than the wanted
+rate however long the stream runs. Every batch is tested against the filter as of
+the batch's start, and the merged filter is written as that batch's snapshot, so a
+repeated batch gives the same result and a restart continues where it stopped. A
+snapshot that is missing stops the stream: without it, old ids would pass as new.
 """
 
 from __future__ import annotations
 
+import time
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.streaming import StreamingQuery
 
 from delaynet.operators import bloom
+from delaynet.schema import FLIGHT_COLUMNS
+from delaynet.streaming.ingest import classified, write_audit, write_quarantine
+
+SNAPSHOT_DDL = f"generation INT, items BIGINT, {bloom.FILTER_DDL}"
+
+
+@dataclass(frozen=True)
+class Growth:
+    """Sizes of the filter's generations."""
+
+    first_items: int = 1_000_000
+    fp_rate: float = 0.01
 
-FILTER_DDL = "bucket BIGINT, bitmap BINARY"
+    def capacity(self, generation: int) -> int:
+        return self.first_items << generation
 
+    def size(self, generation: int) -> tuple[int, int]:
+        """Bits and hash functions; half of the rate is left for the first generation, a quarter for the next."""
+        return bloom.sized(self.capacity(generation), self.fp_rate / 2 ** (generation + 1))
 
-def _snapshot(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
-    empty = spark.createDataFrame([], FILTER_DDL)
+
+def _folder(filters: str, batch_id: int) -> str:
+    return f"{filters}/snapshot={batch_id}"
+
+
+def snapshot(spark: SparkSession, filters: str, batch_id: int) -> DataFrame:
+    """The filter as of the end of a batch; empty before the first one, an error if it is lost.
+
+    Its rows with a null word give the number of items of each generation.
+    """
     if batch_id < 0:
-        return empty
-    try:
-        return spark.read.schema(FILTER_DDL).parquet(f"{folder}/snapshot={batch_id}")
-    except AnalysisException:
-        return empty
+        return spark.createDataFrame([], SNAPSHOT_DDL)
+    return spark.read.schema(SNAPSHOT_DDL).parquet(_folder(filters, batch_id))
 
 
-def accept_new(rows: DataFrame, seen: DataFrame, key: str, m_bits: int, k_hashes: int, method: str = "md5") -> DataFrame:
-    """One row per key that the filter has certainly not seen."""
-    fresh = rows.filter(F.col(key).isNotNull()).dropDuplicates([key])
-    judged = bloom.might_contain(fresh, F.col(key), seen, m_bits, k_hashes, method)
-    return judged.filter(~F.col("maybe_seen")).drop("maybe_seen")
+def _held(state: DataFrame) -> dict[int, int]:
+    """Items by generation: one row each, and generations double."""
+    return {row.generation: row["items"] for row in state.filter("word is null").collect()}
 
 
-def bloom_writer(output: str, filters: str, key: str, m_bits: int, k_hashes: int, method: str = "xxhash64"):
-    """A `foreachBatch` function that appends new rows and updates the filter."""
+def accept_new(rows: DataFrame, state: DataFrame, held: dict[int, int], key: str, growth: Growth, method: str) -> DataFrame:
+    """One row per key that no generation of the filter may have seen."""
+    judged = rows.filter(F.col(key).isNotNull()).dropDuplicates([key])
+    for generation in held:
+        words = state.filter((F.col("generation") == generation) & F.col("word").isNotNull()).select("word", "bits")
+        judged = bloom.might_contain(judged, F.col(key), words, *growth.size(generation), method)
+        judged = judged.filter(~F.col("maybe_seen")).drop("maybe_seen")
+    return judged
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+
+def _grown(state: DataFrame, held: dict[int, int], accepted: DataFrame, key: str, growth: Growth, method: str) -> DataFrame:
+    """The filter with the accepted keys in its newest generation, or in a new one if that would overfill it."""
+    spark, fresh = state.sparkSession, accepted.count()
+    generation = max(held, default=0)
+    while held.get(generation, 0) + fresh > growth.capacity(generation):
+        generation += 1  # generations that are skipped stay empty
+    sizes = {**held, generation: held.get(generation, 0) + fresh}
+    added = bloom.build(accepted, F.col(key), *growth.size(generation), method).withColumn("generation", F.lit(generation))
+    words = state.filter("word is not null").select("generation", "word", "bits").unionByName(added)
+    words = words.groupBy("generation", "word").agg(F.bit_or("bits").alias("bits"))
+    counts = spark.createDataFrame([(g, n, None, None) for g, n in sizes.items()], SNAPSHOT_DDL)
+    return words.select("generation", F.lit(None).cast("bigint").alias("items"), "word", "bits").unionByName(counts)
+
+
+def bloom_writer(output: str, filters: str, key: str, growth: Growth = Growth(), method: str = "xxhash64"):
+    """A `foreachBatch` function that appends new rows and updates the filter. Returns the accepted rows."""
+
+    def write(batch: DataFrame, batch_id: int) -> DataFrame:
         spark = batch.sparkSession
-        seen = _snapshot(spark, filters, batch_id - 1)
+        # Batches count from 0 without gaps, so the one before left a snapshot.
+        state = snapshot(spark, filters, batch_id - 1)
+        held = _held(state)
         target = f"{output}/batch_id={batch_id}"
-        accept_new(batch, seen, key, m_bits, k_hashes, method).write.mode("overwrite").parquet(target)
+        accept_new(batch, state, held, key, growth, method).write.mode("overwrite").parquet(target)
         accepted = spark.read.schema(batch.schema).parquet(target)
-        merged = bloom.merge(seen, bloom.build(accepted, F.col(key), m_bits, k_hashes, method))
-        merged.write.mode("overwrite").parquet(f"{filters}/snapshot={batch_id}")
+        _grown(state, held, accepted, key, growth, method).write.mode("overwrite").parquet(_folder(filters, batch_id))
+        return accepted
 
     return write
+
+
+def start_bloom_ingest(
+    messages: DataFrame, output: str, quarantine: str, audit: str, filters: str, checkpoint: str,
+    growth: Growth = Growth(), every: str | None = None,
+) -> StreamingQuery:
+    """The ingest of `ingest.start_ingest` with the filter in place of exact state: same quarantine, same audit."""
+    accept = bloom_writer(output, filters, "flight_id", growth)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        started = time.monotonic()
+        batch.persist()
+        try:
+            accepted = accept(batch.filter("reason is null").select(*FLIGHT_COLUMNS), batch_id)
+            write_quarantine(batch, quarantine, batch_id)
+            write_audit(batch, accepted, audit, batch_id, started)
+        finally:
+            batch.unpersist()
+
+    writer = classified(messages).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**({"processingTime": every} if every else {"availableNow": True})).start()

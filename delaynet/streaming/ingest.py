@@ -1,14 +1,16 @@
 """Message stream to curated Parquet: decode, deduplicate, quarantine, account.
 
-Deduplication is exact and its state lives in the query's checkpoint, so a
-restart neither loses it nor lets old ids back in. The dedup clock is the
-arrival time of messages, not the departure time of flights: arrivals only move
-forward, so no first delivery is ever dropped as late.
+Deduplication is exact and its state lives in the query's checkpoint, so a restart
+neither loses it nor lets old ids back in. The dedup clock is the time of the batch
+that first sees a message. It only moves forward, whatever time stamps a message or
+file carries, so no first delivery is ever late. Messages that cannot be read or
+have no route are set aside before deduplication: they hold no state, and do not
+stand in the way of a whole delivery of the same id.
 """
 
 from __future__ import annotations
 
-import json
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,9 @@ from delaynet.schema import FLIGHT_COLUMNS
 from delaynet.sources.messages import CORRUPT, decode_json, is_quarantined
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+AUDIT_DDL = (
+    "batch_id LONG, messages LONG, accepted LONG, dupes LONG, quarantined LONG, unrouted LONG, seconds DOUBLE, accepted_per_sec DOUBLE"
+)
 
 
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
@@ -30,91 +35,83 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     partitions = state_partitions or spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    session.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     return session
 
 
-def decoded(messages: DataFrame) -> DataFrame:
-    """Flight rows plus the quarantine mark, the raw text and a dedup key.
-
-    A quarantined message has no usable id; its place in the source keeps it
-    apart from all others.
-    """
+def classified(messages: DataFrame) -> DataFrame:
+    """Flight columns, position and raw text of every message, with the reason to set it aside (null: none)."""
     rows = decode_json(messages.withColumn("raw", F.col("value").cast("string")))
-    bad = is_quarantined()
-    return rows.withColumns(
-        {
-            "quarantined": bad,
-            "record_id": F.when(bad, F.concat(F.lit("rejected@"), "position")).otherwise(F.col("flight_id")),
-        }
-    ).drop(CORRUPT)
+    unrouted = F.col("origin").isNull() | F.col("destination").isNull()
+    reason = F.when(is_quarantined(), F.lit("unreadable")).when(unrouted, F.lit("unrouted"))
+    return rows.withColumn("reason", reason).drop(CORRUPT)
 
 
 def deduplicated(rows: DataFrame, horizon: str | None) -> DataFrame:
-    """One row per id. `horizon` bounds the state: a copy that arrives later than
-    that after the first delivery passes. None keeps every id forever."""
+    """One row per id. `horizon` bounds the state: a copy that comes later than that
+    after the first delivery passes. None keeps every id forever."""
     if horizon is None:
-        return rows.dropDuplicates(["record_id"])
-    return rows.withWatermark("arrival", horizon).dropDuplicatesWithinWatermark(["record_id"])
+        return rows.dropDuplicates(["flight_id"])
+    clocked = rows.withColumn("seen_at", F.current_timestamp()).withWatermark("seen_at", horizon)
+    return clocked.dropDuplicatesWithinWatermark(["flight_id"]).drop("seen_at")
 
 
-def _write_batch(output: str, quarantine: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # A repeated batch replaces its own folder, so a crash half way is harmless.
-        batch.persist()
-        try:
-            good = batch.filter(~F.col("quarantined")).select(*FLIGHT_COLUMNS)
-            good.na.drop(subset=["origin", "destination"]).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
-            bad = batch.filter("quarantined").select("position", "raw")
-            bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+def write_quarantine(batch: DataFrame, quarantine: str, batch_id: int) -> None:
+    aside = batch.filter("reason is not null").select("position", "raw", "reason")
+    aside.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+
 
-    return write
+def write_audit(arrived: DataFrame, accepted: DataFrame, audit: str, batch_id: int, started: float) -> None:
+    """One row of the audit, under the batch's number: messages = accepted + dupes + quarantined + unrouted."""
+    counted = arrived.agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count(F.when(F.col("reason") == "unreadable", 1)).alias("quarantined"),
+        F.count(F.when(F.col("reason") == "unrouted", 1)).alias("unrouted"),
+    ).first()
+    fresh = accepted.count()
+    seconds = time.monotonic() - started
+    dupes = counted.messages - counted.quarantined - counted.unrouted - fresh
+    row = (batch_id, counted.messages, fresh, dupes, counted.quarantined, counted.unrouted, seconds, fresh / seconds)
+    written = arrived.sparkSession.createDataFrame([row], AUDIT_DDL).drop("batch_id")
+    written.coalesce(1).write.mode("overwrite").parquet(f"{audit}/batch_id={batch_id}")
 
 
 def start_ingest(
-    messages: DataFrame, output: str, quarantine: str, checkpoint: str, horizon: str | None = "7 days",
+    messages: DataFrame, output: str, quarantine: str, audit: str, checkpoint: str, horizon: str | None = "7 days",
     every: str | None = None,
 ) -> StreamingQuery:
     """Start the stream. Without `every` it works through the backlog and stops;
     with it, a new batch starts at that interval until the query is stopped."""
-    arrived = decoded(messages).observe(
-        "arrivals",
-        F.count(F.lit(1)).alias("rows"),
-        F.count(F.when(F.col("quarantined"), 1)).alias("quarantined"),
+    rows = classified(messages)
+    # Two branches of one query: every message as it arrived, without its content
+    # unless that is set aside, and the rows that deduplication lets through.
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in rows.select(*FLIGHT_COLUMNS).dtypes]
+    arrived = rows.select(
+        F.lit(True).alias("arrived"), "reason", "position", F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw"), *nothing
     )
-    fresh = deduplicated(arrived, horizon).observe(
-        "accepted", F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("quarantined"), 1)).alias("quarantined")
+    fresh = deduplicated(rows.filter("reason is null"), horizon).select(
+        F.lit(False).alias("arrived"), "reason", "position", F.lit(None).cast("string").alias("raw"), *FLIGHT_COLUMNS
     )
-    writer = fresh.writeStream.foreachBatch(_write_batch(output, quarantine)).option("checkpointLocation", checkpoint)
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # A repeated batch replaces its own folders, so a crash half way is harmless.
+        started = time.monotonic()
+        batch.persist()
+        try:
+            accepted, messages_seen = batch.filter("not arrived"), batch.filter("arrived")
+            accepted.select(*FLIGHT_COLUMNS).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+            write_quarantine(messages_seen, quarantine, batch_id)
+            write_audit(messages_seen, accepted, audit, batch_id, started)
+        finally:
+            batch.unpersist()
 
-def audit_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Per batch: messages, accepted, dupes, quarantined, seconds, accepted per second.
+    writer = arrived.unionByName(fresh).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**({"processingTime": every} if every else {"availableNow": True})).start()
 
-    Built from the query's progress reports: one row per batch, no data.
-    """
-    rows = []
-    for report in query.recentProgress:
-        progress = json.loads(report.json) if hasattr(report, "json") else report
-        observed = progress.get("observedMetrics") or {}
-        if "arrivals" not in observed or not observed["arrivals"]["rows"]:
-            continue
-        arrived, accepted = observed["arrivals"], observed["accepted"]
-        good = accepted["rows"] - accepted["quarantined"]
-        seconds = progress["durationMs"].get("triggerExecution", 0) / 1000.0
-        rows.append(
-            (progress["batchId"], arrived["rows"], good, arrived["rows"] - arrived["quarantined"] - good,
-             arrived["quarantined"], seconds, good / seconds if seconds else None)
-        )
-    return spark.createDataFrame(
-        rows,
-        "batch_id LONG, messages LONG, accepted LONG, dupes LONG, quarantined LONG, seconds DOUBLE, accepted_per_sec DOUBLE",
-    )
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """One row per batch, of all runs of the query."""
+    return spark.read.schema(AUDIT_DDL).parquet(path).filter("messages > 0")
 
 
 def read_ingested(spark: SparkSession, path: str) -> DataFrame:

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from delaynet.operators import bloom, cms, hll, scorecard
+from delaynet.plans import queries
+from delaynet.sources.tables import table
 
 
 def keys(spark, start, end):
@@ -106,5 +108,28 @@ def test_empty_bloom_knows_nothing(spark):
 def test_scorecard_is_measured(spark):
     counts = skewed(spark).groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("k", "key")
     rows = scorecard.sketch_scorecard(counts, keys(spark, 1000, 2000).withColumnRenamed("k", "key"), "key").collect()
-    assert {row.sketch: row.bytes for row in rows} == {"hyperloglog": 4096, "count_min": 20_000, "bloom": 8192}
+    assert {row.sketch: row.bytes for row in rows} == {"hyperloglog": 4096, "count_min": 20_000, "bloom": bloom.sized(counts.count())[0] // 8}
     assert all(90 <= row.accuracy_pct <= 100 for row in rows)
+
+
+@pytest.mark.parametrize("scale", ["sf0.01", "sf0.1"])
+def test_bloom_dedup_accepts_nearly_all_new_rows(spark, scale):
+    sf = f"/root/testdata/{scale}"
+    lines = table(spark, sf, "lineitem").select(queries.line_id().alias("record_id"), "l_returnflag")
+    known = lines.filter("l_returnflag <> 'R'").select("record_id").distinct()
+    new = lines.filter("l_returnflag = 'R'").select("record_id").distinct().join(known, "record_id", "left_anti").count()
+    judged = queries.QUERIES["bloom_dedup"](spark, sf)
+    accepted = judged.filter("accepted").count()
+    assert new * (1 - queries.FP_RATE) <= accepted <= new
+
+
+def test_bloom_probe_asks_about_strangers(spark, sf_dir):
+    rows = queries.QUERIES["bloom_probe"](spark, sf_dir).collect()
+    assert all(r.maybe_seen for r in rows if r.added)
+    strangers = [r.maybe_seen for r in rows if not r.added]
+    assert len(strangers) >= len(rows) // 2 and sum(strangers) <= 0.05 * len(strangers) + 1
+
+
+def test_bloom_build_hashes_before_the_shuffle(spark):
+    plan = bloom.build(keys(spark, 0, 100), F.col("k"), 1024, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "partial_bit_or" in plan
