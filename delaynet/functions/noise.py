@@ -12,7 +12,7 @@ def laplace(scale: Column | float, uniform: Column) -> Column:
     """Laplace(0, scale) by inverse distribution from `uniform` in (-0.5, 0.5)."""
     if isinstance(scale, (int, float)):
         if scale <= 0:
-            raise ValueError("scale must be > 0")
+            raise ValueError(f"noise has a positive scale, not {scale}")
         scale = F.lit(float(scale))
     return -scale * F.signum(uniform) * F.log(F.lit(1.0) - F.lit(2.0) * F.abs(uniform))
 

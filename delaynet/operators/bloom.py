@@ -42,7 +42,7 @@ def check_load(items: int, m_bits: int, k_hashes: int, fp_rate: float) -> None:
         raise ValueError(f"{items} items in {m_bits} bits: {expected:.3f} false positives expected, {fp_rate} wanted")
 
 
-def positions(item: Column, m_bits: int, k_hashes: int, method: str = "md5") -> list[Column]:
+def positions(item: Column, m_bits: int, k_hashes: int, method: str = "xxhash64") -> list[Column]:
     if m_bits <= 0 or k_hashes <= 0:
         raise ValueError("filters need at least one bit and one hash function")
     return [hash_bucket(item, i, m_bits, method) for i in range(k_hashes)]
@@ -56,7 +56,7 @@ def _mask(position: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(position, F.lit(WORD_BITS)).cast("int"))
 
 
-def build(rows: DataFrame, item: Column, m_bits: int, k_hashes: int, method: str = "md5") -> DataFrame:
+def build(rows: DataFrame, item: Column, m_bits: int, k_hashes: int, method: str = "xxhash64") -> DataFrame:
     """The words of a filter of all items; null items add nothing."""
     bits = rows.select(F.explode(F.array(*positions(item, m_bits, k_hashes, method))).alias("bit")).filter("bit is not null")
     return bits.groupBy(_word(F.col("bit")).alias("word")).agg(F.bit_or(_mask(F.col("bit"))).alias("bits"))
@@ -76,7 +76,7 @@ def set_bits(filter_rows: DataFrame) -> DataFrame:
 
 
 def might_contain(
-    rows: DataFrame, item: Column, filter_rows: DataFrame, m_bits: int, k_hashes: int, method: str = "md5", name: str = "maybe_seen"
+    rows: DataFrame, item: Column, filter_rows: DataFrame, m_bits: int, k_hashes: int, method: str = "xxhash64", name: str = "maybe_seen"
 ) -> DataFrame:
     """`rows` with a boolean column: false means certainly not added.
 

@@ -17,7 +17,7 @@ COUNTER_BYTES = 4
 def _cells(rows: DataFrame, key: Column, depth: int, widths: list[int], method: str) -> DataFrame:
     """Rows repeated per sketch cell they touch. Each row is hashed once per depth."""
     if depth <= 0 or min(widths) <= 0:
-        raise ValueError("width and depth must be positive")
+        raise ValueError(f"a sketch of {depth} rows by {min(widths)} counters holds nothing")
     hashes = rows.withColumn("_hashes", F.array(*[hash_int(key, i, method) for i in range(depth)]))
     cells = hashes.select(*rows.columns, F.posexplode("_hashes").alias("depth_row", "_hash"))
     return cells.withColumn("width", F.explode(F.lit(widths))).withColumn("bucket", F.pmod("_hash", "width")).drop("_hash")
@@ -29,14 +29,14 @@ def build(
     weight: str | None = None,
     depth: int = 5,
     widths: int | list[int] = 2048,
-    method: str = "md5",
-    precount: bool = True,
+    method: str = "xxhash64",
+    precount: bool = False,
 ) -> DataFrame:
     """Sketch of `key`, each row counting 1 or `weight`.
 
-    With `precount` rows are counted per key first, so every key is hashed once
-    instead of every row. Turn it off for nearly unique keys, where counting
-    would shuffle about as many rows as go in.
+    Tasks add up depth x width counters, so that is what they shuffle. With
+    `precount` rows are counted per key first, which hashes every key once instead
+    of every row, but shuffles the keys; it pays for few keys only.
     """
     widths = [widths] if isinstance(widths, int) else list(widths)
     amount = F.lit(1) if weight is None else F.col(weight)
@@ -61,7 +61,7 @@ def merge(*sketches: DataFrame) -> DataFrame:
     return merged.groupBy("width", "depth_row", "bucket").agg(F.sum("n").alias("n"))
 
 
-def probe(sketch: DataFrame, keys: DataFrame, key: str, depth: int = 5, widths: int | list[int] = 2048, method: str = "md5") -> DataFrame:
+def probe(sketch: DataFrame, keys: DataFrame, key: str, depth: int = 5, widths: int | list[int] = 2048, method: str = "xxhash64") -> DataFrame:
     """`keys` with `width` and the estimate: the smallest counter of all depth rows."""
     widths = [widths] if isinstance(widths, int) else list(widths)
     asked = _cells(keys.select(F.col(key).alias("key")).distinct(), F.col("key"), depth, widths, method)
@@ -77,7 +77,7 @@ def memory_bytes(width: Column, depth: int = 5) -> Column:
     return width * (depth * COUNTER_BYTES)
 
 
-def width_sweep(counts: DataFrame, key: str, widths: list[int], depth: int = 5, top: int = 100, method: str = "md5") -> DataFrame:
+def width_sweep(counts: DataFrame, key: str, widths: list[int], depth: int = 5, top: int = 100, method: str = "xxhash64") -> DataFrame:
     """Mean absolute error over the `top` most frequent keys, per sketch width.
 
     `counts` is a (key, n) relation; all widths are built in one grouped pass.

@@ -1,8 +1,10 @@
 """Propagation network: vertices, edges, rank and components as DataFrame rounds.
 
-`_links` numbers the vertices in name order and writes the edges once; every
-round is then one join and one grouped aggregate over numbers. Each vertex also gets a link to itself that
-carries nothing, so a round keeps vertices nobody sends to.
+`_links` numbers the vertices in name order and writes the edges once, in buckets
+by their source. Every round is then one join and one grouped aggregate over
+numbers, in which the edges stay where they lie and only states and messages move.
+Each vertex also gets a link to itself that carries nothing, so a round keeps
+vertices nobody sends to.
 
 A vertex with very many out-edges would put all of them in one join task. Its
 edges are spread over several salts and the one row of the vertex is repeated
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaynet.session import materialize
+from delaynet.session import bucketed, materialize
 
 EDGES_PER_SALT = 1_000_000
 
@@ -89,7 +91,9 @@ def _links(edges: DataFrame, weight: Column | None, per_salt: int) -> _Links:
     itself = vertices.select(
         F.col("id").alias("src"), F.lit(0).alias("salt"), F.col("id").alias("dst"), F.lit(0.0).alias("share"), "fanout"
     )
-    return _Links(vertices.drop("total"), materialize(sending.unionByName(itself), "links"), salted)
+    keys = ("src", "salt") if salted else ("src",)
+    buckets = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _Links(vertices.drop("total"), bucketed(sending.unionByName(itself), "links", buckets, *keys), salted)
 
 
 def pagerank(

@@ -25,7 +25,7 @@ def _alpha(m: int) -> float:
     return SMALL_ALPHA.get(m, 0.7213 / (1 + 1.079 / m))
 
 
-def registers(rows: DataFrame, item: Column, p: int = 10, method: str = "md5", by: tuple[str, ...] = ()) -> DataFrame:
+def registers(rows: DataFrame, item: Column, p: int = 10, method: str = "xxhash64", by: tuple[str, ...] = ()) -> DataFrame:
     """Sketch of `item`, or one sketch per value of the `by` columns."""
     m = _register_count(p)
     remaining_bits = HASH_BITS[method] - p

@@ -13,7 +13,7 @@ QUASI_IDENTIFIERS = ["origin", "destination", "time_block", "delay_bin"]
 
 def _check_budget(*epsilons: float) -> None:
     if min(epsilons) <= 0:
-        raise ValueError("epsilon must be > 0")
+        raise ValueError(f"a privacy budget is positive, not {min(epsilons)}")
 
 
 def noisy_counts(counts: DataFrame, epsilon: float, uniform: Column, sensitivity: float = 1.0, clamp: float | None = 0.0) -> DataFrame:
@@ -45,14 +45,16 @@ def epsilon_sweep(counts: DataFrame, epsilons: list[float], trials: int, uniform
 
 
 def leakage_audit(counts: DataFrame, epsilons: list[float], trials: int, uniform: Column, sensitivity: float = 1.0) -> DataFrame:
-    """How well an observer tells n from n - 1 by a threshold half way between.
+    """How well an observer of a key's release tells its count n from n - 1, by a threshold half way between.
 
     `overlap` is the share of draws where both worlds land above the threshold
     although only one of them should; `accuracy` is the share of right guesses.
     """
     # both worlds see the same draw, as the comparison is about the shift by one
-    shift = noisy(F.lit(0.0), F.col("epsilon"), sensitivity, uniform, clamp=None)
-    with_record, without_record = shift + 1 > 0.5, shift > 0.5
+    border = F.col("n") - 0.5
+    with_record, without_record = (
+        noisy(count, F.col("epsilon"), sensitivity, uniform, clamp=0.0) > border for count in (F.col("n"), F.col("n") - 1)
+    )
     return (
         _trials(counts, epsilons, trials)
         .select("epsilon", with_record.alias("hit"), without_record.alias("false_alarm"))

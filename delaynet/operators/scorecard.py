@@ -7,19 +7,21 @@ from pyspark.sql import functions as F
 
 from delaynet.functions.delay import pct_error
 from delaynet.operators import bloom, cms, hll
+from delaynet.session import materialize
 
 
-def hll_vs_exact(rows: DataFrame, item: Column, p: int = 12, method: str = "md5") -> DataFrame:
+def hll_vs_exact(rows: DataFrame, item: Column, p: int = 12, method: str = "xxhash64") -> DataFrame:
     """Estimated and exact number of distinct items over the same rows."""
-    items = rows.select(item.alias("item")).na.drop()
+    # Written once, the distinct items serve the count and the sketch, which repeats do not change.
+    items = materialize(rows.select(item.alias("item")).na.drop().distinct(), "items")
     estimated = hll.estimate(hll.registers(items, F.col("item"), p, method), p)
-    exact = items.distinct().agg(F.count(F.lit(1)).alias("exact"))
+    exact = items.agg(F.count(F.lit(1)).alias("exact"))
     return exact.withColumn("estimate", estimated.scalar()).withColumn(
         "error_pct", pct_error(F.col("exact"), F.col("estimate"))
     )
 
 
-def cms_vs_exact(counts: DataFrame, key: str, width: int = 1000, depth: int = 5, top: int = 5, method: str = "md5") -> DataFrame:
+def cms_vs_exact(counts: DataFrame, key: str, width: int = 1000, depth: int = 5, top: int = 5, method: str = "xxhash64") -> DataFrame:
     """Exact and estimated counts of the `top` keys of a (key, n) relation."""
     leaders = counts.orderBy(F.desc("n"), key).limit(top)
     sketch = cms.build(counts, key, "n", depth, width, method)
@@ -31,7 +33,7 @@ def cms_vs_exact(counts: DataFrame, key: str, width: int = 1000, depth: int = 5,
 
 def sketch_scorecard(
     counts: DataFrame, outsiders: DataFrame, key: str, p: int = 12, width: int = 1000, depth: int = 5,
-    fp_rate: float = 0.01, method: str = "md5",
+    fp_rate: float = 0.01, method: str = "xxhash64",
 ) -> DataFrame:
     """Bytes and accuracy (percent) of the three sketches of one key column.
 

@@ -103,7 +103,12 @@ RAW_TIMED = (
 
 EDGES = flights("origin", "destination", "delay_minutes") + """, edges as materialized (
   select origin, destination, sum(delay_minutes)::BIGINT as weight from flights group by all)"""
-HUB_LINKS = "links as materialized (select origin as src, destination as dst, 1.0::DOUBLE as amount from edges where weight > (select avg(weight) from edges))"
+ROUTE_LINKS = "links as materialized (select origin as src, destination as dst, weight::DOUBLE as amount from edges)"
+PLAIN_LINKS = "links as materialized (select origin as src, destination as dst, 1.0::DOUBLE as amount from edges)"
+HOMES = """home as materialized (
+  select 'C' || c_custkey::VARCHAR as origin, n_name as destination from customer join nation on c_nationkey = n_nationkey
+  union all select 'S' || s_suppkey::VARCHAR, n_name from supplier join nation on s_nationkey = n_nationkey
+  union all select n_name, r_name from nation join region on n_regionkey = r_regionkey)"""
 TRADE = """edges as materialized (
   select case when l_returnflag = 'R' then 'S' || l_suppkey::VARCHAR else 'C' || o_custkey::VARCHAR end as origin,
          case when l_returnflag = 'R' then 'C' || o_custkey::VARCHAR else 'S' || l_suppkey::VARCHAR end as destination,
@@ -146,14 +151,12 @@ def components(rounds: int = 12) -> str:
     return ",\n".join(parts)
 
 
-HUB_RANKS = f"{EDGES}, {HUB_LINKS}, {ranks()}"
+ROUTE_RANKS = f"{EDGES}, {ROUTE_LINKS}, {ranks()}"
 REGIONS = "regions as (select n_name as airport, r_name as region from nation join region on n_regionkey = r_regionkey)"
-REGION_PAIRS = f"""{REGIONS}, pairs as materialized (select e.origin as a, e.destination as b from edges e
-  join regions x on x.airport = e.origin join regions y on y.airport = e.destination where x.region = y.region)"""
-REGION_COMPONENTS = f"{EDGES}, {REGION_PAIRS}, {components()}"
+HOME_COMPONENTS = f"{HOMES}, pairs as materialized (select origin as a, destination as b from home), {components()}"
 VOLUMES = """volumes as materialized (select n_name as airport, count(*) as n from lineitem join orders on l_orderkey = o_orderkey
   join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by n_name)"""
-RANKINGS = f"""{HUB_RANKS}, {VOLUMES},
+RANKINGS = f"""{ROUTE_RANKS}, {VOLUMES},
   ours as materialized (select row_number() over (order by pagerank desc, airport) as rank, airport as key from ranks),
   theirs as materialized (select row_number() over (order by n desc, airport) as rank, airport as key from volumes)"""
 
@@ -286,23 +289,23 @@ ORACLES: dict[str, str] = {
     "multi_file_scan": "select month(l_shipdate)::INT as file_month, count(*) as n, count(*) as matching from lineitem group by 1",
     "curated_sink": f"""with {flights()} select origin, delay_cause, count(*) as n, sum(delay_minutes)::BIGINT as minutes
       from flights group by 1, 2""",
-    "result_sink": f"""with {REGION_COMPONENTS}
+    "result_sink": f"""with {EDGES}, {HOME_COMPONENTS}
       select 'edges' as name, origin || '-' || destination as key, weight::VARCHAR as value from edges
       union all select 'components', airport, component_id from components
       union all select 'component_sizes', component_id, count(*)::VARCHAR from components group by component_id""",
     "report_sink": f"""with {flights("flight_id", "origin", "delay_minutes")} select origin, split_part(flight_id, '|', 3) as carrier,
       count(*) as flight_count, round(avg(delay_minutes), 6) as avg_delay from flights group by 1, 2
       order by flight_count desc, origin, carrier limit 50""",
-    "map_export": f"""with {HUB_RANKS}, {REGION_PAIRS}, {components()}
+    "map_export": f"""with {ROUTE_RANKS}, {HOME_COMPONENTS}
       select airport, pagerank, component_id, n_nationkey * 3.0::DOUBLE - 30 as lat, n_nationkey * 5.0::DOUBLE - 60 as lng
-      from ranks join components using (airport) join regions using (airport) join nation on n_name = airport
-      where region <> 'AFRICA' and (lat <> 0 or lng <> 0)""",
-    "log_metrics": f"""select event_id::VARCHAR as source, event_id::DOUBLE as records, value as throughput, user_id::DOUBLE as etl_seconds,
+      from ranks join components using (airport) join nation on n_name = airport where lat <> 0 or lng <> 0""",
+    "log_metrics": f"""select strftime(ts, '%Y-%m-%d') as source, event_id::DOUBLE as records, value as throughput, user_id::DOUBLE as etl_seconds,
       round({K} * case event_type when 'error' then 1.0 / 1024 when 'click' then 1024.0 else 1.0 end::DOUBLE, 6) as parquet_mb
-      from events""",
-    "log_sweeps": f"""with marks as (select user_id, min(event_id) as start from events where event_type = 'error' group by 1)
-      select user_id::VARCHAR as source, count(*) as n, sum({K})::DOUBLE as parameters, round(sum(value), 6) as errors
-      from events join marks using (user_id) where event_id > start and event_type <> 'error' group by 1""",
+      from events where event_id in (select min(event_id) from events group by strftime(ts, '%Y-%m-%d'))""",
+    "log_sweeps": f"""with days as (select *, strftime(ts, '%Y-%m-%d') as day from events),
+      marks as (select day, min(event_id) as start from days where event_type = 'error' group by 1)
+      select day as source, count(*) as n, sum({K})::DOUBLE as parameters, round(sum(value), 6) as errors
+      from days join marks using (day) where event_id > start and event_type <> 'error' group by 1""",
     # rows and scalars
     "normalize_row": f"""with {RAW_TIMED} select flight_id, tail_number, flight_number, origin, destination, scheduled_departure,
       delay_minutes, delay_cause, carrier, rejected from normal""",
@@ -390,17 +393,17 @@ ORACLES: dict[str, str] = {
       union all select 'bloom', {bloom_size('counts')} // 8, round(avg((not maybe_seen)::INT) * 100, 6) from hits""",
     # graph
     "graph_vertices": f"with {EDGES} select origin as airport from edges union select destination from edges",
-    "graph_stats": f"""with {EDGES}, {HUB_LINKS} select
-      (select count(*) from (select src from links union select dst from links)) as vertices, (select count(*) from links) as edges""",
-    "pagerank": f"with {HUB_RANKS} select * from ranks",
+    "graph_stats": f"""with {TRADE} select
+      (select count(*) from (select origin from edges union select destination from edges)) as vertices, (select count(*) from edges) as edges""",
+    "pagerank": f"with {HOMES}, edges as (from home), {PLAIN_LINKS}, {ranks()} select * from ranks",
     "pagerank_weighted": f"""with {EDGES}, links as materialized (select origin as src, destination as dst, weight::DOUBLE as amount from edges),
       {ranks()} select * from ranks""",
     "pagerank_trade": f"""with {TRADE}, links as materialized (select origin as src, destination as dst, 1.0::DOUBLE as amount from edges),
       {ranks()} select * from ranks""",
-    "top_hubs": f"with {HUB_RANKS} select * from ranks order by pagerank desc, airport limit 20",
-    "connected_components": f"with {REGION_COMPONENTS} select * from components",
+    "top_hubs": f"with {TRADE}, {PLAIN_LINKS}, {ranks()} select * from ranks order by pagerank desc, airport limit 20",
+    "connected_components": f"with {HOME_COMPONENTS} select * from components",
     "components_trade": f"with {TRADE}, pairs as materialized (select origin as a, destination as b from edges), {components()} select * from components",
-    "component_sizes": f"with {REGION_COMPONENTS} select component_id, count(*) as size from components group by 1",
+    "component_sizes": f"with {HOME_COMPONENTS} select component_id, count(*) as size from components group by 1",
     # similarity
     "token_bags": f"with {bags(5)} select group_id, spelled as tokens from sizes",
     "minhash_signatures": f"with {bags(15)} select group_id, h0, h1, h2 from sizes",
@@ -411,7 +414,7 @@ ORACLES: dict[str, str] = {
     "exact_jaccard_join": profile_pairs("distance < 0.3"),
     "similar_routes": f"""with {group_pairs(15)} select a as group_a, b as group_b, round(distance, 3) as jaccard_distance
       from measured where distance < 0.85 and (t0 or t1 or t2) order by 3, 1, 2 limit 10""",
-    "similar_routes_directed": f"""with {group_pairs(5)}, close as (select a, b, round(distance, 6) as distance from measured
+    "similar_routes_directed": f"""with {group_pairs(15)}, close as (select a, b, round(distance, 6) as distance from measured
       where distance < 0.3 and (t0 or t1 or t2))
       select group_a, group_b, jaccard_distance from (select a as group_a, b as group_b, distance as jaccard_distance from close
       union all select b, a, distance from close) order by 3, 1, 2 limit 100""",
@@ -432,15 +435,17 @@ ORACLES: dict[str, str] = {
     "similarity_clusters": f"""with {group_pairs(15)}, pairs as materialized (select a, b from measured where distance < 0.3), {components(20)}
       select group_id, coalesce(component_id, group_id) as cluster_id from sizes left join components on airport = group_id""",
     # privacy
-    "laplace_noise": f"""with {ORIGIN_COUNTS}, {DRAWS} select origin, trial::INT as trial, round({noise('2.0', 'u')}, 6) as noise from draws""",
+    "laplace_noise": f"""with {ORIGIN_COUNTS}, {DRAWS} select origin, trial::INT as trial, round({noise('2.0', 'u')}, 6) as noise,
+      round(n + {noise('2.0', 'u')}, 6) as released from draws""",
     "dp_counts": f"""with {ORIGIN_COUNTS}, released as (select origin, n, greatest(0.0, n + {noise('1.0 / 0.5', unit('origin'))}) as noisy from counts)
       select origin, n, round(noisy, 6) as noisy, round(abs(n - noisy), 6) as abs_error from released order by n desc, origin limit 10""",
     "dp_epsilon_sweep": f"""with {ORIGIN_COUNTS}, {DRAWS}, {BUDGETS}
       select epsilon, round(avg(abs(greatest(0.0, n + {noise('1.0 / epsilon', 'u')}) - n)), 6) as mae from draws, budgets group by epsilon""",
     "dp_leakage_audit": f"""with {ORIGIN_COUNTS}, {DRAWS}, {BUDGETS},
-      shifts as (select epsilon, {noise('1.0 / epsilon', 'u')} as s from draws, budgets)
-      select epsilon, round(avg((1 + s > 0.5 and s > 0.5)::INT), 6) as overlap,
-        round(avg(((1 + s > 0.5)::INT + (s <= 0.5)::INT) / 2.0::DOUBLE), 6) as accuracy from shifts group by epsilon""",
+      guesses as (select epsilon, greatest(0.0, n + {noise('1.0 / epsilon', 'u')}) > n - 0.5 as hit,
+        greatest(0.0, n - 1 + {noise('1.0 / epsilon', 'u')}) > n - 0.5 as alarm from draws, budgets)
+      select epsilon, round(avg((hit and alarm)::INT), 6) as overlap,
+        round(avg((hit::INT + (not alarm)::INT) / 2.0::DOUBLE), 6) as accuracy from guesses group by epsilon""",
     "k_anonymity": f"""with {GENERALIZED} select origin, destination, time_block, delay_bin, delay_cause, count(*) as n, any_value(class_size) as class_size
       from (select *, count(*) over (partition by origin, destination, time_block, delay_bin) as class_size from general)
       where class_size >= 5 group by 1, 2, 3, 4, 5""",
@@ -483,7 +488,7 @@ ORACLES: dict[str, str] = {
       volume as (select tier, count(*) as records from days, (select unnest([1, 7, 30]) as tier) where day < tier group by tier)
       select tier, records, round(records / (tier * 86400.0::DOUBLE), 6) as records_per_sec,
         round(records / (lag(records) over (order by tier))::DOUBLE, 6) as growth from volume""",
-    "hub_scorecard": f"""with {HUB_RANKS}, {ORIGIN_COUNTS}, joined as (select airport, pagerank, coalesce(n, 0) as n
+    "hub_scorecard": f"""with {ROUTE_RANKS}, {ORIGIN_COUNTS}, joined as (select airport, pagerank, coalesce(n, 0) as n
         from ranks left join counts on origin = airport),
       scored as (select *, pagerank / (select max(pagerank) from joined) as relative from joined)
       select airport, round(relative, 6) as relative_rank,

@@ -38,6 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SWEEP_WIDTHS = [10, 50, 100, 250, 500, 1000, 2000]
+METHOD = "md5"  # the hash that SQL can repeat; xxhash64 is the default elsewhere
 EPSILONS = [0.01, 0.1, 0.5, 1.0, 5.0, 10.0]
 TRIALS = 50
 
@@ -153,7 +154,7 @@ def curated_sink(spark, sf):
 def result_sink(spark, sf):
     folder = scratch_path(spark, "results")
     edges = materialize(aggregates.route_edges(flights(spark, sf, "origin", "destination", "delay_minutes")), "edges")
-    components = graph.connected_components(_intra_region(spark, sf, edges))
+    components = graph.connected_components(_home_graph(spark, sf))
     tables = {"edges": edges, "components": components, "component_sizes": graph.component_sizes(components)}
     files.write_results(tables, folder)
     files.write_results(tables, folder)
@@ -180,15 +181,14 @@ def report_sink(spark, sf):
 
 @query
 def map_export(spark, sf):
-    nation = table(spark, sf, "nation").join(table(spark, sf, "region"), c("n_regionkey") == c("r_regionkey"))
-    places = nation.filter("r_name <> 'AFRICA'").select(
+    places = table(spark, sf, "nation").select(
         c("n_name").alias("airport"),
         (c("n_nationkey") * 3.0 - 30).alias("lat"),
         (c("n_nationkey") * 5.0 - 60).alias("lng"),
     )
     edges = _edges(spark, sf)
-    ranks = graph.pagerank(_hub_graph(edges))
-    components = graph.connected_components(_intra_region(spark, sf, edges))
+    ranks = graph.pagerank(edges, weight=c("weight"))
+    components = graph.connected_components(_home_graph(spark, sf))
     exported = ranking.mapped_only(ranking.attach_coordinates(ranks, components, places))
     path = scratch_path(spark, "map")
     files.write_json_records(exported.withColumn("pagerank", r6("pagerank")), path)
@@ -199,11 +199,22 @@ def _log_line(text: str, value: Column, unit: str = "") -> Column:
     return F.concat(F.lit(text), value.cast("string"), F.lit(unit))
 
 
+def _written_logs(spark, sf, lines: Column) -> DataFrame:
+    """One log per day with the lines of each event in order, written as text and read back.
+
+    A long log is several files, cut by event; their names and positions keep the order.
+    """
+    schema = StructType([StructField("k", IntegerType())])
+    events = messages.decode_json(table(spark, sf, "events"), schema, "props").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    path = scratch_path(spark, "logs")
+    ordered = events.repartitionByRange("day", "event_id").sortWithinPartitions("day", "event_id")
+    ordered.select("day", F.explode(lines).alias("line")).write.partitionBy("day").text(path)
+    return logs.read_log_lines(spark, path, source=F.regexp_extract(logs.FILE, "day=([^/]+)/", 1))
+
+
 @query
 def log_metrics(spark, sf):
-    """Every event written as the result log of one run, then parsed."""
-    schema = StructType([StructField("k", IntegerType())])
-    events = messages.decode_json(table(spark, sf, "events").drop("ts"), schema, "props")
+    """Every event written as the result lines of a run; the first of each day, as parsed."""
     unit = F.when(c("event_type") == "error", F.lit("K")).when(c("event_type") == "click", F.lit("G")).otherwise(F.lit("M"))
     lines = F.array(
         F.lit("--- Throughput ---"),
@@ -212,24 +223,15 @@ def log_metrics(spark, sf):
         _log_line("Spark Streaming ETL:  ", c("user_id"), "s"),
         F.concat(_log_line("Curated Parquet:      ", c("k")), unit),
     )
-    written = events.select(
-        c("event_id").cast("string").alias("source"), F.posexplode(lines).alias("position", "line")
-    )
-    return logs.run_metrics(written).withColumn("parquet_mb", r6("parquet_mb"))
+    return logs.run_metrics(_written_logs(spark, sf, lines)).withColumn("parquet_mb", r6("parquet_mb"))
 
 
 @query
 def log_sweeps(spark, sf):
-    """Each user's events as a log: errors start a section, others are table rows."""
-    schema = StructType([StructField("k", IntegerType())])
-    events = messages.decode_json(table(spark, sf, "events").drop("ts"), schema, "props")
+    """Each day's events as a log: errors start a section, others are table rows."""
     row = F.concat(F.lit("  "), c("k").cast("string"), F.lit("     | "), c("value").cast("string"))
-    lines = events.select(
-        c("user_id").cast("string").alias("source"),
-        c("event_id").alias("position"),
-        F.when(c("event_type") == "error", F.lit("[B] Sweeping Privacy Budgets (Epsilons)")).otherwise(row).alias("line"),
-    )
-    return logs.sweep_rows(lines, "epsilon").groupBy("source").agg(
+    line = F.when(c("event_type") == "error", F.lit("[B] Sweeping Privacy Budgets (Epsilons)")).otherwise(row)
+    return logs.sweep_rows(_written_logs(spark, sf, F.array(line)), "epsilon").groupBy("source").agg(
         F.count(F.lit(1)).alias("n"), F.sum("parameter").alias("parameters"), r6(F.sum("error")).alias("errors")
     )
 
@@ -464,26 +466,26 @@ def _routes(spark, sf):
 
 @query
 def hll_registers(spark, sf):
-    return hll.registers(_routes(spark, sf), c("route"), 12)
+    return hll.registers(_routes(spark, sf), c("route"), 12, METHOD)
 
 
 @query
 def hll_estimate(spark, sf):
     items = table(spark, sf, "lineitem").select(c("l_orderkey").cast("string").alias("item"))
-    return hll.estimate(hll.registers(items, c("item"), 10), 10).withColumn("estimate", r6("estimate"))
+    return hll.estimate(hll.registers(items, c("item"), 10, METHOD), 10).withColumn("estimate", r6("estimate"))
 
 
 @query
 def hll_merge(spark, sf):
     """A sketch per kind of line, built in one scan and merged."""
     lines = table(spark, sf, "lineitem").select("l_returnflag", c("l_partkey").cast("string").alias("item"))
-    kinds = hll.registers(lines, c("item"), 12, by=("l_returnflag",))
+    kinds = hll.registers(lines, c("item"), 12, METHOD, by=("l_returnflag",))
     return hll.estimate(hll.merge(kinds), 12).withColumn("estimate", r6("estimate"))
 
 
 @query
 def hll_vs_exact(spark, sf):
-    result = scorecard.hll_vs_exact(_routes(spark, sf), c("route"), 12)
+    result = scorecard.hll_vs_exact(_routes(spark, sf), c("route"), 12, METHOD)
     return result.withColumns({"estimate": r6("estimate"), "error_pct": r6("error_pct")})
 
 
@@ -510,24 +512,24 @@ def _tail_counts(spark, sf):
 
 @query
 def cms_table(spark, sf):
-    return cms.build(flights(spark, sf, "tail_number"), "tail_number", depth=5, widths=50)
+    return cms.build(flights(spark, sf, "tail_number"), "tail_number", depth=5, widths=50, method=METHOD)
 
 
 @query
 def cms_estimate(spark, sf):
     tails = flights(spark, sf, "tail_number")
-    sketch = cms.build(tails, "tail_number", depth=5, widths=50)
-    return cms.probe(sketch, tails, "tail_number", depth=5, widths=50).select("tail_number", "estimate")
+    sketch = cms.build(tails, "tail_number", depth=5, widths=50, method=METHOD)
+    return cms.probe(sketch, tails, "tail_number", depth=5, widths=50, method=METHOD).select("tail_number", "estimate")
 
 
 @query
 def cms_vs_exact(spark, sf):
-    return scorecard.cms_vs_exact(_tail_counts(spark, sf), "tail_number", width=50)
+    return scorecard.cms_vs_exact(_tail_counts(spark, sf), "tail_number", width=50, method=METHOD)
 
 
 @query
 def cms_width_sweep(spark, sf):
-    result = cms.width_sweep(_tail_counts(spark, sf), "tail_number", SWEEP_WIDTHS)
+    result = cms.width_sweep(_tail_counts(spark, sf), "tail_number", SWEEP_WIDTHS, method=METHOD)
     return result.withColumns({"mae": r6("mae"), "kilobytes": r6("kilobytes")})
 
 
@@ -538,7 +540,7 @@ def _user(name: str = "user_id") -> Column:
 @query
 def bloom_bits(spark, sf):
     events = table(spark, sf, "events")
-    return bloom.set_bits(bloom.build(events, _user(), 1024, 4))
+    return bloom.set_bits(bloom.build(events, _user(), 1024, 4, METHOD))
 
 
 FP_RATE = 0.01
@@ -550,10 +552,10 @@ def bloom_probe(spark, sf):
     events = table(spark, sf, "events")
     buyers = events.filter("event_type = 'purchase'")
     m_bits, k_hashes = bloom.sized(buyers.count(), FP_RATE)
-    built = materialize(bloom.build(buyers, _user(), m_bits, k_hashes), "filter")
+    built = materialize(bloom.build(buyers, _user(), m_bits, k_hashes, METHOD), "filter")
     users = events.groupBy("user_id").agg(F.max(c("event_type") == "purchase").alias("added"))
     strangers = users.select((c("user_id") + 1_000_000_000).alias("user_id"), F.lit(False).alias("added"))
-    return bloom.might_contain(users.unionByName(strangers), _user(), built, m_bits, k_hashes)
+    return bloom.might_contain(users.unionByName(strangers), _user(), built, m_bits, k_hashes, METHOD)
 
 
 @query
@@ -562,9 +564,9 @@ def bloom_dedup(spark, sf):
     lines = spread(table(spark, sf, "lineitem"), "l_orderkey").select(line_id().alias("record_id"), "l_returnflag")
     earlier = lines.filter("l_returnflag <> 'R'")
     m_bits, k_hashes = bloom.sized(table(spark, sf, "lineitem").filter("l_returnflag <> 'R'").count(), FP_RATE)
-    first = materialize(bloom.build(earlier, c("record_id"), m_bits, k_hashes), "filter")
+    first = materialize(bloom.build(earlier, c("record_id"), m_bits, k_hashes, METHOD), "filter")
     second = lines.filter("l_returnflag = 'R'").select("record_id").distinct()
-    judged = bloom.might_contain(second, c("record_id"), first, m_bits, k_hashes)
+    judged = bloom.might_contain(second, c("record_id"), first, m_bits, k_hashes, METHOD)
     return judged.select("record_id", (~c("maybe_seen")).alias("accepted"))
 
 
@@ -572,7 +574,7 @@ def bloom_dedup(spark, sf):
 def sketch_scorecard(spark, sf):
     counts = aggregates.counts_by(table(spark, sf, "lineitem").select(c("l_partkey").cast("string").alias("key")), "key")
     outsiders = table(spark, sf, "part").select(F.concat(F.lit("X"), c("p_partkey").cast("string")).alias("key"))
-    result = scorecard.sketch_scorecard(materialize(counts, "parts"), outsiders, "key", fp_rate=FP_RATE)
+    result = scorecard.sketch_scorecard(materialize(counts, "parts"), outsiders, "key", fp_rate=FP_RATE, method=METHOD)
     return result.withColumn("accuracy_pct", r6("accuracy_pct"))
 
 
@@ -583,17 +585,15 @@ def _edges(spark, sf):
     return materialize(aggregates.route_edges(flights(spark, sf, "origin", "destination", "delay_minutes")), "edges")
 
 
-def _hub_graph(edges):
-    """Routes with more delay than the mean route."""
-    return edges.filter(c("weight") > edges.agg(F.avg("weight")).scalar())
-
-
-def _intra_region(spark, sf, edges):
-    region = region_of_nation(spark, sf)
-    origin = region.select(c("airport").alias("origin"), c("region").alias("origin_region"))
-    destination = region.select(c("airport").alias("destination"), c("region").alias("destination_region"))
-    joined = edges.join(origin, "origin").join(destination, "destination")
-    return joined.filter("origin_region = destination_region").select("origin", "destination", "weight")
+def _home_graph(spark, sf):
+    """Every customer and supplier points to its nation, every nation to its region: one component per region."""
+    nation = table(spark, sf, "nation")
+    customer = table(spark, sf, "customer").join(nation, c("c_nationkey") == c("n_nationkey"))
+    supplier = table(spark, sf, "supplier").join(nation, c("s_nationkey") == c("n_nationkey"))
+    edges = customer.select(F.concat(F.lit("C"), c("c_custkey").cast("string")).alias("origin"), c("n_name").alias("destination"))
+    edges = edges.unionByName(supplier.select(F.concat(F.lit("S"), c("s_suppkey").cast("string")).alias("origin"), c("n_name").alias("destination")))
+    regions = region_of_nation(spark, sf).select(c("airport").alias("origin"), c("region").alias("destination"))
+    return materialize(edges.unionByName(regions).withColumn("weight", F.lit(1).cast("bigint")), "homes")
 
 
 def _trade_edges(spark, sf):
@@ -621,7 +621,7 @@ def graph_vertices(spark, sf):
 
 @query
 def graph_stats(spark, sf):
-    return graph.graph_stats(_hub_graph(_edges(spark, sf)))
+    return graph.graph_stats(_trade_graph(spark, sf))
 
 
 def _rounded(ranks):
@@ -630,7 +630,7 @@ def _rounded(ranks):
 
 @query
 def pagerank(spark, sf):
-    return _rounded(graph.pagerank(_hub_graph(_edges(spark, sf))))
+    return _rounded(graph.pagerank(_home_graph(spark, sf)))
 
 
 @query
@@ -645,12 +645,12 @@ def pagerank_trade(spark, sf):
 
 @query
 def top_hubs(spark, sf):
-    return _rounded(graph.top_hubs(_rounded(graph.pagerank(_hub_graph(_edges(spark, sf)))), 20))
+    return _rounded(graph.top_hubs(_rounded(graph.pagerank(_trade_graph(spark, sf))), 20))
 
 
 @query
 def connected_components(spark, sf):
-    return graph.connected_components(_intra_region(spark, sf, _edges(spark, sf)))
+    return graph.connected_components(_home_graph(spark, sf))
 
 
 @query
@@ -660,20 +660,21 @@ def components_trade(spark, sf):
 
 @query
 def component_sizes(spark, sf):
-    return graph.component_sizes(graph.connected_components(_intra_region(spark, sf, _edges(spark, sf))))
+    return graph.component_sizes(graph.connected_components(_home_graph(spark, sf)))
 
 
 # --- similarity ---------------------------------------------------------------------------------
 
 
-def _bags(spark, sf, bucket: int):
-    rows = clean.clean_rows(flights(spark, sf, "origin", "destination", "delay_minutes", "delay_cause"))
+def _bags(spark, sf, bucket: int, cleaned: bool = True):
+    rows = flights(spark, sf, "origin", "destination", "delay_minutes", "delay_cause")
+    rows = clean.clean_rows(rows) if cleaned else rows
     return similarity.token_bags(rows, delay.group_id(c("origin"), c("destination")), _tokens(bucket))
 
 
-def _signed(spark, sf, bucket: int):
+def _signed(spark, sf, bucket: int, cleaned: bool = True):
     """Bags and the signatures of their profiles, each written once."""
-    bags = materialize(_bags(spark, sf, bucket), "bags")
+    bags = materialize(_bags(spark, sf, bucket, cleaned), "bags")
     return bags, materialize(similarity.minhash_signatures(similarity.profiles(bags)), "signatures")
 
 
@@ -713,7 +714,8 @@ def similar_routes(spark, sf):
 
 @query
 def similar_routes_directed(spark, sf):
-    bags, signatures = _signed(spark, sf, 5)
+    """The second report: all rows as they are, every pair in both orders."""
+    bags, signatures = _signed(spark, sf, 15, cleaned=False)
     pairs = similarity.lsh_pairs(signatures, 0.3)
     top = similarity.top_pairs(pairs, bags, 100, digits=6, directed=True)
     return top
@@ -746,8 +748,10 @@ def _origin_counts(spark, sf):
 
 @query
 def laplace_noise(spark, sf):
+    """Noise of repeated releases of each count, and the counts with it."""
     draws = _origin_counts(spark, sf).withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(TRIALS - 1))))
-    return draws.select("origin", "trial", r6(laplace(2.0, keyed_uniform(c("origin"), c("trial")))).alias("noise"))
+    noise = laplace(2.0, keyed_uniform(c("origin"), c("trial")))
+    return draws.select("origin", "trial", r6(noise).alias("noise"), r6(c("n") + noise).alias("released"))
 
 
 @query
@@ -784,7 +788,8 @@ def k_suppression(spark, sf):
 
 
 def _our_scores(spark, sf):
-    return _rounded(graph.pagerank(_hub_graph(_edges(spark, sf))))
+    """Airports by the delay that reaches them over all routes."""
+    return _rounded(graph.pagerank(_edges(spark, sf), weight=c("weight")))
 
 
 def _their_scores(spark, sf):

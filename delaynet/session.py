@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
-from functools import cache
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Every setting here is ordinary Spark configuration; a cluster's own
@@ -19,6 +19,9 @@ RECOMMENDED = {
 }
 
 
+_USED: set[str] = set()
+
+
 def build_session(app: str = "delaynet", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the recommended settings; `conf` keys use `__` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -31,27 +34,51 @@ def build_session(app: str = "delaynet", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="delaynet-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by `spark.checkpoint.dir`.
-
-    Only a local session may go without it: there every task shares one disk.
-    """
+    """The folder all executors can reach: `spark.checkpoint.dir`, or else the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_folder()
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/delaynet/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path nobody else uses, inside the shared folder."""
-    return f"{shared_folder(spark)}/delaynet/{label}-{uuid.uuid4().hex}"
+    folder = _own_folder(spark)
+    if folder not in _USED:
+        _USED.add(folder)
+        atexit.register(_release_at_exit, folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all intermediates of this application. Results that read them are then gone as well."""
+    _remove(spark, _own_folder(spark))
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _release_at_exit(folder: str) -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and SparkContext._active_spark_context is not None:
+        _remove(spark, folder)
+
+
+def bucketed(df: DataFrame, label: str, buckets: int, *keys: str) -> DataFrame:
+    """Write `df` once in buckets by its keys and read it back.
+
+    A join on these keys with as many partitions reads the table where it lies,
+    without moving it. One task writes each bucket, as one file.
+    """
+    name = f"{label}_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", scratch_path(df.sparkSession, label))
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -21,15 +21,18 @@ SWEEPS = {
 }
 
 
-def read_log_lines(spark: SparkSession, *paths: str) -> DataFrame:
-    """Lines with their file and a position that grows along the file."""
-    return spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("source"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
-        ).alias("position"),
-        F.col("value").alias("line"),
-    )
+FILE = "_metadata.file_path"
+
+
+def read_log_lines(spark: SparkSession, *paths: str, source: Column | str = FILE) -> DataFrame:
+    """Lines with their source, by default their file, and a position that grows along it.
+
+    A source of several files is read in the order of their names.
+    """
+    block, row = F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+    position = F.struct(F.col("_metadata.file_name").alias("file"), block.alias("block"), row.alias("row"))
+    source = F.col(source) if isinstance(source, str) else source
+    return spark.read.text(list(paths)).select(source.alias("source"), position.alias("position"), F.col("value").alias("line"))
 
 
 def _number(pattern: str, group: int = 1) -> Column:

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from delaynet.operators import aggregates, bloom, dedup, hll
+from delaynet.operators import aggregates, bloom, dedup, graph, hll
 from delaynet.plans.queries import QUERIES
 from delaynet.sources.tables import flights, table
 
@@ -48,9 +48,28 @@ def test_line_columns_need_no_join(spark, sf_dir):
     [
         (lambda t: dedup.keep_first(t, ["l_orderkey"]), "partial_min"),
         (lambda t: hll.registers(t, F.col("l_orderkey").cast("string")), "partial_max"),
-        (lambda t: bloom.build(t, F.col("l_orderkey").cast("string"), 4096, 3), "partial_bitmap_construct_agg"),
+        (lambda t: bloom.build(t, F.col("l_orderkey").cast("string"), 4096, 3), "partial_bit_or"),
         (lambda t: aggregates.counts_by(t, "l_suppkey"), "partial_count"),
     ],
 )
 def test_rows_shrink_before_the_shuffle(spark, sf_dir, build, partial):
     assert partial in plan(build(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")))
+
+
+@pytest.mark.parametrize("per_salt", [1_000_000, 3])
+def test_links_stay_in_their_buckets(spark, monkeypatch, per_salt):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = spark.range(2000)
+        edges = ids.select((F.col("id") % 100).cast("string").alias("origin"), (F.col("id") % 33).cast("string").alias("destination"))
+        links = graph._links(edges, None, per_salt)
+        assert links.salted == (per_salt == 3)
+        state = links.vertices.select("id", "fanout", F.lit(1.0).alias("rank"))
+        text = plan(links.with_source(state).groupBy("dst").agg(F.sum("rank")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    lines = text.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line and "links" in line)
+    join = max(i for i, line in enumerate(lines[:scan]) if "Join" in line)
+    assert not any("Exchange" in line for line in lines[join:scan])
