@@ -47,7 +47,7 @@ def sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two samples of every text, with the checksum of their ids and whether they decode to the text."""
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents")
-    rows = segmentations.decoded(segmentations.sampled(docs, model), model)
+    rows = segmentations.sampled(docs, model, decode=True)
     return rows.select(
         "doc_id", "sample", "n_tokens", "log_prob", "perturbed", "inclusion",
         F.crc32("ids").alias("ids_crc32"), F.crc32(F.encode("decoded", "UTF-8")).alias("text_crc32"),

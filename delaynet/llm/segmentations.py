@@ -32,7 +32,7 @@ from delaynet.llm.vocabularies import SPACE, marked_words, sentence_piece
 
 SAMPLES = 2
 ALPHA = 0.5
-CACHE_WORDS = 350_000  # words whose lattices a worker remembers
+CACHE_WORDS = 200_000  # words whose lattices a worker remembers
 STEP = 300_000  # characters sampled in step
 
 _BASE = np.uint64(0x100000001B3)
@@ -84,30 +84,34 @@ class Vocabulary:
             found.sort()
             self.pieces[length] = np.array([h for h, _ in found], np.uint64), np.array([n for _, n in found], np.int32)
 
-    def matches(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Piece from each place of each word with each length, or -1; characters without one count from `size` on."""
+    def matches(self, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Word, place, length, piece and log weight of every piece that occurs in the words.
+
+        Characters without a piece of their own count as pieces from `size` on.
+        """
         rows, width = codes.shape
-        out = np.full((rows, width, min(self.longest, width)), -1, dtype=np.int32)
         hashed = np.zeros((rows, width), dtype=np.uint64)
-        for length in range(1, out.shape[2] + 1):
+        single = np.arange(width)[None, :] < lengths[:, None]  # places that no one-character piece covers yet
+        found = []
+        for length in range(1, min(self.longest, width) + 1):
             span = width - length + 1
             hashed = hashed[:, :span] * _BASE + codes[:, length - 1 :] + np.uint64(1)
-            if length in self.pieces:
-                known, numbers = self.pieces[length]
-                row, place = np.nonzero(np.arange(span)[None, :] + length <= lengths[:, None])
-                wanted = hashed[row, place]
-                at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-                hit = known[at] == wanted
-                out[row[hit], place[hit], length - 1] = numbers[at[hit]]
-        row, place = np.nonzero((out[:, :, 0] < 0) & (np.arange(width)[None, :] < lengths[:, None]))
-        out[row, place, 0] = self.size + codes[row, place].astype(np.int64)
-        return out
-
-    def log_weight(self, found: np.ndarray) -> np.ndarray:
-        known = np.where((found >= 0) & (found < self.size), self.weight[np.clip(found, 0, self.size - 1)], -np.inf)
-        own = found - self.size
+            if length not in self.pieces:
+                continue
+            known, numbers = self.pieces[length]
+            row, place = np.nonzero(np.arange(span)[None, :] + length <= lengths[:, None])
+            wanted = hashed[row, place]
+            at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+            hit = known[at] == wanted
+            row, place, piece = row[hit], place[hit], numbers[at[hit]]
+            if length == 1:
+                single[row, place] = False
+            found.append((row, place, np.full(len(row), length), piece, self.weight[piece]))
+        row, place = np.nonzero(single)
+        own = codes[row, place].astype(np.int64)
         size = 1 + (own >= 0x80).astype(int) + (own >= 0x800) + (own >= 0x10000)
-        return np.where(found >= self.size, self.byte_weight * size, known)
+        found.append((row, place, np.ones(len(row), int), (own + self.size).astype(np.int32), self.byte_weight * size))
+        return tuple(map(np.concatenate, zip(*found)))
 
     def ids(self, codes: np.ndarray) -> np.ndarray:
         """Vocabulary ids of chosen pieces, with bytes for characters outside of it."""
@@ -146,7 +150,7 @@ class Lattices:
     """The lattices of the words that a worker has met.
 
     A word's nodes are its places, in a row; a node's edges are its pieces, the
-    likeliest first, with the chance of each given the node. Word w starts at
+    longest first, with the chance of each given the node. Word w starts at
     node `start[w]`; `stop[w]` is the node after its last place.
     """
 
@@ -185,42 +189,41 @@ class Lattices:
         width = int(lengths.max())
         padded = "".join(text.ljust(width, "\0") for text in texts)
         codes = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(texts), width).astype(np.uint64)
-        found = words.matches(codes, lengths)
-        depth = found.shape[2]
-        weight = words.log_weight(found)
-        after = np.full((len(texts), width + depth + 1), -np.inf)  # log mass from each place to the end
-        after[np.arange(len(texts)), lengths] = 0.0
-        for place in range(width - 1, -1, -1):
-            paths = weight[:, place, :] + after[:, place + 1 : place + 1 + depth]
+        row, place, length, piece, weight = words.matches(codes, lengths)
+        depth = words.longest  # the same for any batch of words, and so are sums
+        by_place = np.full((width, len(texts), depth), -np.inf)
+        by_place[place, row, length - 1] = weight
+        after = np.full((width + depth + 1, len(texts)), -np.inf)  # log mass from each place to the end
+        after[lengths, np.arange(len(texts))] = 0.0
+        for at in range(width - 1, -1, -1):
+            paths = by_place[at] + after[at + 1 : at + 1 + depth].T
             top = paths.max(axis=1)
-            safe = np.where(np.isfinite(top), top, 0.0)
-            total = safe + np.log(np.exp(paths - safe[:, None]).sum(axis=1), where=np.isfinite(top), out=np.full(len(texts), -np.inf))
-            inside = place < lengths
-            after[inside, place] = total[inside]
-        inner = np.arange(width)[None, :] < lengths[:, None]
-        row, place = np.nonzero(inner)
-        paths = weight[row, place, :] + after[row[:, None], place[:, None] + 1 + np.arange(depth)] - after[row, place][:, None]
-        order = np.argsort(-paths, axis=1, kind="stable")
-        ordered = np.take_along_axis(paths, order, axis=1)
-        pieces = np.take_along_axis(found[row, place, :], order, axis=1)
-        valid = np.isfinite(ordered)
-        chance = np.where(valid, np.exp(ordered), 0.0)
-        upto = np.cumsum(chance, axis=1)
-        count = valid.sum(axis=1)
-        upto[np.arange(len(count)), count - 1] = 2.0  # the last edge takes the rest
-        single = count == 1
-        ordered[single, 0] = 0.0
-        node, edge = self.first_edge.size, self.upto.size
-        ends = node + np.cumsum(lengths)
+            inside = np.flatnonzero(np.isfinite(top))
+            after[at, inside] = top[inside] + np.log(np.exp(paths[inside] - top[inside, None]).sum(axis=1))
+        after[lengths, np.arange(len(texts))] = 0.0
+        log = weight + after[place + length, row] - after[place, row]
+        ends = np.cumsum(lengths)
+        node = (ends - lengths)[row] + place
+        order = np.argsort(node * (depth + 1) - length)  # by node, the longest first, as these tend to be likelier
+        node, log, length, piece = node[order], log[order], length[order], piece[order]
+        begin = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+        count = np.diff(np.r_[begin, len(node)])
+        place_in, owner = np.arange(len(node)) - np.repeat(begin, count), np.repeat(np.arange(len(begin)), count)
+        chances = np.zeros((len(begin), depth))
+        chances[owner, place_in] = np.exp(log)
+        upto = np.cumsum(chances, axis=1)[owner, place_in]
+        upto[begin + count - 1] = 2.0  # the last edge takes the rest
+        log[begin[count == 1]] = 0.0
+        first, edge = self.first_edge.size, self.upto.size
         for number, unit in enumerate(units, start=self.start.size):
             self.known[unit] = number
-        self.start.add(ends - lengths)
-        self.stop.add(ends)
-        self.first_edge.add(edge + np.r_[0, np.cumsum(count)[:-1]])
-        self.upto.add(upto[valid])
-        self.length.add(order[valid] + 1)
-        self.piece.add(pieces[valid])
-        self.log.add(ordered[valid])
+        self.start.add(first + ends - lengths)
+        self.stop.add(first + ends)
+        self.first_edge.add(edge + begin)
+        self.upto.add(upto)
+        self.length.add(length)
+        self.piece.add(piece)
+        self.log.add(log)
 
     def sample(self, word: np.ndarray, key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """One segmentation of each word: pieces in a row, their number, and the log chance."""
@@ -293,34 +296,30 @@ _LEAST = 1e-12  # a part of a region with less of its word's mass cannot be told
 
 
 class _Part:
-    """What is left around one sample of a text: a Gumbel value per word that could differ first."""
-
-    def __init__(self, begin, pieces, sizes, logs, value, barred, key):
-        self.begin, self.pieces, self.sizes, self.logs, self.barred = begin, pieces, sizes, logs, barred
-        self.offsets = np.r_[0, np.cumsum(sizes)]
-        self.prefix = np.r_[0.0, np.cumsum(logs)]
-        inner = slice(begin, len(sizes))
-        rest = -np.expm1(logs[inner])
-        if len(rest) and barred:
-            rest[0] -= sum(np.exp(log) for _, log in barred)
-        with np.errstate(divide="ignore"):
-            mass = self.prefix[begin:-1] + np.log(np.where(rest > _LEAST, rest, 0.0))
-        free = mass - np.log(-np.log(uniform(np.full(len(rest), key), np.arange(begin, len(sizes)) + (np.int64(1) << 40))))
-        self.values = np.where(np.isfinite(mass), -np.logaddexp(-value, -free), -np.inf)
-        self.best = int(self.values.argmax()) if len(rest) else -1
-
-    def top(self) -> float:
-        return float(self.values[self.best]) if self.best >= 0 else -np.inf
+    """What is left around one sample of a text: a Gumbel value per word, from `begin` on, that could differ first."""
+
+    def __init__(self, begin, pieces, sizes, logs, values, barred):
+        self.begin, self.pieces, self.sizes, self.logs, self.values, self.barred = begin, pieces, sizes, logs, values, barred
+        self.settle()
+
+    def settle(self) -> None:
+        self.best = int(self.values.argmax()) if len(self.values) else -1
+        self.top = float(self.values[self.best]) if self.best >= 0 else -np.inf
 
     def close(self) -> int:
         """The word where the best part differs; that part is taken."""
-        at = self.best
-        self.values[at] = -np.inf
-        self.best = int(self.values.argmax())
-        return self.begin + at
+        at = self.begin + self.best
+        self.values[self.best] = -np.inf
+        self.settle()
+        return at
 
-    def segmentation(self, word: int) -> tuple[int, ...]:
-        return tuple(self.pieces[self.offsets[word] : self.offsets[word + 1]].tolist())
+
+def _gumbels(mass: np.ndarray, rest: np.ndarray, key: np.ndarray, place: np.ndarray, cap: np.ndarray) -> np.ndarray:
+    """Gumbel values below `cap` of parts whose log mass is `mass` and the log of the share `rest`."""
+    with np.errstate(divide="ignore"):
+        mass = mass + np.log(np.where(rest > _LEAST, rest, 0.0))
+        free = mass - np.log(-np.log(uniform(key, place + (np.int64(1) << 40))))
+    return np.where(np.isfinite(mass), -np.logaddexp(-cap, -free), -np.inf)
 
 
 def top_samples(store: Lattices, texts: list[list[str]], keys: np.ndarray, samples: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
@@ -333,52 +332,64 @@ def top_samples(store: Lattices, texts: list[list[str]], keys: np.ndarray, sampl
     numbers = store.number([word for words in texts for word in words])
     bounds = np.r_[0, np.cumsum(counts)]
 
-    def drawn(owners: np.ndarray, begins: np.ndarray, round_: int):
-        """Fresh segmentations of the words from `begins` on; by owner."""
+    def drawn(owners: np.ndarray, begins: np.ndarray, prefix: np.ndarray, caps: np.ndarray, key: np.ndarray):
+        """Fresh segmentations of the words from `begins` on, and the values of the parts around them; by owner."""
         sizes = counts[owners] - begins
-        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(begins, sizes)
+        first = np.cumsum(sizes) - sizes
+        place = np.arange(sizes.sum()) - np.repeat(first - begins, sizes)
         word = numbers[np.repeat(bounds[owners], sizes) + place]
-        key = np.repeat(_round_key(keys[owners], round_), sizes)
+        key = np.repeat(key, sizes)
         pieces, lengths, logs = store.sample(word, key, place)
-        cut = np.cumsum(sizes)[:-1]
-        token_cut = np.r_[0, np.cumsum(lengths)][np.cumsum(sizes)[:-1]] if len(sizes) else []
-        return list(zip(np.split(pieces, token_cut), np.split(lengths, cut), np.split(logs, cut)))
+        total, spans = np.zeros(len(logs)), list(zip(first.tolist(), (first + sizes).tolist()))
+        for low, high in spans:  # one by one, so that no text changes another one's sums
+            np.cumsum(logs[low:high], out=total[low:high])
+        mass = total - logs + np.repeat(prefix, sizes)
+        values = _gumbels(mass, -np.expm1(logs), key, place, np.repeat(caps, sizes))
+        tokens = np.r_[0, np.cumsum(lengths)]
+        for low, high in spans:
+            chance = float(total[high - 1]) if high > low else 0.0
+            yield pieces[tokens[low] : tokens[high]], lengths[low:high], logs[low:high], values[low:high].copy(), chance
 
     everyone = np.arange(len(texts))
-    values = -np.log(-np.log(uniform(_round_key(keys, 0), np.full(len(texts), np.int64(1) << 41))))
+    key = _round_key(keys, 0)
+    tops = -np.log(-np.log(uniform(key, np.full(len(texts), np.int64(1) << 41))))
     parts: list[list[_Part]] = []
-    emitted: list[list[list]] = []
-    for owner, (pieces, sizes, logs) in zip(everyone.tolist(), drawn(everyone, np.zeros(len(texts), int), 0)):
-        parts.append([_Part(0, pieces, sizes, logs, values[owner], [], _round_key(keys[owner : owner + 1], 0)[0])])
-        emitted.append([[pieces, float(logs.sum()), float(values[owner])]])
+    emitted: list[list[tuple]] = []
+    nothing = np.zeros(len(texts))
+    for owner, (pieces, sizes, logs, values, chance) in enumerate(drawn(everyone, nothing.astype(int), nothing, tops, key)):
+        parts.append([_Part(0, pieces, sizes, logs, values, [])])
+        emitted.append([(pieces, chance, float(tops[owner]))])
     for round_ in range(1, samples):
-        owners, begins, chosen = [], [], []
+        key = _round_key(keys, round_)
+        chosen = []
         for owner in everyone.tolist():
-            part = max(parts[owner], key=_Part.top)
-            value = part.top()
+            part = max(parts[owner], key=lambda part: part.top)
+            value = part.top
             if not np.isfinite(value):
                 continue
             at = part.close()
-            own = part.segmentation(at)
+            low = int(part.sizes[:at].sum())
+            own = tuple(part.pieces[low : low + int(part.sizes[at])].tolist())
             barred = [(own, float(part.logs[at])), *(part.barred if at == part.begin else [])]
-            key = _round_key(keys[owner : owner + 1], round_)[0]
-            pieces, log = store.sample_other(int(numbers[bounds[owner] + at]), [p for p, _ in barred], key, at)
-            owners.append(owner)
-            begins.append(at + 1)
-            chosen.append((part, at, value, barred, key, pieces, log))
-        if not owners:
+            pieces, log = store.sample_other(int(numbers[bounds[owner] + at]), [p for p, _ in barred], key[owner], at)
+            barred.append((tuple(pieces), log))
+            chosen.append((owner, part, at, low, value, barred, pieces, log, float(part.logs[:at].sum())))
+        if not chosen:
             break
-        for owner, (part, at, value, barred, key, pieces, log), (tail, sizes, logs) in zip(
-            owners, chosen, drawn(np.array(owners), np.array(begins), round_)
-        ):
-            whole = np.concatenate([part.pieces[: part.offsets[at]], np.array(pieces, np.int32), tail])
+        owners, ats, values, logs, prefixes = (np.array([c[i] for c in chosen]) for i in (0, 2, 4, 7, 8))
+        rest = 1.0 - np.array([sum(np.exp(log) for _, log in c[5]) for c in chosen])
+        firsts = _gumbels(prefixes, rest, key[owners], ats, values)
+        tails = drawn(owners, ats + 1, prefixes + logs, values, key[owners])
+        for (owner, part, at, low, value, barred, pieces, log, prefix), first, (tail, sizes, more, tail_values, chance) in zip(chosen, firsts, tails):
+            whole = np.concatenate([part.pieces[:low], np.array(pieces, np.int32), tail])
             sizes = np.concatenate([part.sizes[:at], [len(pieces)], sizes])
-            logs = np.concatenate([part.logs[:at], [log], logs])
-            parts[owner].append(_Part(at, whole, sizes, logs, value, barred, key))
-            emitted[owner].append([whole, float(logs.sum()), value])
+            more = np.concatenate([part.logs[:at], [log], more])
+            # The sample itself is barred at its first word only through its own part.
+            parts[owner].append(_Part(at, whole, sizes, more, np.r_[first, tail_values], barred[:-1]))
+            emitted[owner].append((whole, prefix + log + chance, value))
     out = []
     for found, left in zip(emitted, parts):
-        bound = max(part.top() for part in left)
+        bound = max(part.top for part in left)
         out.append([(p, log, value, float(-np.expm1(-np.exp(min(log - bound, 700.0))))) for p, log, value in found])
     return out
 
@@ -392,16 +403,25 @@ _NAMES = [column.split()[0] for column in _OUT.split(", ")]
 _KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.binary()]
 
 
+def text_of(ids: np.ndarray, pieces: list[bytes]) -> str:
+    """The text that ids stand for, without the mark that starts it; broken UTF-8 is mended."""
+    return b"".join(map(pieces.__getitem__, ids.tolist()))[1:].decode("utf-8", "replace")
+
+
 def sampled(
-    docs: DataFrame, model: str, samples: int = SAMPLES, alpha: float = ALPHA, seed: int = 0, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, model: str, samples: int = SAMPLES, alpha: float = ALPHA, seed: int = 0, doc_id: str = "doc_id", text: str = "text",
+    decode: bool = False,
 ) -> DataFrame:
     """`doc_id, sample, n_tokens, log_prob, perturbed, inclusion, ids`: distinct segmentations of every whole text.
 
     `ids` are little-endian 32-bit vocabulary ids. A text with fewer segmentations
     than `samples` gets all it has; null and empty texts have the empty one. Rows
     that repeat a doc_id and text get the same samples. Other columns are not read.
+    With `decode` a column `decoded` holds the text that the ids stand for.
     """
 
+    names, kinds = (_NAMES + ["decoded"], _KINDS + [pa.string()]) if decode else (_NAMES, _KINDS)
+
     def run(batches):
         store = lattices(model, alpha)
         for batch in batches:
@@ -415,14 +435,15 @@ def sampled(
                 for key, those in zip(ids[low:high], found):
                     for number, (pieces, log, value, chance) in enumerate(those, start=1):
                         content = store.words.ids(pieces)
-                        rows.append((key, number, len(content), log, value, chance, content.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _KINDS)], names=_NAMES)
+                        back = (text_of(content, store.words.bytes),) if decode else ()
+                        rows.append((key, number, len(content), log, value, chance, content.tobytes(), *back))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     rows = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"),
         F.xxhash64(F.lit(seed), F.col(doc_id).cast("bigint")).alias("key"),
     )
-    return rows.mapInArrow(run, _OUT)
+    return rows.mapInArrow(run, _OUT + ", decoded string" * decode)
 
 
 def decoded(rows: DataFrame, model: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -438,8 +459,7 @@ def decoded(rows: DataFrame, model: str, ids: str = "ids", to: str = "decoded")
                 if content is None:
                     texts.append(None)
                     continue
-                joined = b"".join(map(pieces.__getitem__, np.frombuffer(content, "<u4").tolist()))
-                texts.append(joined[1:].decode("utf-8", "replace"))  # without the mark that starts a text
+                texts.append(text_of(np.frombuffer(content, "<u4"), pieces))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, to])
 
     return rows.mapInArrow(run, schema)
