@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from delaynet.session import materialize
+
 
 def data_quality(rows: DataFrame, key: str, timestamp: str, text_columns: list[str], as_of: Column) -> DataFrame:
     """Totals, missing values, duplicates, time range and freshness in one scan.
@@ -47,55 +49,68 @@ def data_quality(rows: DataFrame, key: str, timestamp: str, text_columns: list[s
     )
 
 
-def windowed_percentiles(rows: DataFrame, group: str, value: str, percents: list[int] | tuple[int, ...], bin_width: float = 1.0) -> DataFrame:
-    """Exact discrete percentiles per group as columns p<percent>.
+BINS = 1024  # equal parts that a range of values is cut into
+FEW_VALUES = 4096  # distinct values that are sorted at once
+
+
+def windowed_percentiles(counted: DataFrame, group: str, value: str, percents: list[int] | tuple[int, ...], n: str = "n") -> DataFrame:
+    """Exact discrete percentiles per group as columns p<percent>, from a (group, value, n) relation.
 
-    Counts per (group, bin) locate the bin that holds each wanted position;
-    only that bin is then resolved to single values. A group with a large share
-    of the rows is thus spread over its bins, never sorted as a whole.
+    The range of a group's values is cut into equal bins; counts per bin tell which
+    one holds a wanted position, and its own range is cut again as long as it holds
+    many values. So a task sorts at most BINS bins or FEW_VALUES values of a group,
+    however many rows or values it has, and wherever they crowd. Values that are null
+    or not finite have no place in the order. The relation is read a few times, so pass a written one.
     """
-    counted = rows.filter(F.col(value).isNotNull()).groupBy(
-        F.col(group).alias("_group"), F.floor(F.col(value) / bin_width).alias("_bin"), F.col(value).alias("_value")
-    ).agg(F.count(F.lit(1)).alias("_n"))
-    bins = counted.groupBy("_group", "_bin").agg(F.sum("_n").alias("_in_bin"))
-    running = Window.partitionBy("_group").orderBy("_bin")
-    located = bins.select(
-        "_group",
-        "_bin",
-        (F.sum("_in_bin").over(running) - F.col("_in_bin")).alias("_below"),
-        "_in_bin",
-        F.sum("_in_bin").over(Window.partitionBy("_group")).alias("_total"),
+    number = F.col(value).cast("double")
+    rows = counted.filter(number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf"))).select(
+        F.col(group).alias("_group"), F.col(value).alias("_value"), F.col(n).alias("_n")
     )
-    targets = [
-        F.struct(F.lit(p).alias("percent"), F.greatest(F.lit(1), F.ceil(F.col("_total") * p / 100)).alias("position"))
-        for p in percents
-    ]
-    wanted = (
-        located.withColumn("_t", F.explode(F.array(*targets)))
-        .filter((F.col("_t.position") > F.col("_below")) & (F.col("_t.position") <= F.col("_below") + F.col("_in_bin")))
-        .groupBy("_group", "_bin")
-        .agg(F.collect_list("_t").alias("_targets"), F.max("_below").alias("_below"))
+    ranges = rows.groupBy("_group").agg(
+        F.min("_value").alias("_low"), F.max("_value").alias("_high"), F.sum("_n").alias("_total"), F.count(F.lit(1)).alias("_values")
     )
-    within = Window.partitionBy("_group", "_bin").orderBy("_value")
-    resolved = (
-        counted.join(wanted, ["_group", "_bin"])
-        .withColumn("_upto", F.col("_below") + F.sum("_n").over(within))
-        .withColumn("_t", F.explode("_targets"))
-        .filter((F.col("_t.position") <= F.col("_upto")) & (F.col("_t.position") > F.col("_upto") - F.col("_n")))
+    state = ranges.withColumn("_percent", F.explode(F.lit(list(percents)))).select(
+        "_group", "_percent", F.greatest(F.lit(1), F.ceil(F.col("_total") * F.col("_percent") / 100)).alias("_position"),
+        "_low", "_high", F.lit(0).cast("bigint").alias("_below"), "_values",
     )
-    return resolved.groupBy(F.col("_group").alias(group)).agg(
-        *[F.max(F.when(F.col("_t.percent") == p, F.col("_value"))).alias(f"p{p}") for p in percents]
+    state = materialize(state, "ranges")
+    key = ["_group", "_percent"]
+
+    def inside() -> DataFrame:
+        return rows.join(state, "_group").filter((F.col("_value") >= F.col("_low")) & (F.col("_value") <= F.col("_high")))
+
+    while (state.agg(F.max("_values")).first()[0] or 0) > FEW_VALUES:
+        share = (F.col("_value") - F.col("_low")) / F.nullif(F.col("_high") - F.col("_low"), F.lit(0))
+        part = F.least(F.lit(BINS - 1), F.floor(F.coalesce(share, F.lit(0.0)) * BINS))
+        bins = inside().groupBy(*key, part.alias("_bin")).agg(
+            F.sum("_n").alias("_in_bin"), F.min("_value").alias("_low"), F.max("_value").alias("_high"),
+            F.count(F.lit(1)).alias("_values"), F.max("_position").alias("_position"), F.max("_below").alias("_below"),
+        )
+        running = F.sum("_in_bin").over(Window.partitionBy(*key).orderBy("_bin"))
+        placed = bins.withColumn("_below", F.col("_below") + running - F.col("_in_bin"))
+        held = (F.col("_position") > F.col("_below")) & (F.col("_position") <= F.col("_below") + F.col("_in_bin"))
+        state = materialize(placed.filter(held).select(*key, "_position", "_low", "_high", "_below", "_values"), "ranges")
+
+    running = F.sum("_n").over(Window.partitionBy(*key).orderBy("_value"))
+    resolved = inside().withColumn("_upto", F.col("_below") + running)
+    held = (F.col("_position") <= F.col("_upto")) & (F.col("_position") > F.col("_upto") - F.col("_n"))
+    return resolved.filter(held).groupBy(F.col("_group").alias(group)).agg(
+        *[F.max(F.when(F.col("_percent") == p, F.col("_value"))).alias(f"p{p}") for p in percents]
     )
 
 
 def throughput_windows(rows: DataFrame, timestamp: str, value: str, width: str = "1 day", percents: tuple[int, ...] = (50, 99)) -> DataFrame:
-    """Per time window: rows, rows per second, and percentiles of `value`."""
-    placed = rows.select(F.window(timestamp, width).alias("w"), F.col(value).alias("value")).select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "value"
-    )
+    """Per time window: rows, rows per second, and percentiles of `value`.
+
+    Rows are counted per window and value once; volumes and percentiles both come
+    from the written counts.
+    """
+    placed = rows.select(F.window(timestamp, width).alias("w"), F.col(value).alias("value"))
+    counted = placed.groupBy(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "value").agg(F.count(F.lit(1)).alias("n"))
+    counted = materialize(counted, "counted")
     seconds = F.timestamp_diff("SECOND", "window_start", "window_end")
-    volume = placed.groupBy("window_start", "window_end").agg(F.count(F.lit(1)).alias("records"))
-    shape = windowed_percentiles(placed, "window_start", "value", percents)
+    volume = counted.groupBy("window_start", "window_end").agg(F.sum("n").alias("records"))
+    shape = windowed_percentiles(counted, "window_start", "value", percents)
     return (
         volume.withColumn("records_per_sec", F.col("records") / seconds)
         .drop("window_end")

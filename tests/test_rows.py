@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from delaynet.operators import aggregates, audit, clean, dedup, ranking
+from delaynet.sources.tables import table
 
 FLIGHT = "origin string, destination string, delay_minutes int, delay_cause string"
 
@@ -81,13 +82,30 @@ def test_map_rows(spark):
 def test_percentiles_match_sorting(spark):
     rng = random.Random(4)
     rows = [(rng.choice("aab"), round(rng.expovariate(0.05), 2)) for _ in range(2000)] + [("c", 7.0)] + [("d", None)] + [("a", 3.0)] * 900
-    table = spark.createDataFrame(rows, "g string, v double")
-    for width in (1.0, 1000.0):
-        got = {r.g: (r.p1, r.p50, r.p99, r.p100) for r in audit.windowed_percentiles(table, "g", "v", [1, 50, 99, 100], width).collect()}
-        assert set(got) == {"a", "b", "c"}
-        for group, found in got.items():
-            values = sorted(v for g, v in rows if g == group)
-            assert found == tuple(values[max(1, -(-len(values) * p // 100)) - 1] for p in (1, 50, 99, 100))
+    table = spark.createDataFrame(rows, "g string, v double").groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    got = {r.g: (r.p1, r.p50, r.p99, r.p100) for r in audit.windowed_percentiles(table, "g", "v", [1, 50, 99, 100]).collect()}
+    assert set(got) == {"a", "b", "c"}
+    for group, found in got.items():
+        values = sorted(v for g, v in rows if g == group and v is not None)
+        assert found == tuple(values[max(1, -(-len(values) * p // 100)) - 1] for p in (1, 50, 99, 100))
+
+
+def test_percentiles_of_a_crowded_window(spark, monkeypatch):
+    monkeypatch.setattr(audit, "BINS", 8)
+    monkeypatch.setattr(audit, "FEW_VALUES", 16)
+    rng = random.Random(3)
+    values = [rng.random() * 1e-6 for _ in range(3000)] + [1e9, -1e9] + [0.5] * 40  # nearly all in one bin, of a wide range
+    rows = [("hot", v) for v in values] + [("one", 2.0), ("nan", float("nan")), ("nan", float("inf"))]
+    table = spark.createDataFrame(rows, "g string, v double").groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    got = {r.g: (r.p1, r.p50, r.p99) for r in audit.windowed_percentiles(table, "g", "v", [1, 50, 99]).collect()}
+    values.sort()
+    assert got == {"hot": tuple(values[max(1, -(-len(values) * p // 100)) - 1] for p in (1, 50, 99)), "one": (2.0, 2.0, 2.0)}
+
+
+def test_windows_read_their_rows_once(spark, sf_dir):
+    result = audit.throughput_windows(table(spark, sf_dir, "events"), "ts", "value")
+    text = result._jdf.queryExecution().executedPlan().toString()
+    assert "events.parquet" not in text and "counted-" in text
 
 
 def test_quality_profile(spark):
