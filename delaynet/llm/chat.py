@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from delaynet.llm.common import map_batches
 from delaynet.session import materialize
 
 ROLES = ("system", "user", "assistant")
@@ -236,7 +237,7 @@ def repair_roles(
 
         yield from _batches(out(), _PART_SCHEMA)
 
-    found = materialize(ranged.sortWithinPartitions(*keys, "text").mapInArrow(first, _PART), "turns")
+    found = materialize(map_batches(ranged.sortWithinPartitions(*keys, "text"), first, _PART), "turns")
     inner = found.filter("task is null").select(*[f.name for f in _OUT_SCHEMA])
     states = spark.sparkContext.broadcast(_chained(found.filter("matrix is not null").select("conv_id", "task", "edge", "matrix").collect(), costs))
 
@@ -253,7 +254,7 @@ def repair_roles(
 
     outer = found.filter("at is not null").select("task", "edge", "at", "conv_id", "turn", "role", "text")
     outer = outer.repartition("task", "edge").sortWithinPartitions("task", "edge", "at")
-    return inner.unionByName(outer.mapInArrow(second, _OUT))
+    return inner.unionByName(map_batches(outer, second, _OUT))
 
 
 def _chained(summaries: list, costs: Costs) -> dict[tuple[int, int], tuple[int, int, bool]]:

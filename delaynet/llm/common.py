@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Characters of text that one step of an operator works on at a time. Long rows
 # go through in pieces or alone, so a task's memory does not follow batch sizes.
 STEP_CHARS = 4_000_000
+BATCH_BYTES = 8 << 20  # of one Arrow batch
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def hash_order(column: str) -> Column:
@@ -37,6 +39,26 @@ def slices(lengths: list[int], budget: int = STEP_CHARS) -> Iterator[tuple[int,
         yield start, len(lengths)
 
 
+def map_batches(rows: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """`mapInArrow` with batches of at most BATCH_BYTES.
+
+    That is a setting of the session, not of one query, so a larger value there is
+    lowered for good: a task holds some batches as Arrow data and as Python strings
+    at once, next to Spark's own copy.
+    """
+    conf = rows.sparkSession.conf
+    if not 0 < _bytes(conf.get(_BATCH_SETTING)) <= BATCH_BYTES:
+        conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
+    return rows.mapInArrow(function, schema)
+
+
+def _bytes(text: str) -> int:
+    """Bytes that a size setting names."""
+    digits = text.strip().lower().removesuffix("b")
+    unit = "kmgt".find(digits[-1:]) + 1 if digits[-1:].isalpha() else 0
+    return int(digits[:-1] if unit else digits) << 10 * unit
+
+
 def map_rows(rows: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema) -> DataFrame:
     """`function` over Arrow batches in the tasks that hold them, without a shuffle."""
 
@@ -45,7 +67,7 @@ def map_rows(rows: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatc
             if batch.num_rows:
                 yield function(batch)
 
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str | None]:

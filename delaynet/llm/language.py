@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaynet.llm.common import hash_order, slices, texts_of
+from delaynet.llm.common import hash_order, map_batches, slices, texts_of
 
 SAMPLE_ROWS = 240  # labelled rows that a language is learned from, about
 SAMPLE_LETTERS = 120_000  # symbols of all languages' samples together
@@ -248,7 +248,7 @@ def identify(
         F.coalesce(~learning_rows(F.col(doc_id)), F.lit(False)).alias("held_out"),
         F.col(text).alias("text"),
     )
-    return rows.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double, bits_per_symbol double")
+    return map_batches(rows, run, "doc_id bigint, held_out boolean, lang_pred string, score double, bits_per_symbol double")
 
 
 def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -273,4 +273,4 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFr
                 good = known & ((bits <= limit) | (size < JUNK_SYMBOLS))
                 yield batch.slice(low, high - low).filter(pa.array(good))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from delaynet.llm.common import map_rows, texts_of
+from delaynet.llm.common import map_batches, map_rows, texts_of
 from delaynet.llm.vocabularies import byte_bpe
 from delaynet.session import materialize
 
@@ -71,7 +71,7 @@ def pieces(
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, schema)], schema=schema)
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, PIECES)
+    return map_batches(rows, run, PIECES)
 
 
 @dataclass(frozen=True)
@@ -232,7 +232,7 @@ def pack(
             yield pa.RecordBatch.from_arrays(fields, names=[*batch.schema.names, "task", "within"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields) + ", task bigint, within bigint"
-    numbered = materialize(kept.mapInArrow(number, schema), "pieces")
+    numbered = materialize(map_batches(kept, number, schema), "pieces")
     by_task = numbered.groupBy("task", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     begins = by_task.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))

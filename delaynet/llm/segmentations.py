@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from delaynet.llm.common import slices, texts_of
+from delaynet.llm.common import map_batches, slices, texts_of
 from delaynet.llm.vocabularies import SPACE, marked_words, sentence_piece
 
 SAMPLES = 2
@@ -443,7 +443,7 @@ def sampled(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"),
         F.xxhash64(F.lit(seed), F.col(doc_id).cast("bigint")).alias("key"),
     )
-    return rows.mapInArrow(run, _OUT + ", decoded string" * decode)
+    return map_batches(rows, run, _OUT + ", decoded string" * decode)
 
 
 def decoded(rows: DataFrame, model: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -462,4 +462,4 @@ def decoded(rows: DataFrame, model: str, ids: str = "ids", to: str = "decoded")
                 texts.append(text_of(np.frombuffer(content, "<u4"), pieces))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, to])
 
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaynet.llm.common import slices, texts_of, unused
+from delaynet.llm.common import map_batches, slices, texts_of, unused
 from delaynet.session import materialize
 
 SHINGLE = 3
@@ -92,7 +92,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     rows = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("signature"), F.col(text).alias("text")
     )
-    return rows.mapInArrow(run, "doc_id bigint, signature bigint, fp bigint")
+    return map_batches(rows, run, "doc_id bigint, signature bigint, fp bigint")
 
 
 # Search
@@ -306,9 +306,9 @@ def links_between(distinct: DataFrame, count: int, distance: int = DISTANCE) ->
                 yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["choice", "bucket", "gray", "fp"])
 
     order = ["choice", "bucket", "gray"]
-    rows = distinct.select("fp").mapInArrow(keyed, "choice int, bucket bigint, gray bigint, fp bigint")
+    rows = map_batches(distinct.select("fp"), keyed, "choice int, bucket bigint, gray bigint, fp bigint")
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("choice", "bucket", "fp")
-    found = materialize(ranged.mapInArrow(_search(distance), _FOUND), "simhash-links")
+    found = materialize(map_batches(ranged, _search(distance), _FOUND), "simhash-links")
 
     chunks = found.filter("chunk is not null").select("choice", "bucket", "chunk", "pattern", "shared", "members")
     left = chunks.drop("members")
@@ -321,7 +321,7 @@ def links_between(distinct: DataFrame, count: int, distance: int = DISTANCE) ->
     pairs = pairs.select("chunk", "other").join(members, "chunk").join(
         members.select(F.col("chunk").alias("other"), F.col("members").alias("other_members")), "other"
     )
-    across = pairs.select("members", "other_members").mapInArrow(_cross(distance), "a bigint, b bigint")
+    across = map_batches(pairs.select("members", "other_members"), _cross(distance), "a bigint, b bigint")
     return found.filter("a is not null").select("a", "b").union(across)
 
 

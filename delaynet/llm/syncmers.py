@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaynet.llm.common import STEP_CHARS
+from delaynet.llm.common import STEP_CHARS, map_batches
 
 K, S = 16, 6
 FINE_K, FINE_S = 6, 3
@@ -216,7 +216,7 @@ def compare_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
                 yield pa.RecordBatch.from_arrays(_columns(out), names=names)
 
     rows = in_order(docs, doc_id, text, rows_per_range)
-    return rows.mapInArrow(run, _COMPARED)
+    return map_batches(rows, run, _COMPARED)
 
 
 def _columns(rows: list[tuple]) -> list[pa.Array]:

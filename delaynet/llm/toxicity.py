@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaynet.llm.common import hash_order, texts_of
+from delaynet.llm.common import hash_order, map_batches, texts_of
 
 GRADES = 3
 ROWS_PER_GRADE = 3000  # labelled rows of each grade that are fitted on, about
@@ -188,7 +188,7 @@ def fit(
             yield pa.RecordBatch.from_arrays(columns, names=["id", "grade", "words"])
 
     sample = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text")).join(F.broadcast(drawn), "id")
-    rows = sample.select("id", "grade", "text").mapInArrow(run, "id bigint, grade int, words binary").collect()
+    rows = map_batches(sample.select("id", "grade", "text"), run, "id bigint, grade int, words binary").collect()
     rows.sort(key=lambda row: (row.id, bytes(row.words)))
     features = [np.frombuffer(row.words, dtype="<u4") for row in rows]
     return regress(features, np.array([row.grade for row in rows], dtype=np.int64), shares)
@@ -216,7 +216,7 @@ def grade_texts(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str
             )
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, expected_severity double, p_toxic double, severity int, toxic boolean")
+    return map_batches(rows, run, "doc_id bigint, expected_severity double, p_toxic double, severity int, toxic boolean")
 
 
 def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -229,4 +229,4 @@ def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             scores = shared.value.score(batch.column(at).to_pylist())
             yield batch.filter(pa.array(shared.value.above(scores)[:, 0] < shared.value.least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from delaynet.llm.common import hash_order
+from delaynet.llm.common import hash_order, map_batches
 from delaynet.session import materialize
 
 K = 20
@@ -257,7 +257,7 @@ def nearest(
                 yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["query_id", "vec_id", "score"])
 
     met = sent.select("size", "shard", "block", "queries").join(trees, ["size", "shard"]).select("queries", "tree")
-    local = met.mapInArrow(search, "query_id bigint, vec_id bigint, score double")
+    local = map_batches(met, search, "query_id bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     ranked = local.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -12,7 +12,7 @@ import re
 from array import array
 from functools import cache
 
-CACHE_UNITS = 1_000_000  # most units that a worker remembers
+CACHE_UNITS = 400_000  # most units that a worker remembers
 CACHE_CHARS = 48  # longer units are encoded every time
 
 # A space between two non-blank characters always starts a new pre-token.

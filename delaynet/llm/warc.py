@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delaynet.llm.common import map_batches
 from delaynet.session import materialize
 
 # Fixed values of the WARC 1.1 format.
@@ -168,7 +169,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInArrow(run, _READ)
+    return map_batches(files, run, _READ)
 
 
 def page_of(record: Column) -> Column:
