@@ -12,7 +12,7 @@ import os
 import time
 
 from delaynet.plans.catalog import QUERIES
-from delaynet.session import build_session
+from delaynet.session import build_session, release
 from delaynet.sources.tables import table
 
 HEADLINE = [
@@ -56,6 +56,7 @@ def main() -> None:
     }
     if "stream_dedup" in seconds:
         result["stream_rows_per_sec"] = round(rows / seconds["stream_dedup"], 1)
+    release(spark)
     spark.stop()
     print(json.dumps(result))
 

@@ -18,6 +18,9 @@ Distances are Jaccard distances computed on the sets themselves.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +29,8 @@ from delaynet.session import materialize
 
 MAX_BUCKET = 1_000
 BLOCK = 250
-TASKS_PER_CORE = 4
+PAIRS_PER_TASK = 500_000
+LADDER = 3  # halvings of the threshold that a top list starts from
 # guards `ceil` against 0.7 * 10 = 7.000000000000001 and the like
 _EPSILON = 1e-9
 
@@ -88,17 +92,18 @@ def _paired(rows: DataFrame, keys: list[str], carried: list[str], block: int = B
 
     A key held by more than `block` rows is split: each row stands on the left
     in one block, and on the right in all of them, so no task gets a whole
-    crowded key. Partitions are set by hand because their cost lies in the pairs
-    made, which the size of the input says nothing about.
+    crowded key. Their number of partitions follows from the pairs that the counts
+    of the keys stand for, which the size of the input says nothing about.
     """
-    sizes = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    rows = rows.join(sizes, keys)
+    counts = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "keys")
+    made = counts.agg(F.sum(F.col("n").cast("double") * F.col("n") / 2)).first()[0] or 0.0
+    rows = rows.join(counts.select(*keys, F.ceil(F.col("n") / block).cast("int").alias("blocks")), keys)
     left = rows.withColumn("block", F.pmod(F.xxhash64("profile"), "blocks").cast("int"))
     right = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keys = [*keys, "block"]
     spark = rows.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    partitions = max(TASKS_PER_CORE * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(made / PAIRS_PER_TASK))
 
     def side(name: str, frame: DataFrame) -> DataFrame:
         picked = frame.select(*keys, *[F.col(column).alias(f"{column}_{name}") for column in carried])
@@ -268,6 +273,29 @@ def top_pairs(pairs: DataFrame, bags: DataFrame, k: int, digits: int | None = No
     return ordered.orderBy("jaccard_distance", "group_a", "group_b").limit(k)
 
 
+def closest_pairs(
+    pairs_below: Callable[[float], DataFrame], bags: DataFrame, k: int, threshold: float, digits: int, directed: bool = False
+) -> DataFrame:
+    """`top_pairs` of all pairs below `threshold`, without making them all.
+
+    `pairs_below` gives the pairs closer than a distance. Starting from a small
+    distance it is doubled until the list is full of pairs that no farther pair can
+    come before, even after rounding; only a list that never fills needs them all.
+    """
+    for halvings in range(LADDER, -1, -1):
+        limit = threshold / (1 << halvings)
+        pairs = pairs_below(limit)
+        if not halvings:
+            break
+        pairs = materialize(pairs, "closest")
+        same = F.col("profile_a") == F.col("profile_b")
+        stands_for = F.when(same, F.col("members_a") * (F.col("members_a") - 1) / 2).otherwise(F.col("members_a") * F.col("members_b"))
+        settled = pairs.filter(F.round("jaccard_distance", digits) < limit - 10.0**-digits)
+        if (settled.agg(F.sum(stands_for)).first()[0] or 0) >= k:
+            break
+    return top_pairs(pairs, bags, k, digits, directed)
+
+
 def lsh_quality(signatures: DataFrame, pairs: DataFrame, tables: int = 3) -> DataFrame:
     """Precision and recall of MinHash candidates for 1..tables hash tables.
 

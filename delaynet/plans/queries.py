@@ -709,16 +709,14 @@ def exact_jaccard_join(spark, sf):
 @query
 def similar_routes(spark, sf):
     bags, signatures = _signed(spark, sf, 15)
-    return similarity.top_pairs(similarity.lsh_pairs(signatures, 0.85), bags, 10, digits=3)
+    return similarity.closest_pairs(lambda limit: similarity.lsh_pairs(signatures, limit), bags, 10, 0.85, digits=3)
 
 
 @query
 def similar_routes_directed(spark, sf):
     """The second report: all rows as they are, every pair in both orders."""
     bags, signatures = _signed(spark, sf, 15, cleaned=False)
-    pairs = similarity.lsh_pairs(signatures, 0.3)
-    top = similarity.top_pairs(pairs, bags, 100, digits=6, directed=True)
-    return top
+    return similarity.closest_pairs(lambda limit: similarity.lsh_pairs(signatures, limit), bags, 100, 0.3, digits=6, directed=True)
 
 
 @query

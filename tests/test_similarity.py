@@ -100,6 +100,21 @@ def test_top_pairs_match_brute_force(data, k, directed):
     assert [(r.jaccard_distance, r.group_a, r.group_b) for r in got.collect()] == sorted(want)[:k]
 
 
+@pytest.mark.parametrize("k", [1, 7, 40, 4000])
+def test_closest_pairs_stop_early_without_a_difference(data, k):
+    _, bag_rows, signatures = data
+    asked = []
+
+    def below(limit):
+        asked.append(limit)
+        return similarity.exact_pairs(signatures, limit)
+
+    got = similarity.closest_pairs(below, bag_rows, k, 0.8, digits=3, directed=True).collect()
+    whole = similarity.top_pairs(similarity.exact_pairs(signatures, 0.8), bag_rows, k, digits=3, directed=True).collect()
+    assert got == whole
+    assert asked == sorted(asked) and (asked[-1] == 0.8 or len(got) == k)
+
+
 def test_quality_counts(data):
     bags, bag_rows, signatures = data
     pairs = similarity.exact_pairs(signatures, 0.5, "h0", "h1", "h2")
