@@ -28,6 +28,7 @@ K, S = 16, 6
 FINE_K, FINE_S = 6, 3
 SHORT = 200  # characters below which the fine scale is added
 SLOTS = 64
+MOST_RANGES = 20_000  # of ids, each read by one task in order
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(2**64 - 1)
 
@@ -125,9 +126,9 @@ def fingerprint(text: str | None) -> Sketch:
 
 
 def _buckets(docs: DataFrame, doc_id: str, size: int) -> list[int]:
-    """Ids that cut the rows into ranges of about `size` rows."""
+    """Ids that cut the rows into ranges of about `size` rows, or more if that would make over MOST_RANGES."""
     rows = docs.count()
-    parts = max(1, -(-rows // size))
+    parts = max(1, min(MOST_RANGES, -(-rows // size)))
     if parts == 1:
         return []
     shares = [i / parts for i in range(1, parts)]
@@ -143,9 +144,7 @@ def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows_p
     """
     cuts = _buckets(docs, doc_id, rows_per_range)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    bounds = F.array(*[F.lit(cut) for cut in cuts]).cast("array<bigint>")
-    place = F.size(F.filter(bounds, lambda cut: cut <= F.col("doc_id"))) if len(cuts) < 64 else _rank(cuts)
-    rows = rows.withColumn("range", F.when(F.col("doc_id").isNull(), 0).otherwise(place).cast("int"))
+    rows = rows.withColumn("range", F.when(F.col("doc_id").isNull(), 0).otherwise(_place(cuts)).cast("int"))
 
     starts = rows.groupBy("range").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("id")).collect()  # one row per range
     starts = sorted((row.range, row.id) for row in starts)
@@ -161,16 +160,14 @@ def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows_p
     return both.repartition(len(starts), "range").sortWithinPartitions(*order)
 
 
-def _rank(cuts: list[int]) -> Column:
-    """How many cuts are at or below the id, by halving."""
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(F.col("doc_id") < cuts[middle], search(low, middle)).otherwise(search(middle + 1, high))
-
-    return search(0, len(cuts))
+def _place(cuts: list[int]) -> Column:
+    """How many cuts are at or below the id, by halving steps over one constant array."""
+    if not cuts:
+        return F.lit(0)
+    bounds = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>")
+    steps = F.lit([1 << bit for bit in range(len(cuts).bit_length() - 1, -1, -1)])
+    reached = lambda at: F.coalesce(F.try_element_at(bounds, at) <= F.col("doc_id"), F.lit(False))
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(reached(at + step), at + step).otherwise(at))
 
 
 def edited(text: str, following: str) -> str:
