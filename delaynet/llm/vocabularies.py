@@ -25,6 +25,14 @@ def _whole(unit: str) -> bool:
     return bool(unit) and unit.strip() == unit
 
 
+@cache
+def _tokenizer(path: str):
+    """The library's own tokenizer; loaded by workers that meet a special string only."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 class ByteBpe:
     """Ids of whole texts by a `tokenizers` file, as little-endian 32-bit bytes.
 
@@ -37,18 +45,16 @@ class ByteBpe:
         import base64
 
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self._merge = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self._tokenizer = Tokenizer.from_file(path)
-        self._special = special
+        self._path, self._special = path, special
         self._known: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
         if self._special in text:
-            ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+            ids = _tokenizer(self._path).encode(text, add_special_tokens=False).ids
         else:
             ids = self._merge(text)
         return array("I", ids).tobytes()
