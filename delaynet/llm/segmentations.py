@@ -32,7 +32,7 @@ from delaynet.llm.vocabularies import SPACE, marked_words, sentence_piece
 
 SAMPLES = 2
 ALPHA = 0.5
-CACHE_WORDS = 200_000  # words whose lattices a worker remembers
+CACHE_WORDS = 300_000  # words whose lattices a worker remembers; above, the half that is met most often
 STEP = 300_000  # characters sampled in step
 
 _BASE = np.uint64(0x100000001B3)
@@ -146,6 +146,11 @@ class _Growing:
         self.size += len(values)
 
 
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges that begin there with those sizes, one range after the other."""
+    return np.arange(size.sum()) + np.repeat(begin - (np.cumsum(size) - size), size)
+
+
 class Lattices:
     """The lattices of the words that a worker has met.
 
@@ -160,7 +165,7 @@ class Lattices:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.start, self.stop = _Growing(np.int64), _Growing(np.int64)
+        self.start, self.stop, self.used = _Growing(np.int64), _Growing(np.int64), _Growing(np.int64)
         self.first_edge = _Growing(np.int64)  # by node
         self.upto, self.length, self.piece, self.log = _Growing(np.float32), _Growing(np.int8), _Growing(np.int32), _Growing(np.float64)
 
@@ -180,7 +185,33 @@ class Lattices:
                 self._build(new[at:end])
                 at = end
             found = list(map(known.__getitem__, units))
-        return np.array(found, dtype=np.int64)
+        numbers = np.array(found, dtype=np.int64)
+        self.used.room[: self.used.size] += np.bincount(numbers, minlength=self.used.size)
+        return numbers
+
+    def shrink(self, words: int) -> None:
+        """Keep at most that many words, the ones met most often; numbers change."""
+        often = self.used.room[: self.used.size]
+        kept = np.flatnonzero(often > 1)
+        if len(kept) > words:
+            kept = np.sort(kept[np.argpartition(-often[kept], words)[:words]])
+        names, old = list(self.known), self.__dict__.copy()
+        start, stop = old["start"].room[kept], old["stop"].room[kept]
+        self.clear()
+        if not len(kept):
+            return
+        node = _ranges(start, stop - start)
+        last = np.r_[old["first_edge"].room[: old["first_edge"].size], old["upto"].size]
+        count = last[node + 1] - last[node]
+        edge = _ranges(last[node], count)
+        ends = np.cumsum(stop - start)
+        self.known = {names[word]: number for number, word in enumerate(kept.tolist())}
+        self.start.add(ends - (stop - start))
+        self.stop.add(ends)
+        self.used.add(often[kept] // 2)
+        self.first_edge.add(np.cumsum(count) - count)
+        for name in ("upto", "length", "piece", "log"):
+            getattr(self, name).add(old[name].room[edge])
 
     def _build(self, units: list[str]) -> None:
         words = self.words
@@ -219,6 +250,7 @@ class Lattices:
             self.known[unit] = number
         self.start.add(first + ends - lengths)
         self.stop.add(first + ends)
+        self.used.add(np.zeros(len(units), dtype=np.int64))
         self.first_edge.add(edge + begin)
         self.upto.add(upto)
         self.length.add(length)
@@ -429,7 +461,7 @@ def sampled(
             ids, keys = batch.column("doc_id").to_pylist(), batch.column("key").to_numpy().view(np.uint64)
             for low, high in slices(list(map(len, texts)), STEP):
                 if len(store.known) > CACHE_WORDS:
-                    store.clear()
+                    store.shrink(CACHE_WORDS // 2)
                 found = top_samples(store, list(map(marked_words, texts[low:high])), keys[low:high], samples)
                 rows = []
                 for key, those in zip(ids[low:high], found):

@@ -3,7 +3,7 @@
 Both vocabularies here never join characters across the start of a word, so a
 text's ids are the concatenation of its units' ids. A unit is looked up first;
 only units that a worker has not met go through the tokenizer library. Caches are
-per Python worker, bounded, and start anew when full.
+per Python worker and bounded; when one is full, units that are not met again go.
 """
 
 from __future__ import annotations
@@ -51,6 +51,7 @@ class ByteBpe:
         self._merge = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self._path, self._special = path, special
         self._known: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}  # the units known before those; what is met again moves back
 
     def _ids(self, text: str) -> bytes:
         if self._special in text:
@@ -76,11 +77,11 @@ class ByteBpe:
             for at, ids in enumerate(found):
                 if ids is None:
                     unit = units[at]
-                    found[at] = ids = known.get(unit) or self._new(unit)
+                    found[at] = ids = known.get(unit) or self._before.get(unit) or self._new(unit)
                     if len(unit) <= CACHE_CHARS and unit.strip() == unit:
                         known[unit] = ids
-            if len(known) > CACHE_UNITS:
-                known.clear()
+            if len(known) > CACHE_UNITS // 2:
+                self._before, self._known = known, {}
         return self._ids(head) + b"".join(found)
 
 

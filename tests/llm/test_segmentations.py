@@ -87,6 +87,20 @@ def test_samples_depend_on_the_row_alone(store):
     assert [len(x) for x in together][1:3] == [1 if len(both(["x"], store)) == 1 else min(3, len(both(["x"], store))), 1]
 
 
+def test_shrinking_keeps_the_frequent_words(store):
+    texts = [["alpha", "beta", "alpha", "rare"], ["beta", "gamma", "éé", "gamma"], ["alpha"]]
+    keys = np.array([1, 2, 3], np.uint64)
+    before = sg.top_samples(store, texts, keys, 3)
+    small = sg.Lattices(sg.vocabulary(MODEL, 0.3))
+    sg.top_samples(small, texts, keys, 3)
+    small.shrink(2)
+    assert len(small.known) == 2 and "alpha" in small.known and "rare" not in small.known
+    again = sg.top_samples(small, texts, keys, 3)
+    assert [[(s[0].tolist(), *s[1:]) for s in x] for x in again] == [[(s[0].tolist(), *s[1:]) for s in x] for x in before]
+    small.shrink(0)
+    assert not small.known
+
+
 def normal(text):
     return (text or "").replace(sg.SPACE, " ")
 
