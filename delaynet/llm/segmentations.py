@@ -32,7 +32,7 @@ from delaynet.llm.vocabularies import SPACE, marked_words, sentence_piece
 
 SAMPLES = 2
 ALPHA = 0.5
-CACHE_WORDS = 300_000  # words whose lattices a worker remembers; above, the half that is met most often
+CACHE_WORDS = 400_000  # words whose lattices a worker remembers; above, the half that is met most often
 STEP = 300_000  # characters sampled in step
 
 _BASE = np.uint64(0x100000001B3)
@@ -44,9 +44,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def uniform(key: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Draws in (0, 1) by 64-bit key and place."""
-    bits = _mixed(_mixed(key + np.uint64(0x9E3779B97F4A7C15)) ^ (place.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+def seeded(key: np.ndarray) -> np.ndarray:
+    """What `uniform` takes in place of a 64-bit key; made once for many draws."""
+    return _mixed(key + np.uint64(0x9E3779B97F4A7C15))
+
+
+def uniform(seed: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Draws in (0, 1) by seed and place."""
+    bits = _mixed(seed ^ (place.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
     return ((bits >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52
 
 
@@ -263,9 +268,9 @@ class Lattices:
         node, end = start[word], stop[word]
         log = np.zeros(len(word))
         owners, chosen = [], []
-        active, step = np.arange(len(word)), 0
+        active, place = np.arange(len(word)), place << np.int64(20)
         while len(active):
-            draw = uniform(key[active], (place[active] << np.int64(20)) + step)
+            draw = uniform(key, place)
             edge = self.first_edge.room[node]
             late = np.flatnonzero(draw >= self.upto.room[edge])
             while len(late):
@@ -276,8 +281,7 @@ class Lattices:
             log[active] += self.log.room[edge]
             node = node + self.length.room[edge]
             on = node < end
-            active, node, end = active[on], node[on], end[on]
-            step += 1
+            active, node, end, key, place = active[on], node[on], end[on], key[on], place[on] + 1
         if not owners:
             return np.zeros(0, np.int32), np.zeros(0, np.int64), log
         owner = np.concatenate(owners)
@@ -383,7 +387,7 @@ def top_samples(store: Lattices, texts: list[list[str]], keys: np.ndarray, sampl
             yield pieces[tokens[low] : tokens[high]], lengths[low:high], logs[low:high], values[low:high].copy(), chance
 
     everyone = np.arange(len(texts))
-    key = _round_key(keys, 0)
+    key = _round_seed(keys, 0)
     tops = -np.log(-np.log(uniform(key, np.full(len(texts), np.int64(1) << 41))))
     parts: list[list[_Part]] = []
     emitted: list[list[tuple]] = []
@@ -392,7 +396,7 @@ def top_samples(store: Lattices, texts: list[list[str]], keys: np.ndarray, sampl
         parts.append([_Part(0, pieces, sizes, logs, values, [])])
         emitted.append([(pieces, chance, float(tops[owner]))])
     for round_ in range(1, samples):
-        key = _round_key(keys, round_)
+        key = _round_seed(keys, round_)
         chosen = []
         for owner in everyone.tolist():
             part = max(parts[owner], key=lambda part: part.top)
@@ -426,8 +430,8 @@ def top_samples(store: Lattices, texts: list[list[str]], keys: np.ndarray, sampl
     return out
 
 
-def _round_key(keys: np.ndarray, round_: int) -> np.ndarray:
-    return _mixed(keys + np.uint64(round_ * 0xA0761D6478BD642F % 2**64))
+def _round_seed(keys: np.ndarray, round_: int) -> np.ndarray:
+    return seeded(_mixed(keys + np.uint64(round_ * 0xA0761D6478BD642F % 2**64)))
 
 
 _OUT = "doc_id bigint, sample int, n_tokens bigint, log_prob double, perturbed double, inclusion double, ids binary"
