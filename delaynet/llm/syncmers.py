@@ -9,7 +9,8 @@ A fingerprint samples the anchors: each falls into one of SLOTS classes by its h
 and a class keeps its smallest hash, how often it occurs and the first place. Two
 fingerprints are compared class by class; anchors that agree must also come in the
 same order in both texts, so chance matches out of place do not count. Short texts
-have anchors of a second, finer scale as well.
+have anchors of a second, finer scale as well, in classes of their own, which are
+compared if both texts have them.
 """
 
 from __future__ import annotations
@@ -69,14 +70,10 @@ def closed_syncmers(points: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.
     return _mixed(total), places
 
 
-def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and place of all anchors of a text; an empty text has none."""
+def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and place of all anchors of a text at one scale; an empty text has none."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
-    hashes, places = closed_syncmers(points, K, S)
-    if len(points) >= SHORT:
-        return hashes, places
-    fine, fine_places = closed_syncmers(points, FINE_K, FINE_S)
-    return np.r_[hashes, fine], np.r_[places, fine_places]
+    return closed_syncmers(points, k, s)
 
 
 Sketch = tuple[np.ndarray, np.ndarray, np.ndarray]  # hash, first place and occurrences by class
@@ -95,20 +92,22 @@ def sketch(hashes: np.ndarray, places: np.ndarray, slots: int = SLOTS) -> Sketch
 def likeness(one: Sketch, other: Sketch) -> float:
     """Occurrences that agree, in the same order in both texts, among those of the fuller side of each class.
 
-    Two empty fingerprints are alike (1), an empty one is unlike any other (0).
+    Each scale that both fingerprints have counts, with an order of its own. Two
+    empty fingerprints are alike (1), an empty one is unlike any other (0).
     """
-    either = int(np.maximum(one[2], other[2]).sum())
-    if not either:
-        return 1.0
-    same = (one[0] == other[0]) & (one[2] > 0)
-    second = other[1][same][np.lexsort((other[1][same], one[1][same]))]
-    rising: list[int] = []  # the longest rising run of places
-    for place in second.tolist():
-        at = bisect_left(rising, place)
-        rising[at : at + 1] = [place]
-    if not rising:
-        return 0.0
-    return float(np.minimum(one[2], other[2]).sum(where=same) * len(rising) / len(second) / either)
+    agree, either = 0.0, 0
+    for at in range(0, min(len(one[0]), len(other[0])), SLOTS):
+        (hashes, places, often), (hashes2, places2, often2) = ([part[at : at + SLOTS] for part in side] for side in (one, other))
+        either += int(np.maximum(often, often2).sum())
+        same = (hashes == hashes2) & (often > 0)
+        second = places2[same][np.lexsort((places2[same], places[same]))]
+        rising: list[int] = []  # the longest rising run of places
+        for place in second.tolist():
+            before = bisect_left(rising, place)
+            rising[before : before + 1] = [place]
+        if rising:
+            agree += float(np.minimum(often, often2).sum(where=same) * len(rising) / len(second))
+    return agree / either if either else 1.0
 
 
 def written(one: Sketch) -> str:
@@ -119,7 +118,13 @@ def written(one: Sketch) -> str:
 
 
 def fingerprint(text: str | None) -> Sketch:
-    return sketch(*anchors(text or ""))
+    """SLOTS classes of the coarse scale, and in a short text as many of the fine one behind them."""
+    text = text or ""
+    coarse = sketch(*anchors(text))
+    if len(text) >= SHORT:
+        return coarse
+    fine = sketch(*anchors(text, FINE_K, FINE_S))
+    return tuple(np.concatenate(parts) for parts in zip(coarse, fine))
 
 
 # Texts in order of their id, each with the one after it

@@ -55,6 +55,17 @@ def test_likeness():
     assert syncmers.written(syncmers.fingerprint(text)) == syncmers.written(syncmers.fingerprint(str(text)))
 
 
+def test_one_character_across_the_border_of_short_texts():
+    rng = np.random.default_rng(3)
+    near = lambda x, y: syncmers.likeness(syncmers.fingerprint(x), syncmers.fingerprint(y))
+    for _ in range(20):
+        text = " ".join("".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(40))
+        for size in (syncmers.SHORT - 10, syncmers.SHORT, syncmers.SHORT + 10):
+            assert near(text[:size], text[: size - 1]) == near(text[: size - 1], text[:size]) > 0.85
+        assert near(text[:150], text[:150]) == 1.0
+        assert near(text[:250], text[:199][::-1]) < 0.2
+
+
 def expected(rows):
     """By id (rows without one first), ties by text; each with the row after it."""
     ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
