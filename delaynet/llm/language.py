@@ -6,6 +6,10 @@ sample; a language that fits needs few phrases. A phrase costs the bits that nam
 a place in the sample, so the cost per letter estimates the cross entropy, and
 the cheapest language wins.
 
+Each language has an alphabet of its own. Letters beyond its most frequent ones
+share classes, and cost the bits that tell the letters of a class apart; a letter
+that its sample does not hold is always a phrase.
+
 The automata become one dense transition table whose missing transitions lead
 back through the root, marked as the start of a phrase. Many texts are then parsed
 in step, with array operations over all of them and all languages at once.
@@ -14,7 +18,6 @@ in step, with array operations over all of them and all languages at once.
 from __future__ import annotations
 
 from array import array
-from collections import Counter
 from dataclasses import dataclass
 from functools import cache
 
@@ -26,15 +29,15 @@ from pyspark.sql import functions as F
 from delaynet.llm.common import hash_order, map_batches, slices, texts_of
 
 SAMPLE_ROWS = 240  # labelled rows that a language is learned from, about
-SAMPLE_LETTERS = 120_000  # symbols of all languages' samples together
-LONGEST = 20_000  # characters of the longest text that is learned from
-ALPHABET = 64  # symbols: blank, rare letter, and the most frequent letters
+SAMPLE_LETTERS = 30_000  # symbols of each language's sample
+LONGEST = 20_000  # characters that are learned from at the start of a text
+ALPHABET = 64  # symbols of a language: blank, letter it does not have, its most frequent letters, classes of others
+CLASSES = 16  # of the letters that a language has beyond its most frequent ones
 BLOCK = 2048  # symbols that are parsed as one sequence; a phrase ends with its block
 JUNK_SYMBOLS = 200  # a text this long can be told from noise
 UNKNOWN = "und"
 
 _BLANK, _RARE = 0, 1
-_FRESH = np.int32(-(2**31))  # marks a transition that starts a phrase
 
 
 @cache
@@ -47,18 +50,14 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
 
-def alphabet_of(texts: list[str], size: int = ALPHABET) -> list[str]:
-    """The most frequent letters, at most `size - 2`."""
-    counted = Counter()
-    for text in texts:
-        counted.update(text.lower())
-    ranked = sorted((c for c in counted if c.isalpha()), key=lambda c: (-counted[c], c))
-    return sorted(ranked[: size - 2])
+def alphabet_of(texts: list[str]) -> list[str]:
+    """All letters of the texts."""
+    return sorted(c for c in set().union(*(text.lower() for text in texts)) if c.isalpha())
 
 
 def symbol_table(letters: list[str]) -> np.ndarray:
     """Symbol of each code point: blank for anything but letters, which come in runs of one."""
-    table = _letters().astype(np.uint8)  # letters start as the rare one
+    table = _letters().astype(np.min_scalar_type(len(letters) + _RARE))  # letters start as the rare one
     for symbol, letter in enumerate(letters, start=_RARE + 1):
         table[ord(letter)] = symbol
     return table
@@ -76,6 +75,27 @@ def symbols(text: str, table: np.ndarray) -> np.ndarray:
     return kept[:-1] if len(kept) and kept[-1] == _BLANK else kept
 
 
+def own_symbols(sequence: np.ndarray, letters: list[str], size: int = ALPHABET) -> tuple[np.ndarray, np.ndarray, int]:
+    """Of each symbol of all `letters`: the one of `size` that a language with this sample has for it, and the bits
+    that tell it from others of its class. Also how many letters the sample holds.
+
+    Letters that the sample does not hold are the rare one, which then stands nowhere in it.
+    """
+    counted = np.bincount(sequence, minlength=len(letters) + 2)
+    counted[[_BLANK, _RARE]] = 0
+    ranked = np.argsort(-counted, kind="stable")[: np.count_nonzero(counted)]
+    own, bits = np.full(len(counted), _RARE, dtype=np.int32), np.zeros(len(counted))
+    own[_BLANK] = _BLANK
+    classes = max(1, min(CLASSES, size // 4))
+    first = ranked if len(ranked) <= size - 2 else ranked[: size - 2 - classes]
+    own[first] = np.arange(2, 2 + len(first))
+    others = ranked[len(first) :]
+    group = np.array([ord(letters[symbol - 2]) % classes for symbol in others.tolist()], dtype=np.int64)
+    own[others] = 2 + len(first) + group
+    bits[others] = np.log2(np.bincount(group, minlength=classes))[group] if len(others) else 0.0
+    return own, bits, len(ranked)
+
+
 def suffix_automaton(sequence: np.ndarray, width: int) -> np.ndarray:
     """Transitions of the smallest automaton of all substrings; -1 where there is none."""
     none = array("i", [-1] * width)
@@ -109,10 +129,16 @@ def suffix_automaton(sequence: np.ndarray, width: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """Automata of all languages in one table; `steps[state + symbol]` is the next state."""
+    """Automata of all languages in one table; `steps[state + own symbol]` is the next state.
+
+    Texts come as symbols of the letters of all languages; `own` has those of each.
+    """
 
     languages: list[str]
     letters: list[str]
+    own: np.ndarray
+    class_bits: np.ndarray  # that tell a symbol from others of its class, by language
+    letter_bits: np.ndarray  # that name any symbol of a language on its own
     steps: np.ndarray
     roots: np.ndarray
     phrase_bits: np.ndarray
@@ -135,34 +161,57 @@ class Model:
         active = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")  # blocks longer than each step
         phrases = np.ones((len(self.languages), len(starts)), dtype=np.int32)  # the one that the end closes
         state = np.repeat(self.roots[:, None], len(starts), axis=1)
+        unmarked = np.iinfo(self.steps.dtype).max
         for step in range(sizes[0]):
             n = active[step]
-            reached = self.steps[state[:, :n] + flat[starts[:n] + step]]
+            reached = self.steps[state[:, :n] + self.own[:, flat[starts[:n] + step]]]
             phrases[:, :n] += reached < 0
-            state[:, :n] = reached & ~_FRESH
+            state[:, :n] = reached & unmarked
         for language, found in enumerate(phrases):
             counts[language] = np.bincount(owner, weights=found, minlength=len(sequences))
         return counts
 
+    def bits(self, sequences: list[np.ndarray]) -> np.ndarray:
+        """Cost of each sequence under each language: of its phrases, and of telling letters of a class apart."""
+        found = self.parse(sequences) * self.phrase_bits[:, None]
+        for language in np.flatnonzero(self.class_bits.any(axis=1)):
+            found[language] += [self.class_bits[language][sequence].sum() for sequence in sequences]
+        return found
+
 
 def train(samples: dict[str, list[str]], total: int = SAMPLE_LETTERS, alphabet: int = ALPHABET) -> Model:
-    """Automata of the languages' samples, of at most `total` symbols together."""
+    """Automata of the languages' samples, of at most `total` symbols each."""
     names = sorted(samples)
-    letters = alphabet_of([text for name in names for text in samples[name]], alphabet)
-    table, width = symbol_table(letters), len(letters) + 2
-    parts, roots, bits, states = [], [], [], 0
+    letters = alphabet_of([text for name in names for text in samples[name]])
+    table = symbol_table(letters)
+    parts, owns, class_bits, letter_bits, roots, bits, size = [], [], [], [], [], [], 0
     for name in names:
-        pieces = [np.append(symbols(text, table), np.uint8(_BLANK)) for text in samples[name]]
-        sequence = np.concatenate(pieces or [np.zeros(0, np.uint8)])[: total // len(names)]
-        follow = suffix_automaton(sequence, width)
-        from_root = np.where(follow[0] < 0, 0, follow[0])
-        moved = np.where(follow < 0, from_root[None, :], follow) + states
-        parts.append(np.where(follow < 0, (moved * width) | _FRESH, moved * width).astype(np.int32).ravel())
-        roots.append(states * width)
+        sequence = sample_of(samples[name], table, total)
+        own, told, held = own_symbols(sequence, letters, alphabet)
+        width = int(own.max()) + 1
+        follow = suffix_automaton(own[sequence], width)
+        parts.append(follow)
+        owns.append(own)
+        class_bits.append(told)
+        letter_bits.append(np.log2(held + 2))
+        roots.append(size)
         bits.append(np.log2(max(2, len(sequence))))
-        states += len(follow)
-    steps = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    return Model(names, letters, steps, np.array(roots, dtype=np.int32), np.array(bits))
+        size += follow.size
+    kind = np.int32 if size < 2**31 else np.int64
+    steps = np.empty(size, dtype=kind)
+    for begin, follow in zip(roots, parts):
+        from_root = np.where(follow[0] < 0, 0, follow[0])
+        moved = np.where(follow < 0, from_root[None, :], follow).astype(kind) * follow.shape[1] + begin
+        moved[follow < 0] |= np.iinfo(kind).min  # marks a transition that starts a phrase
+        steps[begin : begin + follow.size] = moved.ravel()
+    stacked = [np.array(part).reshape(len(names), len(letters) + 2) for part in (owns, class_bits)]
+    return Model(names, letters, *stacked, np.array(letter_bits), steps, np.array(roots, dtype=kind), np.array(bits))
+
+
+def sample_of(texts: list[str], table: np.ndarray, total: int) -> np.ndarray:
+    """The texts' symbols, a blank behind each, `total` at most."""
+    pieces = [np.append(symbols(text, table), table.dtype.type(_BLANK)) for text in texts]
+    return np.concatenate(pieces or [np.zeros(0, table.dtype)])[:total]
 
 
 def learning_rows(doc_id: Column) -> Column:
@@ -174,16 +223,16 @@ def fit(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "lang",
     sample_rows: int = SAMPLE_ROWS, total: int = SAMPLE_LETTERS,
 ) -> Model:
-    """Learn from about `sample_rows` labelled rows of each language, of at most LONGEST characters.
+    """Learn from about `sample_rows` labelled rows of each language, of a text longer than LONGEST from its start.
 
     Rows are counted per language first, then drawn by a fixed hash of the id at
     the rate that gives the wanted number, so that few rows reach the driver.
     """
     usable = docs.filter(learning_rows(F.col(doc_id)) & F.col(label).isNotNull() & F.col(text).isNotNull())
     usable = usable.select(
-        F.col(doc_id).alias("id"), F.col(label).cast("string").alias("label"), F.col(text).alias("text"),
+        F.col(doc_id).alias("id"), F.col(label).cast("string").alias("label"), F.substring(text, 1, LONGEST).alias("text"),
         F.pmod(hash_order(doc_id), F.lit(1_000_000)).alias("draw"),
-    ).filter(F.length("text") <= LONGEST)
+    )
     wanted = None
     for row in usable.groupBy("label").count().collect():  # one row per language
         rate = min(1_000_000, -(-1_000_000 * sample_rows // row["count"]))
@@ -213,7 +262,7 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarra
     size = np.array([len(s) for s in sequences])
     if not model.languages:
         return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts)), size
-    bits = model.parse(sequences) * model.phrase_bits[:, None]
+    bits = model.bits(sequences)
     best = bits.argmin(axis=0)  # ties go to the first name
     least = bits.min(axis=0)
     score = 1.0 / np.exp2(np.maximum(least - bits, -1000.0)).sum(axis=0)
@@ -255,7 +304,7 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFr
     """The rows, with all their columns, whose text some learned language describes.
 
     Rejected are texts without letters, and texts of JUNK_SYMBOLS and more whose
-    cheapest parse costs more than naming every symbol on its own. In a shorter
+    cheapest parse costs more than naming every symbol of that language on its own. In a shorter
     text the first phrases weigh too much to tell. With nothing learned all rows stay.
     """
     if not model.languages:
@@ -264,12 +313,13 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFr
     at = docs.columns.index(text)
 
     def run(batches):
-        limit = np.log2(len(shared.value.letters) + 2)
+        limits = dict(zip(shared.value.languages, shared.value.letter_bits))
         for batch in batches:
             texts = batch.column(at).to_pylist()
             for low, high in slices([len(t or "") for t in texts]):
                 found, _, bits, size = predict(shared.value, texts[low:high])
                 known = np.array([name != UNKNOWN for name in found])
+                limit = np.array([limits.get(name, 0.0) for name in found])
                 good = known & ((bits <= limit) | (size < JUNK_SYMBOLS))
                 yield batch.slice(low, high - low).filter(pa.array(good))
 

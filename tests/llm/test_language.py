@@ -63,6 +63,35 @@ def test_awkward_rows(awkward):
     assert kept.filter("doc_id = 9").count() == 3
 
 
+def invented(seed, letters, words=400):
+    """Sentences over 150 words that are drawn from these letters."""
+    rng = np.random.default_rng(seed)
+    known = ["".join(rng.choice(letters, rng.integers(2, 8))) for _ in range(150)]
+    return lambda: " ".join(rng.choice(known, words))
+
+
+def test_many_scripts_and_languages():
+    ranges = [(0x3B1, 24), (0x430, 32), (0x561, 38), (0x5D0, 27), (0x10D0, 33), (0x905, 53), (0xE01, 46), (0x4E00, 900), (0x61, 26), (0x1200, 200)]
+    speakers = {
+        f"{at}-{i}": invented(100 * at + i, [c for c in map(chr, range(low, low + n)) if c.isalpha()])
+        for at, (low, n) in enumerate(ranges) for i in range(4)
+    }
+    model = language.train({name: [speak() for _ in range(8)] for name, speak in speakers.items()}, total=6000)
+    found, *_ = language.predict(model, [speak() for speak in speakers.values()])
+    assert found == list(speakers)
+    assert (model.phrase_bits > np.log2(5000)).all()  # the bound does not shrink with the number of languages
+    assert np.count_nonzero(model.class_bits.any(axis=1)) == 8  # the two largest scripts have classes
+
+
+def test_long_texts_are_learned_from(spark):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 != 0][:20]
+    one, other = invented(1, list("abcdefgh")), invented(2, list("abcdefgh"), 9000)
+    docs = spark.createDataFrame([(i, other() if i % 2 else one(), "xy"[i % 2]) for i in ids], "doc_id bigint, text string, lang string")
+    model = language.fit(docs)
+    assert model.languages == ["x", "y"]
+    assert language.predict(model, [one(), other()])[0] == ["x", "y"]
+
+
 def test_nothing_to_learn_from(awkward, no_documents):
     model = language.fit(no_documents)
     assert {r.lang_pred for r in language.identify(awkward, model).collect()} == {"und"}
