@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 
 from delaynet.llm.common import hash_order, map_batches, slices, texts_of
 
-SAMPLE_ROWS = 240  # labelled rows that a language is learned from, about
+SAMPLE_ROWS = 240  # distinct labelled texts that a language is learned from, about
 SAMPLE_LETTERS = 30_000  # symbols of each language's sample
 LONGEST = 20_000  # characters that are learned from at the start of a text
 ALPHABET = 64  # symbols of a language: blank, letter it does not have, its most frequent letters, classes of others
+LEAST = 64  # symbols of a text's slice, if there are more texts than the sample holds
 CLASSES = 16  # of the letters that a language has beyond its most frequent ones
 BLOCK = 2048  # symbols that are parsed as one sequence; a phrase ends with its block
 JUNK_SYMBOLS = 200  # a text this long can be told from noise
@@ -209,9 +210,21 @@ def train(samples: dict[str, list[str]], total: int = SAMPLE_LETTERS, alphabet:
 
 
 def sample_of(texts: list[str], table: np.ndarray, total: int) -> np.ndarray:
-    """The texts' symbols, a blank behind each, `total` at most."""
-    pieces = [np.append(symbols(text, table), table.dtype.type(_BLANK)) for text in texts]
-    return np.concatenate(pieces or [np.zeros(0, table.dtype)])[:total]
+    """Equal slices of the distinct texts' symbols, a blank behind each, `total` together at most.
+
+    What short texts leave goes to the longer ones. Slices begin at places spread evenly over the texts.
+    """
+    texts = list(dict.fromkeys(texts))[: max(1, total // LEAST)]
+    pieces = [symbols(text, table) for text in texts]
+    share, left = 0, total
+    for at, size in enumerate(sorted(len(piece) + 1 for piece in pieces)):
+        share = max(share, min(size, left // (len(pieces) - at)))
+        left -= min(size, share)
+    cut = []
+    for at, piece in enumerate(pieces):
+        begin = max(0, len(piece) + 1 - share) * at // len(pieces)
+        cut += [piece[begin : begin + share - 1], np.array([_BLANK], table.dtype)]
+    return np.concatenate(cut or [np.zeros(0, table.dtype)])[:total]
 
 
 def learning_rows(doc_id: Column) -> Column:
@@ -223,24 +236,25 @@ def fit(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "lang",
     sample_rows: int = SAMPLE_ROWS, total: int = SAMPLE_LETTERS,
 ) -> Model:
-    """Learn from about `sample_rows` labelled rows of each language, of a text longer than LONGEST from its start.
+    """Learn from about `sample_rows` distinct labelled texts of each language, of one longer than LONGEST from its start.
 
-    Rows are counted per language first, then drawn by a fixed hash of the id at
-    the rate that gives the wanted number, so that few rows reach the driver.
+    Texts are counted per language first, copies once, then drawn by a fixed hash of
+    the text at the rate that gives the wanted number. Copies are removed before the
+    texts reach the driver, so neither they nor an id with many rows make it collect more.
     """
     usable = docs.filter(learning_rows(F.col(doc_id)) & F.col(label).isNotNull() & F.col(text).isNotNull())
     usable = usable.select(
-        F.col(doc_id).alias("id"), F.col(label).cast("string").alias("label"), F.substring(text, 1, LONGEST).alias("text"),
-        F.pmod(hash_order(doc_id), F.lit(1_000_000)).alias("draw"),
-    )
+        F.col(label).cast("string").alias("label"), F.substring(text, 1, LONGEST).alias("text"), hash_order(text).alias("hash"),
+    ).withColumn("draw", F.pmod("hash", F.lit(1_000_000)))
     wanted = None
-    for row in usable.groupBy("label").count().collect():  # one row per language
-        rate = min(1_000_000, -(-1_000_000 * sample_rows // row["count"]))
+    for row in usable.groupBy("label").agg(F.approx_count_distinct("hash").alias("texts")).collect():  # one row per language
+        rate = min(1_000_000, -(-1_000_000 * sample_rows // max(1, row["texts"])))
         drawn = (F.col("label") == row["label"]) & (F.col("draw") < rate)
         wanted = drawn if wanted is None else wanted | drawn
     samples: dict[str, list[str]] = {}
     if wanted is not None:
-        for row in sorted(usable.filter(wanted).collect(), key=lambda r: (r.draw, r.id, r.text)):
+        drawn = usable.filter(wanted).groupBy("label", "hash").agg(F.min("draw").alias("draw"), F.min("text").alias("text"))
+        for row in sorted(drawn.collect(), key=lambda r: (r.draw, r.hash, r.text)):
             samples.setdefault(row.label, []).append(row.text)
     return train(samples, total)
 

@@ -92,6 +92,27 @@ def test_long_texts_are_learned_from(spark):
     assert language.predict(model, [one(), other()])[0] == ["x", "y"]
 
 
+def test_every_distinct_text_gives_a_slice():
+    texts = ["ab " * 3000] * 5 + ["cd " * 3000, "ef " * 3000, "gh", "ij"]
+    table = language.symbol_table(list("abcdefghij"))
+    found = language.sample_of(texts, table, 3000)
+    counted = np.bincount(found, minlength=12)
+    assert len(found) <= 3000 and counted[2:].min() > 0
+    assert counted[2] > 300 and abs(counted[[2, 4, 6]] - counted[2]).max() <= 2
+    assert 2990 <= len(found)
+    whole = language.sample_of(["ab", "cd", "ab"], table, 3000)
+    assert whole.tolist() == [2, 3, 0, 4, 5, 0]
+
+
+def test_copies_and_one_id_with_many_rows(spark):
+    held = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 5 != 0]
+    alike = spark.createDataFrame([(held[0], "one text of which there are many copies", "x")] * 4000, "doc_id bigint, text string, lang string")
+    others = [(i, f"{'qrstuvw'[i % 7]} text {chr(97 + i % 26) * 3}", "x") for i in held[1:400]]
+    docs = alike.unionByName(spark.createDataFrame(others, alike.schema))
+    model = language.fit(docs, sample_rows=100)
+    assert set("qrstuvw") <= {c for c, own in zip(model.letters, model.own[0][2:]) if own > 1}
+
+
 def test_nothing_to_learn_from(awkward, no_documents):
     model = language.fit(no_documents)
     assert {r.lang_pred for r in language.identify(awkward, model).collect()} == {"und"}
