@@ -35,7 +35,7 @@ ALPHABET = 64  # symbols of a language: blank, letter it does not have, its most
 LEAST = 64  # symbols of a text's slice, if there are more texts than the sample holds
 CLASSES = 16  # of the letters that a language has beyond its most frequent ones
 BLOCK = 2048  # symbols that are parsed as one sequence; a phrase ends with its block
-JUNK_SYMBOLS = 200  # a text this long can be told from noise
+SPARE_PHRASES = 3  # that any text may cost beyond its letters, as its first phrases are cut short
 UNKNOWN = "und"
 
 _BLANK, _RARE = 0, 1
@@ -317,9 +317,9 @@ def identify(
 def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows, with all their columns, whose text some learned language describes.
 
-    Rejected are texts without letters, and texts of JUNK_SYMBOLS and more whose
-    cheapest parse costs more than naming every symbol of that language on its own. In a shorter
-    text the first phrases weigh too much to tell. With nothing learned all rows stay.
+    Rejected are texts without letters, and texts of any length whose cheapest parse
+    without SPARE_PHRASES costs more than naming every symbol of that language on
+    its own. With nothing learned all rows stay.
     """
     if not model.languages:
         return docs
@@ -327,14 +327,14 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFr
     at = docs.columns.index(text)
 
     def run(batches):
-        limits = dict(zip(shared.value.languages, shared.value.letter_bits))
+        limits = dict(zip(shared.value.languages, zip(shared.value.letter_bits, shared.value.phrase_bits)))
         for batch in batches:
             texts = batch.column(at).to_pylist()
             for low, high in slices([len(t or "") for t in texts]):
                 found, _, bits, size = predict(shared.value, texts[low:high])
                 known = np.array([name != UNKNOWN for name in found])
-                limit = np.array([limits.get(name, 0.0) for name in found])
-                good = known & ((bits <= limit) | (size < JUNK_SYMBOLS))
+                letter, phrase = np.array([limits.get(name, (0.0, 0.0)) for name in found]).T
+                good = known & (bits * size <= letter * size + SPARE_PHRASES * phrase)
                 yield batch.slice(low, high - low).filter(pa.array(good))
 
     return map_batches(docs, run, docs.schema)

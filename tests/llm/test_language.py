@@ -120,6 +120,16 @@ def test_nothing_to_learn_from(awkward, no_documents):
     assert language.identify(no_documents, model).collect() == []
 
 
+def test_short_junk_is_rejected(spark):
+    speak = invented(1, list("abcdefghijklmnopqrstuvwxyz"))
+    model = language.train({"x": [speak() for _ in range(20)]})
+    rng, text = np.random.default_rng(2), speak()
+    good = [text[:n] for n in (1, 2, 5, 20, 60, 150, 199, 200, 2000)]
+    junk = ["".join(rng.choice(list(letters), n)) for letters in ("abcdefghijklmnopqrstuvwxyz", "абвгдежзик") for n in (60, 150, 199, 200, 2000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(good + junk)], "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in language.keep_identified(docs, model).collect()) == list(range(len(good)))
+
+
 def test_held_out_rows_are_not_learned_from(spark, awkward):
     held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 0]
     docs = spark.createDataFrame([(i, "abc def", "en") for i in held], "doc_id bigint, text string, lang string")
