@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaynet.llm import chat, language, packing, segmentations, simhash, syncmers, token_counts, toxicity, vantage, warc
+from delaynet.llm import chat, divergence, language, packing, resampling, secret_ledger, segmentations, simhash, syncmers, token_counts, toxicity, vantage, warc
 from delaynet.session import scratch_path
 from delaynet.sources.tables import table
 
@@ -79,6 +79,20 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def secret_ledger_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against a ledger that starts empty."""
+    found = secret_ledger.scan(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
+    return secret_ledger.summary(found)
+
+
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": language_id,
     "op2_toxicity": toxicity_grades,
@@ -90,5 +104,8 @@ QUERIES = {
     "op8_warc_revisits": warc_revisits,
     "op9_chat_repair": chat_repair,
     "op10_best_fit_packing": best_fit_packing,
+    "op11_importance_resampling": importance_resampling,
+    "op12_secret_ledger": secret_ledger_scan,
+    "op13_source_divergence": source_divergence,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op12_secret_ledger": secret_ledger.SUMMARY_SQL, "op13_source_divergence": divergence.AUDIT_SQL}
