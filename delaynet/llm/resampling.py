@@ -2,12 +2,17 @@
 
 Words come from an untrained `tokenizers` Split over text whose A-Z are lower-cased.
 The features of a text are all runs of 1 to GRAMS consecutive words joined by a space,
-repeats included: with the words laid out in one buffer, windows over their offset
-pairs. A feature's bucket is the CRC-32 of its UTF-8 bytes modulo BUCKETS. The gain of
+repeats included: windows over the words' offset pairs. A feature's bucket is the CRC-32
+of its UTF-8 bytes modulo BUCKETS, which follows from the checksums and lengths of the
+words in the window. The gain of
 a bucket is the logarithm of how much more often the target than the corpus fills it,
 smoothed by one; a text's weight is the sum of its features' gains, and weights plus
 Gumbel noise keyed by the id, sorted, are a draw without replacement.
 
+Split costs far more than looking a word up, so a worker remembers the
+checksums of the words of the stretches between spaces that it met, and hands the other
+stretches of a text to Split at once.
+
 A text is split once. The buckets of its features are written, two bytes each, and read
 again for the counts of the whole corpus and for the weights.
 """
@@ -17,6 +22,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +40,7 @@ LEAST_WORDS = 20  # of a text that can be drawn
 SHARE = 5  # percent of the texts that can be drawn
 SEED = 42
 PIECE_CHARS = 1_000_000  # of a text that are split at a time
+CACHE_ENTRIES = 800_000  # stretches between spaces, and words of them, that a worker remembers
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BETWEEN = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]")
@@ -57,36 +64,96 @@ def _pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
     yield text[at:]
 
 
+def _zeros_table(most: int) -> np.ndarray:
+    """[n, k, v]: what the byte v at place k of a CRC-32 becomes when n zero bytes follow."""
+    bytewise = np.array([zlib.crc32(bytes([v]), 0xFFFFFFFF) ^ 0xFFFFFFFF for v in range(256)], dtype=np.uint32)
+    table = np.zeros((most + 1, 4, 256), dtype=np.uint32)
+    table[0] = np.arange(256, dtype=np.uint32) << (8 * np.arange(4, dtype=np.uint32)[:, None])
+    for n in range(most):
+        table[n + 1] = (table[n] >> 8) ^ bytewise[table[n] & 0xFF]
+    return table
+
+
+_SHORT = 63  # bytes of words that go through the table
+_ZEROS = _zeros_table(_SHORT)
+
+
+def joined(sums: np.ndarray, more: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """CRC-32 of texts one behind the other, from the sums of both and the length of the second."""
+    short = np.minimum(lengths, _SHORT)
+    moved = _ZEROS[short, 0, sums & 0xFF] ^ _ZEROS[short, 1, (sums >> 8) & 0xFF] ^ _ZEROS[short, 2, (sums >> 16) & 0xFF] ^ _ZEROS[short, 3, sums >> 24]
+    for at in np.flatnonzero(lengths > _SHORT):
+        zeros = bytes(int(lengths[at]))
+        moved[at] = zlib.crc32(zeros, int(sums[at])) ^ zlib.crc32(zeros)
+    return moved ^ more
+
+
 class Windows:
     """Buckets of the features of single texts."""
 
     def __init__(self, grams: int = GRAMS, buckets: int = BUCKETS):
         self.grams, self.buckets = grams, buckets
         self.split = pre_tokenizers.Split(Regex(WORD), behavior="removed", invert=True)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.seen: dict[str, int] = {}  # place of a stretch's first word in the arrays below, and how many there are
+        self.sums, self.spaced, self.sizes = array("I"), array("I"), array("q")  # of the word, of a space and the word, and its bytes
+
+    def words(self, piece: str) -> list[np.ndarray]:
+        """Checksums of the words of lower-cased text, with and without a space before, and lengths with it.
+
+        A space is in no word, so each stretch between spaces has its own.
+        """
+        stretches = piece.split(" ")
+        new = [stretch for stretch in dict.fromkeys(stretches) if stretch not in self.seen]
+        self.seen.update(self._split(new))
+        codes = np.fromiter(map(self.seen.__getitem__, stretches), np.int64, len(stretches))
+        counts = codes & _COUNT
+        ends = np.cumsum(counts)
+        places = np.repeat((codes >> _COUNT_BITS) + counts - ends, counts) + np.arange(ends[-1])
+        found = [np.frombuffer(column, kind)[places] if len(column) else np.zeros(0, kind) for column, kind in ((self.sums, np.uint32), (self.spaced, np.uint32), (self.sizes, np.int64))]
+        if len(self.seen) + len(self.sums) > CACHE_ENTRIES:
+            self._forget()
+        return found
+
+    def _split(self, stretches: list[str]) -> Iterator[tuple[str, int]]:
+        """The words of stretches, split as one text and told apart by their offsets."""
+        pairs = iter(self.split.pre_tokenize_str(" ".join(stretches)) if stretches else ())
+        word, (start, _) = next(pairs, _NO_WORD)
+        end = -1
+        for stretch in stretches:
+            end += len(stretch) + 1
+            first = len(self.sums)
+            while start < end:
+                spaced = b" " + word.encode("utf-8", "surrogatepass")
+                self.sums.append(zlib.crc32(spaced[1:]))
+                self.spaced.append(zlib.crc32(spaced))
+                self.sizes.append(len(spaced))
+                word, (start, _) = next(pairs, _NO_WORD)
+            yield stretch, first << _COUNT_BITS | len(self.sums) - first
 
     def of(self, text: str | None) -> tuple[int, np.ndarray]:
         """Number of words, and the bucket of every feature, in no stated order."""
-        count, found, carried = 0, [np.zeros(0, "<u2")], []
+        count, found, carried = 0, [np.zeros(0, "<u2")], None
         for piece in _pieces(lowered(text or "")):
-            words = carried + [word.encode("utf-8", "surrogatepass") for word, _ in self.split.pre_tokenize_str(piece)]
-            found += self._ending_after(words, len(carried))
-            count += len(words) - len(carried)
-            carried = words[max(0, len(words) - self.grams + 1) :]
+            words = self.words(piece)
+            old = len(carried[0]) if carried else 0
+            if old:
+                words = [np.concatenate(two) for two in zip(carried, words)]
+            sums, spaced, sizes = words
+            count += len(sums) - old
+            carried = [column[max(0, len(sums) - self.grams + 1) :] for column in words]
+            for more in range(self.grams):  # windows whose last word is new
+                if more:
+                    sums = joined(sums[:-1], spaced[more:], sizes[more:])
+                found.append((sums[max(0, old - more) :] % self.buckets).astype("<u2"))
         return count, np.concatenate(found)
 
-    def _ending_after(self, words: list[bytes], old: int) -> list[np.ndarray]:
-        """Buckets of the windows whose last word is none of the first `old` ones."""
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(lengths + 1) - 1  # offset pairs in the words joined by one space
-        starts, ends = (ends - lengths).tolist(), ends.tolist()
-        view, crc32 = memoryview(b" ".join(words)), zlib.crc32
-        found = []
-        for more in range(min(self.grams, len(words))):
-            first = max(0, old - more)
-            pairs = zip(starts[first:], ends[first + more :])
-            sums = np.fromiter((crc32(view[start:end]) for start, end in pairs), np.uint32, len(words) - more - first)
-            found.append((sums % self.buckets).astype("<u2"))
-        return found
+
+_NO_WORD = ("", (1 << 62, 0))
+_COUNT_BITS = 24  # of the words in a stretch, which is at most a piece, or one word and what is up to it
+_COUNT = (1 << _COUNT_BITS) - 1
 
 
 def featured(rows: DataFrame, key: str | None = None, text: str = "text", grams: int = GRAMS, buckets: int = BUCKETS) -> DataFrame:

@@ -70,7 +70,7 @@ def test_empty_tables(spark, no_documents):
 def test_pieces_change_nothing(monkeypatch):
     text = "Ein Wort, two  words\nthree4 fünf-sechs " * 40 + "x" * 500 + " end"
     whole = resampling.Windows().of(text)
-    for size in (1, 7, 100):
+    for size in (1, 7, 100, 10_000):
         monkeypatch.setattr(resampling, "_pieces", lambda t, size=size: list(_cut(t, size)))
         count, found = resampling.Windows().of(text)
         assert count == whole[0] and sorted(found) == sorted(whole[1])
