@@ -30,6 +30,8 @@ from delaynet.llm.common import hash_order, map_batches, slices, texts_of
 
 SAMPLE_ROWS = 240  # distinct labelled texts that a language is learned from, about
 SAMPLE_LETTERS = 30_000  # symbols of each language's sample
+MOST_LANGUAGES = 200  # labels that are learned, those with the most distinct texts first
+SAMPLE_IN_ALL = 1_200_000  # symbols of all samples together, which bounds the model that goes to every worker
 LONGEST = 20_000  # characters that are learned from at the start of a text
 ALPHABET = 64  # symbols of a language: blank, letter it does not have, its most frequent letters, classes of others
 LEAST = 64  # symbols of a text's slice, if there are more texts than the sample holds
@@ -234,29 +236,32 @@ def learning_rows(doc_id: Column) -> Column:
 
 def fit(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "lang",
-    sample_rows: int = SAMPLE_ROWS, total: int = SAMPLE_LETTERS,
+    sample_rows: int = SAMPLE_ROWS, total: int = SAMPLE_LETTERS, most_languages: int = MOST_LANGUAGES,
 ) -> Model:
     """Learn from about `sample_rows` distinct labelled texts of each language, of one longer than LONGEST from its start.
 
     Texts are counted per language first, copies once, then drawn by a fixed hash of
     the text at the rate that gives the wanted number. Copies are removed before the
     texts reach the driver, so neither they nor an id with many rows make it collect more.
+    Of more than `most_languages` labels, those with the most distinct texts are learned,
+    ties by name, and above SAMPLE_IN_ALL symbols together all samples are shorter.
+
+    Null labels, null texts and null ids are not learned from, and an empty table gives
+    a model without languages.
     """
     usable = docs.filter(learning_rows(F.col(doc_id)) & F.col(label).isNotNull() & F.col(text).isNotNull())
     usable = usable.select(
         F.col(label).cast("string").alias("label"), F.substring(text, 1, LONGEST).alias("text"), hash_order(text).alias("hash"),
     ).withColumn("draw", F.pmod("hash", F.lit(1_000_000)))
-    wanted = None
-    for row in usable.groupBy("label").agg(F.approx_count_distinct("hash").alias("texts")).collect():  # one row per language
-        rate = min(1_000_000, -(-1_000_000 * sample_rows // max(1, row["texts"])))
-        drawn = (F.col("label") == row["label"]) & (F.col("draw") < rate)
-        wanted = drawn if wanted is None else wanted | drawn
+    texts = usable.groupBy("label").agg(F.approx_count_distinct("hash").alias("texts"))
+    rates = texts.orderBy(F.col("texts").desc(), "label").limit(most_languages)
+    rates = rates.select("label", F.ceil(F.lit(1_000_000.0) * sample_rows / F.greatest("texts", F.lit(1))).alias("rate"))
+    drawn = usable.join(F.broadcast(rates), "label").filter("draw < rate")
+    drawn = drawn.groupBy("label", "hash").agg(F.min("draw").alias("draw"), F.min("text").alias("text"))
     samples: dict[str, list[str]] = {}
-    if wanted is not None:
-        drawn = usable.filter(wanted).groupBy("label", "hash").agg(F.min("draw").alias("draw"), F.min("text").alias("text"))
-        for row in sorted(drawn.collect(), key=lambda r: (r.draw, r.hash, r.text)):
-            samples.setdefault(row.label, []).append(row.text)
-    return train(samples, total)
+    for row in sorted(drawn.collect(), key=lambda r: (r.draw, r.hash, r.text)):
+        samples.setdefault(row.label, []).append(row.text)
+    return train(samples, min(total, SAMPLE_IN_ALL // max(1, len(samples))))
 
 
 _TABLES: dict[tuple, np.ndarray] = {}
@@ -291,7 +296,9 @@ def identify(
 
     `score` is the winner's share of 2^-bits over all languages. A text that is
     null or has no letters is `und` with score 0, as is any text if nothing was
-    learned. `held_out` is false without an id. Other columns are not read.
+    learned. Languages that cost the same go by name. `held_out` is false without an
+    id. Rows that repeat an id or a text each give a row, texts of any length are parsed
+    whole, and no documents give no rows. Other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -18,10 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaynet.llm.common import hash_order, map_batches, texts_of
+from delaynet.session import materialize
 
 GRADES = 3
 ROWS_PER_GRADE = 3000  # labelled rows of each grade that are fitted on, about
@@ -30,6 +31,7 @@ ROUNDS = 2000
 SCREEN = 5.0  # standard errors by which a word's slope must differ from none
 STEM = 4
 LEAST_PRECISION = 0.9  # of what the fitted sample's decision catches, by weight
+MORE_ROWS = 2  # times the wanted rows from which rows are drawn by their words as well
 LEAST_ROWS = 8  # rows of the sample that must hold a word
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -63,14 +65,24 @@ class Model:
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         """Sums of the weights of the words that each text holds."""
+        return np.array([self._weights_of(text).sum() for text in texts], dtype=float)
+
+    def toxic(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores, and whether each text counts as toxic.
+
+        That takes a word that tells of toxic text: how many of the labels are toxic says nothing about a single text.
+        """
+        weights = [self._weights_of(text) for text in texts]
+        scores = np.array([found.sum() for found in weights], dtype=float)
+        telling = np.array([(found > 0).any() for found in weights], dtype=bool)
+        return scores, telling & (self.above(scores)[:, 0] >= self.least)
+
+    def _weights_of(self, text: str | None) -> np.ndarray:
         if not len(self.features):
-            return np.zeros(len(texts))
-        out = np.zeros(len(texts))
-        for row, text in enumerate(texts):
-            found = words(text)
-            at = np.minimum(np.searchsorted(self.features, found), len(self.features) - 1)
-            out[row] = self.weights[at[self.features[at] == found]].sum()
-        return out
+            return self.weights[:0]
+        found = words(text)
+        at = np.minimum(np.searchsorted(self.features, found), len(self.features) - 1)
+        return self.weights[at[self.features[at] == found]]
 
 
 def regress(
@@ -171,15 +183,15 @@ def fit(
     """Fit on about `rows_per_grade` labelled rows of each grade, drawn by a fixed hash of the id.
 
     The drawn ids are few by that bound and go to the documents; only checksums
-    of the sample's words come back to the driver.
+    of the sample's words come back to the driver. Rows of one id that hold the same words
+    are one, and if ids with many rows bring more rows than wanted, these are drawn
+    again by their words. Null ids, labels without a match and null grades are left out,
+    and with one grade or none the model has no words.
     """
     known = graded(labels, doc_id)
     counts = {row.grade: row["count"] for row in known.groupBy("grade").count().collect()}
     shares = np.array([counts.get(grade, 0) for grade in range(GRADES)], dtype=float)
-    rate = F.lit(0)
-    for grade, n in counts.items():
-        rate = F.when(F.col("grade") == grade, min(1_000_000, -(-1_000_000 * rows_per_grade // n))).otherwise(rate)
-    drawn = known.filter(F.pmod(hash_order("id"), F.lit(1_000_000)) < rate)
+    drawn = known.filter(F.pmod(hash_order("id"), F.lit(_DRAWS)) < _rate(counts, rows_per_grade))
 
     def run(batches):
         for batch in batches:
@@ -188,29 +200,47 @@ def fit(
             yield pa.RecordBatch.from_arrays(columns, names=["id", "grade", "words"])
 
     sample = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text")).join(F.broadcast(drawn), "id")
-    rows = map_batches(sample.select("id", "grade", "text"), run, "id bigint, grade int, words binary").collect()
-    rows.sort(key=lambda row: (row.id, bytes(row.words)))
+    held = materialize(map_batches(sample.select("id", "grade", "text"), run, "id bigint, grade int, words binary").distinct(), "labelled")
+    sizes = {row.grade: row["count"] for row in held.groupBy("grade").count().collect()}
+    many = {grade: n for grade, n in sizes.items() if n > MORE_ROWS * rows_per_grade}
+    again = F.pmod(F.xxhash64("id", "words"), F.lit(_DRAWS)) < _rate(many, rows_per_grade, _DRAWS)
+    rows = sorted(held.filter(again).collect(), key=lambda row: (row.id, bytes(row.words)))
     features = [np.frombuffer(row.words, dtype="<u4") for row in rows]
     return regress(features, np.array([row.grade for row in rows], dtype=np.int64), shares)
 
 
+_DRAWS = 1_000_000
+
+
+def _rate(counts: dict[int, int], wanted: int, other: int = 0) -> Column:
+    """The share of _DRAWS that brings `wanted` rows of each counted grade."""
+    rate = F.lit(other)
+    for grade, n in counts.items():
+        rate = F.when(F.col("grade") == grade, min(_DRAWS, -(-_DRAWS * wanted // n))).otherwise(rate)
+    return rate
+
+
 def grade_texts(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`doc_id, expected_severity, p_toxic, severity, toxic` of every row's whole text.
 
-    `severity` is the most likely grade. `toxic` holds from the probability of any
-    toxic grade on that served the fitted sample best. A null or empty text holds no words and is graded by
-    the thresholds alone. Other columns are not read.
+    `severity` is the most likely grade, the lower of equals. `toxic` holds from the
+    probability of any toxic grade on that served the fitted sample best, and only for texts
+    with a word that tells of toxic text. A null or empty text holds no words: it is graded
+    by the thresholds alone and never toxic. Rows that repeat an id or a text each give a
+    row, texts of any length are read whole, and no documents give no rows. Other columns
+    are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
-            above = shared.value.above(shared.value.score(texts_of(batch)))
+            scores, toxic = shared.value.toxic(texts_of(batch))
+            above = shared.value.above(scores)
             likely = -np.diff(np.c_[np.ones(len(above)), above, np.zeros(len(above))], axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), pa.array(above.sum(axis=1)), pa.array(above[:, 0]),
-                    pa.array(likely.argmax(axis=1).astype(np.int32)), pa.array(above[:, 0] >= shared.value.least),
+                    pa.array(likely.argmax(axis=1).astype(np.int32)), pa.array(toxic),
                 ],
                 names=["doc_id", "expected_severity", "p_toxic", "severity", "toxic"],
             )
@@ -220,13 +250,13 @@ def grade_texts(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str
 
 
 def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows, with all their columns, that are not graded toxic."""
+    """The rows, with all their columns, that are not graded toxic; a model without words keeps all."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 
     def run(batches):
         for batch in batches:
-            scores = shared.value.score(batch.column(at).to_pylist())
-            yield batch.filter(pa.array(shared.value.above(scores)[:, 0] < shared.value.least))
+            _, toxic = shared.value.toxic(batch.column(at).to_pylist())
+            yield batch.filter(pa.array(~toxic))
 
     return map_batches(docs, run, docs.schema)

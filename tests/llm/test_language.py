@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -143,3 +144,18 @@ def test_query_is_right_on_held_out_documents(spark, sf_dir):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     held = [r for r in rows if r.held_out]
     assert np.mean([r.lang_pred == docs[r.doc_id].lang for r in held]) >= 0.95
+
+
+def test_thousands_of_labels_besides_real_ones(spark):
+    rng = random.Random(6)
+    rows = [(i, "noise " + "".join(rng.choices("abcdefgh", k=20)), f"dirty{i}") for i in range(3000)]
+    tongues = {f"real{n:02d}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(30)] for n in range(40)}
+    for name, words in tongues.items():
+        rows += [(len(rows) + k, " ".join(rng.choices(words, k=40)), name) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.fit(docs, most_languages=60)
+    assert len(model.languages) <= 60 and set(tongues) <= set(model.languages)
+    truth = {row[0]: row[2] for row in rows}
+    found = [(truth[r.doc_id], r.lang_pred) for r in language.identify(docs, model).filter("held_out").collect()]
+    real = [a == b for a, b in found if a.startswith("real")]
+    assert sum(real) >= 0.95 * len(real) > 50
