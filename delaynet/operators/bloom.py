@@ -1,38 +1,71 @@
-"""Bloom filter as 64-bit words.
-
-A filter is a relation of its words that are not empty: (word, bits). Tasks set
-bits in a hash aggregate before the shuffle, so a filter of m bits leaves each
-task with at most m / 64 rows, whatever was added to it. Its size is known before
-it is built; `sized` takes it from the number of items and the wanted share of
-false positives, and `check_load` refuses a filter that holds too much for it.
+"""Blocked Bloom filter: all bits of an item lie in one block of 512.
+
+A filter is a relation of its blocks that are not empty, each as eight 64-bit words.
+An item sets and asks bits of a single row of it, so a filter is probed with one join
+whatever the number of its hash functions, and built by a hash aggregate of grouped
+bit-ors: no task sends more rows than there are blocks, whatever was added. The price
+is uneven blocks, which `sized` pays for with more bits: it takes the size from the
+number of items and the wanted share of false positives. `check_load` refuses a
+filter that holds too much for it.
 """
 
 from __future__ import annotations
 
 import math
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaynet.functions.hashing import hash_bucket
+from delaynet.functions.hashing import hash_bucket, hash_int
 
 BROADCAST_LIMIT_BYTES = 64 << 20
+BLOCK_BITS = 512
 WORD_BITS = 64
-WORD_BYTES = 32  # of one word in a broadcast relation, about
-FILTER_DDL = "word BIGINT, bits BIGINT"
+BLOCK_BYTES = 160  # of one block in a broadcast relation, about
+ADDRESS_BITS = 9  # that name a bit of a block
+ADDRESSES = 6  # that one hash gives
+WORDS = [f"w{i}" for i in range(BLOCK_BITS // WORD_BITS)]
+FILTER_DDL = ", ".join(["block BIGINT", *(f"{word} BIGINT" for word in WORDS)])
+_MOST_HASHES = 24
 
 
-def sized(items: int, fp_rate: float = 0.01) -> tuple[int, int]:
-    """Bits and hash functions for so many items at the wanted rate of false positives."""
+def _load_rate(load: float, k_hashes: int) -> float:
+    """False positives of a filter with so many items a block, which come to the blocks by chance."""
+
+    def of_block(items: float) -> float:
+        return (1.0 - (1.0 - 1.0 / BLOCK_BITS) ** (k_hashes * items)) ** k_hashes
+
+    if load > BLOCK_BITS:  # blocks this full differ little, and the chance of none at all is no number any more
+        return of_block(load)
+    rate, chance = 0.0, math.exp(-load)
+    for items in range(int(load + 12 * math.sqrt(load) + 40)):
+        rate += chance * of_block(items)
+        chance *= load / (items + 1)
+    return rate
+
+
+@cache
+def shape(fp_rate: float) -> tuple[int, int]:
+    """Bits an item, and hash functions, for the wanted rate of false positives."""
     if not 0 < fp_rate < 1:
         raise ValueError("a rate of false positives lies between 0 and 1")
-    per_item = math.ceil(-math.log(fp_rate) / math.log(2) ** 2)
-    bits = -(-max(1, items) * per_item // WORD_BITS) * WORD_BITS
-    return bits, max(1, round(per_item * math.log(2)))
+    for per_item in range(1, BLOCK_BITS):
+        rates = {k: _load_rate(BLOCK_BITS / per_item, k) for k in range(1, min(_MOST_HASHES, per_item) + 1)}
+        k_hashes = min(rates, key=rates.get)
+        if rates[k_hashes] <= fp_rate:
+            return per_item, k_hashes
+    raise ValueError(f"no block of {BLOCK_BITS} bits keeps to a rate of {fp_rate}")
+
+
+def sized(items: int, fp_rate: float = 0.01) -> tuple[int, int]:
+    """Bits and hash functions for so many items at the wanted rate of false positives."""
+    per_item, k_hashes = shape(fp_rate)
+    return max(1, -(-items * per_item // BLOCK_BITS)) * BLOCK_BITS, k_hashes
 
 
 def expected_fp_rate(items: int, m_bits: int, k_hashes: int) -> float:
-    return (1.0 - math.exp(-k_hashes * items / m_bits)) ** k_hashes
+    return _load_rate(items / max(1, m_bits // BLOCK_BITS), k_hashes)
 
 
 def check_load(items: int, m_bits: int, k_hashes: int, fp_rate: float) -> None:
@@ -42,57 +75,80 @@ def check_load(items: int, m_bits: int, k_hashes: int, fp_rate: float) -> None:
         raise ValueError(f"{items} items in {m_bits} bits: {expected:.3f} false positives expected, {fp_rate} wanted")
 
 
-def positions(item: Column, m_bits: int, k_hashes: int, method: str = "xxhash64") -> list[Column]:
+def _hashes(item: Column, m_bits: int, k_hashes: int, method: str) -> dict[str, Column]:
+    """The block of an item, and the hashes that its addresses are cut from."""
     if m_bits <= 0 or k_hashes <= 0:
         raise ValueError("filters need at least one bit and one hash function")
-    return [hash_bucket(item, i, m_bits, method) for i in range(k_hashes)]
+    block = hash_bucket(item, 0, max(1, m_bits // BLOCK_BITS), method)
+    return {"_block": block} | {f"_hash{i}": hash_int(item, i + 1, method) for i in range(-(-k_hashes // ADDRESSES))}
+
 
+def _address(i: int) -> Column:
+    return F.shiftright(f"_hash{i // ADDRESSES}", ADDRESS_BITS * (i % ADDRESSES)).bitwiseAND(BLOCK_BITS - 1)
 
-def _word(position: Column) -> Column:
-    return F.shiftright(position, 6)
+
+def _masks(k_hashes: int) -> list[Column]:
+    """Per word, the bits that an item sets in it, from the columns of `_hashes`."""
+    addresses = [_address(i) for i in range(k_hashes)]
+    masks = []
+    for word in range(len(WORDS)):
+        mask = F.lit(0).cast("bigint")
+        for address in addresses:
+            bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), address.bitwiseAND(WORD_BITS - 1).cast("int"))
+            mask = mask.bitwiseOR(F.when(F.shiftright(address, 6) == word, bit).otherwise(F.lit(0).cast("bigint")))
+        masks.append(mask)
+    return masks
+
+
+def positions(item: Column, m_bits: int, k_hashes: int, method: str = "xxhash64") -> list[Column]:
+    """Numbers of the bits that an item sets, counted over all blocks."""
+    hashes = list(_hashes(item, m_bits, k_hashes, method).values())
+    return [
+        hashes[0] * BLOCK_BITS + F.shiftright(hashes[1 + i // ADDRESSES], ADDRESS_BITS * (i % ADDRESSES)).bitwiseAND(BLOCK_BITS - 1)
+        for i in range(k_hashes)
+    ]
 
 
-def _mask(position: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(position, F.lit(WORD_BITS)).cast("int"))
+def _merged(blocks: DataFrame, *keys: str) -> DataFrame:
+    return blocks.groupBy(*keys, "block").agg(*[F.bit_or(word).alias(word) for word in WORDS])
 
 
 def build(rows: DataFrame, item: Column, m_bits: int, k_hashes: int, method: str = "xxhash64") -> DataFrame:
-    """The words of a filter of all items; null items add nothing."""
-    bits = rows.select(F.explode(F.array(*positions(item, m_bits, k_hashes, method))).alias("bit")).filter("bit is not null")
-    return bits.groupBy(_word(F.col("bit")).alias("word")).agg(F.bit_or(_mask(F.col("bit"))).alias("bits"))
+    """The blocks of a filter of all items; null items add nothing."""
+    hashed = rows.select(*[column.alias(name) for name, column in _hashes(item, m_bits, k_hashes, method).items()])
+    masks = [mask.alias(word) for word, mask in zip(WORDS, _masks(k_hashes))]
+    return _merged(hashed.filter("_block is not null").select(F.col("_block").alias("block"), *masks))
 
 
-def merge(*filters: DataFrame) -> DataFrame:
+def merge(*filters: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """One filter of what any of the filters, all of the same size, hold; separately for each value of `keys`."""
     merged = filters[0]
     for other in filters[1:]:
         merged = merged.unionByName(other)
-    return merged.groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    return _merged(merged, *keys)
 
 
 def set_bits(filter_rows: DataFrame) -> DataFrame:
     """The filter as a relation of the numbers of its set bits."""
-    offsets = filter_rows.withColumn("offset", F.explode(F.sequence(F.lit(0), F.lit(WORD_BITS - 1))))
-    return offsets.filter(F.getbit("bits", "offset") == 1).select((F.col("word") * WORD_BITS + F.col("offset")).alias("bit"))
+    words = filter_rows.select("block", F.posexplode(F.array(*WORDS)).alias("word", "bits"))
+    offsets = words.withColumn("offset", F.explode(F.sequence(F.lit(0), F.lit(WORD_BITS - 1))))
+    bit = F.col("block") * BLOCK_BITS + F.col("word") * WORD_BITS + F.col("offset")
+    return offsets.filter(F.getbit("bits", "offset") == 1).select(bit.alias("bit"))
 
 
 def might_contain(
     rows: DataFrame, item: Column, filter_rows: DataFrame, m_bits: int, k_hashes: int, method: str = "xxhash64", name: str = "maybe_seen"
 ) -> DataFrame:
-    """`rows` with a boolean column: false means certainly not added.
+    """`rows` with a boolean column: false means certainly not added; a null item never was.
 
-    One lookup join per hash function, so rows are neither repeated nor
-    regrouped. Small filters are broadcast and the rows then stay in place;
-    larger ones are joined by word in a shuffle.
+    One join by block, so rows are neither repeated nor regrouped. Small filters are
+    broadcast and the rows then stay in place; larger ones are joined in a shuffle.
     """
-    small = m_bits // WORD_BITS * WORD_BYTES <= BROADCAST_LIMIT_BYTES
-    result = rows
-    for i, position in enumerate(positions(item, m_bits, k_hashes, method)):
-        at = f"_at{i}"
-        lookup = filter_rows.select(F.col("word").alias(f"_word{i}"), F.col("bits").alias(f"_bits{i}"))
-        result = result.withColumn(at, position).join(
-            F.broadcast(lookup) if small else lookup, _word(F.col(at)) == F.col(f"_word{i}"), "left"
-        )
-        hit = F.getbit(F.col(f"_bits{i}"), F.pmod(F.col(at), F.lit(WORD_BITS)).cast("int")) == 1
-        result = result.withColumn(f"_hit{i}", F.coalesce(hit, F.lit(False))).drop(at, f"_word{i}", f"_bits{i}")
-    hits = [f"_hit{i}" for i in range(k_hashes)]
-    return result.withColumn(name, F.expr(" and ".join(hits))).drop(*hits)
+    hashes = _hashes(item, m_bits, k_hashes, method)
+    blocks = filter_rows.select(F.col("block").alias("_block"), *[F.col(word).alias(f"_{word}") for word in WORDS])
+    small = m_bits // BLOCK_BITS * BLOCK_BYTES <= BROADCAST_LIMIT_BYTES
+    asked = rows.withColumns(hashes).join(F.broadcast(blocks) if small else blocks, "_block", "left")
+    held = F.lit(True)
+    for word, mask in zip(WORDS, _masks(k_hashes)):
+        held = held & (F.col(f"_{word}").bitwiseAND(mask) == mask)
+    return asked.withColumn(name, F.coalesce(held, F.lit(False))).select(*rows.columns, name)

@@ -6,6 +6,8 @@ are compared one by one, ranks and labels are unrolled round by round.
 
 from __future__ import annotations
 
+from delaynet.operators.bloom import shape
+
 TRIALS = 50
 EPSILONS = [0.01, 0.1, 0.5, 1.0, 5.0, 10.0]
 WIDTHS = [10, 50, 100, 250, 500, 1000, 2000]
@@ -233,20 +235,29 @@ def cms(counts: str, key: str, widths: list[int], depth: int = 5) -> str:
     estimates as materialized (select p.key, width, min(c.n) as estimate from placed p join cells c using (width, depth_row, bucket) group by all)"""
 
 
-def bloom_size(source: str) -> str:
-    """Bits of a filter for all rows of a source: ten per row, in whole words."""
-    return f"((((select count(*) from {source}) * 10 + 63) // 64) * 64)"
+BLOOM_PER_ITEM, BLOOM_HASHES = shape(0.01)
+
+
+def bloom_blocks(source: str) -> str:
+    """Blocks of 512 bits of a filter for all rows of a source."""
+    return f"(select greatest(1, (count(*) * {BLOOM_PER_ITEM} + 511) // 512) from {source})"
+
+
+def _bloom_bit(blocks: str) -> str:
+    """Number of the i-th bit of an item."""
+    block, address = md5_int("'0|' || item"), md5_int("(1 + i // 6)::VARCHAR || '|' || item")
+    return f"({block} % {blocks}) * 512 + (({address} >> (9 * (i % 6))::INTEGER) & 511)"
 
 
-def bloom_bits(item: str, source: str, m: int | str, k: int, name: str = "bits") -> str:
-    return f"""{name} as materialized (select distinct {md5_int(f"i::VARCHAR || '|' || {item}")} % {m} as bit
-      from (select {item} from {source}) s(item), range(0, {k}) r(i))""".replace(f"'|' || {item}", "'|' || item")
+def bloom_bits(item: str, source: str, blocks: str, name: str = "bits") -> str:
+    return f"""{name} as materialized (select distinct {_bloom_bit(blocks)} as bit
+      from (select {item} from {source}) s(item), range(0, {BLOOM_HASHES}) r(i))"""
 
 
-def bloom_hits(item: str, source: str, m: int | str, k: int, bits: str = "bits") -> str:
-    return f"""select item, count(bit) = {k} as maybe_seen from (
-      select distinct item, i, {md5_int("i::VARCHAR || '|' || item")} % {m} as asked
-      from (select distinct {item} from {source}) s(item), range(0, {k}) r(i)) left join {bits} on bit = asked group by item"""
+def bloom_hits(item: str, source: str, blocks: str, bits: str = "bits") -> str:
+    return f"""select item, count(bit) = {BLOOM_HASHES} as maybe_seen from (
+      select item, i, {_bloom_bit(blocks)} as asked
+      from (select distinct {item} from {source}) s(item), range(0, {BLOOM_HASHES}) r(i)) left join {bits} on bit = asked group by item"""
 
 
 TAIL_COUNTS = "counts as materialized (select l_suppkey::VARCHAR as tail_number, count(*) as n from lineitem group by 1)"
@@ -376,21 +387,21 @@ ORACLES: dict[str, str] = {
     "cms_width_sweep": f"""with {TAIL_COUNTS}, {cms("counts", "tail_number", WIDTHS)}
       select width, (width * 20)::INT as bytes, round(avg(abs(estimate - n)), 6) as mae, round(width * 20 / 1024.0::DOUBLE, 6) as kilobytes
       from (select * from counts order by n desc, tail_number limit 100) join estimates on key = tail_number group by width""",
-    "bloom_bits": f"with {bloom_bits('user_id::VARCHAR', 'events', 1024, 4)} select bit from bits",
+    "bloom_bits": f"with {bloom_bits('user_id::VARCHAR', 'events', bloom_blocks('(select distinct user_id from events)'))} select bit from bits",
     "bloom_probe": f"""with asked as (select distinct user_id from events union all select distinct user_id + 1000000000 from events),
-      {bloom_bits('user_id::VARCHAR', BUYERS, bloom_size(BUYERS), 7)},
-      hits as ({bloom_hits('user_id::VARCHAR', 'asked', bloom_size(BUYERS), 7)})
+      {bloom_bits('user_id::VARCHAR', BUYERS, bloom_blocks(BUYERS))},
+      hits as ({bloom_hits('user_id::VARCHAR', 'asked', bloom_blocks(BUYERS))})
       select asked.user_id, coalesce(added, false) as added, maybe_seen from asked join hits on item = asked.user_id::VARCHAR
       left join (select user_id, bool_or(event_type = 'purchase') as added from events group by user_id) e on e.user_id = asked.user_id""",
-    "bloom_dedup": f"""with {bloom_bits(LINE_ID, KEPT_LINES, bloom_size(KEPT_LINES), 7)}
-      select item as record_id, not maybe_seen as accepted from ({bloom_hits(LINE_ID, "lineitem where l_returnflag = 'R'", bloom_size(KEPT_LINES), 7)})""",
+    "bloom_dedup": f"""with {bloom_bits(LINE_ID, KEPT_LINES, bloom_blocks(KEPT_LINES))}
+      select item as record_id, not maybe_seen as accepted from ({bloom_hits(LINE_ID, "lineitem where l_returnflag = 'R'", bloom_blocks(KEPT_LINES))})""",
     "sketch_scorecard": f"""with counts as materialized (select l_partkey::VARCHAR as k, count(*) as n from lineitem group by 1),
-      {hll_registers("k", "counts", 12)}, {hll_estimate(12)}, {cms("counts", "k", [1000])}, {bloom_bits("k", "counts", bloom_size("counts"), 7)},
-      hits as ({bloom_hits("'X' || p_partkey::VARCHAR", "part", bloom_size("counts"), 7)})
+      {hll_registers("k", "counts", 12)}, {hll_estimate(12)}, {cms("counts", "k", [1000])}, {bloom_bits("k", "counts", bloom_blocks("counts"))},
+      hits as ({bloom_hits("'X' || p_partkey::VARCHAR", "part", bloom_blocks("counts"))})
       select 'hyperloglog' as sketch, 4096::BIGINT as bytes,
         round(100.0 - abs((select count(*) from counts) - estimate) * 100.0 / (select count(*) from counts), 6) as accuracy_pct from estimated
       union all select 'count_min', 20000, round(100.0 - avg(abs(estimate - n) / n::DOUBLE) * 100, 6) from counts join estimates on key = k
-      union all select 'bloom', {bloom_size('counts')} // 8, round(avg((not maybe_seen)::INT) * 100, 6) from hits""",
+      union all select 'bloom', {bloom_blocks('counts')} * 64, round(avg((not maybe_seen)::INT) * 100, 6) from hits""",
     # graph
     "graph_vertices": f"with {EDGES} select origin as airport from edges union select destination from edges",
     "graph_stats": f"""with {TRADE} select

@@ -39,6 +39,7 @@ QUERIES: dict[str, Query] = {}
 
 SWEEP_WIDTHS = [10, 50, 100, 250, 500, 1000, 2000]
 METHOD = "md5"  # the hash that SQL can repeat; xxhash64 is the default elsewhere
+FP_RATE = 0.01  # of Bloom filters
 EPSILONS = [0.01, 0.1, 0.5, 1.0, 5.0, 10.0]
 TRIALS = 50
 
@@ -539,11 +540,10 @@ def _user(name: str = "user_id") -> Column:
 
 @query
 def bloom_bits(spark, sf):
+    """The set bits of a filter of all users, sized for them."""
     events = table(spark, sf, "events")
-    return bloom.set_bits(bloom.build(events, _user(), 1024, 4, METHOD))
-
-
-FP_RATE = 0.01
+    m_bits, k_hashes = bloom.sized(events.agg(F.countDistinct("user_id")).first()[0], FP_RATE)
+    return bloom.set_bits(bloom.build(events, _user(), m_bits, k_hashes, METHOD))
 
 
 @query

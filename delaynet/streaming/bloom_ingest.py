@@ -4,10 +4,15 @@ The opt-in alternative to exact state: memory follows the filter's bits, at the
 price of dropping a small, known share of new rows. The filter grows by
 generations: each holds twice the items of the one before it at half its rate of
 false positives, so the shares of all generations add up to less than the wanted
-rate however long the stream runs. Every batch is tested against the filter as of
-the batch's start, and the merged filter is written as that batch's snapshot, so a
-repeated batch gives the same result and a restart continues where it stopped. A
-snapshot that is missing stops the stream: without it, old ids would pass as new.
+rate however long the stream runs.
+
+The filter is kept as a log. Each batch is tested against the filter as of the
+batch's start, and writes an entry with the bits of its own accepted keys, so what it
+writes follows the batch and not the filter. Every `COMPACT_EVERY` batches the entries
+are folded into a base, and entries and bases that the last base makes needless are
+dropped at the start of the batch after it. A repeated batch replaces its own entry and
+reads only those before it, so it gives the same result. An entry or base that is
+missing or unfinished stops the stream: without it, old ids would pass as new.
 """
 
 from __future__ import annotations
@@ -23,7 +28,8 @@ from delaynet.operators import bloom
 from delaynet.schema import FLIGHT_COLUMNS
 from delaynet.streaming.ingest import classified, write_audit, write_quarantine
 
-SNAPSHOT_DDL = f"generation INT, items BIGINT, {bloom.FILTER_DDL}"
+STATE_DDL = f"generation INT, items BIGINT, {bloom.FILTER_DDL}"
+COMPACT_EVERY = 16
 
 
 @dataclass(frozen=True)
@@ -41,61 +47,108 @@ class Growth:
         return bloom.sized(self.capacity(generation), self.fp_rate / 2 ** (generation + 1))
 
 
-def _folder(filters: str, batch_id: int) -> str:
-    return f"{filters}/snapshot={batch_id}"
+class FilterLog:
+    """The filter's entries and bases under one folder, by batch.
 
-
-def snapshot(spark: SparkSession, filters: str, batch_id: int) -> DataFrame:
-    """The filter as of the end of a batch; empty before the first one, an error if it is lost.
-
-    Its rows with a null word give the number of items of each generation.
+    Rows of an entry or base are blocks of a generation, and one row with a null block
+    for each generation that says how many items went in.
     """
-    if batch_id < 0:
-        return spark.createDataFrame([], SNAPSHOT_DDL)
-    return spark.read.schema(SNAPSHOT_DDL).parquet(_folder(filters, batch_id))
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._files = self._path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def place(self, kind: str, batch_id: int) -> str:
+        return f"{self.folder}/{kind}={batch_id}"
+
+    def batches(self, kind: str) -> list[int]:
+        """Batches that finished writing this kind, ascending."""
+        if not self._files.exists(self._path(self.folder)):
+            return []
+        names = [entry.getPath().getName() for entry in self._files.listStatus(self._path(self.folder))]
+        numbers = [int(name.split("=")[1]) for name in names if name.startswith(f"{kind}=")]
+        return sorted(n for n in numbers if self._files.exists(self._path(f"{self.place(kind, n)}/_SUCCESS")))
+
+    def base_before(self, batch_id: int) -> int:
+        """The last base that a batch may read; -1 if it starts from nothing."""
+        return max((n for n in self.batches("base") if n < batch_id), default=-1)
+
+    def before(self, batch_id: int) -> DataFrame:
+        """The filter as of the start of a batch. Batches count from 0 without gaps."""
+        base, written = self.base_before(batch_id), self.batches("entry")
+        lost = [n for n in range(base + 1, batch_id) if n not in written]
+        if lost:
+            raise FileNotFoundError(f"path does not exist: {self.place('entry', lost[0])}, without which old ids would pass as new")
+        paths = [self.place("base", base)] * (base >= 0) + [self.place("entry", n) for n in range(base + 1, batch_id)]
+        if not paths:
+            return self.spark.createDataFrame([], STATE_DDL)
+        return folded(self.spark.read.schema(STATE_DDL).parquet(*paths))
+
+    def write(self, state: DataFrame, kind: str, batch_id: int) -> None:
+        state.write.mode("overwrite").parquet(self.place(kind, batch_id))
+
+    def drop_old(self, batch_id: int) -> None:
+        """Remove what no batch from this one on reads. Only the running batch can be repeated, and it reads from the last base before it."""
+        base = self.base_before(batch_id)
+        for kind, last in (("entry", base), ("base", base - 1)):
+            for n in self.batches(kind):
+                if n <= last:
+                    self._files.delete(self._path(self.place(kind, n)), True)
+
+
+def folded(state: DataFrame) -> DataFrame:
+    """One row per block and generation, and the items of each generation."""
+    items = state.filter("block is null").groupBy("generation").agg(F.sum("items").alias("items"))
+    nothing = [F.lit(None).cast("bigint").alias(name) for name in ("block", *bloom.WORDS)]
+    blocks = bloom.merge(state.filter("block is not null").select("generation", "block", *bloom.WORDS), keys=("generation",))
+    return blocks.withColumn("items", F.lit(None).cast("bigint")).unionByName(items.select("generation", "items", *nothing))
 
 
 def _held(state: DataFrame) -> dict[int, int]:
     """Items by generation: one row each, and generations double."""
-    return {row.generation: row["items"] for row in state.filter("word is null").collect()}
+    return {row.generation: row["items"] for row in state.filter("block is null").collect()}
 
 
 def accept_new(rows: DataFrame, state: DataFrame, held: dict[int, int], key: str, growth: Growth, method: str) -> DataFrame:
     """One row per key that no generation of the filter may have seen."""
     judged = rows.filter(F.col(key).isNotNull()).dropDuplicates([key])
     for generation in held:
-        words = state.filter((F.col("generation") == generation) & F.col("word").isNotNull()).select("word", "bits")
-        judged = bloom.might_contain(judged, F.col(key), words, *growth.size(generation), method)
+        blocks = state.filter((F.col("generation") == generation) & F.col("block").isNotNull()).select("block", *bloom.WORDS)
+        judged = bloom.might_contain(judged, F.col(key), blocks, *growth.size(generation), method)
         judged = judged.filter(~F.col("maybe_seen")).drop("maybe_seen")
     return judged
 
 
-def _grown(state: DataFrame, held: dict[int, int], accepted: DataFrame, key: str, growth: Growth, method: str) -> DataFrame:
-    """The filter with the accepted keys in its newest generation, or in a new one if that would overfill it."""
-    spark, fresh = state.sparkSession, accepted.count()
+def _entry(held: dict[int, int], accepted: DataFrame, key: str, growth: Growth, method: str) -> DataFrame:
+    """The accepted keys as bits of the newest generation, or of a new one if they would overfill it."""
+    fresh = accepted.count()
     generation = max(held, default=0)
     while held.get(generation, 0) + fresh > growth.capacity(generation):
         generation += 1  # generations that are skipped stay empty
-    sizes = {**held, generation: held.get(generation, 0) + fresh}
-    added = bloom.build(accepted, F.col(key), *growth.size(generation), method).withColumn("generation", F.lit(generation))
-    words = state.filter("word is not null").select("generation", "word", "bits").unionByName(added)
-    words = words.groupBy("generation", "word").agg(F.bit_or("bits").alias("bits"))
-    counts = spark.createDataFrame([(g, n, None, None) for g, n in sizes.items()], SNAPSHOT_DDL)
-    return words.select("generation", F.lit(None).cast("bigint").alias("items"), "word", "bits").unionByName(counts)
+    blocks = bloom.build(accepted, F.col(key), *growth.size(generation), method)
+    blocks = blocks.select(F.lit(generation).alias("generation"), F.lit(None).cast("bigint").alias("items"), "block", *bloom.WORDS)
+    count = accepted.sparkSession.createDataFrame([(generation, fresh, *[None] * (1 + len(bloom.WORDS)))], STATE_DDL)
+    return blocks.unionByName(count)
 
 
-def bloom_writer(output: str, filters: str, key: str, growth: Growth = Growth(), method: str = "xxhash64"):
-    """A `foreachBatch` function that appends new rows and updates the filter. Returns the accepted rows."""
+def bloom_writer(
+    output: str, filters: str, key: str, growth: Growth = Growth(), method: str = "xxhash64", compact_every: int = COMPACT_EVERY
+):
+    """A `foreachBatch` function that appends new rows and logs their bits. Returns the accepted rows."""
 
     def write(batch: DataFrame, batch_id: int) -> DataFrame:
         spark = batch.sparkSession
-        # Batches count from 0 without gaps, so the one before left a snapshot.
-        state = snapshot(spark, filters, batch_id - 1)
+        log = FilterLog(spark, filters)
+        log.drop_old(batch_id)
+        state = log.before(batch_id)
         held = _held(state)
         target = f"{output}/batch_id={batch_id}"
         accept_new(batch, state, held, key, growth, method).write.mode("overwrite").parquet(target)
         accepted = spark.read.schema(batch.schema).parquet(target)
-        _grown(state, held, accepted, key, growth, method).write.mode("overwrite").parquet(_folder(filters, batch_id))
+        log.write(_entry(held, accepted, key, growth, method), "entry", batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            log.write(log.before(batch_id + 1), "base", batch_id)
         return accepted
 
     return write

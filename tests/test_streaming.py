@@ -8,7 +8,7 @@ import pytest
 from delaynet.operators import bloom
 from delaynet.plans import streams
 from delaynet.sources.messages import file_stream, kafka_options
-from delaynet.streaming.bloom_ingest import Growth, bloom_writer, start_bloom_ingest
+from delaynet.streaming.bloom_ingest import FilterLog, Growth, bloom_writer, start_bloom_ingest
 from delaynet.streaming.ingest import read_audit, read_ingested, start_ingest, stream_session
 
 
@@ -152,7 +152,7 @@ def test_bloom_filter_grows_before_it_fills(spark, place):
         write(new(a, b), batch_id)
     kept = spark.read.parquet(place["out"])
     assert kept.count() == kept.select("flight_id").distinct().count() >= 400 * (1 - growth.fp_rate) - 4
-    sizes = {r.generation: r["items"] for r in spark.read.parquet(place["filters"] + "/snapshot=3").filter("word is null").collect()}
+    sizes = {r.generation: r["items"] for r in FilterLog(spark, place["filters"]).before(4).filter("block is null").collect()}
     assert len(sizes) > 1 and all(n <= growth.capacity(g) for g, n in sizes.items())
     write(new(0, 400), 4)
     assert spark.read.parquet(place["out"]).count() <= 400
@@ -172,6 +172,39 @@ def test_repeated_bloom_batch_changes_nothing(spark, place):
     assert spark.read.parquet(place["out"]).count() == 2
 
 
+def test_the_filter_log_follows_the_batches_and_is_folded(spark, place):
+    growth, keys = Growth(20_000, 0.01), lambda a, b: spark.range(a, b).selectExpr("cast(id as string) as flight_id")
+    write = bloom_writer(place["out"], place["filters"], "flight_id", growth, compact_every=4)
+    log = FilterLog(spark, place["filters"])
+    write(keys(0, 10_000), 0)
+    for batch_id in range(1, 9):
+        write(keys(10_000 + 10 * batch_id, 10_020 + 10 * batch_id), batch_id)
+        if batch_id < 8:
+            assert spark.read.parquet(log.place("entry", batch_id)).count() <= 21  # whatever the filter holds by then
+        if batch_id in (3, 4, 7):
+            write(keys(10_000 + 10 * batch_id, 10_020 + 10 * batch_id), batch_id)  # repeated after its base was written
+    assert log.batches("base") == [7] and log.batches("entry") == [8]
+    kept = spark.read.parquet(place["out"])
+    assert kept.count() == kept.distinct().count() >= 10_090 * 0.99
+    assert log.before(9).filter("block is null").first()["items"] == kept.count()
+    # the log holds what a filter of all accepted keys would
+    whole = bloom.build(kept.select("flight_id"), kept.flight_id, *growth.size(0))
+    assert sorted(map(tuple, whole.collect())) == sorted(tuple(r)[2:] for r in log.before(9).select("generation", "items", "block", *bloom.WORDS).collect() if r.block is not None)
+
+
+@pytest.mark.parametrize("unfinished", [False, True])
+def test_a_gap_in_the_log_stops_the_stream(spark, place, unfinished):
+    write = bloom_writer(place["out"], place["filters"], "flight_id", compact_every=3)
+    row = lambda i: spark.createDataFrame([(f"id{i}",)], "flight_id string")
+    for batch_id in range(5):
+        write(row(batch_id), batch_id)
+    entry = Path(FilterLog(spark, place["filters"]).place("entry", 3))
+    for file in [entry / "_SUCCESS"] if unfinished else [*entry.iterdir()]:
+        file.unlink()
+    with pytest.raises(FileNotFoundError, match="does not exist"):
+        write(row(9), 5)
+
+
 def test_fixture_holds_the_awkward_deliveries(spark, sf_dir):
     sent = streams._sent_lines(spark, sf_dir).selectExpr("key", "delivery", "value like '%\"origin\"%' as routed", "value not like '%}' as cut")
     by_id = sent.filter("not cut").groupBy("key").agg({"routed": "max", "delivery": "count"}).collect()
