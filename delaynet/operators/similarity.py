@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaynet.functions.hashing import hash_int
+from delaynet.operators.graph import connected_components
 from delaynet.session import materialize
 
 MAX_BUCKET = 1_000
@@ -379,6 +380,84 @@ def cluster_edges(pairs: DataFrame) -> DataFrame:
     )
 
 
+_SET = ["profile", "size", "codes", "place"]
+
+
+def _keyed(profile_rows: DataFrame, threshold: float) -> DataFrame:
+    """Profiles at each of their rare tokens, with a hash that elects representatives."""
+    rows = profile_rows.select("profile", "size", "codes", F.posexplode(_prefix(threshold)).alias("place", "key"))
+    return rows.withColumn("draw", F.xxhash64("key", "profile"))
+
+
+def _side(rows: DataFrame, name: str, *extra: str) -> DataFrame:
+    return rows.select("key", *extra, *[F.col(column).alias(f"{column}_{name}") for column in _SET])
+
+
+def star_links(keyed: DataFrame, threshold: float) -> DataFrame:
+    """`profile_a, profile_b` of profiles closer than `threshold` to the representative of a rare token of theirs.
+
+    At most one link for each profile and token, so a token that n similar profiles share
+    costs n comparisons. Representatives are one row a token, which lets adaptive
+    execution split the other side of the join where a token is crowded.
+    """
+    elected = keyed.groupBy("key").agg(F.min("draw").alias("draw"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    stars = _side(keyed.join(elected, ["key", "draw"]), "b")
+    near = _side(keyed, "a").join(stars, "key").filter("profile_a <> profile_b").filter(_sizes_fit(threshold) & _enough_left(threshold))
+    return _measured(near, threshold).select(F.least("profile_a", "profile_b").alias("profile_a"), F.greatest("profile_a", "profile_b").alias("profile_b")).distinct()
+
+
+def cross_links(labelled: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """One link for every two components, by `component_id`, that some pair closer than `threshold` connects.
+
+    Profiles of the same component need no comparison. A token that one component has
+    for itself drops out, and the largest component of a token is only compared
+    with the profiles of others.
+    """
+    sizes = labelled.groupBy("key", "component_id").agg(F.count(F.lit(1)).alias("n"))
+    most = sizes.groupBy("key").agg(F.max(F.struct("n", "component_id")).alias("top"), F.count(F.lit(1)).alias("components"), F.sum("n").alias("all"))
+    most = most.filter("components > 1").select("key", F.col("top.component_id").alias("largest"), F.col("top.n").alias("n"), (F.col("all") - F.col("top.n")).alias("others"))
+    mixed = materialize(labelled.join(most, "key"), "mixed")
+    large, others = mixed.filter("component_id = largest"), mixed.filter("component_id <> largest")
+
+    made = most.agg(F.sum(F.col("n").cast("double") * F.col("others"))).first()[0] or 0.0
+    spark = labelled.sparkSession
+    partitions = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(made / PAIRS_PER_TASK))
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    left = large.withColumn("block", F.pmod(F.xxhash64("profile"), blocks).cast("int"))
+    right = others.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    sides = [
+        _side(rows, name, "block", F.col("component_id").alias(f"component_{name}")).repartition(partitions, "key", "block")
+        for rows, name in ((left, "a"), (right, "b"))
+    ]
+    among = _paired(others, ["key"], [*_SET, "component_id"], block).filter("component_id_a <> component_id_b")
+    among = among.withColumnsRenamed({"component_id_a": "component_a", "component_id_b": "component_b"})
+    columns = [*[f"{column}_{name}" for name in "ab" for column in _SET], "component_a", "component_b"]
+    pairs = sides[0].join(sides[1], ["key", "block"]).select(columns).unionByName(among.select(columns))
+    near = _measured(pairs.filter(_sizes_fit(threshold) & _enough_left(threshold)), threshold)
+    return near.select(F.least("component_a", "component_b").alias("profile_a"), F.greatest("component_a", "component_b").alias("profile_b")).distinct()
+
+
+def cluster_components(profile_rows: DataFrame, threshold: float) -> DataFrame:
+    """`profile, component_id`: the smallest profile that pairs closer than `threshold` lead to.
+
+    The components of all such pairs, without making the pairs: links to
+    representatives join what is alike, and only what they left apart is compared.
+    """
+    keyed = materialize(_keyed(profile_rows, threshold), "keyed")
+
+    def joined(links: DataFrame) -> DataFrame:
+        return connected_components(cluster_edges(links)).withColumnRenamed("airport", "profile")
+
+    stars = joined(materialize(star_links(keyed, threshold), "stars"))
+    labels = profile_rows.select("profile").join(stars, "profile", "left").select("profile", F.coalesce("component_id", "profile").alias("component_id"))
+    labels = materialize(labels, "labels")
+    links = materialize(cross_links(keyed.join(labels, "profile"), threshold), "crossing")
+    if links.isEmpty():
+        return labels
+    merged = joined(links).select(F.col("profile").alias("component_id"), F.col("component_id").alias("root"))
+    return labels.join(merged, "component_id", "left").select("profile", F.coalesce("root", "component_id").alias("component_id"))
+
+
 def clusters(bags: DataFrame, profile_rows: DataFrame, components: DataFrame) -> DataFrame:
     """Every group with the smallest group of its cluster; lone groups are their own."""
     labelled = profile_rows.join(components.withColumnRenamed("airport", "profile"), "profile", "left").select(

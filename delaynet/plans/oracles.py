@@ -310,9 +310,9 @@ ORACLES: dict[str, str] = {
     "map_export": f"""with {ROUTE_RANKS}, {HOME_COMPONENTS}
       select airport, pagerank, component_id, n_nationkey * 3.0::DOUBLE - 30 as lat, n_nationkey * 5.0::DOUBLE - 60 as lng
       from ranks join components using (airport) join nation on n_name = airport where lat <> 0 or lng <> 0""",
-    "log_metrics": f"""select strftime(ts, '%Y-%m-%d') as source, event_id::DOUBLE as records, value as throughput, user_id::DOUBLE as etl_seconds,
+    "log_metrics": f"""select strftime(ts, '%Y-%m-%d') || '#' || event_id as source, event_id::DOUBLE as records, value as throughput, user_id::DOUBLE as etl_seconds,
       round({K} * case event_type when 'error' then 1.0 / 1024 when 'click' then 1024.0 else 1.0 end::DOUBLE, 6) as parquet_mb
-      from events where event_id in (select min(event_id) from events group by strftime(ts, '%Y-%m-%d'))""",
+      from events""",
     "log_sweeps": f"""with days as (select *, strftime(ts, '%Y-%m-%d') as day from events),
       marks as (select day, min(event_id) as start from days where event_type = 'error' group by 1)
       select day as source, count(*) as n, sum({K})::DOUBLE as parameters, round(sum(value), 6) as errors

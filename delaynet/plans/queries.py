@@ -200,22 +200,30 @@ def _log_line(text: str, value: Column, unit: str = "") -> Column:
     return F.concat(F.lit(text), value.cast("string"), F.lit(unit))
 
 
-def _written_logs(spark, sf, lines: Column) -> DataFrame:
+_RUN = r"^\[run (\d+)\] "
+
+
+def _written_logs(spark, sf, lines: Column, runs: bool = False) -> DataFrame:
     """One log per day with the lines of each event in order, written as text and read back.
 
     A long log is several files, cut by event; their names and positions keep the order.
+    With `runs`, each line says which event it is of, and every event is a source of its own.
     """
     schema = StructType([StructField("k", IntegerType())])
     events = messages.decode_json(table(spark, sf, "events"), schema, "props").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     path = scratch_path(spark, "logs")
     ordered = events.repartitionByRange("day", "event_id").sortWithinPartitions("day", "event_id")
-    ordered.select("day", F.explode(lines).alias("line")).write.partitionBy("day").text(path)
-    return logs.read_log_lines(spark, path, source=F.regexp_extract(logs.FILE, "day=([^/]+)/", 1))
+    line = F.concat(F.lit("[run "), c("event_id").cast("string"), F.lit("] "), c("line")) if runs else c("line")
+    ordered.withColumn("line", F.explode(lines)).select("day", line.alias("line")).write.partitionBy("day").text(path)
+    source = F.regexp_extract(logs.FILE, "day=([^/]+)/", 1)
+    if runs:
+        source = F.concat(source, F.lit("#"), F.regexp_extract("value", _RUN, 1))
+    return logs.read_log_lines(spark, path, source=source)
 
 
 @query
 def log_metrics(spark, sf):
-    """Every event written as the result lines of a run; the first of each day, as parsed."""
+    """Every event written as the result lines of a run in its day's log, and parsed from there."""
     unit = F.when(c("event_type") == "error", F.lit("K")).when(c("event_type") == "click", F.lit("G")).otherwise(F.lit("M"))
     lines = F.array(
         F.lit("--- Throughput ---"),
@@ -224,7 +232,7 @@ def log_metrics(spark, sf):
         _log_line("Spark Streaming ETL:  ", c("user_id"), "s"),
         F.concat(_log_line("Curated Parquet:      ", c("k")), unit),
     )
-    return logs.run_metrics(_written_logs(spark, sf, lines)).withColumn("parquet_mb", r6("parquet_mb"))
+    return logs.run_metrics(_written_logs(spark, sf, lines, runs=True)).withColumn("parquet_mb", r6("parquet_mb"))
 
 
 @query
@@ -733,8 +741,7 @@ def lsh_quality(spark, sf):
 def similarity_clusters(spark, sf):
     bags = materialize(_bags(spark, sf, 15), "bags")
     profiles = materialize(similarity.profiles(bags), "profiles")
-    components = graph.connected_components(similarity.cluster_edges(similarity.exact_pairs(profiles, 0.3)))
-    return similarity.clusters(bags, profiles, components)
+    return similarity.clusters(bags, profiles, similarity.cluster_components(profiles, 0.3))
 
 
 # --- privacy --------------------------------------------------------------------------------------

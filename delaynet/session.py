@@ -20,6 +20,7 @@ RECOMMENDED = {
 
 
 _USED: set[str] = set()
+_TABLES: set[str] = set()  # bucketed tables that the catalog knows
 
 
 def build_session(app: str = "delaynet", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,9 +36,17 @@ def build_session(app: str = "delaynet", master: str | None = None, **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: `spark.checkpoint.dir`, or else the warehouse."""
+    """The folder all executors can reach: `spark.checkpoint.dir`, or else the warehouse.
+
+    A warehouse on this machine serves local sessions only; on a cluster it is refused.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and warehouse.startswith(("file:", "/")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/_scratch"
 
 
 def _own_folder(spark: SparkSession) -> str:
@@ -55,6 +64,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def release(spark: SparkSession) -> None:
     """Remove all intermediates of this application. Results that read them are then gone as well."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
     _remove(spark, _own_folder(spark))
 
 
@@ -66,6 +77,7 @@ def _remove(spark: SparkSession, folder: str) -> None:
 def _release_at_exit(folder: str) -> None:
     spark = SparkSession.getActiveSession()
     if spark is not None and SparkContext._active_spark_context is not None:
+        release(spark)
         _remove(spark, folder)
 
 
@@ -78,6 +90,7 @@ def bucketed(df: DataFrame, label: str, buckets: int, *keys: str) -> DataFrame:
     name = f"{label}_{uuid.uuid4().hex}"
     writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", scratch_path(df.sparkSession, label))
     writer.saveAsTable(name)
+    _TABLES.add(name)
     return df.sparkSession.table(name)
 
 

@@ -141,6 +141,52 @@ def test_clusters_cover_all_groups(data):
             assert label[a] == label[b]
 
 
+def reachable(bags, threshold):
+    """Smallest group that pairs closer than the threshold lead to, by following them."""
+    label = {group: group for group in bags}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in combinations(sorted(bags), 2):
+            if label[a] != label[b] and distance(bags[a], bags[b]) < threshold:
+                label[a] = label[b] = min(label[a], label[b])
+                changed = True
+    return label
+
+
+@pytest.mark.parametrize("seed, threshold", [(5, 0.3), (6, 0.55)])
+def test_clusters_without_pairs_are_those_of_all_pairs(spark, seed, threshold):
+    bags = make_bags(seed)
+    bag_rows, signatures = frames(spark, bags)
+    found = similarity.clusters(bag_rows, signatures, similarity.cluster_components(signatures, threshold)).collect()
+    assert {r.group_id: r.cluster_id for r in found} == reachable(bags, threshold)
+
+
+def test_chains_that_no_representative_sees_whole_are_joined(spark, monkeypatch):
+    """Windows over one row of tokens: each is near its neighbours only, and all share crowded tokens."""
+    bags = {f"w{i:02}": {f"t{j:02}" for j in range(i, i + 12)} for i in range(0, 40, 2)} | {"far": {"t00", "z1", "z2", "z3"}}
+    bag_rows, signatures = frames(spark, bags)
+    keyed = similarity._keyed(signatures, 0.35)
+    alone = keyed.withColumn("component_id", F.col("profile"))
+    pairs = {tuple(r) for r in similarity.cross_links(alone, 0.35, block=3).collect()}
+    assert pairs == {(a, b) for a, b in combinations(sorted(bags), 2) if distance(bags[a], bags[b]) < 0.35}
+    found = similarity.cluster_components(signatures, 0.35).collect()
+    assert {r.profile: r.component_id for r in found} == reachable(bags, 0.35)
+
+
+def test_near_equal_sets_cost_links_in_proportion(spark):
+    n, shared = 600, [f"s{i:02}" for i in range(30)]
+    bag_rows, signatures = frames(spark, {f"g{i:04}": {*shared, f"own{i}"} for i in range(n)})
+    keyed = materialize(similarity._keyed(signatures, 0.3), "keyed")
+    stars = similarity.star_links(keyed, 0.3)
+    assert n - 1 <= stars.count() <= keyed.count() <= 15 * n
+    labelled = keyed.withColumn("component_id", F.lit("g0000"))
+    plan = similarity.cross_links(labelled, 0.3)
+    assert plan.isEmpty()
+    found = similarity.cluster_components(signatures, 0.3)
+    assert {r.component_id for r in found.collect()} == {"g0000"} and found.count() == n
+
+
 def test_null_tokens_are_dropped(spark):
     rows = spark.createDataFrame([("a", None), ("a", "x"), ("b", None)], "g string, t string")
     assert [tuple(r) for r in similarity.token_bags(rows, F.col("g"), F.col("t")).collect()] == [("a", ["x"])]

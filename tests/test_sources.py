@@ -1,8 +1,12 @@
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from delaynet import session
+from delaynet.plans import catalog
 from delaynet.schema import FLIGHT_SCHEMA, RAW_COLUMNS
 from delaynet.session import materialize, shared_folder
 from delaynet.sources import files, logs, messages
@@ -90,3 +94,44 @@ def test_curated_table_grows_by_appending(spark, tmp_path):
     for _ in range(2):
         files.append_curated(rows, str(tmp_path / "c"))
     assert sorted(r.origin for r in files.read_curated(spark, str(tmp_path / "c")).collect()) == ["", "", "A", "A"]
+
+
+@pytest.mark.parametrize("absent", ["xxhash", "tokenizers", "delaynet.llm", "corpus_pipeline"])
+def test_entry_loads_without_the_corpus_part(absent):
+    code = f"import sys; sys.modules[{absent!r}] = None; import __spark_entry__ as e; print(len(e.queries()), 'route_edges' in e.oracle_sql())"
+    root = Path(__file__).resolve().parents[1]
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[0]) == len(catalog.QUERIES) and out[1] == "True"
+
+
+def test_release_drops_bucketed_tables(spark):
+    own = spark.newSession()
+    before = {t.name for t in own.catalog.listTables()}
+    kept = set(session._TABLES)
+    session._TABLES.clear()
+    session.bucketed(own.range(10), "links", 2, "id")
+    assert len({t.name for t in own.catalog.listTables()} - before) == len(session._TABLES) == 1
+    folders, folder = session._own_folder, session.scratch_path(own, "released")
+    session._own_folder = lambda _: folder  # other tests still read theirs
+    try:
+        session.release(own)
+    finally:
+        session._own_folder = folders
+        session._TABLES.update(kept)
+    assert {t.name for t in own.catalog.listTables()} == before
+
+
+def test_scratch_on_a_cluster_is_not_on_this_machine():
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    def folder(master, **conf):
+        made = type("Session", (), {"conf": Conf(conf), "sparkContext": type("Context", (), {"master": master})})
+        return session.shared_folder(made)
+
+    assert folder("yarn", **{"spark.checkpoint.dir": "hdfs://x/y/"}) == "hdfs://x/y"
+    assert folder("local[2]", **{"spark.sql.warehouse.dir": "file:/w"}) == "file:/w/_scratch"
+    assert folder("yarn", **{"spark.sql.warehouse.dir": "s3a://b/w"}) == "s3a://b/w/_scratch"
+    with pytest.raises(ValueError):
+        folder("spark://host:7077", **{"spark.sql.warehouse.dir": "file:/w"})
