@@ -118,6 +118,29 @@ def throughput_windows(rows: DataFrame, timestamp: str, value: str, width: str =
     )
 
 
+RANK_ERROR = 0.0133  # of a KLL sketch of the default size, at 99 % confidence for a single quantile
+
+
+def quantile_sketches(rows: DataFrame, timestamp: str, value: str, width: str = "1 day") -> DataFrame:
+    """`window_start, records, sketch`: one KLL sketch of `value` for each time window, to be stored and merged.
+
+    One pass over the rows, a few kilobytes a window whatever it holds. Values that are
+    null or not finite are left out, and windows without others do not appear.
+    """
+    number = F.col(value).cast("double")
+    placed = rows.select(F.window(timestamp, width)["start"].alias("window_start"), number.alias("value"))
+    usable = placed.filter(F.col("window_start").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") < float("inf")))
+    return usable.groupBy("window_start").agg(F.count(F.lit(1)).alias("records"), F.kll_sketch_agg_double("value").alias("sketch"))
+
+
+def sketched_percentiles(sketches: DataFrame, percents: tuple[int, ...] = (50, 99), by: Column | None = None) -> DataFrame:
+    """`span, records, p<percent>`: approximate percentiles of merged windows, by an expression over `window_start`; of all without one."""
+    merged = sketches.groupBy((F.lit("all") if by is None else by).alias("span")).agg(
+        F.sum("records").alias("records"), F.kll_merge_agg_double("sketch").alias("sketch")
+    )
+    return merged.select("span", "records", *[F.kll_sketch_get_quantile_double("sketch", F.lit(p / 100)).alias(f"p{p}") for p in percents])
+
+
 def tier_summary(rows: DataFrame, timestamp: str, tiers: list[int]) -> DataFrame:
     """Volume of the first `tier` days of the data, and growth from tier to tier."""
     start = rows.agg(F.to_date(F.min(timestamp))).scalar()

@@ -57,3 +57,21 @@ def estimate(sketch: DataFrame, p: int = 10) -> DataFrame:
 def builtin_estimate(rows: DataFrame, item: Column, lg_k: int = 12) -> DataFrame:
     """The same question answered by Spark's own mergeable sketch."""
     return rows.agg(F.hll_sketch_estimate(F.hll_sketch_agg(item, F.lit(lg_k))).alias("estimate"))
+
+
+def stored_sketches(rows: DataFrame, span: Column, item: Column, lg_k: int = 12) -> DataFrame:
+    """`span, sketch`: one binary sketch for each span of time, to be written once and united at will.
+
+    Spans without any item have an empty sketch; null items are not counted.
+    """
+    return rows.groupBy(span.alias("span")).agg(F.hll_sketch_agg(item, F.lit(lg_k)).alias("sketch"))
+
+
+def united(sketches: DataFrame, *by: str) -> DataFrame:
+    """Estimated distinct items of each value of `by`, from stored sketches alone."""
+    return sketches.groupBy(*by).agg(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("sketch")), F.lit(0)).alias("estimate"))
+
+
+def stored_error(lg_k: int = 12) -> float:
+    """Standard error of united sketches, as a share of the true number."""
+    return 1.04 / 2 ** (lg_k / 2)

@@ -294,6 +294,13 @@ ORACLES: dict[str, str] = {
     "json_encode": "select event_id, user_id, event_type, value from events",
     "quarantine": "select event_id as source_id, event_type = 'error' as quarantined from events",
     "keyed_messages": f"with {flights()} select 'flight-' || flight_id as key, origin, delay_minutes from flights",
+    "csv_quarantine": """with lines as (select l_returnflag || l_linestatus as carrier, l_tax = 0 as cut,
+        l_tax <> 0 and l_linenumber = 7 and l_discount = 0 as surplus from lineitem)
+      select case when cut or surplus then 'aside' else 'record' end as kind, carrier as "OP_UNIQUE_CARRIER", count(*) as n,
+        count(*) filter (surplus) as surplus from lines group by 1, 2""",
+    "hll_ranges": """with firsts as (select l_orderkey, min(year(l_shipdate)) as y from lineitem group by 1),
+      years as (select distinct year(l_shipdate)::INTEGER as until from lineitem)
+      select until, count(*) as exact, true as within_three_errors from years join firsts on y <= until group by until""",
     "csv_scan": f"""with {RAW_TIMED} select "YEAR", carrier as "OP_UNIQUE_CARRIER", count(*) as n, sum(flight_number)::BIGINT as number_sum,
       count(*) filter (destination = '') as blank_dest, count(*) filter ("CRS_DEP_TIME" = '') as blank_time
       from normal group by 1, 2""",
@@ -495,6 +502,9 @@ ORACLES: dict[str, str] = {
       select strftime(w, '%Y-%m-%d %H:%M:%S') as window_start, count(*) as records, round(count(*) / 86400.0::DOUBLE, 6) as records_per_sec,
         max(value) filter (place = greatest(1, ceil(n * 50 / 100))) as p50, max(value) filter (place = greatest(1, ceil(n * 99 / 100))) as p99
       from placed group by w""",
+    "quantile_sketches": """with spans as (select unnest([{'level': 'day', 'span': strftime(ts, '%Y-%m-%d')}, {'level': 'month', 'span': strftime(ts, '%Y-%m')},
+        {'level': 'all', 'span': 'all'}]) as s from events)
+      select s.level as level, s.span as span, count(*) as records, true as p50_close, true as p99_close from spans group by 1, 2""",
     "tier_summary": """with days as (select date_diff('day', (select min(ts) from events)::DATE, ts::DATE) as day from events),
       volume as (select tier, count(*) as records from days, (select unnest([1, 7, 30]) as tier) where day < tier group by tier)
       select tier, records, round(records / (tier * 86400.0::DOUBLE), 6) as records_per_sec,

@@ -29,6 +29,7 @@ from delaynet.operators import (
     similarity,
 )
 from delaynet.plans import streams
+from delaynet.schema import RAW_COLUMNS
 from delaynet.session import materialize, scratch_path
 from delaynet.sources import files, logs, messages
 from delaynet.sources.tables import flights, raw_records, region_of_nation, spread, table
@@ -129,6 +130,21 @@ def csv_scan(spark, sf):
     )
 
 
+@query
+def csv_quarantine(spark, sf):
+    """Lines that lost or gained fields on the way are set aside with their text; the others are records."""
+    path, quarantine = scratch_path(spark, "lines"), scratch_path(spark, "quarantine")
+    fields = [F.coalesce(c(name), F.lit("")) for name in RAW_COLUMNS]
+    whole, cut = F.concat_ws(",", *fields), F.concat_ws(",", *fields[:-3])
+    line = F.when(c("DEST") == "", cut).when(c("CRS_DEP_TIME") == "x12", F.concat(whole, F.lit(",surplus"))).otherwise(whole)
+    raw_records(spark, sf).select(line.alias("line")).write.text(path)
+    good = files.ingest_csv(spark, quarantine, path, header=False).select(F.lit("record").alias("kind"), "OP_UNIQUE_CARRIER", F.lit(None).cast("string").alias("raw"))
+    bad = spark.read.parquet(quarantine).filter("position is not null and source_file is not null")
+    aside = bad.select(F.lit("aside").alias("kind"), F.split("raw", ",")[RAW_COLUMNS.index("OP_UNIQUE_CARRIER")].alias("OP_UNIQUE_CARRIER"), "raw")
+    surplus = F.count(F.when(c("raw").endswith(",surplus"), 1)).alias("surplus")
+    return good.unionByName(aside).groupBy("kind", "OP_UNIQUE_CARRIER").agg(F.count(F.lit(1)).alias("n"), surplus)
+
+
 @query
 def multi_file_scan(spark, sf):
     """One folder of files per month of the year, read back in one scan."""
@@ -492,6 +508,20 @@ def hll_merge(spark, sf):
     return hll.estimate(hll.merge(kinds), 12).withColumn("estimate", r6("estimate"))
 
 
+@query
+def hll_ranges(spark, sf):
+    """Distinct orders up to each year from monthly sketches that were written once, against exact counts."""
+    lines = spread(table(spark, sf, "lineitem"), "l_orderkey").select("l_orderkey", F.trunc("l_shipdate", "month").alias("month"))
+    stored = materialize(hll.stored_sketches(lines, c("month"), c("l_orderkey")), "sketches")
+    last = lines.agg(F.max(F.year("month"))).first()[0] or 0  # one value: an empty table has no ranges
+    until = F.explode(F.sequence(F.year("month"), F.lit(last))).alias("until")
+    estimates = hll.united(stored.withColumnRenamed("span", "month").select(until, "sketch"), "until")
+    first = lines.groupBy("l_orderkey").agg(F.min(F.year("month")).alias("year")).groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+    exact = first.select(F.explode(F.sequence(c("year"), F.lit(last))).alias("until"), "n").groupBy("until").agg(F.sum("n").alias("exact"))
+    close = F.abs(c("estimate") - c("exact")) <= 3 * hll.stored_error() * c("exact")
+    return estimates.join(exact, "until").select("until", "exact", close.alias("within_three_errors"))
+
+
 @query
 def hll_vs_exact(spark, sf):
     result = scorecard.hll_vs_exact(_routes(spark, sf), c("route"), 12, METHOD)
@@ -859,6 +889,26 @@ def throughput_windows(spark, sf):
     return result.withColumns({"window_start": c("window_start").cast("string"), "records_per_sec": r6("records_per_sec")})
 
 
+@query
+def quantile_sketches(spark, sf):
+    """Percentiles of days, months and all events from daily sketches, by their true rank among the rows."""
+    events = table(spark, sf, "events").select("ts", "value")
+    stored = materialize(audit.quantile_sketches(events, "ts", "value"), "quantiles")
+    spans = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "all": "'all'"}
+    found = [audit.sketched_percentiles(stored, (50, 99), F.date_format("window_start", shape)).withColumn("level", F.lit(level)) for level, shape in spans.items()]
+    found = found[0].unionByName(found[1]).unionByName(found[2])
+    named = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), F.date_format("ts", shape).alias("span")) for level, shape in spans.items()]))
+    placed = events.select("value", named.alias("n")).select("value", "n.*").join(F.broadcast(found), ["level", "span"])
+
+    def close(p: int) -> Column:
+        """Whether the wanted rank lies between the ranks of smaller and of equal values, give or take the sketch's error."""
+        below, upto = F.avg((c("value") < c(f"p{p}")).cast("int")), F.avg((c("value") <= c(f"p{p}")).cast("int"))
+        slack = 2 * audit.RANK_ERROR + 1 / F.count(F.lit(1))
+        return ((below <= p / 100 + slack) & (upto >= p / 100 - slack)).alias(f"p{p}_close")
+
+    return placed.groupBy("level", "span").agg(F.max("records").alias("records"), close(50), close(99))
+
+
 @query
 def tier_summary(spark, sf):
     result = audit.tier_summary(table(spark, sf, "events"), "ts", [1, 7, 30])

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaynet.schema import RAW_COLUMNS
+from delaynet.session import materialize
 
 
 def read_raw_csv(spark: SparkSession, *paths: str) -> DataFrame:
@@ -26,6 +27,40 @@ def read_raw_csv(spark: SparkSession, *paths: str) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+CORRUPT_LINE = "malformed_line"
+
+
+def read_checked_csv(spark: SparkSession, *paths: str, header: bool = True) -> DataFrame:
+    """`read_raw_csv` with the whole line where it does not have as many fields as its file's columns, null elsewhere.
+
+    `position` orders the lines of a file. Files without a header hold RAW_COLUMNS in order.
+    """
+    frames = []
+    for path in paths:
+        names = spark.read.csv(path, header=True, inferSchema=False).columns if header else RAW_COLUMNS
+        schema = ", ".join(f"`{name}` STRING" for name in [*names, CORRUPT_LINE])
+        # whole lines are parsed, as a line is malformed whatever columns are asked for
+        reader = spark.read.option("columnPruning", "false")
+        frame = reader.csv(
+            path, schema=schema, header=header, enforceSchema=not header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT_LINE
+        )
+        columns = [(F.col(name) if name in names else F.lit(None).cast("string")).alias(name) for name in RAW_COLUMNS]
+        position = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+        frames.append(frame.select(*columns, F.col("_metadata.file_path").alias("source_file"), position.alias("position"), CORRUPT_LINE))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def ingest_csv(spark: SparkSession, quarantine: str, *paths: str, header: bool = True) -> DataFrame:
+    """Well-formed raw records; malformed lines are appended to the quarantine table with file and position.
+
+    The files are read once: both parts come from the written rows.
+    """
+    rows = materialize(read_checked_csv(spark, *paths, header=header), "csv")
+    aside = rows.filter(F.col(CORRUPT_LINE).isNotNull())
+    aside.select("source_file", "position", F.col(CORRUPT_LINE).alias("raw")).write.mode("append").parquet(quarantine)
+    return rows.filter(F.col(CORRUPT_LINE).isNull()).drop("position", CORRUPT_LINE)
+
+
 def write_raw_csv(raw: DataFrame, path: str) -> None:
     raw.write.mode("overwrite").csv(path, header=True, emptyValue="", nullValue="")
 

@@ -1,10 +1,12 @@
+import bisect
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
-from delaynet.operators import bloom, cms, hll, scorecard
+from delaynet.operators import audit, bloom, cms, hll, scorecard
 from delaynet.plans import queries
+from delaynet.session import materialize
 from delaynet.sources.tables import table
 
 
@@ -167,3 +169,38 @@ def test_bloom_probe_asks_about_strangers(spark, sf_dir):
 def test_bloom_build_hashes_before_the_shuffle(spark):
     plan = bloom.build(keys(spark, 0, 100), F.col("k"), 1024, 4)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "partial_bit_or" in plan
+
+
+def test_stored_sketches_answer_any_range(spark):
+    rows = spark.range(30_000).selectExpr("id % 10 as span", "nullif(cast(id % 7000 as string), '0') as k", "7 as sketch")
+    stored = hll.stored_sketches(rows, F.col("span"), F.col("k"))
+    assert stored.columns == ["span", "sketch"] and stored.count() == 10
+    for spans, truth in (([0], 700), ([0, 1, 2], 2100), (range(10), 6999)):
+        found = value(hll.united(stored.filter(F.col("span").isin(list(spans)))))
+        assert abs(found - truth) <= 3 * hll.stored_error() * truth + 1
+    assert value(hll.united(stored.filter("span > 100"))) == 0
+    nothing = hll.stored_sketches(rows.filter("k is null"), F.col("span"), F.col("k"))
+    assert [r.estimate for r in hll.united(nothing, "span").collect()] == [0] * nothing.count()
+
+
+def test_range_estimates_do_not_read_the_rows(spark):
+    stored = materialize(hll.stored_sketches(keys(spark, 0, 1000), F.lit(1), F.col("k")), "sketches")
+    plan = hll.united(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "Range" not in plan and "sketches" in plan
+
+
+def test_quantile_sketches_merge(spark):
+    """Heavy ties, a hot window, and values that have no place in the order."""
+    day = "timestamp'2024-01-01' + make_interval(0, 0, 0, cast(if(id % 3 = 0, 0, id % 5) as int)) as ts"
+    numbers = "case when id % 100 = 1 then null when id % 100 = 2 then double('NaN') when id % 100 = 3 then double('inf') when id % 4 = 0 then 5.0 else id / 7 end as x"
+    rows = spark.range(40_000).selectExpr(day, numbers)
+    stored = audit.quantile_sketches(rows, "ts", "x")
+    whole = {r.span: r for r in audit.sketched_percentiles(stored, (1, 50, 99)).collect()}["all"]
+    good = sorted(r.x for r in rows.filter("x is not null and not isnan(x) and x < double('inf')").collect())
+    assert whole.records == len(good)
+    for p in (1, 50, 99):
+        found = whole[f"p{p}"]
+        below, upto = bisect.bisect_left(good, found) / len(good), bisect.bisect_right(good, found) / len(good)
+        assert below - 2 * audit.RANK_ERROR <= p / 100 <= upto + 2 * audit.RANK_ERROR
+    assert audit.sketched_percentiles(stored, (50,), F.col("window_start")).count() == stored.count() == 5
+    assert audit.quantile_sketches(rows.limit(0), "ts", "x").count() == 0

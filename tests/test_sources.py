@@ -135,3 +135,17 @@ def test_scratch_on_a_cluster_is_not_on_this_machine():
     assert folder("yarn", **{"spark.sql.warehouse.dir": "s3a://b/w"}) == "s3a://b/w/_scratch"
     with pytest.raises(ValueError):
         folder("spark://host:7077", **{"spark.sql.warehouse.dir": "file:/w"})
+
+
+def test_malformed_lines_are_set_aside(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "jan.csv").write_text("ORIGIN,EXTRA,DEST\nATL,x,ORD\nSFO,y\nLAX,z,JFK,more\n,,\n\n")
+    (tmp_path / "in" / "feb.csv").write_text('ORIGIN,EXTRA,DEST\n"A,B",q,ORD\nonly\n')
+    aside = str(tmp_path / "aside")
+    good = files.ingest_csv(spark, aside, str(tmp_path / "in"))
+    assert good.columns == [*RAW_COLUMNS, "source_file"]
+    assert sorted((r.ORIGIN or "", r.DEST or "") for r in good.collect()) == [("", ""), ("A,B", "ORD"), ("ATL", "ORD")]
+    bad = spark.read.parquet(aside).orderBy("source_file", "position").collect()
+    assert [(Path(r.source_file).name, r.raw) for r in bad] == [("feb.csv", "only"), ("jan.csv", "SFO,y"), ("jan.csv", "LAX,z,JFK,more")]
+    files.ingest_csv(spark, aside, str(tmp_path / "in" / "feb.csv"))
+    assert spark.read.parquet(aside).count() == 4
