@@ -6,6 +6,7 @@ are compared one by one, ranks and labels are unrolled round by round.
 
 from __future__ import annotations
 
+from delaynet.operators.aggregates import top_key_error
 from delaynet.operators.bloom import shape
 
 TRIALS = 50
@@ -298,6 +299,12 @@ ORACLES: dict[str, str] = {
         l_tax <> 0 and l_linenumber = 7 and l_discount = 0 as surplus from lineitem)
       select case when cut or surplus then 'aside' else 'record' end as kind, carrier as "OP_UNIQUE_CARRIER", count(*) as n,
         count(*) filter (surplus) as surplus from lines group by 1, 2""",
+    "heavy_hitters": f"""with keyed as (select l_returnflag as span,
+        case when l_partkey % 10 < 3 then 'H' || (l_partkey % 5) else l_partkey::VARCHAR end as key from lineitem),
+      every as (select * from keyed union all select 'all', key from keyed),
+      counts as (select span, key, count(*) as exact from every group by 1, 2)
+      select span, key, exact, true as listed_within_error from counts where exact > 2 * {top_key_error(512)}::DOUBLE *
+        (select count(*) from every where every.span = counts.span)""",
     "hll_ranges": """with firsts as (select l_orderkey, min(year(l_shipdate)) as y from lineitem group by 1),
       years as (select distinct year(l_shipdate)::INTEGER as until from lineitem)
       select until, count(*) as exact, true as within_three_errors from years join firsts on y <= until group by until""",

@@ -482,6 +482,24 @@ def approx_top_keys(spark, sf):
     return aggregates.approx_top_counts(flights(spark, sf, "tail_number"), "tail_number", 5)
 
 
+TRACKED = 512
+
+
+@query
+def heavy_hitters(spark, sf):
+    """Keys that sketches promise to list, for each flag from its own state and for all from the combined ones, against exact counts."""
+    part = c("l_partkey").cast("string")
+    key = F.when(c("l_partkey") % 10 < 3, F.concat(F.lit("H"), (c("l_partkey") % 5).cast("string"))).otherwise(part)
+    lines = spread(table(spark, sf, "lineitem"), "l_orderkey").select(c("l_returnflag").alias("span"), key.alias("key"))
+    states = materialize(aggregates.top_key_states(lines, c("span"), c("key"), TRACKED), "states")
+    found = aggregates.heavy_keys(states, TRACKED, c("span")).unionByName(aggregates.heavy_keys(states, TRACKED))
+    exact = lines.withColumn("span", F.explode(F.array(c("span"), F.lit("all")))).groupBy("span", "key").agg(F.count(F.lit(1)).alias("exact"))
+    totals = exact.groupBy("span").agg(F.sum("exact").alias("rows"))
+    promised = exact.join(totals, "span").filter(c("exact") > 2 * aggregates.top_key_error(TRACKED) * c("rows"))
+    within = (c("n") >= c("exact")) & (c("n") <= c("exact") + c("error"))
+    return promised.join(found, ["span", "key"], "left").select("span", "key", "exact", F.coalesce(within, F.lit(False)).alias("listed_within_error"))
+
+
 # --- sketches ---------------------------------------------------------------------------------
 
 

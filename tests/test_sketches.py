@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from delaynet.operators import audit, bloom, cms, hll, scorecard
+from delaynet.operators import aggregates, audit, bloom, cms, hll, scorecard
 from delaynet.plans import queries
 from delaynet.session import materialize
 from delaynet.sources.tables import table
@@ -204,3 +204,18 @@ def test_quantile_sketches_merge(spark):
         assert below - 2 * audit.RANK_ERROR <= p / 100 <= upto + 2 * audit.RANK_ERROR
     assert audit.sketched_percentiles(stored, (50,), F.col("window_start")).count() == stored.count() == 5
     assert audit.quantile_sketches(rows.limit(0), "ts", "x").count() == 0
+
+
+@pytest.mark.parametrize("tracked", [16, 200])
+def test_heavy_keys_keep_their_promise(spark, tracked):
+    """A hot key, a slope of frequent ones and many rare, in states of spans that hold them unevenly."""
+    kinds = "case when id % 3 = 0 then 'hot' when id % 3 = 1 then concat('k', cast(log2(1 + id % 4001) as int)) when id % 31 = 0 then ' ' else cast(id as string) end"
+    rows = spark.range(60_000).selectExpr("id % 7 as span", f"{kinds} as key")
+    exact = {r.key: r.n for r in aggregates.counts_by(rows.filter("trim(key) <> ''"), "key").collect()}
+    states = materialize(aggregates.top_key_states(rows, F.col("span"), F.col("key"), tracked), "states")
+    found = {r.key: r for r in aggregates.heavy_keys(states, tracked).collect()}
+    error = aggregates.top_key_error(tracked) * sum(exact.values())
+    assert {key for key, n in exact.items() if n > 2 * error} <= set(found)
+    assert all(exact[key] <= r.n <= exact[key] + error + 1e-6 for key, r in found.items()) and "hot" in found
+    assert states.count() == 7 and len(found) <= tracked
+    assert aggregates.heavy_keys(states.limit(0), tracked).count() == 0
