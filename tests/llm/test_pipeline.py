@@ -34,4 +34,4 @@ def test_run_against_stages_one_by_one(spark, sf_dir):
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
