@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from delaynet.llm import divergence
-from tests.llm.conftest import plain
+from answers import plain
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from delaynet.llm import resampling
-from tests.llm.conftest import plain
+from answers import plain
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from delaynet.llm import secret_ledger
 from delaynet.llm.secret_ledger import Rule, scan, summary
 from delaynet.session import scratch_path
-from tests.llm.conftest import plain
+from answers import plain
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
