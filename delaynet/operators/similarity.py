@@ -297,12 +297,11 @@ def closest_pairs(
     return top_pairs(pairs, bags, k, digits, directed)
 
 
-def lsh_quality(signatures: DataFrame, pairs: DataFrame, tables: int = 3) -> DataFrame:
-    """Precision and recall of MinHash candidates for 1..tables hash tables.
+def candidate_counts(signatures: DataFrame, tables: int = 3) -> DataFrame:
+    """`tables, candidates`: group pairs that agree in any of the first 1..tables hashes.
 
-    `pairs` are exact profile pairs carrying the hashes of both sides. Candidate
-    counts need no pairs at all: the number of pairs agreeing in any of several
-    tables follows from the sizes of the groups agreeing in each combination.
+    No pairs are made: the number of pairs agreeing in any of several tables
+    follows from the sizes of the groups agreeing in each combination.
     """
     hashes = [f"h{i}" for i in range(tables)]
     combinations = list(range(1, 1 << tables))
@@ -329,18 +328,26 @@ def lsh_quality(signatures: DataFrame, pairs: DataFrame, tables: int = 3) -> Dat
     # inclusion and exclusion over the combinations drawn from the first t tables
     sign = F.when(F.bit_count("combination") % 2 == 1, F.lit(1)).otherwise(F.lit(-1))
     steps = F.explode(F.filter(F.lit(list(range(1, tables + 1))), lambda t: F.col("combination") < F.pow(F.lit(2), t)))
-    candidates = (
-        agreeing.withColumn("tables", steps).groupBy("tables").agg(F.sum(sign * F.col("pairs")).alias("candidates"))
-    )
+    return agreeing.withColumn("tables", steps).groupBy("tables").agg(F.sum(sign * F.col("pairs")).alias("candidates"))
+
+
+def _agreed_from(tables: int) -> Column:
+    """The first number of tables with which two profiles become candidates; tables + 1 if none does."""
+    met = [F.when(F.col(f"h{i}_a") == F.col(f"h{i}_b"), F.lit(i + 1)) for i in range(tables)]
+    return F.least(*met, F.lit(tables + 1))
+
+
+def lsh_quality(signatures: DataFrame, pairs: DataFrame, tables: int = 3) -> DataFrame:
+    """Precision and recall of MinHash candidates for 1..tables hash tables.
+
+    `pairs` are exact profile pairs carrying the hashes of both sides.
+    """
     same = F.col("profile_a") == F.col("profile_b")
     weight = F.when(same, F.floor(F.col("members_a") * (F.col("members_a") - 1) / 2)).otherwise(
         F.col("members_a") * F.col("members_b")
     )
-    agreed_from = F.least(
-        *[F.when(F.col(f"{h}_a") == F.col(f"{h}_b"), F.lit(i + 1)) for i, h in enumerate(hashes)], F.lit(tables + 1)
-    )
     hits = (
-        pairs.select(weight.alias("weight"), agreed_from.alias("agreed_from"))
+        pairs.select(weight.alias("weight"), _agreed_from(tables).alias("agreed_from"))
         .withColumn("tables", F.explode(F.lit(list(range(1, tables + 1)))))
         .groupBy("tables")
         .agg(
@@ -348,7 +355,7 @@ def lsh_quality(signatures: DataFrame, pairs: DataFrame, tables: int = 3) -> Dat
             F.sum(F.when(F.col("agreed_from") <= F.col("tables"), F.col("weight")).otherwise(F.lit(0))).alias("hits"),
         )
     )
-    counted = candidates.join(hits, "tables", "left").na.fill(0, ["true_pairs", "hits"])
+    counted = candidate_counts(signatures, tables).join(hits, "tables", "left").na.fill(0, ["true_pairs", "hits"])
     return counted.select(
         "tables",
         "candidates",
@@ -359,6 +366,104 @@ def lsh_quality(signatures: DataFrame, pairs: DataFrame, tables: int = 3) -> Dat
     )
 
 
+def stratified_sample(signatures: DataFrame, per_stratum: int, seed: int = 0, method: str = "xxhash64") -> DataFrame:
+    """Profiles with `stratum` and `stratum_size`: all of a small stratum, `per_stratum` drawn by hash of a larger one.
+
+    Strata are doublings of the set's size and of the groups that a profile stands
+    for, so there are a few hundred at most and the sample is bounded. The rank filter
+    works inside the tasks first: a stratum with most rows sends `per_stratum` per task.
+    """
+    doubling = lambda name: F.floor(F.log2(name)).cast("int")
+    rows = signatures.withColumn("stratum", F.struct(doubling("members").alias("members"), doubling("size").alias("size")))
+    sizes = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("stratum_size"))
+    drawn = Window.partitionBy("stratum").orderBy(hash_int(F.col("profile"), seed, method), "profile")
+    sample = rows.withColumn("place", F.row_number().over(drawn)).filter(F.col("place") <= per_stratum).drop("place")
+    return sample.join(sizes, "stratum")
+
+
+def sampled_partners(signatures: DataFrame, sample: DataFrame, threshold: float, tables: int = 3) -> DataFrame:
+    """Per sampled profile and number of tables: its true group pairs with other profiles, and those that are candidates.
+
+    Each sampled profile is searched exactly among all profiles through its rare
+    tokens, so work follows the sample times the rows of those tokens.
+    """
+    hashes = [f"h{i}" for i in range(tables)]
+    carried = ["profile", "members", "size", "codes", "place", *hashes]
+
+    def side(name: str, frame: DataFrame) -> DataFrame:
+        keyed = frame.select("*", F.posexplode(_prefix(threshold)).alias("place", "key"))
+        return keyed.select("key", *[F.col(column).alias(f"{column}_{name}") for column in carried])
+
+    met = side("b", signatures).join(side("a", sample), "key").filter("profile_a <> profile_b")
+    near = _measured(met.filter(_sizes_fit(threshold) & _enough_left(threshold)), threshold).filter(F.col("key") == F.col("rarest"))
+    weight = F.col("members_a") * F.col("members_b")
+    agreed = _agreed_from(tables)
+    found = near.groupBy(F.col("profile_a").alias("profile")).agg(
+        F.sum(weight).alias("partners"),
+        F.array(*[F.sum(F.when(agreed <= t, weight).otherwise(F.lit(0))) for t in range(1, tables + 1)]).alias("hits"),
+    )
+    rows = sample.select("profile", "stratum", "stratum_size").join(found, "profile", "left")
+    none = F.array(*[F.lit(0).cast("long")] * tables)
+    return rows.select(
+        "stratum", "stratum_size", F.coalesce("partners", F.lit(0)).alias("partners"),
+        F.posexplode(F.coalesce("hits", none)).alias("tables", "hits"),
+    ).withColumn("tables", F.col("tables") + 1)
+
+
+def sampled_quality(
+    signatures: DataFrame, threshold: float, per_stratum: int = 400, tables: int = 3, seed: int = 0,
+    method: str = "xxhash64", deviations: float = 1.96,
+) -> DataFrame:
+    """`lsh_quality` estimated from a stratified sample of profiles, with an interval for the recall.
+
+    Candidates and the pairs inside profiles are counted exactly. Every other pair is
+    seen from both of its ends, so half of the sampled profiles' pairs, scaled by
+    stratum, estimates their number without a list of them. Recall is a ratio
+    estimate; its variance is that of the residuals `hits - recall * partners`. With
+    every stratum drawn whole the answer is exact and the interval a point. Recall is null
+    without a true pair; strata ask for two profiles at least.
+    """
+    if per_stratum < 2:
+        raise ValueError(f"a stratum needs two profiles at least, not {per_stratum}")
+    sample = materialize(stratified_sample(signatures, per_stratum, seed, method), "sample")
+    seen = sampled_partners(signatures, sample, threshold, tables)
+    strata = materialize(
+        seen.groupBy("stratum", "tables").agg(
+            F.any_value("stratum_size").alias("profiles"), F.count(F.lit(1)).alias("sampled"),
+            F.avg("partners").alias("mean_partners"), F.avg("hits").alias("mean_hits"),
+            F.var_samp("partners").alias("var_partners"), F.var_samp("hits").alias("var_hits"),
+            F.covar_samp("partners", "hits").alias("covariance"),
+        ),
+        "strata",
+    )
+    inside = signatures.agg(F.coalesce(F.sum(F.floor(F.col("members") * (F.col("members") - 1) / 2)), F.lit(0)).alias("inside"))
+    totals = (
+        strata.groupBy("tables")
+        .agg(
+            F.sum("profiles").alias("profiles"), F.sum("sampled").alias("sampled"),
+            (F.sum(F.col("profiles") * F.col("mean_partners")) / 2).alias("partners"),
+            (F.sum(F.col("profiles") * F.col("mean_hits")) / 2).alias("met"),
+        )
+        .crossJoin(inside)  # one row
+        .select("tables", "profiles", "sampled", (F.col("partners") + F.col("inside")).alias("true_pairs"), (F.col("met") + F.col("inside")).alias("hits"))
+        .withColumn("recall", F.try_divide("hits", "true_pairs"))
+    )
+    residual = F.col("var_hits") - 2 * F.col("recall") * F.col("covariance") + F.col("recall") * F.col("recall") * F.col("var_partners")
+    unseen = F.col("profiles") * (F.col("profiles") - F.col("sampled")) / F.col("sampled")
+    spread = strata.join(totals.select("tables", "recall"), "tables").groupBy("tables").agg(
+        F.sum(F.when(F.col("profiles") > F.col("sampled"), unseen * F.greatest(residual, F.lit(0.0)) / 4).otherwise(F.lit(0.0))).alias("variance")
+    )
+    half = F.try_divide(F.lit(deviations) * F.sqrt("variance"), F.col("true_pairs"))
+    counted = totals.join(spread, "tables").join(candidate_counts(signatures, tables), "tables")
+    return counted.select(
+        "tables", "profiles", "sampled", "candidates", "true_pairs", "hits",
+        F.try_divide("hits", "candidates").alias("precision"),
+        "recall",
+        F.when(half.isNotNull(), F.greatest(F.col("recall") - half, F.lit(0.0))).alias("recall_low"),
+        F.when(half.isNotNull(), F.least(F.col("recall") + half, F.lit(1.0))).alias("recall_high"),
+    )
+
+
 def pr_area(quality: DataFrame) -> DataFrame:
     """Area under the precision-recall points by trapezoids; one row per table count goes in."""
     points = quality.agg(F.sort_array(F.collect_list(F.struct("recall", "precision"))).alias("p"))

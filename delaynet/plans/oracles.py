@@ -457,6 +457,32 @@ ORACLES: dict[str, str] = {
         from points)
       select tables, candidates, true_pairs, hits, round(precision, 6) as precision, round(recall, 6) as recall,
         (select round(coalesce(sum(piece), 0), 6) from gaps) as pr_auc from points""",
+    "lsh_recall_sample": f"""with {group_pairs(15)}, steps as (select unnest([1, 2, 3]) as tables),
+      profiles as materialized (select spelled, min(group_id) as profile, count(*) as members, any_value(size) as size from sizes group by spelled),
+      placed as (select profile, a, b, count(*) over (partition by a, b) as total,
+        row_number() over (partition by a, b order by {md5_int("'0|' || profile")}, profile) as place
+        from (select *, floor(log2(members)) as a, floor(log2(size)) as b from profiles)),
+      sample as materialized (select * from placed where place <= 200),
+      lookup as materialized (select group_id, profile from sizes join profiles using (spelled)),
+      ends as materialized (select profile, t0, t1, t2 from (select a as group_id, t0, t1, t2 from measured where distance < 0.3 and not same
+        union all select b, t0, t1, t2 from measured where distance < 0.3 and not same) join lookup using (group_id)),
+      per as (select sample.profile, a, b, total, tables, count(ends.profile) as x,
+        count(*) filter (ends.profile is not null and (t0 or (tables >= 2 and t1) or (tables >= 3 and t2))) as y
+        from sample cross join steps left join ends on ends.profile = sample.profile group by 1, 2, 3, 4, 5),
+      inside as (select sum(members * (members - 1) // 2) as n from profiles),
+      totals as materialized (select tables, sum(share) as profiles, sum(drawn) as sampled, sum(share * mx) / 2 + any_value(n) as true_pairs,
+        sum(share * my) / 2 + any_value(n) as hits
+        from (select tables, a, b, any_value(total) as share, count(*) as drawn, avg(x) as mx, avg(y) as my from per group by 1, 2, 3), inside group by 1),
+      errors as (select tables, a, b, any_value(total) as share, count(*) as drawn, var_samp(y - hits / true_pairs * x) / 4 as v
+        from per join totals using (tables) group by 1, 2, 3),
+      spread as (select tables, 1.96 * sqrt(sum(case when share > drawn then share * (share - drawn)::DOUBLE / drawn * v else 0.0 end)) as half from errors group by 1),
+      every as (select x.h0 = y.h0 as t0, x.h1 = y.h1 as t1, x.h2 = y.h2 as t2 from sizes x join sizes y on x.group_id < y.group_id),
+      cand as (select tables, count(*) as candidates from steps, every where t0 or (tables >= 2 and t1) or (tables >= 3 and t2) group by 1)
+      select tables, profiles::BIGINT as profiles, sampled::BIGINT as sampled, candidates, round(true_pairs, 6) as true_pairs, round(hits, 6) as hits,
+        round(hits / candidates, 6) as precision, round(hits / true_pairs, 6) as recall,
+        round(greatest(hits / true_pairs - half / true_pairs, 0.0), 6) as recall_low,
+        round(least(hits / true_pairs + half / true_pairs, 1.0), 6) as recall_high
+      from totals join spread using (tables) join cand using (tables)""",
     "similarity_clusters": f"""with {group_pairs(15)}, pairs as materialized (select a, b from measured where distance < 0.3), {components(20)}
       select group_id, coalesce(component_id, group_id) as cluster_id from sizes left join components on airport = group_id""",
     # privacy

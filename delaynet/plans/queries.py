@@ -785,6 +785,14 @@ def lsh_quality(spark, sf):
     )
 
 
+@query
+def lsh_recall_sample(spark, sf):
+    """Recall from up to 200 profiles a stratum, each searched exactly."""
+    _, signatures = _signed(spark, sf, 15)
+    quality = similarity.sampled_quality(signatures, 0.3, per_stratum=200, method="md5")
+    return quality.withColumns({name: r6(name) for name in ("true_pairs", "hits", "precision", "recall", "recall_low", "recall_high")})
+
+
 @query
 def similarity_clusters(spark, sf):
     bags = materialize(_bags(spark, sf, 15), "bags")

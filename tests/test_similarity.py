@@ -125,6 +125,57 @@ def test_quality_counts(data):
         assert (row.candidates, row.true_pairs, row.hits) == (len(met), len(close), len(close & set(met)))
 
 
+def by_tables(rows):
+    return {row.tables: row for row in rows.collect()}
+
+
+def test_quality_of_a_whole_sample_is_exact(data):
+    _, _, signatures = data
+    whole = by_tables(similarity.lsh_quality(signatures, similarity.exact_pairs(signatures, 0.5, "h0", "h1", "h2")))
+    for tables, row in by_tables(similarity.sampled_quality(signatures, 0.5, per_stratum=1000)).items():
+        full = whole[tables]
+        assert row.sampled == row.profiles == signatures.count()
+        assert (row.candidates, row.true_pairs, row.hits) == (full.candidates, full.true_pairs, full.hits)
+        assert row.recall_low == row.recall == row.recall_high == full.recall
+
+
+def test_intervals_of_samples_cover_the_full_recall(spark):
+    rng = random.Random(11)
+    bags = {}
+    for family in range(60):
+        base = [f"f{family}t{j}" for j in range(rng.randrange(6, 20))]
+        for i in range(rng.randrange(1, 9)):
+            own = rng.sample(base, len(base) - rng.randrange(0, 3))
+            for copy in range(rng.choice([1, 1, 3])):
+                bags[f"g{family:02}-{i}-{copy}"] = set(own)
+    _, signatures = frames(spark, bags)
+    full = by_tables(similarity.lsh_quality(signatures, similarity.exact_pairs(signatures, 0.4, "h0", "h1", "h2")))
+    covered, drawn = 0, 12
+    for seed in range(drawn):
+        for tables, row in by_tables(similarity.sampled_quality(signatures, 0.4, per_stratum=25, seed=seed)).items():
+            assert row.sampled < row.profiles and row.recall_low < row.recall_high
+            covered += row.recall_low <= full[tables].recall <= row.recall_high
+    assert covered >= 0.8 * 3 * drawn
+
+
+def test_sampled_search_makes_no_list_of_all_pairs(spark):
+    """Near-equal sets: the search makes the sample's pairs, not those of all profiles."""
+    n, shared = 500, [f"s{i:02}" for i in range(20)]
+    _, signatures = frames(spark, {f"g{i:04}": {*shared, f"own{i}"} for i in range(n)})
+    sample = materialize(similarity.stratified_sample(signatures, 10), "sample")
+    assert sample.count() == 10
+    partners = {(row.tables, row.partners) for row in similarity.sampled_partners(signatures, sample, 0.3).collect()}
+    assert partners == {(tables, n - 1) for tables in (1, 2, 3)}
+
+
+def test_sampled_quality_of_nothing_and_of_sets_without_partners(spark):
+    _, signatures = frames(spark, {"a": {"x"}, "b": {"y"}})
+    assert {(r.true_pairs, r.recall, r.recall_low) for r in similarity.sampled_quality(signatures, 0.3, method="md5").collect()} <= {(0.0, None, None)}
+    assert similarity.sampled_quality(signatures.limit(0), 0.3).count() == 0
+    with pytest.raises(ValueError):
+        similarity.sampled_quality(signatures, 0.3, per_stratum=1)
+
+
 def test_fingerprints_keep_token_boundaries(spark):
     _, signatures = frames(spark, {"a": {"x,1:y"}, "b": {"x", "y"}, "c": {"x,y"}})
     assert signatures.count() == 3
