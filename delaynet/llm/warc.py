@@ -52,21 +52,28 @@ def headers(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 
 
 def originals(heads: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """`payload_digest, original`: the smallest page_id of each payload of at least `least_bytes`."""
+    """`payload_digest, original, original_url` of each payload of at least `least_bytes` that occurs more than once.
+
+    The original is the row with the smallest page_id, of several such rows that with the smallest url.
+    """
     large = heads.filter(F.col("payload_bytes") >= least_bytes)
-    return large.groupBy("payload_digest").agg(F.min("page_id").alias("original")).filter("original is not null")
+    known = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))
+    first = large.groupBy("payload_digest").agg(F.min(known).alias("first"), F.count(F.lit(1)).alias("n"))
+    return first.filter("n > 1 and first is not null").select(
+        "payload_digest", F.col("first.page_id").alias("original"), F.col("first.url").alias("original_url")
+    )
 
 
 def resolve(heads: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """The headers of revisits, with `original` and `original_url`.
 
     Rows that repeat the original's page_id are responses like it. Rows without
-    an id revisit an original that has one, and are responses otherwise.
+    an id revisit an original that has one, and are responses otherwise. Originals
+    are written first, so that the join with a digest that very many headers share
+    is either a broadcast or split by adaptive execution.
     """
-    first = originals(heads, least_bytes)
-    urls = heads.groupBy("page_id").agg(F.min("url").alias("original_url")).withColumnRenamed("page_id", "original")
-    repeated = heads.join(first, "payload_digest").filter(~F.col("page_id").eqNullSafe(F.col("original")))
-    return repeated.filter(F.col("payload_bytes") >= least_bytes).join(urls, "original")
+    first = materialize(originals(heads, least_bytes), "originals")
+    return heads.join(first, "payload_digest").filter(~F.col("page_id").eqNullSafe(F.col("original")))
 
 
 def record_id(page_id: Column) -> Column:
@@ -179,9 +186,16 @@ def page_of(record: Column) -> Column:
 def archive(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """Write all pages to archives under `path`; the records as read back from there.
 
-    The revisits are written first: Spark then knows their size, and moves the
-    payloads only where there are too many revisits to send to every task.
+    Payloads are read and hashed once for the headers, which are written, and once
+    more as records. The revisits are written as well: Spark then knows their size,
+    and moves the payloads only where there are too many revisits to send to every task.
+
+    A null payload or url counts as empty, and an empty payload is one like any other.
+    Rows without an id never are originals. Repeated rows of the original are
+    responses, of other pages revisits. Payloads of any length stay whole, and the
+    other columns are not read. No pages make no records.
     """
-    revisits = materialize(resolve(headers(pages), least_bytes), "revisits")
+    heads = materialize(headers(pages), "headers")
+    revisits = materialize(resolve(heads, least_bytes), "revisits")
     write_archives(records(pages, revisits), path)
     return read_archives(pages.sparkSession, path, payloads=False)
