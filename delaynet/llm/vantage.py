@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from delaynet.llm.common import hash_order, map_batches
+from delaynet.llm.common import map_batches
 from delaynet.session import materialize
 
 K = 20
@@ -183,6 +183,19 @@ def usable(embeddings: DataFrame, vec_id: str = "vec_id", embedding: str = "embe
     return rows.withColumn("size", F.size("vector"))
 
 
+def without_repeats(rows: DataFrame) -> DataFrame:
+    """Rows of `usable`, each id and vector once.
+
+    Only rows of ids that occur more than once are compared, in a partial aggregate first, so a
+    row with very many copies is one row per task.
+    """
+    repeated = materialize(rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("vec_id"), "repeated")
+    if repeated.isEmpty():
+        return rows
+    folded = rows.join(repeated, "vec_id", "left_semi").dropDuplicates(["vec_id", "vector"])
+    return materialize(rows.join(repeated, "vec_id", "left_anti").unionByName(folded), "vectors")
+
+
 def nearest(
     embeddings: DataFrame, k: int = K, factor: float = FACTOR, every: int = 20, vec_id: str = "vec_id",
     embedding: str = "embedding", shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS,
@@ -192,10 +205,13 @@ def nearest(
     Vectors only meet those of their own length. Rows that repeat an id and vector
     count once; an id with several vectors is its own candidate in none of them,
     and as a query keeps the k best of all. Rows that are null, zero or not finite
-    take no part.
+    take no part. Other columns are not read, and no vectors give no rows.
+
+    Shards, blocks and the sample of seeds follow a hash of id and vector, so an
+    id with very many vectors is spread like any others.
     """
     spark = embeddings.sparkSession
-    rows = materialize(usable(embeddings, vec_id, embedding), "vectors")
+    rows = without_repeats(materialize(usable(embeddings, vec_id, embedding), "vectors"))
     square = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
     asked = F.pmod("vec_id", F.lit(every)) == 0
     sizes = {  # one row per length of vectors
@@ -207,7 +223,7 @@ def nearest(
         "size int, shards int, blocks int, top double, rate bigint",
     )
     placed = rows.join(F.broadcast(per_size), "size")
-    place = hash_order("vec_id")
+    place = F.xxhash64("vec_id", "vector")
 
     def planted(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         size, shard = key[0].as_py(), key[1].as_py()
@@ -241,7 +257,7 @@ def nearest(
     shard = F.pmod(place, F.col("shards")).cast("int").alias("shard")
     trees = placed.select("size", shard, "vec_id", "vector", "top").groupBy("size", "shard")
     trees = materialize(trees.applyInArrow(planted, "size int, shard int, tree binary"), "trees")
-    block = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.col("blocks")).cast("int").alias("block")
+    block = F.pmod(F.xxhash64("vec_id", "vector", F.lit("block")), F.col("blocks")).cast("int").alias("block")
     blocks = placed.filter(asked).select("size", block, "vec_id", "vector", "top").groupBy("size", "block")
     blocks = materialize(blocks.applyInArrow(gathered, "size int, block int, queries binary"), "queries")
     sent = blocks.join(F.broadcast(per_size), "size").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))

@@ -83,6 +83,17 @@ def test_awkward_rows(spark):
     assert 180 not in found and {i for _, i in found[160]} == {4}
 
 
+def test_one_id_with_a_third_of_all_rows(spark):
+    """Its repeats fold and its other vectors spread over shards; answers stay those of brute force."""
+    rng = np.random.default_rng(4)
+    vectors = [[float(np.float32(x)) for x in v] for v in rng.normal(size=(1200, 5))]
+    rows = [(i, v) for i, v in enumerate(vectors[:600])] + [(7, v) for v in vectors[600:900]] + [(40, v) for v in vectors[900:1000]] + [(7, vectors[7])] * 500
+    found = answers(vantage.nearest(frame(spark, rows), k=6, factor=1.0, shard_rows=100, block_rows=10))
+    same(found, reference(rows, 6))
+    once = vantage.without_repeats(vantage.usable(frame(spark, rows)))
+    assert once.count() == len({(i, tuple(v)) for i, v in rows})
+
+
 def test_no_vectors(spark):
     assert vantage.nearest(frame(spark, [])).collect() == []
     assert vantage.nearest(frame(spark, [(1, [1.0]), (2, [2.0])])).collect() == []
