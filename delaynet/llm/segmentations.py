@@ -56,16 +56,17 @@ def uniform(seed: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 class Vocabulary:
-    """Pieces by length and hash, with log weights; characters outside it fall back to bytes."""
+    """Pieces and their beginnings by length and hash, with log weights; characters outside it fall back to bytes."""
 
     def __init__(self, model: str, alpha: float):
         library = sentence_piece(model)
         size = library.get_piece_size()
         self.size = size
         self.bytes: list[bytes] = [b""] * size
-        by_length: dict[int, list[tuple[int, int]]] = {}
+        beginnings: list[dict[int, int]] = []  # by length less one: hash, and the piece that ends there or -1
         self.byte_ids = np.zeros(256, dtype=np.uint32)
         self.weight = np.full(size, -np.inf)
+        base, mask = int(_BASE), 2**64 - 1
         for number in range(size):
             piece = library.id_to_piece(number)
             if library.is_control(number) or library.is_unknown(number):
@@ -74,44 +75,50 @@ class Vocabulary:
                 self.byte_ids[int(piece[1:-1], 16)] = number
                 self.bytes[number] = bytes([int(piece[1:-1], 16)])
                 continue
+            if SPACE in piece.lstrip(SPACE):
+                raise ValueError(f"piece {piece!r} crosses the start of a word, so words cannot be sampled one by one")
             self.bytes[number] = piece.replace(SPACE, " ").encode()
             self.weight[number] = -alpha * np.log(min(-library.get_score(number), size) + 2.0)
-            points = np.array([ord(c) for c in piece], dtype=np.uint64)
-            hashed = np.uint64(0)
-            with np.errstate(over="ignore"):
-                for point in points:
-                    hashed = hashed * _BASE + point + np.uint64(1)
-            by_length.setdefault(len(points), []).append((int(hashed), number))
+            hashed = 0
+            for depth, character in enumerate(piece):
+                hashed = (hashed * base + ord(character) + 1) & mask
+                if depth == len(beginnings):
+                    beginnings.append({})
+                beginnings[depth].setdefault(hashed, -1)
+            beginnings[len(piece) - 1][hashed] = number
         self.byte_weight = -alpha * np.log(size + 2.0)
-        self.longest = max(by_length)
-        self.pieces = {}
-        for length, found in by_length.items():
-            found.sort()
-            self.pieces[length] = np.array([h for h, _ in found], np.uint64), np.array([n for _, n in found], np.int32)
+        self.longest = len(beginnings)
+        self.beginnings = []
+        for found in beginnings:
+            hashes = np.array(sorted(found), np.uint64)
+            self.beginnings.append((hashes, np.array([found[h] for h in hashes.tolist()], np.int32)))
 
     def matches(self, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
         """Word, place, length, piece and log weight of every piece that occurs in the words.
 
-        Characters without a piece of their own count as pieces from `size` on.
+        Places drop out where what follows begins no piece any more. Characters
+        without a piece of their own count as pieces from `size` on.
         """
-        rows, width = codes.shape
-        hashed = np.zeros((rows, width), dtype=np.uint64)
+        width = codes.shape[1]
         single = np.arange(width)[None, :] < lengths[:, None]  # places that no one-character piece covers yet
+        row, place = np.nonzero(single)
+        flat, left = row * width + place, lengths[row] - place
+        letters, hashed = codes.ravel(), np.zeros(len(row), dtype=np.uint64)
         found = []
-        for length in range(1, min(self.longest, width) + 1):
-            span = width - length + 1
-            hashed = hashed[:, :span] * _BASE + codes[:, length - 1 :] + np.uint64(1)
-            if length not in self.pieces:
-                continue
-            known, numbers = self.pieces[length]
-            row, place = np.nonzero(np.arange(span)[None, :] + length <= lengths[:, None])
-            wanted = hashed[row, place]
-            at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-            hit = known[at] == wanted
-            row, place, piece = row[hit], place[hit], numbers[at[hit]]
+        for length, (known, numbers) in enumerate(self.beginnings, start=1):
+            hashed = hashed * _BASE + letters[flat + (length - 1)] + np.uint64(1)
+            at = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
+            hit = known[at] == hashed
+            piece = np.where(hit, numbers[at], -1)
+            whole = np.flatnonzero(piece >= 0)
             if length == 1:
-                single[row, place] = False
-            found.append((row, place, np.full(len(row), length), piece, self.weight[piece]))
+                single.ravel()[flat[whole]] = False
+            piece = piece[whole]
+            found.append((row[whole], place[whole], np.full(len(whole), length), piece, self.weight[piece]))
+            longer = np.flatnonzero(hit & (left > length))
+            if not len(longer):
+                break
+            row, place, flat, left, hashed = row[longer], place[longer], flat[longer], left[longer], hashed[longer]
         row, place = np.nonzero(single)
         own = codes[row, place].astype(np.int64)
         size = 1 + (own >= 0x80).astype(int) + (own >= 0x800) + (own >= 0x10000)
@@ -123,12 +130,13 @@ class Vocabulary:
         odd = np.flatnonzero(codes >= self.size)
         if not len(odd):
             return codes.astype("<u4")
-        out, begin = [], 0
-        for at in odd.tolist():
-            out.append(codes[begin:at].astype(np.uint32))
-            out.append(self.byte_ids[list(chr(int(codes[at]) - self.size).encode("utf-8", "surrogatepass"))])
-            begin = at + 1
-        return np.concatenate([*out, codes[begin:].astype(np.uint32)]).astype("<u4")
+        own = codes[odd].astype("<u4") - np.uint32(self.size)
+        content = own.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+        sizes = np.ones(len(codes), dtype=np.int64)
+        sizes[odd] += (own >= 0x80).astype(int) + (own >= 0x800) + (own >= 0x10000)
+        out = np.repeat(codes, sizes).astype("<u4")
+        out[_ranges((np.cumsum(sizes) - sizes)[odd], sizes[odd])] = self.byte_ids[np.frombuffer(content, np.uint8)]
+        return out
 
 
 @cache
@@ -145,8 +153,10 @@ class _Growing:
         self.size = 0
 
     def add(self, values: np.ndarray) -> None:
-        while self.size + len(values) > len(self.room):
-            self.room = np.concatenate([self.room, np.zeros(len(self.room), dtype=self.kind)])
+        if self.size + len(values) > len(self.room):
+            larger = np.empty(max(2 * len(self.room), self.size + len(values)), dtype=self.kind)
+            larger[: self.size] = self.room[: self.size]
+            self.room = larger
         self.room[self.size : self.size + len(values)] = values
         self.size += len(values)
 
@@ -226,28 +236,37 @@ class Lattices:
         padded = "".join(text.ljust(width, "\0") for text in texts)
         codes = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(texts), width).astype(np.uint64)
         row, place, length, piece, weight = words.matches(codes, lengths)
-        depth = words.longest  # the same for any batch of words, and so are sums
-        by_place = np.full((width, len(texts), depth), -np.inf)
-        by_place[place, row, length - 1] = weight
-        after = np.full((width + depth + 1, len(texts)), -np.inf)  # log mass from each place to the end
-        after[lengths, np.arange(len(texts))] = 0.0
+        # by place and word, the longest first, as these tend to be likelier
+        order = np.argsort((place * len(texts) + row) * (words.longest + 1) - length)
+        row, place, length, piece, weight = row[order], place[order], length[order], piece[order], weight[order]
+        cell = place * len(texts) + row
+        begin = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])  # of each node's edges
+        count = np.diff(np.r_[begin, len(cell)])
+        nodes = np.searchsorted(place[begin], np.arange(width + 1))
+        after = np.zeros((width + 1, len(texts)))  # log mass from each place to the end of the word, 0 at the end
+        log = np.zeros(len(cell))
         for at in range(width - 1, -1, -1):
-            paths = by_place[at] + after[at + 1 : at + 1 + depth].T
-            top = paths.max(axis=1)
-            inside = np.flatnonzero(np.isfinite(top))
-            after[at, inside] = top[inside] + np.log(np.exp(paths[inside] - top[inside, None]).sum(axis=1))
-        after[lengths, np.arange(len(texts))] = 0.0
-        log = weight + after[place + length, row] - after[place, row]
+            mine = slice(nodes[at], nodes[at + 1])
+            starts, sizes = begin[mine], count[mine]
+            low, high = starts[0], starts[-1] + sizes[-1]
+            paths = weight[low:high] + after[at + length[low:high], row[low:high]]
+            top = np.maximum.reduceat(paths, starts - low)
+            total = top + np.log(np.add.reduceat(np.exp(paths - np.repeat(top, sizes)), starts - low))
+            after[at, row[starts]] = total
+            log[low:high] = paths - np.repeat(total, sizes)
+        # from there to the order of nodes, word by word
         ends = np.cumsum(lengths)
-        node = (ends - lengths)[row] + place
-        order = np.argsort(node * (depth + 1) - length)  # by node, the longest first, as these tend to be likelier
-        node, log, length, piece = node[order], log[order], length[order], piece[order]
-        begin = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-        count = np.diff(np.r_[begin, len(node)])
-        place_in, owner = np.arange(len(node)) - np.repeat(begin, count), np.repeat(np.arange(len(begin)), count)
-        chances = np.zeros((len(begin), depth))
-        chances[owner, place_in] = np.exp(log)
-        upto = np.cumsum(chances, axis=1)[owner, place_in]
+        node = (ends - lengths)[row[begin]] + place[begin]
+        sizes = np.zeros(len(node), dtype=np.int64)
+        sizes[node] = count
+        firsts = np.cumsum(sizes) - sizes
+        target = _ranges(firsts[node], count)
+        log[target], length[target], piece[target] = log.copy(), length.copy(), piece.copy()
+        begin, count = firsts, sizes
+        upto = np.exp(log)
+        for step in range(1, int(count.max())):
+            later = begin[count > step] + step
+            upto[later] += upto[later - 1]
         upto[begin + count - 1] = 2.0  # the last edge takes the rest
         log[begin[count == 1]] = 0.0
         first, edge = self.first_edge.size, self.upto.size
@@ -439,9 +458,27 @@ _NAMES = [column.split()[0] for column in _OUT.split(", ")]
 _KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.binary()]
 
 
-def text_of(ids: np.ndarray, pieces: list[bytes]) -> str:
-    """The text that ids stand for, without the mark that starts it; broken UTF-8 is mended."""
-    return b"".join(map(pieces.__getitem__, ids.tolist()))[1:].decode("utf-8", "replace")
+class Decoder:
+    """Pieces as one run of bytes, from which the bytes of many ids are taken at once."""
+
+    STEP = 200_000  # ids taken at a time
+
+    def __init__(self, pieces: list[bytes]):
+        self.size = np.array(list(map(len, pieces)), dtype=np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.content = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+
+    def text(self, ids: np.ndarray) -> str:
+        """The text that ids stand for, without the mark that starts it; broken UTF-8 is mended."""
+        steps = (ids[at : at + self.STEP] for at in range(0, len(ids), self.STEP))
+        content = b"".join(self.content[_ranges(self.begin[some], self.size[some])].tobytes() for some in steps)
+        return content[1:].decode("utf-8", "replace")
+
+
+@cache
+def decoder(model: str) -> Decoder:
+    """The worker's own decoder."""
+    return Decoder(vocabulary(model, ALPHA).bytes)
 
 
 def sampled(
@@ -459,7 +496,7 @@ def sampled(
     names, kinds = (_NAMES + ["decoded"], _KINDS + [pa.string()]) if decode else (_NAMES, _KINDS)
 
     def run(batches):
-        store = lattices(model, alpha)
+        store, letters = lattices(model, alpha), decoder(model)
         for batch in batches:
             texts = [content or "" for content in texts_of(batch)]
             ids, keys = batch.column("doc_id").to_pylist(), batch.column("key").to_numpy().view(np.uint64)
@@ -471,7 +508,7 @@ def sampled(
                 for key, those in zip(ids[low:high], found):
                     for number, (pieces, log, value, chance) in enumerate(those, start=1):
                         content = store.words.ids(pieces)
-                        back = (text_of(content, store.words.bytes),) if decode else ()
+                        back = (letters.text(content),) if decode else ()
                         rows.append((key, number, len(content), log, value, chance, content.tobytes(), *back))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
@@ -488,14 +525,14 @@ def decoded(rows: DataFrame, model: str, ids: str = "ids", to: str = "decoded")
     at = rows.columns.index(ids)
 
     def run(batches):
-        pieces = vocabulary(model, ALPHA).bytes
+        letters = decoder(model)
         for batch in batches:
             texts = []
             for content in batch.column(at).to_pylist():
                 if content is None:
                     texts.append(None)
                     continue
-                texts.append(text_of(np.frombuffer(content, "<u4"), pieces))
+                texts.append(letters.text(np.frombuffer(content, "<u4")))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, to])
 
     return map_batches(rows, run, schema)

@@ -87,6 +87,27 @@ def test_samples_depend_on_the_row_alone(store):
     assert [len(x) for x in together][1:3] == [1 if len(both(["x"], store)) == 1 else min(3, len(both(["x"], store))), 1]
 
 
+def test_pieces_across_word_starts_are_refused(monkeypatch):
+    class Library:
+        is_control = is_unknown = is_byte = staticmethod(lambda number: False)
+        get_score = staticmethod(lambda number: -float(number))
+        get_piece_size = staticmethod(lambda: 3)
+        id_to_piece = staticmethod(lambda number: ["a", "\u2581\u2581b", "a\u2581b"][number])
+
+    monkeypatch.setattr(segmentations, "sentence_piece", lambda model: Library())
+    with pytest.raises(ValueError, match="start of a word"):
+        segmentations.Vocabulary("any", 0.5)
+
+
+def test_decoding_in_steps(monkeypatch):
+    letters = segmentations.Decoder([b" a", b"", "\u6771".encode(), b"\xf0", b"bc"])
+    ids = np.array([0, 4, 1, 2, 4, 3, 0] * 5)
+    whole = letters.text(ids)
+    assert whole == b"".join([b" a", b"bc", b"", "\u6771".encode(), b"bc", b"\xf0", b" a"] * 5)[1:].decode("utf-8", "replace")
+    monkeypatch.setattr(segmentations.Decoder, "STEP", 3)
+    assert letters.text(ids) == whole and letters.text(ids[:0]) == ""
+
+
 def test_shrinking_keeps_the_frequent_words(store):
     texts = [["alpha", "beta", "alpha", "rare"], ["beta", "gamma", "éé", "gamma"], ["alpha"]]
     keys = np.array([1, 2, 3], np.uint64)
