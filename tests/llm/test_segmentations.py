@@ -94,17 +94,17 @@ def test_pieces_across_word_starts_are_refused(monkeypatch):
         get_piece_size = staticmethod(lambda: 3)
         id_to_piece = staticmethod(lambda number: ["a", "\u2581\u2581b", "a\u2581b"][number])
 
-    monkeypatch.setattr(segmentations, "sentence_piece", lambda model: Library())
+    monkeypatch.setattr(sg, "sentence_piece", lambda model: Library())
     with pytest.raises(ValueError, match="start of a word"):
-        segmentations.Vocabulary("any", 0.5)
+        sg.Vocabulary("any", 0.5)
 
 
 def test_decoding_in_steps(monkeypatch):
-    letters = segmentations.Decoder([b" a", b"", "\u6771".encode(), b"\xf0", b"bc"])
+    letters = sg.Decoder([b" a", b"", "\u6771".encode(), b"\xf0", b"bc"])
     ids = np.array([0, 4, 1, 2, 4, 3, 0] * 5)
     whole = letters.text(ids)
     assert whole == b"".join([b" a", b"bc", b"", "\u6771".encode(), b"bc", b"\xf0", b" a"] * 5)[1:].decode("utf-8", "replace")
-    monkeypatch.setattr(segmentations.Decoder, "STEP", 3)
+    monkeypatch.setattr(sg.Decoder, "STEP", 3)
     assert letters.text(ids) == whole and letters.text(ids[:0]) == ""
 
 
