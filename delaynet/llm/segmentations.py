@@ -19,7 +19,9 @@ on nothing else.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from functools import cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -166,6 +168,19 @@ def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) + np.repeat(begin - (np.cumsum(size) - size), size)
 
 
+class _Numbers(dict):
+    """Numbers of words in the order in which they are met; `new` lists those that have no lattice yet."""
+
+    def __init__(self, *known):
+        super().__init__(*known)
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        number = self[unit] = len(self)
+        self.new.append(unit)
+        return number
+
+
 class Lattices:
     """The lattices of the words that a worker has met.
 
@@ -179,7 +194,7 @@ class Lattices:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Numbers()
         self.start, self.stop, self.used = _Growing(np.int64), _Growing(np.int64), _Growing(np.int64)
         self.first_edge = _Growing(np.int64)  # by node
         self.upto, self.length, self.piece, self.log = _Growing(np.float32), _Growing(np.int8), _Growing(np.int32), _Growing(np.float64)
@@ -187,20 +202,20 @@ class Lattices:
     def number(self, units: list[str]) -> np.ndarray:
         """Word numbers of units; lattices of new ones are built."""
         known = self.known
-        found = list(map(known.get, units))
-        if None in found:
-            new = sorted(dict.fromkeys(unit for unit, n in zip(units, found) if n is None), key=len)
+        numbers = np.fromiter(map(known.__getitem__, units), np.int64, len(units))
+        if known.new:
+            new, known.new = sorted(known.new, key=len), []
+            for grown in (self.start, self.stop, self.used):
+                grown.add(np.zeros(len(new), dtype=np.int64))
             at = 0
             while at < len(new):
                 width = len(new[at]) + 1
                 end = at
-                while end < len(new) and len(new[end]) <= width + 2 and (end - at + 1) * (len(new[end]) + 1) <= 65_536:
+                while end < len(new) and len(new[end]) <= width + 2 and (end - at + 1) * (len(new[end]) + 1) <= 32_768:
                     end += 1
                 end = max(end, at + 1)
                 self._build(new[at:end])
                 at = end
-            found = list(map(known.__getitem__, units))
-        numbers = np.array(found, dtype=np.int64)
         self.used.room[: self.used.size] += np.bincount(numbers, minlength=self.used.size)
         return numbers
 
@@ -220,7 +235,7 @@ class Lattices:
         count = last[node + 1] - last[node]
         edge = _ranges(last[node], count)
         ends = np.cumsum(stop - start)
-        self.known = {names[word]: number for number, word in enumerate(kept.tolist())}
+        self.known = _Numbers((names[word], number) for number, word in enumerate(kept.tolist()))
         self.start.add(ends - (stop - start))
         self.stop.add(ends)
         self.used.add(often[kept] // 2)
@@ -270,11 +285,9 @@ class Lattices:
         upto[begin + count - 1] = 2.0  # the last edge takes the rest
         log[begin[count == 1]] = 0.0
         first, edge = self.first_edge.size, self.upto.size
-        for number, unit in enumerate(units, start=self.start.size):
-            self.known[unit] = number
-        self.start.add(first + ends - lengths)
-        self.stop.add(first + ends)
-        self.used.add(np.zeros(len(units), dtype=np.int64))
+        number = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+        self.start.room[number] = first + ends - lengths
+        self.stop.room[number] = first + ends
         self.first_edge.add(edge + begin)
         self.upto.add(upto)
         self.length.add(length)
@@ -286,26 +299,29 @@ class Lattices:
         start, stop = self.start.room, self.stop.room
         node, end = start[word], stop[word]
         log = np.zeros(len(word))
-        owners, chosen = [], []
+        taken = []
         active, place = np.arange(len(word)), place << np.int64(20)
         while len(active):
             draw = uniform(key, place)
             edge = self.first_edge.room[node]
             late = np.flatnonzero(draw >= self.upto.room[edge])
             while len(late):
-                edge[late] += 1
-                late = late[draw[late] >= self.upto.room[edge[late]]]
-            owners.append(active)
-            chosen.append(self.piece.room[edge])
+                after = edge[late] + 1
+                edge[late] = after
+                late = late[draw[late] >= self.upto.room[after]]
+            taken.append((active, self.piece.room[edge]))
             log[active] += self.log.room[edge]
             node = node + self.length.room[edge]
-            on = node < end
+            on = np.flatnonzero(node < end)
             active, node, end, key, place = active[on], node[on], end[on], key[on], place[on] + 1
-        if not owners:
-            return np.zeros(0, np.int32), np.zeros(0, np.int64), log
-        owner = np.concatenate(owners)
-        order = np.argsort(owner, kind="stable")
-        return np.concatenate(chosen)[order], np.bincount(owner, minlength=len(word)), log
+        size = np.zeros(len(word), dtype=np.int64)
+        for depth, (owner, _) in enumerate(taken, start=1):
+            size[owner] = depth
+        first = np.cumsum(size) - size
+        pieces = np.empty(int(size.sum()), dtype=np.int32)
+        for depth, (owner, piece) in enumerate(taken):
+            pieces[first[owner] + depth] = piece
+        return pieces, size, log
 
     def edges(self, node: int) -> range:
         last = self.first_edge.room[node + 1] if node + 1 < self.first_edge.size else self.upto.size
@@ -323,21 +339,25 @@ class Lattices:
         """A segmentation of the word that is none of the excluded ones, and its log chance among all."""
         barred = [self.path_edges(word, pieces) for pieces in excluded]
         node, end = int(self.start.room[word]), int(self.stop.room[word])
-        pieces, log, depth = [], 0.0, 0
-        while node < end:
-            options = list(self.edges(node))
-            mass = []
-            for edge in options:
-                out = sum(float(np.exp(sum(self.log.room[e] for e in path[depth + 1 :]))) for path in barred if path[depth] == edge)
-                mass.append(float(np.exp(self.log.room[edge])) * max(0.0, 1.0 - out))
-            upto = np.cumsum(mass)
-            draw = uniform(np.array([key], np.uint64), np.array([(place << 20) + (1 << 19) + depth]))[0] * upto[-1]
-            edge = options[min(int(np.searchsorted(upto, draw, side="right")), len(options) - 1)]
+        pieces, log = [], 0.0
+        draws = uniform(key, (place << 20) + (1 << 19) + np.arange(end - node)).tolist()
+        for depth, draw in enumerate(draws):
+            options = self.edges(node)
+            logs = self.log.room[options.start : options.stop]
+            mass = np.exp(logs).tolist()
+            for at, edge in enumerate(options):
+                paths = [path[depth + 1 :] for path in barred if path[depth] == edge]
+                if paths:
+                    mass[at] *= max(0.0, 1.0 - sum(float(np.exp(sum(self.log.room[e] for e in path))) for path in paths))
+            upto = list(accumulate(mass))
+            at = min(bisect_right(upto, draw * upto[-1]), len(upto) - 1)
+            edge = options[at]
             pieces.append(int(self.piece.room[edge]))
-            log += float(self.log.room[edge])
+            log += float(logs[at])
             node += int(self.length.room[edge])
+            if node >= end:
+                break
             barred = [path for path in barred if path[depth] == edge]
-            depth += 1
         return pieces, log
 
 
