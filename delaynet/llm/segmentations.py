@@ -134,6 +134,10 @@ class Vocabulary:
             return codes.astype("<u4")
         own = codes[odd].astype("<u4") - np.uint32(self.size)
         content = own.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+        if len(content) == len(odd):  # a byte each
+            out = codes.astype("<u4")
+            out[odd] = self.byte_ids[np.frombuffer(content, np.uint8)]
+            return out
         sizes = np.ones(len(codes), dtype=np.int64)
         sizes[odd] += (own >= 0x80).astype(int) + (own >= 0x800) + (own >= 0x10000)
         out = np.repeat(codes, sizes).astype("<u4")
@@ -207,13 +211,11 @@ class Lattices:
             new, known.new = sorted(known.new, key=len), []
             for grown in (self.start, self.stop, self.used):
                 grown.add(np.zeros(len(new), dtype=np.int64))
+            lengths = list(map(len, new))
             at = 0
             while at < len(new):
-                width = len(new[at]) + 1
-                end = at
-                while end < len(new) and len(new[end]) <= width + 2 and (end - at + 1) * (len(new[end]) + 1) <= 32_768:
-                    end += 1
-                end = max(end, at + 1)
+                longest = lengths[min(bisect_right(lengths, lengths[at] + 3), len(new)) - 1]  # of words much alike
+                end = min(bisect_right(lengths, longest), at + max(1, 32_768 // (longest + 1)))
                 self._build(new[at:end])
                 at = end
         self.used.room[: self.used.size] += np.bincount(numbers, minlength=self.used.size)
