@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 # Characters of text that one step of an operator works on at a time. Long rows
 # go through in pieces or alone, so a task's memory does not follow batch sizes.
-STEP_CHARS = 4_000_000
-BATCH_BYTES = 8 << 20  # of one Arrow batch
+STEP_CHARS = 1_000_000
+BATCH_BYTES = 4 << 20  # of one Arrow batch
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

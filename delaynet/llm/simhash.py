@@ -57,7 +57,7 @@ def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.array([digest(joined[a:b]) for a, b in zip(starts, ends[shingle - 1 :])], dtype=np.uint64)
 
 
-def majority(hashes: list[np.ndarray], step: int = 200_000) -> np.ndarray:
+def majority(hashes: list[np.ndarray], step: int = 16_384) -> np.ndarray:
     """For each row, the bits that are set in over half of its hashes; zero without any."""
     sizes = np.array([len(h) for h in hashes])
     counts = np.zeros((len(hashes), 64), dtype=np.int64)

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 import xxhash
@@ -164,3 +166,13 @@ def test_near_copies_are_linked(spark):
     docs = [(1, base), (2, base + " tail"), (3, base.replace("w77 ", "v77 ")), (4, " ".join(f"u{i}" for i in range(3000)))]
     found = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
     assert found == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+def test_counting_bits_holds_little_memory():
+    hashes = [np.arange(i, i + 50_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for i in range(4)]
+    tracemalloc.start()
+    found = simhash.majority(hashes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20
+    assert found.tolist() == [simhash.majority([h], step=1000)[0] for h in hashes]
