@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from delaynet.session import bucketed, materialize
 
 EDGES_PER_SALT = 1_000_000
+VERTICES_PER_BUCKET = 1_000_000  # up to which a task holds the states of its bucket in a hash table
 
 
 def graph_vertices(edges: DataFrame) -> DataFrame:
@@ -46,29 +47,35 @@ class _Links:
     vertices: DataFrame  # (airport, id, fanout)
     rows: DataFrame  # (src, salt, dst, share, fanout), fanout being that of dst
     salted: bool
+    hashed: bool  # whether a bucket's states are few enough to look them up, so that links need no sort
 
     def with_source(self, state: DataFrame) -> DataFrame:
         """Links together with the state (id, fanout, ...) of their source."""
         state = state.withColumnRenamed("id", "src")
-        if not self.salted:
-            return self.rows.join(state.drop("fanout"), "src")
-        copies = state.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("fanout") - 1)))
-        return self.rows.join(copies.drop("fanout"), ["src", "salt"])
+        if self.salted:
+            state = state.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("fanout") - 1)))
+        state = state.drop("fanout")
+        if self.hashed:
+            state = state.hint("shuffle_hash")
+        return self.rows.join(state, ["src", "salt"] if self.salted else ["src"])
 
 
-def _links(edges: DataFrame, weight: Column | None, per_salt: int) -> _Links:
+def _links(edges: DataFrame, weight: Column | None, per_salt: int, per_bucket: int = VERTICES_PER_BUCKET) -> _Links:
     amount = F.lit(1.0) if weight is None else weight.cast("double")
     plain = edges.select("origin", "destination", amount.alias("amount"))
-    out = plain.groupBy(F.col("origin").alias("airport")).agg(
-        F.count(F.lit(1)).alias("degree"), F.sum("amount").alias("total")
+    # both ends of every edge, so that one pass finds all vertices with their degrees
+    ends = F.array(
+        F.struct(F.col("origin").alias("airport"), F.lit(1).alias("out"), "amount"),
+        F.struct(F.col("destination").alias("airport"), F.lit(0).alias("out"), F.lit(None).cast("double").alias("amount")),
     )
-    named = graph_vertices(plain).join(out, "airport", "left").orderBy("airport")
+    degrees = plain.select(F.inline(ends)).groupBy("airport").agg(F.sum("out").alias("degree"), F.sum("amount").alias("total"))
+    named = degrees.orderBy("airport")
     # written, as the numbers must be the same wherever they are used
     vertices = materialize(
         named.select(
             "airport",
             F.monotonically_increasing_id().alias("id"),
-            F.coalesce(F.ceil(F.col("degree") / per_salt), F.lit(1)).cast("int").alias("fanout"),
+            F.greatest(F.ceil(F.col("degree") / per_salt), F.lit(1)).cast("int").alias("fanout"),
             "total",
         ),
         "vertices",
@@ -93,7 +100,8 @@ def _links(edges: DataFrame, weight: Column | None, per_salt: int) -> _Links:
     )
     keys = ("src", "salt") if salted else ("src",)
     buckets = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _Links(vertices.drop("total"), bucketed(sending.unionByName(itself), "links", buckets, *keys), salted)
+    hashed = vertices.count() <= buckets * per_bucket
+    return _Links(vertices.drop("total"), bucketed(sending.unionByName(itself), "links", buckets, *keys), salted, hashed)
 
 
 def pagerank(

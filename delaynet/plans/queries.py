@@ -654,16 +654,20 @@ def _home_graph(spark, sf):
 
 def _trade_edges(spark, sf):
     """Customers to suppliers by quantity; returned lines point back."""
-    orders = table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("C"), c("o_custkey").cast("string")).alias("customer"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     lines = table(spark, sf, "lineitem").select(
-        "l_orderkey", F.concat(F.lit("S"), c("l_suppkey").cast("string")).alias("supplier"), "l_quantity", "l_returnflag"
+        "l_orderkey", "l_suppkey", "l_quantity", F.coalesce(c("l_returnflag") == "R", F.lit(False)).alias("back")
     )
     joined = lines.join(orders, c("l_orderkey") == c("o_orderkey"))
-    back = c("l_returnflag") == "R"
-    return joined.groupBy(
-        F.when(back, c("supplier")).otherwise(c("customer")).alias("origin"),
-        F.when(back, c("customer")).otherwise(c("supplier")).alias("destination"),
-    ).agg(F.sum(c("l_quantity").cast("long")).alias("weight"))
+    # grouped by the numbers, named afterwards
+    routes = joined.groupBy("back", "o_custkey", "l_suppkey").agg(F.sum(c("l_quantity").cast("long")).alias("weight"))
+    customer = F.concat(F.lit("C"), c("o_custkey").cast("string"))
+    supplier = F.concat(F.lit("S"), c("l_suppkey").cast("string"))
+    return routes.select(
+        F.when(c("back"), supplier).otherwise(customer).alias("origin"),
+        F.when(c("back"), customer).otherwise(supplier).alias("destination"),
+        "weight",
+    )
 
 
 def _trade_graph(spark, sf):
