@@ -18,6 +18,8 @@ from delaynet.streaming import bloom_ingest as bloom_stream
 from delaynet.streaming import ingest as ingest_stream
 
 FILES_PER_BATCH = 4
+# Row groups of message files: a batch of few files is read by as many tasks as there are cores.
+ROW_GROUP_BYTES = 4 << 20
 # Deliveries up to this year are there when the stream first starts; the others
 # come while it is stopped, and are taken in by a second run.
 FIRST_RUN_UNTIL = 1995
@@ -70,9 +72,10 @@ def _backdate(spark: SparkSession, path: str) -> None:
 
 def deliver(spark: SparkSession, sf_dir: str, path: str, rows: Column) -> None:
     """Messages as files, one folder per delivery year. Rebalancing splits a year
-    that holds most rows into several files of even size."""
+    that holds most rows into several files of even size, and row groups let many
+    tasks read one file."""
     sent = _sent_lines(spark, sf_dir).filter(rows).hint("rebalance", "delivery")
-    sent.write.mode("append").partitionBy("delivery").parquet(path)
+    sent.write.mode("append").option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("delivery").parquet(path)
 
 
 def _in_two_runs(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery]) -> None:

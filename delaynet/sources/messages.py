@@ -24,13 +24,17 @@ def keyed_messages(rows: DataFrame, id_column: str = "flight_id", prefix: str =
 
 
 def decode_json(messages: DataFrame, schema: StructType = FLIGHT_SCHEMA, value: str = "value") -> DataFrame:
-    """Flattened JSON values, other message columns kept; unreadable text lands in `_corrupt`."""
+    """Flattened JSON values, other message columns kept; unreadable text lands in `_corrupt`.
+
+    The values come out of a generator, below which no filter is pushed: a filter on
+    decoded columns would otherwise take the whole decoding along and do it twice.
+    """
     with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     parsed = F.from_json(
         F.col(value).cast("string"), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
     kept = [name for name in messages.columns if name != value]
-    return messages.select(*kept, parsed.alias("_data")).select(*kept, "_data.*")
+    return messages.select(*kept, F.inline(F.array(parsed)))
 
 
 def is_quarantined(id_column: str = "flight_id") -> Column:

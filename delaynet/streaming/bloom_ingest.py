@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from delaynet.operators import bloom
 from delaynet.schema import FLIGHT_COLUMNS
-from delaynet.streaming.ingest import classified, write_audit, write_quarantine
+from delaynet.streaming.ingest import classified, set_aside_only, write_audit, write_quarantine
 
 STATE_DDL = f"generation INT, items BIGINT, {bloom.FILTER_DDL}"
 COMPACT_EVERY = 16
@@ -171,5 +171,7 @@ def start_bloom_ingest(
         finally:
             batch.unpersist()
 
-    writer = classified(messages).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    rows = classified(messages)
+    rows = rows.select("reason", *set_aside_only("position", "raw"), *FLIGHT_COLUMNS)
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**({"processingTime": every} if every else {"availableNow": True})).start()

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,6 +35,13 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     partitions = state_partitions or spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # Counting the rows of the state costs one more lookup for every id, and a batch
+    # without messages goes through the whole state to find nothing but expired ids,
+    # which the next batch removes as well.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
+    session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    # Room for the index of a partition's files, which grows with its ids; 8 MB hold that of a few million only.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.blockCacheSizeMB", "64")
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     return session
 
@@ -56,6 +63,11 @@ def deduplicated(rows: DataFrame, horizon: str | None) -> DataFrame:
     return clocked.dropDuplicatesWithinWatermark(["flight_id"]).drop("seen_at")
 
 
+def set_aside_only(*names: str) -> list[Column]:
+    """Columns that are read of messages set aside only, empty for all others."""
+    return [F.when(F.col("reason").isNotNull(), F.col(name)).alias(name) for name in names]
+
+
 def write_quarantine(batch: DataFrame, quarantine: str, batch_id: int) -> None:
     aside = batch.filter("reason is not null").select("position", "raw", "reason")
     aside.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
@@ -83,14 +95,12 @@ def start_ingest(
     """Start the stream. Without `every` it works through the backlog and stops;
     with it, a new batch starts at that interval until the query is stopped."""
     rows = classified(messages)
-    # Two branches of one query: every message as it arrived, without its content
-    # unless that is set aside, and the rows that deduplication lets through.
+    # Two branches of one query: every message as it arrived, without its content and
+    # place unless it is set aside, and the rows that deduplication lets through.
     nothing = [F.lit(None).cast(kind).alias(name) for name, kind in rows.select(*FLIGHT_COLUMNS).dtypes]
-    arrived = rows.select(
-        F.lit(True).alias("arrived"), "reason", "position", F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw"), *nothing
-    )
-    fresh = deduplicated(rows.filter("reason is null"), horizon).select(
-        F.lit(False).alias("arrived"), "reason", "position", F.lit(None).cast("string").alias("raw"), *FLIGHT_COLUMNS
+    arrived = rows.select(F.lit(True).alias("arrived"), "reason", *set_aside_only("position", "raw"), *nothing)
+    fresh = deduplicated(rows.filter("reason is null").select(*FLIGHT_COLUMNS), horizon).select(
+        F.lit(False).alias("arrived"), *[F.lit(None).cast("string").alias(name) for name in ("reason", "position", "raw")], *FLIGHT_COLUMNS
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from delaynet.operators import aggregates, bloom, dedup, graph, hll
 from delaynet.plans.queries import QUERIES
 from delaynet.sources.tables import flights, table
+from delaynet.streaming import ingest
 
 
 def plan(df):
@@ -73,3 +74,28 @@ def test_links_stay_in_their_buckets(spark, monkeypatch, per_salt):
     scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line and "links" in line)
     join = max(i for i, line in enumerate(lines[:scan]) if "Join" in line)
     assert not any("Exchange" in line for line in lines[join:scan])
+
+
+def test_a_filter_on_decoded_messages_decodes_once(spark, tmp_path):
+    spark.createDataFrame([(b"{}", "p")], "value binary, position string").write.parquet(str(tmp_path / "messages"))
+    rows = ingest.classified(spark.read.parquet(str(tmp_path / "messages")))
+    assert plan(rows.filter("reason is null").select("flight_id", "delay_minutes")).count("from_json") == 1
+
+
+def test_rounds_look_states_up_instead_of_sorting_links(spark, monkeypatch):
+    edges = spark.range(500).selectExpr("cast(id % 50 as string) as origin", "cast(id % 33 as string) as destination")
+    few, many = graph._links(edges, None, 1_000_000), graph._links(edges, None, 1_000_000, per_bucket=1)
+    assert few.hashed and not many.hashed
+    monkeypatch.setattr(graph, "bucketed", lambda df, *rest: df)
+    joined = plan(few.with_source(few.vertices.select("id", "fanout", F.lit(1.0).alias("rank"))))
+    assert "ShuffledHashJoin" in joined and "SortMergeJoin" not in joined
+
+
+def test_vertices_and_degrees_take_one_pass_over_the_edges(spark, monkeypatch):
+    written = {}
+    monkeypatch.setattr(graph, "materialize", lambda df, label: written.setdefault(label, df))
+    edges = spark.range(20).selectExpr("cast(id % 5 as string) as origin", "cast(id % 7 as string) as destination")
+    graph._links(edges, None, 2)
+    assert plan(written["vertices"]).count("Range (") == 1
+    got = {r.airport: (r.fanout, r.total) for r in written["vertices"].collect()}
+    assert got == {str(i): (2, 4.0) if i < 5 else (1, None) for i in range(7)}

@@ -3,7 +3,9 @@ import os
 import time
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from delaynet.operators import bloom
 from delaynet.plans import streams
@@ -127,6 +129,22 @@ def test_batches_take_at_most_the_asked_files_and_come_at_intervals(spark, place
     assert len(ids(spark, place)) == 8
 
 
+def test_no_batch_goes_through_the_state_without_messages(spark, place):
+    deliver(spark, place["in"], flight("a"), "junk")
+    query = run(spark, place)
+    reports = [json.loads(p.json) if hasattr(p, "json") else p for p in query.recentProgress]
+    assert [p["numInputRows"] > 0 for p in reports if "addBatch" in p["durationMs"]] == [True]
+    aside = read_ingested(spark, place["bad"]).collect()
+    assert [r.raw for r in aside] == ["junk"] and place["in"] in aside[0].position
+
+
+def test_a_message_file_is_read_by_several_tasks(spark, sf_dir, place, monkeypatch):
+    monkeypatch.setattr(streams, "ROW_GROUP_BYTES", 1 << 14)
+    streams.deliver(spark, sf_dir, place["in"], F.col("delivery") == 1996)
+    files = list(Path(place["in"]).rglob("*.parquet"))
+    assert len(files) == 1 and pq.ParquetFile(files[0]).num_row_groups > 1
+
+
 def test_kafka_source_is_limited_and_starts_at_the_beginning():
     options = kafka_options("host:9092", "flights", max_offsets=123, timeout_ms=5)
     assert options["maxOffsetsPerTrigger"] == "123" and options["startingOffsets"] == "earliest"
