@@ -87,15 +87,28 @@ def _address(i: int) -> Column:
     return F.shiftright(f"_hash{i // ADDRESSES}", ADDRESS_BITS * (i % ADDRESSES)).bitwiseAND(BLOCK_BITS - 1)
 
 
+def _bits(k_hashes: int) -> dict[str, Column]:
+    """The word and the bit in it of each address, from the columns of `_hashes`.
+
+    Columns of their own, as each mask asks for all of them: worked out anew for every
+    word, the code of a filter with many hash functions is too long to be compiled.
+    """
+    one = F.lit(1).cast("bigint")
+    bits = {}
+    for i in range(k_hashes):
+        bits[f"_word{i}"] = F.shiftright(_address(i), 6)
+        bits[f"_bit{i}"] = F.call_function("shiftleft", one, _address(i).bitwiseAND(WORD_BITS - 1).cast("int"))
+    return bits
+
+
 def _masks(k_hashes: int) -> list[Column]:
-    """Per word, the bits that an item sets in it, from the columns of `_hashes`."""
-    addresses = [_address(i) for i in range(k_hashes)]
+    """Per word, the bits that an item sets in it, from the columns of `_bits`."""
+    nothing = F.lit(0).cast("bigint")
     masks = []
     for word in range(len(WORDS)):
-        mask = F.lit(0).cast("bigint")
-        for address in addresses:
-            bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), address.bitwiseAND(WORD_BITS - 1).cast("int"))
-            mask = mask.bitwiseOR(F.when(F.shiftright(address, 6) == word, bit).otherwise(F.lit(0).cast("bigint")))
+        mask = nothing
+        for i in range(k_hashes):
+            mask = mask.bitwiseOR(F.when(F.col(f"_word{i}") == word, F.col(f"_bit{i}")).otherwise(nothing))
         masks.append(mask)
     return masks
 
@@ -117,7 +130,8 @@ def build(rows: DataFrame, item: Column, m_bits: int, k_hashes: int, method: str
     """The blocks of a filter of all items; null items add nothing."""
     hashed = rows.select(*[column.alias(name) for name, column in _hashes(item, m_bits, k_hashes, method).items()])
     masks = [mask.alias(word) for word, mask in zip(WORDS, _masks(k_hashes))]
-    return _merged(hashed.filter("_block is not null").select(F.col("_block").alias("block"), *masks))
+    placed = hashed.filter("_block is not null").withColumns(_bits(k_hashes))
+    return _merged(placed.select(F.col("_block").alias("block"), *masks))
 
 
 def merge(*filters: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -147,7 +161,7 @@ def might_contain(
     hashes = _hashes(item, m_bits, k_hashes, method)
     blocks = filter_rows.select(F.col("block").alias("_block"), *[F.col(word).alias(f"_{word}") for word in WORDS])
     small = m_bits // BLOCK_BITS * BLOCK_BYTES <= BROADCAST_LIMIT_BYTES
-    asked = rows.withColumns(hashes).join(F.broadcast(blocks) if small else blocks, "_block", "left")
+    asked = rows.withColumns(hashes).join(F.broadcast(blocks) if small else blocks, "_block", "left").withColumns(_bits(k_hashes))
     held = F.lit(True)
     for word, mask in zip(WORDS, _masks(k_hashes)):
         held = held & (F.col(f"_{word}").bitwiseAND(mask) == mask)

@@ -99,3 +99,10 @@ def test_vertices_and_degrees_take_one_pass_over_the_edges(spark, monkeypatch):
     assert plan(written["vertices"]).count("Range (") == 1
     got = {r.airport: (r.fanout, r.total) for r in written["vertices"].collect()}
     assert got == {str(i): (2, 4.0) if i < 5 else (1, None) for i in range(7)}
+
+
+def test_the_words_of_a_filter_share_the_bits_of_an_item(spark):
+    items = spark.range(10).selectExpr("cast(id as string) as item")
+    built = plan(bloom.build(items, F.col("item"), 4096, 12))
+    asked = plan(bloom.might_contain(items, F.col("item"), bloom.build(items, F.col("item"), 4096, 12), 4096, 12))
+    assert built.count("shiftleft") == 12 and asked.count("shiftleft") <= 24
