@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from delaynet.schema import FLIGHT_COLUMNS
+from delaynet.schema import FLIGHT_COLUMNS, MESSAGE_DDL
 from delaynet.session import scratch_path
 from delaynet.sources.messages import file_stream
 from delaynet.sources.tables import spread, table
@@ -30,6 +30,7 @@ class IngestRun:
     curated: DataFrame
     rejected: DataFrame
     audit: DataFrame
+    messages: DataFrame
 
 
 def _sent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,39 +79,41 @@ def deliver(spark: SparkSession, sf_dir: str, path: str, rows: Column) -> None:
     sent.write.mode("append").option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("delivery").parquet(path)
 
 
-def _in_two_runs(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
-    """Run a stream to the end of what is there, deliver the rest, and run it again."""
+def _in_two_runs(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery]) -> DataFrame:
+    """Run a stream to the end of what is there, deliver the rest, and run it again. Returns all messages."""
     path = scratch_path(spark, "messages")
     for rows in (F.col("delivery") <= FIRST_RUN_UNTIL, F.col("delivery") > FIRST_RUN_UNTIL):
         deliver(spark, sf_dir, path, rows)
         _backdate(spark, path)
         start(file_stream(ingest_stream.stream_session(spark), path, FILES_PER_BATCH)).awaitTermination()
+    return spark.read.schema(MESSAGE_DDL).option("recursiveFileLookup", "true").parquet(path)
 
 
-def _result(spark: SparkSession, output: str) -> IngestRun:
+def _result(spark: SparkSession, output: str, messages: DataFrame) -> IngestRun:
     return IngestRun(
         curated=ingest_stream.read_ingested(spark, f"{output}/curated"),
         rejected=ingest_stream.read_ingested(spark, f"{output}/rejected"),
         audit=ingest_stream.read_audit(spark, f"{output}/audit"),
+        messages=messages,
     )
 
 
 def ingest(spark: SparkSession, sf_dir: str) -> IngestRun:
     output = scratch_path(spark, "ingested")
     places = [f"{output}/{name}" for name in ("curated", "rejected", "audit", "checkpoint")]
-    _in_two_runs(spark, sf_dir, lambda messages: ingest_stream.start_ingest(messages, *places))
-    return _result(spark, output)
+    messages = _in_two_runs(spark, sf_dir, lambda messages: ingest_stream.start_ingest(messages, *places))
+    return _result(spark, output, messages)
 
 
 def bloom_ingest(spark: SparkSession, sf_dir: str, growth: bloom_stream.Growth = bloom_stream.Growth()) -> IngestRun:
     """The same messages with approximate deduplication."""
     output = scratch_path(spark, "bloom")
     places = [f"{output}/{name}" for name in ("curated", "rejected", "audit", "filters", "checkpoint")]
-    _in_two_runs(spark, sf_dir, lambda messages: bloom_stream.start_bloom_ingest(messages, *places, growth))
-    return _result(spark, output)
+    messages = _in_two_runs(spark, sf_dir, lambda messages: bloom_stream.start_bloom_ingest(messages, *places, growth))
+    return _result(spark, output, messages)
 
 
-def whole_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+def whole_ids(messages: DataFrame) -> DataFrame:
     """Ids that come whole and routed at least once."""
-    rows = ingest_stream.classified(_sent_lines(spark, sf_dir).withColumn("position", F.lit("")))
+    rows = ingest_stream.classified(messages.withColumn("position", F.lit("")))
     return rows.filter("reason is null").select("flight_id").distinct()

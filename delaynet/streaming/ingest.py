@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from delaynet.operators import bloom
 from delaynet.schema import FLIGHT_COLUMNS
 from delaynet.sources.messages import CORRUPT, decode_json, is_quarantined
 
@@ -42,6 +43,9 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     # Room for the index of a partition's files, which grows with its ids; 8 MB hold that of a few million only.
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.blockCacheSizeMB", "64")
+    # Longer functions are run, but not compiled to machine code; Spark has shorter ones for what they do.
+    session.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    session.conf.set(*bloom.CO_PARTITION)
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     return session
 

@@ -1,5 +1,6 @@
 import json
 import os
+import re
 import time
 from pathlib import Path
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from delaynet.operators import bloom
 from delaynet.plans import streams
 from delaynet.sources.messages import file_stream, kafka_options
-from delaynet.streaming.bloom_ingest import FilterLog, Growth, bloom_writer, start_bloom_ingest
+from delaynet.streaming.bloom_ingest import FilterLog, Growth, _held, accept_new, bloom_writer, start_bloom_ingest
 from delaynet.streaming.ingest import read_audit, read_ingested, start_ingest, stream_session
 
 
@@ -210,6 +211,50 @@ def test_the_filter_log_follows_the_batches_and_is_folded(spark, place):
     assert sorted(map(tuple, whole.collect())) == sorted(tuple(r)[2:] for r in log.before(9).select("generation", "items", "block", *bloom.WORDS).collect() if r.block is not None)
 
 
+@pytest.mark.parametrize("limit", [bloom.BROADCAST_LIMIT_BYTES, 0])
+def test_generations_are_asked_together(spark, place, monkeypatch, limit):
+    monkeypatch.setattr(bloom, "BROADCAST_LIMIT_BYTES", limit)
+    growth, session = Growth(first_items=16, fp_rate=0.02), stream_session(spark, 2)
+    write = bloom_writer(place["out"], place["filters"], "flight_id", growth)
+    new = lambda a, b: session.createDataFrame([(f"id{i}", i) for i in [*range(a, b), a, a]], "flight_id string, n int")
+    for batch_id, (a, b) in enumerate([(0, 10), (5, 25), (20, 90), (0, 400), (300, 500)]):
+        write(new(a, b), batch_id)
+    kept = spark.read.parquet(place["out"])
+    assert kept.count() == kept.select("flight_id").distinct().count() >= 500 * (1 - growth.fp_rate) - 4
+    log = FilterLog(session, place["filters"])
+    state = log.read(log.paths_before(5))
+    held, _ = _held(state)
+    assert len(held) > 2 and sum(held.values()) == kept.count()
+    judged = accept_new(new(450, 600), state, held, "flight_id", growth, "xxhash64")
+    assert 100 * (1 - growth.fp_rate) - 4 <= judged.count() <= 100 and judged.filter("n < 500").isEmpty()
+    # whatever the number of generations, rows are dealt out by key and by lane, and generations join where they lie
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    joins = plan.count("Join LeftOuter") + plan.count("LeftOuter, BuildRight")
+    assert joins >= len(held)
+    if limit == 0:
+        assert plan.count("Exchange hashpartitioning(_lane") == 1 + len(held) and "Exchange hashpartitioning(_lane#" in plan
+        assert not re.search(r"Exchange hashpartitioning\(_lane#\w+, _block", plan)
+
+
+def test_large_batches_are_folded_at_once(spark, place):
+    growth, keys = Growth(400_000, 0.01), lambda a, b: spark.range(a, b).selectExpr("cast(id as string) as flight_id")
+    write = bloom_writer(place["out"], place["filters"], "flight_id", growth)
+    log = FilterLog(spark, place["filters"])
+    for batch_id in range(4):
+        write(keys(40_000 * batch_id, 40_000 * batch_id + 40_000), batch_id)
+        read = log.read(log.paths_before(batch_id + 1)).count()
+        assert read <= 2 * growth.blocks(_held(log.before(batch_id + 1))[0]) + 10  # not a block of every key that ever came
+    write(keys(120_000, 160_000), 3)  # a repeated batch
+    write(keys(160_000, 160_010), 4)
+    write(keys(160_000, 160_010), 5)
+    assert log.batches("base") == [3] and log.batches("entry") == [4, 5]
+    kept = spark.read.parquet(place["out"])
+    assert 160_010 * 0.99 <= kept.count() == kept.distinct().count()
+    whole = bloom.build(kept, kept.flight_id, *growth.size(0))
+    in_log = log.before(6).filter("block is not null").select("block", *bloom.WORDS)
+    assert whole.exceptAll(in_log).isEmpty() and in_log.exceptAll(whole).isEmpty()
+
+
 @pytest.mark.parametrize("unfinished", [False, True])
 def test_a_gap_in_the_log_stops_the_stream(spark, place, unfinished):
     write = bloom_writer(place["out"], place["filters"], "flight_id", compact_every=3)
