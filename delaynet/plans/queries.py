@@ -980,7 +980,7 @@ def bloom_stream(spark, sf):
     per_id = run.curated.groupBy("flight_id").agg(F.count(F.lit(1)).alias("n"))
     kept = per_id.agg(F.count(F.lit(1)).alias("ids"), F.max("n").alias("most"))
     booked = run.audit.agg(*[F.sum(name).alias(name) for name in ("messages", "accepted", "dupes", "quarantined", "unrouted")])
-    wanted = streams.whole_ids(run.messages)
+    wanted = streams.whole_ids(spark, sf, run.messages)
     whole = c("messages") == c("accepted") + c("dupes") + c("quarantined") + c("unrouted")
     return booked.select(
         "messages", "quarantined", "unrouted", whole.alias("adds_up"),

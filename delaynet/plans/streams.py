@@ -113,7 +113,10 @@ def bloom_ingest(spark: SparkSession, sf_dir: str, growth: bloom_stream.Growth =
     return _result(spark, output, messages)
 
 
-def whole_ids(messages: DataFrame) -> DataFrame:
-    """Ids that come whole and routed at least once."""
-    rows = ingest_stream.classified(messages.withColumn("position", F.lit("")))
+def whole_ids(spark: SparkSession, sf_dir: str, messages: DataFrame) -> DataFrame:
+    """Ids that come whole and routed at least once, in the messages or among the lines
+    without a day, which no delivery takes."""
+    undelivered = _sent_lines(spark, sf_dir).filter("delivery is null")
+    sent = messages.select("value").unionByName(undelivered.select("value"))
+    rows = ingest_stream.classified(sent.withColumn("position", F.lit("")))
     return rows.filter("reason is null").select("flight_id").distinct()

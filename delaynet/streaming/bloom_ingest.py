@@ -66,7 +66,8 @@ class FilterLog:
     """
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        # Blocks are numbered by the lanes, so a log without them, or with others, is not found and stops the stream.
+        self.spark, self.folder = spark, f"{folder}/lanes-{bloom.LANES}"
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._files = self._path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
 

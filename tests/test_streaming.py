@@ -183,6 +183,14 @@ def test_a_lost_snapshot_stops_the_stream(spark, place):
         write(spark.createDataFrame([("a",)], "flight_id string"), 7)
 
 
+def test_a_log_of_other_block_numbers_stops_the_stream(spark, place, monkeypatch):
+    write, row = bloom_writer(place["out"], place["filters"], "flight_id"), spark.createDataFrame([("a",)], "flight_id string")
+    write(row, 0)
+    monkeypatch.setattr(bloom, "LANES", 1)
+    with pytest.raises(FileNotFoundError, match="does not exist"):
+        write(row, 1)
+
+
 def test_repeated_bloom_batch_changes_nothing(spark, place):
     rows = spark.createDataFrame([("a", "x"), ("b", "y")], "flight_id string, origin string")
     write = bloom_writer(place["out"], place["filters"], "flight_id", Growth(100, 0.01))
@@ -276,6 +284,19 @@ def test_fixture_holds_the_awkward_deliveries(spark, sf_dir):
     assert any(r.key in whole for r in first)  # unrouted once, whole at another time
 
 
+def test_ids_are_wanted_of_lines_without_a_day_as_well(spark, tmp_path):
+    orders = spark.createDataFrame([(1, "O", 10.0, "1-URGENT"), (2, "F", 20.0, "5-LOW")], "o_orderkey long, o_orderstatus string, o_totalprice double, o_orderpriority string")
+    orders.selectExpr("*", "timestamp'1995-01-02' as o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(1, 1, 0.1, "1995-01-01"), (1, 1, 0.1, "1996-01-01"), (1, 2, 0.1, None), (1, 3, 0.0, "1997-01-01"), (2, 1, 0.1, "1996-01-01"), (2, 2, 0.1, "1997-01-01")]
+    lines = spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_discount double, day string")
+    lines.selectExpr("*", "cast(day as timestamp) as l_shipdate").drop("day").write.parquet(f"{tmp_path}/lineitem.parquet")
+    for rows in (F.col("delivery") <= 1995, F.col("delivery") > 1995):
+        streams.deliver(spark, str(tmp_path), f"{tmp_path}/messages", rows)
+    messages = spark.read.schema("key STRING, value BINARY").option("recursiveFileLookup", "true").parquet(f"{tmp_path}/messages")
+    assert messages.count() == 5
+    assert sorted(r.flight_id for r in streams.whole_ids(spark, str(tmp_path), messages).collect()) == ["1|1", "1|2", "2|2"]
+
+
 @pytest.mark.parametrize("items", [1, 64, 10_000])
 def test_filter_sizes_follow_the_items(items):
     m_bits, k_hashes = bloom.sized(items, 0.01)
